@@ -150,3 +150,117 @@ Q = {}
 Q["funnel_overall"] = with_star(
     f"SELECT *, {rnp('100.0 - step_over_step_pct')} AS drop_off_pct FROM o",
     "fct_events", extra_ctes=overall_cte())
+
+Q["scan_project"] = with_star("SELECT customer_id, event_type FROM fct_events", "fct_events")
+
+Q["funnel_reach"] = with_star("SELECT * FROM reach", "fct_events", extra_ctes=(reach_cte(),))
+
+Q["bounce_rate"] = with_star(
+    f"SELECT {rnp(pct('count_if(event_type = ' + chr(39) + 'bounce' + chr(39) + ')', 'count(*)'))} "
+    "AS bounce_rate_pct FROM fct_events", "fct_events")
+
+
+def _by_channel_ctes(steps=STEPS):
+    counts = ", ".join(f"count_if(\"{s}\") AS c{i}" for i, s in enumerate(steps))
+    rows = " UNION ALL ".join(
+        f"SELECT acquisition_channel, {i} AS step_idx, '{s}' AS step_name, c{i} AS reached, total FROM w"
+        for i, s in enumerate(steps))
+    return (reach_cte(steps), f"""
+w AS (SELECT c_mktsegment AS acquisition_channel, count(*) AS total, {counts}
+      FROM reach JOIN customer ON reach.customer_id = customer.c_custkey GROUP BY c_mktsegment),
+bc AS (
+  SELECT acquisition_channel, CAST(step_idx AS INTEGER) AS step_idx, step_name,
+         CAST(reached AS BIGINT) AS customers_reached, {rnp(pct('reached', 'total'))} AS pct_of_signups
+  FROM ({rows}) x)""".strip())
+
+
+Q["funnel_by_channel"] = with_star("SELECT * FROM bc", "fct_events", extra_ctes=_by_channel_ctes())
+
+Q["channel_conversion"] = with_star(
+    f"SELECT acquisition_channel, customers_reached, pct_of_signups FROM bc WHERE step_name = '{STEPS[-1]}' "
+    "ORDER BY pct_of_signups DESC, acquisition_channel", "fct_events", extra_ctes=_by_channel_ctes())
+
+Q["biggest_drop_off"] = with_star(
+    f"SELECT step_name, {rnp('100.0 - step_over_step_pct')} AS drop_off_pct FROM o WHERE step_idx > 0 "
+    "ORDER BY drop_off_pct DESC NULLS LAST, step_idx LIMIT 1", "fct_events", extra_ctes=overall_cte())
+
+Q["revenue_per_converted"] = with_star(f"""
+SELECT {rnp('CAST(avg(customer_total) AS DOUBLE)')} AS avg_revenue_per_converted_customer
+FROM (SELECT customer_id, sum(gross_revenue) AS customer_total FROM fct_transactions
+      WHERE refund_flag = 0 AND gross_revenue IS NOT NULL GROUP BY customer_id) t""", "fct_transactions")
+
+
+def _sessions_cte(gap_minutes: int) -> str:
+    return f"""
+g AS (SELECT *, lag("timestamp") OVER (PARTITION BY customer_id ORDER BY "timestamp", event_id) AS prev_ts
+      FROM fct_events),
+f AS (SELECT *, CASE WHEN prev_ts IS NULL
+                       OR date_diff('microsecond', prev_ts, "timestamp") > {gap_minutes * 60_000_000}
+                     THEN 1 ELSE 0 END AS new_s FROM g),
+sq AS (SELECT * EXCLUDE (prev_ts, new_s),
+              CAST(sum(new_s) OVER (PARTITION BY customer_id ORDER BY "timestamp", event_id
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_seq
+       FROM f),
+sess AS (SELECT *, CAST(customer_id AS VARCHAR) || '-' || CAST(session_seq AS VARCHAR) AS derived_session_id
+         FROM sq)""".strip()
+
+
+def _summary_cte() -> str:
+    return f"""
+summ AS (
+  SELECT CAST(customer_id AS VARCHAR) || '-' || CAST(session_seq AS VARCHAR) AS derived_session_id,
+         customer_id, min("timestamp") AS start_ts, max("timestamp") AS end_ts,
+         CAST(count(event_id) AS BIGINT) AS n_events,
+         {rnp("CAST(date_diff('microsecond', min(" + '"timestamp"' + "), max(" + '"timestamp"' + ")) AS DOUBLE) / 1e6 / 60.0")}
+           AS duration_minutes
+  FROM sess GROUP BY customer_id, session_seq)""".strip()
+
+
+Q["sessionize"] = with_star("SELECT * FROM sess", "fct_events", extra_ctes=(_sessions_cte(30),))
+Q["sessionize_gap360"] = with_star("SELECT * FROM sess", "fct_events", extra_ctes=(_sessions_cte(360),))
+
+Q["event_gaps"] = with_star("""
+SELECT event_id, customer_id, "timestamp",
+       CAST(date_diff('microsecond', lag("timestamp") OVER (PARTITION BY customer_id ORDER BY "timestamp", event_id),
+                      "timestamp") AS DOUBLE) / 60000000.0 AS gap_minutes
+FROM fct_events""", "fct_events")
+
+Q["session_summary"] = with_star("SELECT * FROM summ", "fct_events",
+                                 extra_ctes=(_sessions_cte(30), _summary_cte()))
+Q["session_summary_gap360"] = with_star("SELECT * FROM summ", "fct_events",
+                                        extra_ctes=(_sessions_cte(360), _summary_cte()))
+
+Q["session_counts"] = with_star("""
+SELECT CAST((SELECT count(*) FROM fct_events) AS BIGINT) AS n_events,
+       CAST((SELECT count(DISTINCT session_id) FROM fct_events) AS BIGINT) AS n_source_session_ids,
+       CAST((SELECT count(*) FROM summ) AS BIGINT) AS n_derived_sessions""", "fct_events",
+    extra_ctes=(_sessions_cte(30), _summary_cte()))
+
+Q["session_describe"] = with_star("""
+SELECT metric, CAST(count(v) AS BIGINT) AS "count", round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std,
+       min(v) AS "min", round(quantile_cont(v, 0.25), 6) AS p25, round(quantile_cont(v, 0.5), 6) AS p50,
+       round(quantile_cont(v, 0.75), 6) AS p75, max(v) AS "max"
+FROM (SELECT 'duration_minutes' AS metric, CAST(duration_minutes AS DOUBLE) AS v FROM summ
+      UNION ALL SELECT 'n_events', CAST(n_events AS DOUBLE) FROM summ) x
+GROUP BY metric""", "fct_events", extra_ctes=(_sessions_cte(360), _summary_cte()))
+
+
+def _share_multi_sql(key: str, member: str, label: str) -> str:
+    return f"""
+SELECT CAST(count(*) AS BIGINT) AS n_{label}, CAST(count_if(n > 1) AS BIGINT) AS n_{label}_multi,
+       round({pct('count_if(n > 1)', 'count(*)')}, 6) AS pct_{label}_multi
+FROM (SELECT {key}, count(DISTINCT {member}) AS n FROM fct_events GROUP BY {key}) t"""
+
+
+Q["dq_session_sharing"] = with_star(_share_multi_sql("session_id", "customer_id", "session_ids"), "fct_events")
+Q["dq_group_stickiness"] = with_star(_share_multi_sql("customer_id", "experiment_group", "customers"),
+                                     "fct_events")
+
+Q["dq_gap_profile"] = with_star("""
+SELECT CAST(count(gap_minutes) AS BIGINT) AS n_gaps,
+       round(CAST(count_if(gap_minutes < 30) AS DOUBLE) / count(gap_minutes) * 100.0, 6) AS pct_gaps_under_threshold,
+       round(quantile_cont(gap_minutes, 0.5), 6) AS median_gap_minutes,
+       round(quantile_cont(gap_minutes, 0.5) / 1440.0, 6) AS median_gap_days
+FROM (SELECT CAST(date_diff('microsecond',
+                  lag("timestamp") OVER (PARTITION BY customer_id ORDER BY "timestamp", event_id), "timestamp")
+             AS DOUBLE) / 60000000.0 AS gap_minutes FROM fct_events) t""", "fct_events")

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kestrel.config import DRIVER
-from kestrel.operators import funnel
+from kestrel.operators import diagnostics, funnel, sessions
 from kestrel.sources import star
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -33,3 +33,97 @@ def _reach(spark, sf):
 @query("funnel_overall")
 def q_funnel_overall(spark, sf):
     return funnel.overall_funnel(_reach(spark, sf), P.steps)
+
+
+@query("scan_project")
+def q_scan_project(spark, sf):
+    """S6/S7: warehouse scan pruned to two columns (ReadSchema shows only them)."""
+    return star.fct_events(spark, sf).select("customer_id", "event_type")
+
+
+@query("funnel_reach")
+def q_funnel_reach(spark, sf):
+    return _reach(spark, sf)
+
+
+@query("bounce_rate")
+def q_bounce_rate(spark, sf):
+    return funnel.bounce_rate(star.fct_events(spark, sf))
+
+
+@query("funnel_by_channel")
+def q_funnel_by_channel(spark, sf):
+    return funnel.funnel_by_channel(_reach(spark, sf), star.customer_channels(spark, sf), P.steps)
+
+
+@query("channel_conversion")
+def q_channel_conversion(spark, sf):
+    by_channel = funnel.funnel_by_channel(_reach(spark, sf), star.customer_channels(spark, sf), P.steps)
+    return funnel.channel_conversion(by_channel, P.steps[-1])
+
+
+@query("biggest_drop_off")
+def q_biggest_drop_off(spark, sf):
+    return funnel.biggest_drop_off_step(funnel.overall_funnel(_reach(spark, sf), P.steps))
+
+
+@query("revenue_per_converted")
+def q_revenue_per_converted(spark, sf):
+    return funnel.revenue_per_converted_customer(star.fct_transactions(spark, sf))
+
+
+def _sessionize(spark, sf, gap):
+    return sessions.build_sessions(star.fct_events(spark, sf), gap, bucket=P.session_bucket)
+
+
+@query("sessionize")
+def q_sessionize(spark, sf):
+    return _sessionize(spark, sf, P.gap_minutes)
+
+
+@query("sessionize_gap360")
+def q_sessionize_gap360(spark, sf):
+    return _sessionize(spark, sf, 360)
+
+
+@query("event_gaps")
+def q_event_gaps(spark, sf):
+    return sessions.event_gaps(star.fct_events(spark, sf), bucket=P.session_bucket) \
+        .select("event_id", "customer_id", "timestamp", "gap_minutes")
+
+
+@query("session_summary")
+def q_session_summary(spark, sf):
+    return sessions.session_summary(_sessionize(spark, sf, P.gap_minutes))
+
+
+@query("session_summary_gap360")
+def q_session_summary_gap360(spark, sf):
+    return sessions.session_summary(_sessionize(spark, sf, 360))
+
+
+@query("session_counts")
+def q_session_counts(spark, sf):
+    ev = star.fct_events(spark, sf)
+    return sessions.session_counts(ev, sessions.session_summary(_sessionize(spark, sf, P.gap_minutes)))
+
+
+@query("session_describe")
+def q_session_describe(spark, sf):
+    return diagnostics.session_describe(sessions.session_summary(_sessionize(spark, sf, 360)))
+
+
+@query("dq_session_sharing")
+def q_dq_session_sharing(spark, sf):
+    return diagnostics.session_sharing(star.fct_events(spark, sf))
+
+
+@query("dq_gap_profile")
+def q_dq_gap_profile(spark, sf):
+    gaps = sessions.event_gaps(star.fct_events(spark, sf), bucket=P.session_bucket)
+    return diagnostics.gap_profile(gaps, P.gap_minutes)
+
+
+@query("dq_group_stickiness")
+def q_dq_group_stickiness(spark, sf):
+    return diagnostics.group_stickiness(star.fct_events(spark, sf))
