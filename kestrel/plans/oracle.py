@@ -264,3 +264,121 @@ SELECT CAST(count(gap_minutes) AS BIGINT) AS n_gaps,
 FROM (SELECT CAST(date_diff('microsecond',
                   lag("timestamp") OVER (PARTITION BY customer_id ORDER BY "timestamp", event_id), "timestamp")
              AS DOUBLE) / 60000000.0 AS gap_minutes FROM fct_events) t""", "fct_events")
+
+GROUPS = DRIVER.groups
+COUNTS_CTE = """
+counts AS (SELECT customer_id, experiment_group, CAST(count(*) AS BIGINT) AS total_events,
+                  CAST(count_if(event_type = 'purchase') AS BIGINT) AS purchase_events
+           FROM fct_events GROUP BY customer_id, experiment_group)"""
+
+
+def _totals_ctes(groups=GROUPS):
+    arms = " UNION ALL ".join(f"SELECT {i} AS arm_idx, '{g}' AS experiment_group" for i, g in enumerate(groups))
+    wide = ", ".join(f"max(CASE WHEN experiment_group = '{g}' THEN total_events END) AS n{i}, "
+                     f"max(CASE WHEN experiment_group = '{g}' THEN purchase_events END) AS x{i}"
+                     for i, g in enumerate(groups))
+    return (COUNTS_CTE, f"""
+sums AS (SELECT experiment_group, CAST(sum(total_events) AS BIGINT) AS total_events,
+                CAST(sum(purchase_events) AS BIGINT) AS purchase_events
+         FROM counts WHERE experiment_group IN ({_in_list(groups)}) GROUP BY experiment_group),
+totals AS (SELECT a.arm_idx, a.experiment_group, s.total_events, s.purchase_events,
+                  CAST(s.purchase_events AS DOUBLE) / s.total_events AS purchase_rate
+           FROM ({arms}) a LEFT JOIN sums s ON a.experiment_group = s.experiment_group),
+wd AS (SELECT {wide} FROM totals)""".strip())
+
+
+def _chi2_sql(k: int) -> str:
+    n = [f"CAST(n{i} AS DOUBLE)" for i in range(k)]
+    x = [f"CAST(x{i} AS DOUBLE)" for i in range(k)]
+    big_n, big_x = "(" + " + ".join(n) + ")", "(" + " + ".join(x) + ")"
+    succ = [f"power({x[i]} - {big_x} * {n[i]} / {big_n}, 2) / ({big_x} * {n[i]} / {big_n})" for i in range(k)]
+    fail = [f"power(({n[i]} - {x[i]}) - ({big_n} - {big_x}) * {n[i]} / {big_n}, 2) / "
+            f"(({big_n} - {big_x}) * {n[i]} / {big_n})" for i in range(k)]
+    return "(" + " + ".join(succ + fail) + ")"
+
+
+Q["customer_group_counts"] = with_star("SELECT * FROM counts", "fct_events", extra_ctes=(COUNTS_CTE,))
+Q["group_totals"] = with_star("SELECT * FROM totals", "fct_events", extra_ctes=_totals_ctes())
+Q["chi_square"] = with_star(f"""
+SELECT round(c, 9) AS chi2, round({chi2_sf_sql('c', len(GROUPS) - 1)}, 12) AS p_value,
+       {len(GROUPS) - 1} AS dof
+FROM (SELECT {_chi2_sql(len(GROUPS))} AS c FROM wd) t""", "fct_events", extra_ctes=_totals_ctes())
+
+
+def _ztest_cols(na, xa, nb, xb) -> str:
+    pa, pb = f"(CAST({xa} AS DOUBLE) / {na})", f"(CAST({xb} AS DOUBLE) / {nb})"
+    pool = f"(CAST({xa} + {xb} AS DOUBLE) / ({na} + {nb}))"
+    se = f"sqrt({pool} * (1 - {pool}) * (1.0 / {na} + 1.0 / {nb}))"
+    z = f"(CASE WHEN {se} > 0 THEN ({pb} - {pa}) / {se} ELSE 0.0 END)"
+    return f"{pa} AS rate_a, {pb} AS rate_b, {z} AS z_raw"
+
+
+_PAIRS = [(a, b) for a in range(len(GROUPS)) for b in range(a + 1, len(GROUPS))]
+_PAIR_ROWS = " UNION ALL ".join(
+    f"SELECT {i} AS pair_idx, '{GROUPS[a]}' AS group_a, '{GROUPS[b]}' AS group_b, "
+    f"n{a} AS n_a, x{a} AS x_a, n{b} AS n_b, x{b} AS x_b FROM wd" for i, (a, b) in enumerate(_PAIRS))
+_BALPHA = DRIVER.alpha / len(_PAIRS)
+PAIRWISE_CTE = f"""
+pw AS (
+  SELECT pair_idx, group_a, group_b, rate_a, rate_b, (rate_b - rate_a) * 100.0 AS absolute_lift_pp,
+         round(z_raw, 9) AS z_stat, round({norm_p_sql('z_raw')}, 12) AS p_value,
+         {_BALPHA!r} AS bonferroni_alpha, {norm_p_sql('z_raw')} < {_BALPHA!r} AS significant
+  FROM (SELECT *, {_ztest_cols('n_a', 'x_a', 'n_b', 'x_b')} FROM ({_PAIR_ROWS}) p) q)"""
+
+Q["pairwise_z"] = with_star("SELECT * FROM pw", "fct_events", extra_ctes=_totals_ctes() + (PAIRWISE_CTE,))
+
+Q["two_proportion_z"] = with_star(f"""
+SELECT '{GROUPS[0]}' AS group_a, '{GROUPS[-1]}' AS group_b, rate_a, rate_b, round(z_raw, 9) AS z_stat,
+       round({norm_p_sql('z_raw')}, 12) AS p_value
+FROM (SELECT {_ztest_cols('n0', 'x0', f'n{len(GROUPS) - 1}', f'x{len(GROUPS) - 1}')} FROM wd) t""",
+    "fct_events", extra_ctes=_totals_ctes())
+
+Q["experiment_report"] = with_star(f"""
+SELECT pair_idx, group_a || ' vs ' || group_b AS comparison, {rnp('absolute_lift_pp')} AS lift_pp,
+       CASE WHEN p_value IS NULL THEN NULL WHEN p_value < 0.0001 THEN '< 0.0001'
+            ELSE printf('%.4g', p_value) END AS p_value_label,
+       CASE WHEN significant THEN 'Yes' ELSE 'No' END AS significant_bonferroni
+FROM pw""", "fct_events", extra_ctes=_totals_ctes() + (PAIRWISE_CTE,))
+
+
+def _srm_sql(k: int, shares) -> str:
+    tot = sum(shares)
+    n = [f"CAST(n{i} AS DOUBLE)" for i in range(k)]
+    big_n = "(" + " + ".join(n) + ")"
+    terms = [f"power({n[i]} - {big_n} * {s / tot!r}, 2) / ({big_n} * {s / tot!r})" for i, s in enumerate(shares)]
+    return "(" + " + ".join(terms) + ")"
+
+
+Q["srm_test"] = with_star(f"""
+SELECT round(c, 9) AS chi2, round({chi2_sf_sql('c', len(GROUPS) - 1)}, 12) AS p_value, {len(GROUPS) - 1} AS dof
+FROM (SELECT {_srm_sql(len(GROUPS), DRIVER.expected_shares)} AS c FROM wd) t""",
+    "fct_events", extra_ctes=_totals_ctes())
+
+
+def _boot_ctes(groups=GROUPS, n_boot=DRIVER.n_boot, seed=DRIVER.seed):
+    k = len(groups)
+    mat = ", ".join(f"CAST(sum(CASE WHEN experiment_group = '{g}' THEN total_events ELSE 0 END) AS BIGINT) AS n{i}, "
+                    f"CAST(sum(CASE WHEN experiment_group = '{g}' THEN purchase_events ELSE 0 END) AS BIGINT) AS x{i}"
+                    for i, g in enumerate(groups))
+    sums = ", ".join(f"sum(n{i}) AS n{i}, sum(x{i}) AS x{i}" for i in range(k))
+    lifts = ", ".join(f"(CAST(x{i} AS DOUBLE) / NULLIF(n{i}, 0) - CAST(x0 AS DOUBLE) / NULLIF(n0, 0)) * 100.0 "
+                      f"AS lift_{i}" for i in range(1, k))
+    return (COUNTS_CTE, f"""
+mat AS (SELECT customer_id, {mat} FROM counts WHERE experiment_group IN ({_in_list(groups)}) GROUP BY customer_id),
+mi AS (SELECT *, row_number() OVER (ORDER BY customer_id) - 1 AS idx FROM mat),
+nn AS (SELECT count(*) AS n FROM mat),
+draws AS (SELECT r.range // nn.n AS rep,
+                 ('0x' || substr(md5('{seed}-' || CAST(r.range AS VARCHAR)), 1, 12))::BIGINT % nn.n AS idx
+          FROM nn, range({n_boot} * nn.n) r),
+reps AS (SELECT rep, {lifts} FROM (SELECT rep, {sums} FROM draws JOIN mi USING (idx) GROUP BY rep) s)""".strip())
+
+
+Q["bootstrap_replicates"] = with_star("SELECT * FROM reps", "fct_events", extra_ctes=_boot_ctes())
+
+Q["bootstrap_ci"] = with_star(" UNION ALL ".join(f"""
+SELECT {i} AS cmp_idx, '{GROUPS[i]} vs {GROUPS[0]}' AS comparison,
+       round(quantile_cont(lift_{i}, 0.5), 9) AS median_lift_pp,
+       round(quantile_cont(lift_{i}, 0.025), 9) AS ci_2_5pct,
+       round(quantile_cont(lift_{i}, 0.975), 9) AS ci_97_5pct,
+       CAST(count(lift_{i}) AS BIGINT) AS n_valid_replicates
+FROM reps""" for i in range(1, len(GROUPS))), "fct_events", extra_ctes=_boot_ctes())

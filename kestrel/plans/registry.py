@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kestrel.config import DRIVER
-from kestrel.operators import diagnostics, funnel, sessions
+from kestrel.operators import bootstrap, diagnostics, experiment, funnel, sessions
 from kestrel.sources import star
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -127,3 +127,57 @@ def q_dq_gap_profile(spark, sf):
 @query("dq_group_stickiness")
 def q_dq_group_stickiness(spark, sf):
     return diagnostics.group_stickiness(star.fct_events(spark, sf))
+
+
+def _counts(spark, sf):
+    return experiment.customer_group_counts(star.fct_events(spark, sf))
+
+
+def _totals(spark, sf):
+    return experiment.group_totals(_counts(spark, sf), P.groups)
+
+
+@query("customer_group_counts")
+def q_customer_group_counts(spark, sf):
+    return _counts(spark, sf)
+
+
+@query("group_totals")
+def q_group_totals(spark, sf):
+    return _totals(spark, sf)
+
+
+@query("chi_square")
+def q_chi_square(spark, sf):
+    return experiment.chi_square_test(_totals(spark, sf), P.groups)
+
+
+@query("two_proportion_z")
+def q_two_proportion_z(spark, sf):
+    return experiment.two_proportion_test(_totals(spark, sf), P.groups[0], P.groups[-1])
+
+
+@query("pairwise_z")
+def q_pairwise_z(spark, sf):
+    return experiment.pairwise_tests(_totals(spark, sf), P.groups, P.alpha)
+
+
+@query("experiment_report")
+def q_experiment_report(spark, sf):
+    return experiment.experiment_report(experiment.pairwise_tests(_totals(spark, sf), P.groups, P.alpha))
+
+
+@query("srm_test")
+def q_srm_test(spark, sf):
+    return experiment.sample_ratio_test(_totals(spark, sf), P.groups, P.expected_shares)
+
+
+@query("bootstrap_replicates")
+def q_bootstrap_replicates(spark, sf):
+    return bootstrap.bootstrap_replicates(_counts(spark, sf), P.groups, P.n_boot, P.seed)
+
+
+@query("bootstrap_ci")
+def q_bootstrap_ci(spark, sf):
+    reps = bootstrap.bootstrap_replicates(_counts(spark, sf), P.groups, P.n_boot, P.seed)
+    return bootstrap.bootstrap_ci(reps, P.groups)
