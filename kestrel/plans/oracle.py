@@ -20,7 +20,7 @@ fct_events AS (
          user_id AS customer_id,
          event_id % 1000 AS session_id,
          CASE WHEN event_type = 'error' THEN 'bounce' ELSE event_type END AS event_type,
-         CASE WHEN event_id % 7 = 0 THEN NULL ELSE (event_id * 31) % 2100 END AS product_id,
+         CASE WHEN event_id % 7 = 0 THEN NULL ELSE (event_id * 31) % 200 END AS product_id,
          CASE event_id % 4 WHEN 0 THEN 'mobile' WHEN 1 THEN 'desktop' WHEN 2 THEN 'tablet' END AS device_type,
          CASE event_id % 6 WHEN 0 THEN 'Organic' WHEN 1 THEN 'ORGANIC' WHEN 2 THEN 'paid search'
               WHEN 3 THEN 'Social' WHEN 4 THEN 'EMAIL' ELSE 'Partner' END AS traffic_source,
@@ -60,7 +60,7 @@ dim_campaigns AS (
     "fct_transactions": """
 fct_transactions AS (
   SELECT o_orderkey AS transaction_id, o_orderdate AS "timestamp", o_custkey AS customer_id,
-         CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderkey % 2100 END AS product_id,
+         CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderkey % 200 END AS product_id,
          CAST(1 + o_orderkey % 5 AS INTEGER) AS quantity,
          CAST((o_orderkey % 4) * 0.05 AS DECIMAL(5,4)) AS discount_applied,
          CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE CAST(o_totalprice AS DECIMAL(10,2)) END AS gross_revenue,
@@ -382,3 +382,131 @@ SELECT {i} AS cmp_idx, '{GROUPS[i]} vs {GROUPS[0]}' AS comparison,
        round(quantile_cont(lift_{i}, 0.975), 9) AS ci_97_5pct,
        CAST(count(lift_{i}) AS BIGINT) AS n_valid_replicates
 FROM reps""" for i in range(1, len(GROUPS))), "fct_events", extra_ctes=_boot_ctes())
+
+LI_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+           "l_linestatus", "l_shipdate"]
+Q["dedupe_by_key"] = ("SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber "
+                      "ORDER BY " + ", ".join(f"{c} ASC NULLS FIRST" for c in LI_REST) + ") = 1")
+
+Q["drop_any_null"] = with_star("""
+SELECT * FROM fct_events
+WHERE event_id IS NOT NULL AND "timestamp" IS NOT NULL AND customer_id IS NOT NULL AND session_id IS NOT NULL
+  AND event_type IS NOT NULL AND product_id IS NOT NULL AND device_type IS NOT NULL AND traffic_source IS NOT NULL
+  AND campaign_id IS NOT NULL AND page_category IS NOT NULL AND session_duration_sec IS NOT NULL
+  AND experiment_group IS NOT NULL""", "fct_events")
+
+Q["clean_customers"] = with_star("""
+SELECT * FROM dim_customers WHERE customer_id IN (SELECT customer_id FROM valid_customers)
+  AND signup_date IS NOT NULL AND country IS NOT NULL AND age IS NOT NULL AND gender IS NOT NULL
+  AND loyalty_tier IS NOT NULL AND acquisition_channel IS NOT NULL""", "dim_customers", "valid_customers")
+
+Q["orphan_semi_join"] = with_star(
+    "SELECT * FROM fct_transactions WHERE customer_id IN (SELECT customer_id FROM valid_customers)",
+    "fct_transactions", "valid_customers")
+
+Q["orphan_anti_count"] = with_star("""
+SELECT 'fct_transactions' AS table_name, CAST(count(*) AS BIGINT) AS orphan_rows FROM fct_transactions
+ WHERE customer_id NOT IN (SELECT customer_id FROM valid_customers)
+UNION ALL
+SELECT 'fct_events', CAST(count(*) AS BIGINT) FROM fct_events
+ WHERE customer_id NOT IN (SELECT customer_id FROM valid_customers)""",
+    "fct_transactions", "fct_events", "valid_customers")
+
+Q["domain_violations"] = with_star("""
+SELECT event_type AS value, CAST(count(*) AS BIGINT) AS n_rows FROM fct_events
+WHERE event_type IS NULL OR event_type NOT IN ('view', 'click', 'add_to_cart', 'bounce', 'purchase')
+GROUP BY event_type""", "fct_events")
+
+Q["flag_missing"] = with_star("""
+SELECT transaction_id, CAST(product_id IS NULL OR gross_revenue IS NULL AS INTEGER) AS has_missing_product_or_revenue
+FROM fct_transactions""", "fct_transactions")
+
+Q["flag_refund_sign"] = with_star("""
+SELECT transaction_id,
+       CASE WHEN refund_flag = 1 AND coalesce(gross_revenue, 0) >= 0 THEN 1 ELSE 0 END AS revenue_sign_mismatch
+FROM fct_transactions""", "fct_transactions")
+
+_SOURCE_CASE = ("CASE upper(traffic_source) WHEN 'ORGANIC' THEN 'Organic' WHEN 'PAID SEARCH' THEN 'Paid Search' "
+                "WHEN 'SOCIAL' THEN 'Social' WHEN 'EMAIL' THEN 'Email' WHEN 'DIRECT' THEN 'Direct' "
+                "ELSE traffic_source END")
+Q["normalize_source"] = with_star(f"SELECT event_id, {_SOURCE_CASE} AS traffic_source FROM fct_events",
+                                  "fct_events")
+Q["fill_unknown"] = with_star("SELECT event_id, coalesce(device_type, 'unknown') AS device_type FROM fct_events",
+                              "fct_events")
+
+Q["pk_violations"] = with_star("""
+SELECT table_name, CAST(sum(c) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_keys,
+       CAST(count_if(c > 1) AS BIGINT) AS duplicate_keys
+FROM (
+  SELECT 'dim_customers' AS table_name, count(*) AS c FROM dim_customers GROUP BY customer_id
+  UNION ALL SELECT 'dim_products', count(*) FROM dim_products GROUP BY product_id
+  UNION ALL SELECT 'dim_campaigns', count(*) FROM dim_campaigns GROUP BY campaign_id
+  UNION ALL SELECT 'fct_transactions', count(*) FROM fct_transactions GROUP BY transaction_id
+  UNION ALL SELECT 'fct_events', count(*) FROM fct_events GROUP BY event_id
+  UNION ALL SELECT 'lineitem', count(*) FROM lineitem GROUP BY l_orderkey, l_linenumber) t
+GROUP BY table_name""", "dim_customers", "dim_products", "dim_campaigns", "fct_transactions", "fct_events")
+
+Q["fk_violations"] = with_star("""
+SELECT 'fct_transactions' AS table_name, 'customer_id' AS column_name, CAST(count(*) AS BIGINT) AS violations
+  FROM fct_transactions WHERE customer_id IS NOT NULL
+   AND customer_id NOT IN (SELECT customer_id FROM valid_customers)
+UNION ALL SELECT 'fct_transactions', 'product_id', CAST(count(*) AS BIGINT)
+  FROM fct_transactions WHERE product_id IS NOT NULL AND product_id NOT IN (SELECT product_id FROM dim_products)
+UNION ALL SELECT 'fct_events', 'customer_id', CAST(count(*) AS BIGINT)
+  FROM fct_events WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM valid_customers)
+UNION ALL SELECT 'fct_events', 'product_id', CAST(count(*) AS BIGINT)
+  FROM fct_events WHERE product_id IS NOT NULL AND product_id NOT IN (SELECT product_id FROM dim_products)""",
+    "fct_transactions", "fct_events", "valid_customers", "dim_products")
+
+
+def _nn(table: str, cols: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, CAST(count_if(\"{c}\" IS NULL) AS BIGINT) AS null_rows "
+        f"FROM {table}" for c in cols)
+
+
+Q["not_null_violations"] = with_star(" UNION ALL ".join([
+    _nn("dim_customers", ["customer_id", "signup_date", "country", "age", "gender", "loyalty_tier",
+                          "acquisition_channel"]),
+    _nn("dim_products", ["product_id", "category", "brand", "base_price", "launch_date", "is_premium"]),
+    _nn("dim_campaigns", ["campaign_id", "channel", "objective", "start_date", "end_date", "target_segment",
+                          "expected_uplift"]),
+    _nn("fct_transactions", ["transaction_id", "timestamp", "customer_id", "quantity", "discount_applied",
+                             "campaign_id", "refund_flag"]),
+    _nn("fct_events", ["event_id", "timestamp", "customer_id", "session_id", "event_type", "traffic_source",
+                       "campaign_id", "page_category", "session_duration_sec", "experiment_group"])]),
+    "dim_customers", "dim_products", "dim_campaigns", "fct_transactions", "fct_events")
+
+_VALID_DRIVER = _in_list(DRIVER.valid_event_types)
+Q["load_audit"] = with_star(f"""
+SELECT table_name, metric, CAST(value AS BIGINT) AS value FROM (
+  SELECT 'dim_products' AS table_name, 'rows_in' AS metric, count(*) AS value FROM dim_products
+  UNION ALL SELECT 'dim_products', 'rows_out', count(*) FROM (SELECT DISTINCT product_id FROM dim_products)
+  UNION ALL SELECT 'dim_campaigns', 'rows_in', count(*) FROM dim_campaigns
+  UNION ALL SELECT 'dim_campaigns', 'rows_out', count(*) FROM (SELECT DISTINCT campaign_id FROM dim_campaigns)
+  UNION ALL SELECT 'dim_customers', 'rows_in', count(*) FROM dim_customers
+  UNION ALL SELECT 'dim_customers', 'rows_out', count(*) FROM cust
+  UNION ALL SELECT 'fct_transactions', 'rows_in', count(*) FROM fct_transactions
+  UNION ALL SELECT 'fct_transactions', 'rows_after_dedupe', count(*) FROM tx
+  UNION ALL SELECT 'fct_transactions', 'orphan_rows', count_if(NOT ok) FROM tx
+  UNION ALL SELECT 'fct_transactions', 'rows_out', count_if(ok) FROM tx
+  UNION ALL SELECT 'fct_transactions', 'has_missing_product_or_revenue',
+                   count_if(ok AND (product_id IS NULL OR gross_revenue IS NULL)) FROM tx
+  UNION ALL SELECT 'fct_transactions', 'revenue_sign_mismatch',
+                   count_if(ok AND refund_flag = 1 AND coalesce(gross_revenue, 0) >= 0) FROM tx
+  UNION ALL SELECT 'fct_events', 'rows_in', count(*) FROM fct_events
+  UNION ALL SELECT 'fct_events', 'rows_after_dedupe', count(*) FROM ev
+  UNION ALL SELECT 'fct_events', 'domain_violations',
+                   count_if(event_type IS NULL OR event_type NOT IN ({_VALID_DRIVER})) FROM ev
+  UNION ALL SELECT 'fct_events', 'orphan_rows', count_if(NOT ok) FROM ev
+  UNION ALL SELECT 'fct_events', 'rows_out', count_if(ok) FROM ev
+  UNION ALL SELECT 'fct_events', 'device_type_filled', count_if(ok AND device_type IS NULL) FROM ev
+  UNION ALL SELECT 'fct_events', 'traffic_source_normalized', count_if(ok AND {_SOURCE_CASE} <> traffic_source)
+            FROM ev) t""",
+    "dim_customers", "dim_products", "dim_campaigns", "fct_transactions", "fct_events", "valid_customers",
+    extra_ctes=("""
+cust AS (SELECT DISTINCT customer_id FROM dim_customers WHERE customer_id IN (SELECT customer_id FROM valid_customers)
+         AND signup_date IS NOT NULL AND country IS NOT NULL AND age IS NOT NULL AND gender IS NOT NULL
+         AND loyalty_tier IS NOT NULL AND acquisition_channel IS NOT NULL)""",
+                "tx AS (SELECT *, customer_id IN (SELECT customer_id FROM cust) AS ok FROM fct_transactions)",
+                "ev AS (SELECT *, customer_id IN (SELECT customer_id FROM cust) AS ok FROM fct_events)"))

@@ -9,10 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kestrel.config import DRIVER
-from kestrel.operators import bootstrap, diagnostics, experiment, funnel, sessions
-from kestrel.sources import star
+from kestrel.config import DRIVER, VALID_EVENT_TYPES
+from kestrel.operators import bootstrap, diagnostics, experiment, funnel, quality, sessions
+from kestrel.plans import pipeline
+from kestrel.sources import schemas, star
+from kestrel.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -181,3 +184,94 @@ def q_bootstrap_replicates(spark, sf):
 def q_bootstrap_ci(spark, sf):
     reps = bootstrap.bootstrap_replicates(_counts(spark, sf), P.groups, P.n_boot, P.seed)
     return bootstrap.bootstrap_ci(reps, P.groups)
+
+
+LINEITEM_KEY = ["l_orderkey", "l_linenumber"]
+
+
+@query("dedupe_by_key")
+def q_dedupe_by_key(spark, sf):
+    return quality.dedupe_by_key(read_table(spark, sf, "lineitem"), LINEITEM_KEY)
+
+
+@query("drop_any_null")
+def q_drop_any_null(spark, sf):
+    return quality.drop_any_null(quality.dedupe_by_key(star.fct_events(spark, sf), "event_id"))
+
+
+@query("clean_customers")
+def q_clean_customers(spark, sf):
+    accepted = star.valid_customer_ids(spark, sf)
+    return quality.clean_dimension(quality.orphan_filter(star.dim_customers(spark, sf), accepted), "customer_id")
+
+
+@query("orphan_semi_join")
+def q_orphan_semi_join(spark, sf):
+    return quality.orphan_filter(star.fct_transactions(spark, sf), star.valid_customer_ids(spark, sf))
+
+
+@query("orphan_anti_count")
+def q_orphan_anti_count(spark, sf):
+    valid = star.valid_customer_ids(spark, sf)
+    parts = [quality.orphans(df, valid).agg(F.lit(name).alias("table_name"),
+                                            F.count(F.lit(1)).cast("bigint").alias("orphan_rows"))
+             for name, df in (("fct_transactions", star.fct_transactions(spark, sf)),
+                              ("fct_events", star.fct_events(spark, sf)))]
+    return parts[0].unionByName(parts[1])
+
+
+@query("domain_violations")
+def q_domain_violations(spark, sf):
+    """The original domain (no 'signup') applied to the driver events."""
+    return quality.domain_violations(star.fct_events(spark, sf), VALID_EVENT_TYPES)
+
+
+@query("flag_missing")
+def q_flag_missing(spark, sf):
+    return star.fct_transactions(spark, sf).select(
+        "transaction_id", quality.missing_flag().alias("has_missing_product_or_revenue"))
+
+
+@query("flag_refund_sign")
+def q_flag_refund_sign(spark, sf):
+    return star.fct_transactions(spark, sf).select(
+        "transaction_id", quality.refund_sign_flag().alias("revenue_sign_mismatch"))
+
+
+@query("normalize_source")
+def q_normalize_source(spark, sf):
+    return star.fct_events(spark, sf).select(
+        "event_id", quality.normalize_case("traffic_source", P.traffic_sources).alias("traffic_source"))
+
+
+@query("fill_unknown")
+def q_fill_unknown(spark, sf):
+    return star.fct_events(spark, sf).select("event_id", quality.fill_unknown("device_type").alias("device_type"))
+
+
+@query("load_audit")
+def q_load_audit(spark, sf):
+    return pipeline.load_audit(spark, sf, P)
+
+
+@query("pk_violations")
+def q_pk_violations(spark, sf):
+    raw = pipeline.raw_tables(spark, sf)
+    tables = {t: (df, schemas.PRIMARY_KEYS[t]) for t, df in raw.items()}
+    tables["lineitem"] = (read_table(spark, sf, "lineitem"), LINEITEM_KEY)
+    return quality.pk_violations(tables)
+
+
+@query("fk_violations")
+def q_fk_violations(spark, sf):
+    raw = pipeline.raw_tables(spark, sf)
+    parents = {"dim_customers": star.valid_customer_ids(spark, sf), "dim_products": raw["dim_products"]}
+    return quality.fk_violations([(c, col, raw[c], parents[p], pcol)
+                                  for (c, col), (p, pcol) in schemas.FOREIGN_KEYS.items()])
+
+
+@query("not_null_violations")
+def q_not_null_violations(spark, sf):
+    raw = pipeline.raw_tables(spark, sf)
+    return quality.not_null_violations(
+        {t: (df, [c for c in schemas.not_null_columns(t) if c in df.columns]) for t, df in raw.items()})

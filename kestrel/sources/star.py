@@ -35,7 +35,7 @@ def fct_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.pmod(eid, F.lit(1000)).alias("session_id"),
         F.when(F.col("event_type") == "error", F.lit("bounce")).otherwise(F.col("event_type")).alias("event_type"),
         F.when(F.pmod(eid, F.lit(7)) == 0, F.lit(None).cast("bigint"))
-         .otherwise(F.pmod(eid * 31, F.lit(2100))).alias("product_id"),
+         .otherwise(F.pmod(eid * 31, F.lit(200))).alias("product_id"),
         _case(F.pmod(eid, F.lit(4)), ["mobile", "desktop", "tablet", None]).alias("device_type"),
         _case(F.pmod(eid, F.lit(6)), ["Organic", "ORGANIC", "paid search", "Social", "EMAIL", "Partner"])
         .alias("traffic_source"),
@@ -114,7 +114,7 @@ def fct_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         key.alias("transaction_id"),
         F.col("o_orderdate").alias("timestamp"),
         F.col("o_custkey").alias("customer_id"),
-        F.when(missing, F.lit(None).cast("bigint")).otherwise(F.pmod(key, F.lit(2100))).alias("product_id"),
+        F.when(missing, F.lit(None).cast("bigint")).otherwise(F.pmod(key, F.lit(200))).alias("product_id"),
         (F.lit(1) + F.pmod(key, F.lit(5))).cast("int").alias("quantity"),
         (F.pmod(key, F.lit(4)) * F.lit(0.05)).cast("decimal(5,4)").alias("discount_applied"),
         F.when(missing, F.lit(None).cast("decimal(10,2)"))
