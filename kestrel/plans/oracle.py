@@ -510,3 +510,93 @@ cust AS (SELECT DISTINCT customer_id FROM dim_customers WHERE customer_id IN (SE
          AND loyalty_tier IS NOT NULL AND acquisition_channel IS NOT NULL)""",
                 "tx AS (SELECT *, customer_id IN (SELECT customer_id FROM cust) AS ok FROM fct_transactions)",
                 "ev AS (SELECT *, customer_id IN (SELECT customer_id FROM cust) AS ok FROM fct_events)"))
+
+Q["sql_lifecycle_funnel"] = with_star("""
+SELECT CAST(sum(rv) AS BIGINT) AS view_count, CAST(sum(rc) AS BIGINT) AS click_count,
+       CAST(sum(ra) AS BIGINT) AS add_to_cart_count, CAST(sum(rp) AS BIGINT) AS purchase_count,
+       CAST(count(*) AS BIGINT) AS total_customers
+FROM (SELECT customer_id, max(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS rv,
+             max(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS rc,
+             max(CASE WHEN event_type = 'add_to_cart' THEN 1 ELSE 0 END) AS ra,
+             max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS rp
+      FROM fct_events GROUP BY customer_id) t""", "fct_events")
+
+Q["sql_channel_purchase"] = with_star("""
+SELECT c.acquisition_channel, CAST(count(*) AS BIGINT) AS customers, CAST(sum(p.purchased) AS BIGINT) AS ever_purchased,
+       round(100.0 * sum(p.purchased) / count(*), 2) AS pct_ever_purchased
+FROM dim_customers c
+JOIN (SELECT customer_id, max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS purchased
+      FROM fct_events GROUP BY customer_id) p ON p.customer_id = c.customer_id
+GROUP BY c.acquisition_channel ORDER BY pct_ever_purchased DESC""", "fct_events", "dim_customers")
+
+Q["sql_group_purchase_rate"] = with_star("""
+SELECT experiment_group, CAST(count(*) AS BIGINT) AS total_events,
+       CAST(count_if(event_type = 'purchase') AS BIGINT) AS purchase_events,
+       round(100.0 * count_if(event_type = 'purchase') / count(*), 3) AS purchase_rate_pct
+FROM fct_events GROUP BY experiment_group ORDER BY experiment_group""", "fct_events")
+
+Q["sql_revenue_per_converted"] = with_star("""
+SELECT round(CAST(avg(customer_total) AS DOUBLE), 2) AS avg_revenue_per_converted_customer
+FROM (SELECT customer_id, sum(gross_revenue) AS customer_total FROM fct_transactions
+      WHERE refund_flag = 0 AND gross_revenue IS NOT NULL GROUP BY customer_id) t""", "fct_transactions")
+
+_CAMP_SELECT = """
+SELECT c.campaign_id, c.channel, c.objective, CAST(c.expected_uplift AS DOUBLE) AS expected_uplift,
+       CAST(count(*) AS BIGINT) AS attributed_events,
+       CAST(count_if(e.event_type = 'purchase') AS BIGINT) AS attributed_purchases,
+       round(100.0 * count_if(e.event_type = 'purchase') / count(*), 3) AS purchase_rate_pct"""
+Q["sql_campaign_performance"] = with_star(_CAMP_SELECT + """
+FROM fct_events e JOIN dim_campaigns c ON c.campaign_id = e.campaign_id
+WHERE e.campaign_id <> 0
+GROUP BY c.campaign_id, c.channel, c.objective, c.expected_uplift
+ORDER BY purchase_rate_pct DESC, c.campaign_id LIMIT 10""", "fct_events", "dim_campaigns")
+
+Q["campaign_active_window"] = with_star(_CAMP_SELECT + """,
+       round(100.0 * count_if(e.event_type = 'purchase') / count(*) - 100.0 * CAST(c.expected_uplift AS DOUBLE), 3)
+         AS rate_minus_target_pp
+FROM fct_events e JOIN dim_campaigns c
+  ON c.campaign_id = e.campaign_id AND CAST(e."timestamp" AS DATE) BETWEEN c.start_date AND c.end_date
+WHERE e.campaign_id <> 0
+GROUP BY c.campaign_id, c.channel, c.objective, c.expected_uplift""", "fct_events", "dim_campaigns")
+
+Q["kpi_summary"] = with_star(f"""
+SELECT ch.chi2, ch.p_value AS chi2_p_value, ch.dof AS chi2_dof,
+       (SELECT {rnp(pct("count_if(event_type = 'bounce')", 'count(*)'))} FROM fct_events) AS bounce_rate_pct,
+       (SELECT {rnp('CAST(avg(customer_total) AS DOUBLE)')}
+          FROM (SELECT customer_id, sum(gross_revenue) AS customer_total FROM fct_transactions
+                WHERE refund_flag = 0 AND gross_revenue IS NOT NULL GROUP BY customer_id) t)
+         AS avg_revenue_per_converted_customer,
+       (SELECT customers_reached FROM o WHERE step_idx = 0) AS total_customers,
+       (SELECT customers_reached FROM o WHERE step_idx = {len(STEPS) - 1}) AS ever_purchased,
+       (SELECT pct_of_customers FROM o WHERE step_idx = {len(STEPS) - 1}) AS ever_purchased_pct,
+       (SELECT CAST(count(*) AS BIGINT) FROM reach) AS denominator_customers,
+       (SELECT step_name FROM o WHERE step_idx > 0
+         ORDER BY {rnp('100.0 - step_over_step_pct')} DESC NULLS LAST, step_idx LIMIT 1) AS worst_step,
+       (SELECT {rnp('100.0 - step_over_step_pct')} AS d FROM o WHERE step_idx > 0
+         ORDER BY d DESC NULLS LAST, step_idx LIMIT 1) AS worst_drop_off_pct
+FROM (SELECT round(c, 9) AS chi2, round({chi2_sf_sql('c', len(GROUPS) - 1)}, 12) AS p_value,
+             {len(GROUPS) - 1} AS dof
+      FROM (SELECT {_chi2_sql(len(GROUPS))} AS c FROM wd) t0) ch""",
+    "fct_events", "fct_transactions", extra_ctes=overall_cte() + _totals_ctes())
+
+
+def _regression_sql(steps=STEPS, threshold=2.0) -> str:
+    bools = ", ".join(f"bool_or(event_type = '{s}') AS \"{s}\"" for s in steps)
+    counts = ", ".join(f"count_if(\"{s}\") AS c{i}" for i, s in enumerate(steps))
+    rows = " UNION ALL ".join(f"SELECT week_start, total, {i} AS step_idx, '{s}' AS step_name, c{i} AS reached "
+                              f"FROM weekly" for i, s in enumerate(steps))
+    return f"""
+wr AS (SELECT CAST(date_trunc('week', "timestamp") AS DATE) AS week_start, customer_id, {bools}
+       FROM fct_events WHERE event_type IN ({_in_list(steps)}) GROUP BY 1, 2),
+weekly AS (SELECT week_start, count(*) AS total, {counts} FROM wr GROUP BY week_start),
+lw AS (SELECT *, {rnp(pct('reached', 'total'))} AS pct_of_customers FROM ({rows}) x),
+lg AS (SELECT *, lag(pct_of_customers) OVER (PARTITION BY step_idx ORDER BY week_start) AS prev_pct_of_customers
+       FROM lw)
+SELECT week_start, CAST(step_idx AS INTEGER) AS step_idx, step_name, CAST(reached AS BIGINT) AS customers_reached,
+       CAST(total AS BIGINT) AS active_customers, pct_of_customers, prev_pct_of_customers,
+       {rnp('pct_of_customers - prev_pct_of_customers')} AS change_pp,
+       coalesce({rnp('pct_of_customers - prev_pct_of_customers')} < -{threshold!r}, false) AS alert
+FROM lg"""
+
+
+Q["funnel_regression_alerts"] = "WITH " + STAR["fct_events"].strip() + ",\n" + _regression_sql().strip()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from kestrel.config import DRIVER, VALID_EVENT_TYPES
 from kestrel.operators import bootstrap, diagnostics, experiment, funnel, quality, sessions
-from kestrel.plans import pipeline
+from kestrel.plans import pipeline, reports, sql_queries
 from kestrel.sources import schemas, star
 from kestrel.sources.tables import read_table
 
@@ -275,3 +275,24 @@ def q_not_null_violations(spark, sf):
     raw = pipeline.raw_tables(spark, sf)
     return quality.not_null_violations(
         {t: (df, [c for c in schemas.not_null_columns(t) if c in df.columns]) for t, df in raw.items()})
+
+
+def _sql(name):
+    def fn(spark, sf):
+        return sql_queries.run_sql(spark, sf, name)
+    fn.__name__ = f"q_{name}"
+    return fn
+
+
+for _name in sql_queries.QUERIES:
+    REGISTRY[_name] = _sql(_name)
+
+
+@query("kpi_summary")
+def q_kpi_summary(spark, sf):
+    return reports.kpi_summary(spark, sf, P)
+
+
+@query("funnel_regression_alerts")
+def q_funnel_regression_alerts(spark, sf):
+    return reports.funnel_regression_alerts(star.fct_events(spark, sf), P.steps)
