@@ -600,3 +600,15 @@ FROM lg"""
 
 
 Q["funnel_regression_alerts"] = "WITH " + STAR["fct_events"].strip() + ",\n" + _regression_sql().strip()
+
+Q["stream_sessions"] = with_star("""
+SELECT customer_id, min("timestamp") AS session_start, max("timestamp") + INTERVAL 30 MINUTE AS session_end,
+       CAST(count(*) AS BIGINT) AS n_events, CAST(count_if(event_type = 'purchase') AS BIGINT) AS n_purchases
+FROM sess GROUP BY customer_id, session_seq
+HAVING max("timestamp") + INTERVAL 30 MINUTE <= (SELECT max("timestamp") FROM fct_events) - INTERVAL 30 MINUTE""",
+    "fct_events", extra_ctes=(_sessions_cte(30),))
+
+Q["stream_group_totals"] = with_star("""
+SELECT experiment_group, CAST(count(*) AS BIGINT) AS total_events,
+       CAST(count_if(event_type = 'purchase') AS BIGINT) AS purchase_events
+FROM fct_events GROUP BY experiment_group""", "fct_events")

@@ -16,6 +16,7 @@ from kestrel.operators import bootstrap, diagnostics, experiment, funnel, qualit
 from kestrel.plans import pipeline, reports, sql_queries
 from kestrel.sources import schemas, star
 from kestrel.sources.tables import read_table
+from kestrel.streaming import sessions_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -296,3 +297,13 @@ def q_kpi_summary(spark, sf):
 @query("funnel_regression_alerts")
 def q_funnel_regression_alerts(spark, sf):
     return reports.funnel_regression_alerts(star.fct_events(spark, sf), P.steps)
+
+
+@query("stream_sessions")
+def q_stream_sessions(spark, sf):
+    return sessions_stream.run_stream_sessions(spark, sf, P.gap_minutes)
+
+
+@query("stream_group_totals")
+def q_stream_group_totals(spark, sf):
+    return sessions_stream.run_stream_group_totals(spark, sf)

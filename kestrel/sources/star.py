@@ -25,7 +25,11 @@ def _case(key: Column, values: list) -> Column:
 
 
 def fct_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events")
+    return events_projection(read_table(spark, sf_dir, "events"))
+
+
+def events_projection(e: DataFrame) -> DataFrame:
+    """Driver ``events`` columns -> ``fct_events`` columns (works on batch and stream)."""
     eid = F.col("event_id")
     k = F.get_json_object("props", "$.k").cast("bigint")
     return e.select(
