@@ -10,7 +10,14 @@ P_FLOOR = 1e-4
 
 def format_p(p: Column) -> Column:
     """'< 0.0001' below 1e-4, else 4 significant digits without trailing zeros
-    (Python's ``f"{p:.4g}"`` for p in [1e-4, 1])."""
+    (Python's ``f"{p:.4g}"`` for p in [1e-4, 1]).
+
+    Known divergence: the JVM rounds the shortest decimal text of a double
+    half-up, Python rounds its exact binary value, so a value whose shortest
+    text ends in a 5 right after the 4th significant digit (0.00012345) can
+    round the other way (0.0001235 vs 0.0001234). A Python UDF would fix this at
+    the cost of a Python worker per query; the label is cosmetic.
+    """
     exp10 = F.floor(F.log10(p))
     text = None
     for e in range(-4, 1):

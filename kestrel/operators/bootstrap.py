@@ -57,7 +57,7 @@ def draw_hash(id_col: Column, seed: int, method: str = "md5") -> Column:
         hexed = F.substring(F.md5(F.concat_ws("-", F.lit(str(seed)), id_col.cast("string"))), 1, 12)
         return F.conv(hexed, 16, 10).cast("bigint")
     if method == "xxhash64":
-        return F.xxhash64(F.lit(seed), id_col) & F.lit(0x7FFFFFFFFFFFFFFF)
+        return F.xxhash64(F.lit(seed), id_col).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
     raise ValueError(method)
 
 
@@ -106,8 +106,8 @@ def _poisson_cdf(max_k: int = 20) -> list[float]:
 
 
 def _poisson(matrix: DataFrame, k: int, n_boot: int, seed: int, hash_method: str) -> DataFrame:
-    u = draw_hash(F.xxhash64(F.col("customer_id"), F.col("rep")), seed, "xxhash64").cast("double") \
-        / F.lit(float(2 ** 63))
+    bits = F.xxhash64(F.lit(seed), F.col("customer_id"), F.col("rep")).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
+    u = bits.cast("double") / F.lit(float(2 ** 63))
     weight = None
     cdf = _poisson_cdf()
     for m, c in enumerate(cdf):
