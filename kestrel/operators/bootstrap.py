@@ -4,7 +4,7 @@ Exact resampling (``method="draws"``): each replicate draws n customers with
 replacement, sums their per-arm (events, successes), and takes rate
 differences. Draw j of replicate r is ``idx = h(seed, r*n + j) mod n`` with a
 deterministic hash, so a lost task recomputes the same draws, and the DuckDB
-oracle reproduces them bit for bit (``hash="md5"``).
+oracle reproduces them bit for bit (integer hash, see ``with_draw_hash``).
 
 Plan: the customer matrix gets a dense index 0..n-1 by customer_id through a
 distributed prefix sum (no single-task row_number); ``spark.range`` generates
@@ -51,14 +51,56 @@ def indexed_matrix(matrix: DataFrame) -> DataFrame:
     return out.withColumnRenamed("_before", "idx").drop("_w", "_g")
 
 
-def draw_hash(id_col: Column, seed: int, method: str = "md5") -> Column:
-    """Non-negative 48-bit (md5) or 63-bit (xxhash64) hash of (seed, id)."""
+# Fixed constants of the draw hash (two chains of affine maps modulo primes
+# below 2^31, separated by XOR with a constant).
+DRAW_PRIMES = (2147483647, 2147483629)
+DRAW_ROUNDS = (
+    ((48271, 69621, 12345, 0x5BD1E995 & 0x7FFFFFFF), (16807, 39373, 67890, 0x1B873593),
+     (40692, 40014, 13579, 0x2545F491)),
+    ((69069, 1103515245 % 2147483629, 24680, 0x68E31DA4), (22695477 % 2147483629, 1664525, 11223, 0x3C6EF372),
+     (134775813 % 2147483629, 214013, 44556, 0x0F4A7C15)),
+)
+
+
+def _chain(id_name: str, prime: int, rounds) -> list[Column]:
+    """Each round is one column referring to the previous one exactly once:
+    t1 = (id mod p * a + (id div p) * a2 + b) mod p, then
+    t' = ((t XOR k) * a + b) mod p. Operands stay below 2^31, products below
+    2^62: no overflow under ANSI, identical bits in any engine with 64-bit integers."""
+    (a1, a2, b1, _), (a_2, _, b_2, k_2), (a_3, _, b_3, k_3) = rounds
+    p = F.lit(prime)
+    id_col = F.col(id_name)
+    t1 = F.pmod(F.pmod(id_col, p) * F.lit(a1) + F.expr(f"`{id_name}` div {prime}") * F.lit(a2) + F.lit(b1), p)
+    return [t1,
+            lambda t: F.pmod(t.bitwiseXOR(F.lit(k_2)) * F.lit(a_2) + F.lit(b_2), p),
+            lambda t: F.pmod(t.bitwiseXOR(F.lit(k_3)) * F.lit(a_3) + F.lit(b_3), p)]
+
+
+def with_draw_hash(df: DataFrame, id_col: str, seed: int, out: str, method: str = "mix") -> DataFrame:
+    """Adds ``out`` = non-negative hash of (seed, id) for id >= 0: ``mix``
+    (default; 62 bits, reproducible in any SQL engine), ``md5`` (48 bits of
+    md5 text) or ``xxhash64``."""
+    i = F.col(id_col)
     if method == "md5":
-        hexed = F.substring(F.md5(F.concat_ws("-", F.lit(str(seed)), id_col.cast("string"))), 1, 12)
-        return F.conv(hexed, 16, 10).cast("bigint")
+        hexed = F.substring(F.md5(F.concat_ws("-", F.lit(str(seed)), i.cast("string"))), 1, 12)
+        return df.withColumn(out, F.conv(hexed, 16, 10).cast("bigint"))
     if method == "xxhash64":
-        return F.xxhash64(F.lit(seed), id_col).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
-    raise ValueError(method)
+        return df.withColumn(out, F.xxhash64(F.lit(seed), i).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF)))
+    if method != "mix":
+        raise ValueError(method)
+    df = df.withColumn("_hx_sid", i + F.lit(seed * 7919))
+    names = ["_hx_sid"]
+    for c, (prime, rounds) in enumerate(zip(DRAW_PRIMES, DRAW_ROUNDS)):
+        first, *rest = _chain("_hx_sid", prime, rounds)
+        name = f"_hx{c}_0"
+        df = df.withColumn(name, first)
+        for r, fn in enumerate(rest, start=1):
+            nxt = f"_hx{c}_{r}"
+            df = df.withColumn(nxt, fn(F.col(name)))
+            names.append(name)
+            name = nxt
+        names.append(name)
+    return df.withColumn(out, F.col("_hx0_2") * F.lit(2 ** 31) + F.col("_hx1_2")).drop(*names)
 
 
 def _lifts(sums: DataFrame, k: int) -> DataFrame:
@@ -68,7 +110,7 @@ def _lifts(sums: DataFrame, k: int) -> DataFrame:
 
 def bootstrap_replicates(counts: DataFrame, groups: Sequence[str] = EXPERIMENT_GROUPS,
                          n_boot: int = N_BOOTSTRAP, seed: int = BOOTSTRAP_SEED,
-                         method: str = "draws", hash_method: str = "md5",
+                         method: str = "draws", hash_method: str = "mix",
                          broadcast_limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """One row per replicate: rep, lift_1..lift_{k-1} (percentage points vs arm 0).
     A replicate that drew no events of an arm has a NULL lift."""
@@ -84,9 +126,8 @@ def bootstrap_replicates(counts: DataFrame, groups: Sequence[str] = EXPERIMENT_G
     n = matrix.count()  # one scalar on the driver: the modulus of the draws
     if n == 0:
         return spark.createDataFrame([], "rep bigint, " + ", ".join(f"lift_{i} double" for i in range(1, k)))
-    draws = spark.range(0, n_boot * n).select(
-        F.expr(f"id div {n}").alias("rep"),
-        F.pmod(draw_hash(F.col("id"), seed, hash_method), F.lit(n)).alias("idx"))
+    draws = with_draw_hash(spark.range(0, n_boot * n), "id", seed, "_h", hash_method).select(
+        F.expr(f"id div {n}").alias("rep"), F.pmod(F.col("_h"), F.lit(n)).alias("idx"))
     row_bytes = 8 * (len(value_cols) + 1) + 16
     side = indexed.select("idx", *value_cols)
     if n * row_bytes <= broadcast_limit_bytes:
@@ -107,7 +148,7 @@ def _poisson_cdf(max_k: int = 20) -> list[float]:
 
 def _poisson(matrix: DataFrame, k: int, n_boot: int, seed: int, hash_method: str) -> DataFrame:
     bits = F.xxhash64(F.lit(seed), F.col("customer_id"), F.col("rep")).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
-    u = bits.cast("double") / F.lit(float(2 ** 63))
+    u = bits.cast("double") / F.lit(float(2 ** 63))  # Poisson mode has no oracle twin: the JVM hash is fine
     weight = None
     cdf = _poisson_cdf()
     for m, c in enumerate(cdf):

@@ -6,31 +6,17 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def one_row(frames: list[DataFrame]) -> DataFrame:
     """Combine single-row frames into one wide row without a join.
 
-    Each column is stacked as (name, double, string), the stack is pivoted back
-    on the known names, and each column is cast to its original type (doubles
-    travel as doubles, everything else as text, so no precision is lost).
+    The frames are unioned by name (each contributes its own columns, NULL
+    elsewhere) and one global aggregation keeps the single non-NULL value of
+    every column. One union branch per frame, types preserved.
     """
-    parts, types = [], {}
-    for f in frames:
-        for field in f.schema.fields:
-            types[field.name] = field.dataType
-            parts.append(f.select(F.lit(field.name).alias("k"),
-                                  F.col(field.name).cast("double").alias("d")
-                                  if isinstance(field.dataType, (T.DoubleType, T.FloatType))
-                                  else F.lit(None).cast("double").alias("d"),
-                                  F.col(field.name).cast("string").alias("s")))
-    stacked = reduce(DataFrame.unionByName, parts)
-    names = list(types)
-    wide = stacked.groupBy().pivot("k", names).agg(F.first(F.struct("d", "s"), ignorenulls=True))
-    cols = []
-    for n in names:
-        dt = types[n]
-        src = F.col(f"`{n}`.d") if isinstance(dt, (T.DoubleType, T.FloatType)) else F.col(f"`{n}`.s")
-        cols.append(src.cast(dt).alias(n))
-    return wide.select(*cols)
+    names = [c for f in frames for c in f.columns]
+    if len(set(names)) != len(names):
+        raise ValueError("column names must be unique across frames")
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return stacked.agg(*[F.first(F.col(c), ignorenulls=True).alias(c) for c in names])

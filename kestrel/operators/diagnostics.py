@@ -3,15 +3,12 @@ and the describe() table of sessions (A15)."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.config import SESSION_GAP_MINUTES
 from kestrel.functions.rounding import pct
-from kestrel.operators.common import one_row
-from kestrel.operators.quantiles import exact_percentiles
+from kestrel.operators.quantiles import WEIGHT, exact_percentiles
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -40,30 +37,39 @@ def group_stickiness(events: DataFrame) -> DataFrame:
 
 
 def gap_profile(gaps: DataFrame, threshold_minutes: float = SESSION_GAP_MINUTES) -> DataFrame:
-    """D2: median gap between a customer's consecutive events, share under the threshold."""
-    g = F.col("gap_minutes")
-    stats = gaps.agg(F.count(g).alias("n_gaps"),
-                     F.round(pct(F.count_if(g < threshold_minutes), F.count(g)), 6).alias("pct_gaps_under_threshold"))
-    med = exact_percentiles(gaps, "gap_minutes", [0.5], names=["median_gap_minutes"])
-    med = med.select(F.round("median_gap_minutes", 6).alias("median_gap_minutes"),
-                     F.round(F.col("median_gap_minutes") / 1440.0, 6).alias("median_gap_days"))
-    return one_row([stats, med])
+    """D2: median gap between a customer's consecutive events, share under the
+    threshold - all from one aggregation over the ranked gap frequencies."""
+    g, w = F.col("gap_minutes"), F.col(WEIGHT)
+    n = F.sum(w)
+    under = F.sum(F.when(g < threshold_minutes, w).otherwise(0))
+    out = exact_percentiles(gaps, "gap_minutes", [0.5], names=["median_gap_minutes"],
+                            extra=[n.cast("bigint").alias("n_gaps"),
+                                   F.round(pct(under, n), 6).alias("pct_gaps_under_threshold")])
+    return out.select("n_gaps", "pct_gaps_under_threshold",
+                      F.round("median_gap_minutes", 6).alias("median_gap_minutes"),
+                      F.round(F.col("median_gap_minutes") / 1440.0, 6).alias("median_gap_days"))
 
 
 def session_describe(summary: DataFrame) -> DataFrame:
     """count, mean, sample std, min, quartiles (exact, linear), max of
-    duration_minutes and n_events - pandas ``describe()`` as one row per metric."""
+    duration_minutes and n_events - pandas ``describe()`` as one row per metric.
+
+    The two metrics are stacked with ``inline`` (one pass over the sessions);
+    moments come from the same aggregation as the quartiles, over the value
+    frequency table, with DECIMAL sums (values have at most 2 decimals), so
+    mean and variance are exact before the final division.
+    """
     metrics = ["duration_minutes", "n_events"]
-    stacked = reduce(DataFrame.unionByName, [
-        summary.select(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in metrics])
-    moments = stacked.groupBy("metric").agg(
-        F.count("v").cast("bigint").alias("count"),
-        F.round(F.avg("v"), 6).alias("mean"),
-        F.round(F.stddev_samp("v"), 6).alias("std"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"))
-    q = exact_percentiles(stacked, "v", QUARTILES, ["metric"], names=["p25", "p50", "p75"])
-    q = q.select("metric", *[F.round(c, 6).alias(c) for c in ("p25", "p50", "p75")])
-    # both sides have one row per metric (2 rows): an equi-join on the metric name
-    return moments.join(q, "metric", "inner").select(
-        "metric", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    stacked = summary.select(F.inline(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in metrics])))
+    w = F.col(WEIGHT)
+    v = F.col("v").cast("decimal(18,2)")
+    n, s1, s2 = F.sum(w), F.sum(v * w), F.sum(v * v * w)
+    var = (s2 - s1 * s1 / n) / (n - 1)
+    extra = [n.cast("bigint").alias("count"),
+             F.round((s1 / n).cast("double"), 6).alias("mean"),
+             F.round(F.sqrt(var.cast("double")), 6).alias("std"),
+             F.min("v").alias("min"), F.max("v").alias("max")]
+    q = exact_percentiles(stacked, "v", QUARTILES, ["metric"], names=["p25", "p50", "p75"], extra=extra)
+    return q.select("metric", "count", "mean", "std", "min",
+                    *[F.round(c, 6).alias(c) for c in ("p25", "p50", "p75")], "max")

@@ -7,10 +7,12 @@ everything. Here the same numbers come from distributed prefix sums:
 1. value -> weight table per group (partial aggregation);
 2. range-partition it by (group, value); within each range partition a window
    gives the weight before each value, and a per-partition total table
-   (partitions x groups rows, bounded by configuration) turns that into the
-   global rank interval [before, before + weight) of every distinct value;
+   (partitions x groups rows, bounded by configuration, broadcast) turns that
+   into the global rank interval [before, before + weight) of every distinct
+   value and the group size n;
 3. the ranks the interpolation needs, floor/ceil of q*(n-1), are columns, so
-   one aggregation per group picks the two values and interpolates.
+   one aggregation per group picks the two values and interpolates. Callers may
+   add their own aggregates (counts, moments) to that same pass.
 
 Interpolation matches ``numpy.percentile`` / Spark ``percentile`` / DuckDB
 ``quantile_cont``: v[lo] + (v[hi] - v[lo]) * (pos - lo), pos = q * (n - 1).
@@ -20,17 +22,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+WEIGHT = "_w"
 
-def global_ranks(freq: DataFrame, value_col: str, weight_col: str, group_cols: Sequence[str] = (),
-                 partitions: int | None = None) -> DataFrame:
-    """Adds ``_before``: total weight of rows with a smaller value in the same group.
 
-    A distributed prefix sum: range partitions keep each task bounded even when
-    one group holds most rows.
-    """
+def global_ranks(freq: DataFrame, value_col: str, weight_col: str, group_cols: Sequence[str],
+                 partitions: int | None = None) -> DataFrame:
+    """Adds ``_before`` (total weight of smaller values in the group) and ``_n``
+    (group total weight). A distributed prefix sum: range partitions keep each
+    task bounded even when one group holds most rows."""
     groups = list(group_cols)
     n_parts = partitions or int(freq.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (freq.repartitionByRange(n_parts, *groups, value_col)
@@ -39,29 +41,31 @@ def global_ranks(freq: DataFrame, value_col: str, weight_col: str, group_cols: S
                .rowsBetween(Window.unboundedPreceding, -1))
     local = ranged.withColumn("_local", F.coalesce(F.sum(weight_col).over(w_local), F.lit(0).cast("long")))
     part_tot = ranged.groupBy("_pid", *groups).agg(F.sum(weight_col).alias("_tot"))
-    w_off = (Window.partitionBy(*groups).orderBy("_pid") if groups else Window.orderBy("_pid")) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = part_tot.withColumn("_off", F.coalesce(F.sum("_tot").over(w_off), F.lit(0).cast("long")))
+    w_off = Window.partitionBy(*groups).orderBy("_pid")
+    offsets = (part_tot
+               .withColumn("_off", F.coalesce(F.sum("_tot").over(w_off.rowsBetween(Window.unboundedPreceding, -1)),
+                                              F.lit(0).cast("long")))
+               .withColumn("_n", F.sum("_tot").over(Window.partitionBy(*groups))))
     # offsets has at most (partitions x groups) rows: a configuration bound, safe to broadcast
-    joined = local.join(F.broadcast(offsets.select("_pid", *groups, "_off")), ["_pid", *groups], "inner")
+    joined = local.join(F.broadcast(offsets.select("_pid", *groups, "_off", "_n")), ["_pid", *groups], "inner")
     return joined.withColumn("_before", F.col("_off") + F.col("_local")).drop("_pid", "_off", "_local")
 
 
-def exact_percentiles(df: DataFrame, value_col: str, probs: Sequence[float],
-                      group_cols: Sequence[str] = (), names: Sequence[str] | None = None,
-                      partitions: int | None = None) -> DataFrame:
-    """One row per group with one column per probability (NULLs ignored)."""
-    groups = list(group_cols)
-    names = list(names or [f"p{int(round(q * 1000)):04d}" for q in probs])
-    key = groups if groups else ["_g"]
-    base = df if groups else df.withColumn("_g", F.lit(0))
+def ranked_frequencies(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
+                       partitions: int | None = None) -> tuple[DataFrame, list[str]]:
+    """Distinct (group, value) with weight ``_w``, rank ``_before`` and group size ``_n``."""
+    groups = list(group_cols) or ["_g"]
+    base = df if group_cols else df.withColumn("_g", F.lit(0))
     freq = (base.filter(F.col(value_col).isNotNull())
-            .groupBy(*key, value_col).agg(F.count(F.lit(1)).alias("_w")))
-    ranked = global_ranks(freq, value_col, "_w", key, partitions)
-    n = ranked.groupBy(*key).agg(F.sum("_w").alias("_n"))
-    # one row per group: bounded by the number of groups the caller asked for
-    r = ranked.join(F.broadcast(n), key, "inner")
-    v, lo_b, w = F.col(value_col).cast("double"), F.col("_before"), F.col("_w")
+            .groupBy(*groups, value_col).agg(F.count(F.lit(1)).alias(WEIGHT)))
+    return global_ranks(freq, value_col, WEIGHT, groups, partitions), groups
+
+
+def pick_percentiles(ranked: DataFrame, groups: Sequence[str], value_col: str, probs: Sequence[float],
+                     names: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
+    """One aggregation over the ranked frequency table: the interpolated
+    percentiles plus any ``extra`` aggregate columns (which may use ``_w``)."""
+    v, lo_b, w = F.col(value_col).cast("double"), F.col("_before"), F.col(WEIGHT)
     aggs = []
     for i, q in enumerate(probs):
         pos = F.lit(float(q)) * (F.col("_n") - 1).cast("double")
@@ -69,7 +73,18 @@ def exact_percentiles(df: DataFrame, value_col: str, probs: Sequence[float],
         aggs += [F.max(F.when((lo >= lo_b) & (lo < lo_b + w), v)).alias(f"_lo{i}"),
                  F.max(F.when((hi >= lo_b) & (hi < lo_b + w), v)).alias(f"_hi{i}"),
                  F.max(pos - lo).alias(f"_f{i}")]
-    picked = r.groupBy(*key).agg(*aggs)
+    picked = ranked.groupBy(*groups).agg(*aggs, *extra)
+    extra_names = [c for c in picked.columns if c not in groups and not c.startswith(("_lo", "_hi", "_f"))]
     outs = [(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(nm)
             for i, nm in enumerate(names)]
-    return picked.select(*groups, *outs)
+    return picked.select(*groups, *outs, *extra_names)
+
+
+def exact_percentiles(df: DataFrame, value_col: str, probs: Sequence[float],
+                      group_cols: Sequence[str] = (), names: Sequence[str] | None = None,
+                      partitions: int | None = None, extra: Sequence[Column] = ()) -> DataFrame:
+    """One row per group with one column per probability (NULLs ignored)."""
+    names = list(names or [f"p{int(round(q * 1000)):04d}" for q in probs])
+    ranked, groups = ranked_frequencies(df, value_col, group_cols, partitions)
+    out = pick_percentiles(ranked, groups, value_col, probs, names, extra)
+    return out if group_cols else out.drop("_g")

@@ -355,6 +355,19 @@ FROM (SELECT {_srm_sql(len(GROUPS), DRIVER.expected_shares)} AS c FROM wd) t""",
     "fct_events", extra_ctes=_totals_ctes())
 
 
+def mix_draws_sql(seed: int, n_boot: int) -> str:
+    """Draw table (rep, idx): the same two chains of affine maps modulo primes,
+    one staged subquery per round."""
+    from kestrel.operators.bootstrap import DRAW_PRIMES, DRAW_ROUNDS
+    q = f"SELECT r.range AS id, r.range + {seed * 7919} AS sid, nn.n AS n FROM nn, range({n_boot} * nn.n) r"
+    for c, (p, rounds) in enumerate(zip(DRAW_PRIMES, DRAW_ROUNDS)):
+        (a1, a2, b1, _), (a_2, _, b_2, k_2), (a_3, _, b_3, k_3) = rounds
+        q = f"SELECT *, ((sid % {p}) * {a1} + (sid // {p}) * {a2} + {b1}) % {p} AS h{c}_0 FROM ({q}) s{c}0"
+        q = f"SELECT *, (xor(h{c}_0, {k_2}) * {a_2} + {b_2}) % {p} AS h{c}_1 FROM ({q}) s{c}1"
+        q = f"SELECT *, (xor(h{c}_1, {k_3}) * {a_3} + {b_3}) % {p} AS h{c}_2 FROM ({q}) s{c}2"
+    return f"SELECT id // n AS rep, (h0_2 * {2 ** 31} + h1_2) % n AS idx FROM ({q}) h"
+
+
 def _boot_ctes(groups=GROUPS, n_boot=DRIVER.n_boot, seed=DRIVER.seed):
     k = len(groups)
     mat = ", ".join(f"CAST(sum(CASE WHEN experiment_group = '{g}' THEN total_events ELSE 0 END) AS BIGINT) AS n{i}, "
@@ -367,9 +380,7 @@ def _boot_ctes(groups=GROUPS, n_boot=DRIVER.n_boot, seed=DRIVER.seed):
 mat AS (SELECT customer_id, {mat} FROM counts WHERE experiment_group IN ({_in_list(groups)}) GROUP BY customer_id),
 mi AS (SELECT *, row_number() OVER (ORDER BY customer_id) - 1 AS idx FROM mat),
 nn AS (SELECT count(*) AS n FROM mat),
-draws AS (SELECT r.range // nn.n AS rep,
-                 ('0x' || substr(md5('{seed}-' || CAST(r.range AS VARCHAR)), 1, 12))::BIGINT % nn.n AS idx
-          FROM nn, range({n_boot} * nn.n) r),
+draws AS ({mix_draws_sql(seed, n_boot)}),
 reps AS (SELECT rep, {lifts} FROM (SELECT rep, {sums} FROM draws JOIN mi USING (idx) GROUP BY rep) s)""".strip())
 
 

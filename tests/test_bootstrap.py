@@ -70,3 +70,24 @@ def test_dense_index(spark):
 def test_poisson_method_runs(spark):
     reps = bootstrap.bootstrap_replicates(_counts(spark), GROUPS, 30, 42, method="poisson")
     assert reps.count() == 30
+
+
+@pytest.mark.parametrize("n", [7, 1000, 1 << 20])
+def test_draw_hash_uniform_and_independent(spark, n):
+    """Chi-square of idx counts over 10 bins and lag-1 correlation of draws."""
+    m = 200_000
+    d = bootstrap.with_draw_hash(spark.range(m), "id", 42, "h").select("id", F.pmod("h", F.lit(n)).alias("idx"))
+    bins = min(n, 10)
+    counts = [r[1] for r in d.groupBy((F.col("idx") * bins / n).cast("int").alias("b")).count().collect()]
+    exp = [m * len(range(b * n // bins, (b + 1) * n // bins)) / n for b in range(bins)]
+    chi2 = sum((c - e) ** 2 / e for c, e in zip(sorted(counts), sorted(exp)))
+    assert chi2 < 40  # df <= 9: p < 1e-5 would be ~ 37
+    pdf = d.orderBy("id").toPandas()
+    corr = pdf["idx"].astype(float).autocorr(lag=1)
+    assert abs(corr) < 0.02
+
+
+def test_draw_hash_large_ids_distinct(spark):
+    base = 1 << 40
+    hs = [r.h for r in bootstrap.with_draw_hash(spark.range(base, base + 50_000), "id", 42, "h").collect()]
+    assert len(set(hs)) == len(hs) and min(hs) >= 0 and max(hs) < (1 << 62)
