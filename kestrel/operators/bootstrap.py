@@ -7,11 +7,13 @@ deterministic hash, so a lost task recomputes the same draws, and the DuckDB
 oracle reproduces them bit for bit (integer hash, see ``with_draw_hash``).
 
 Plan: the customer matrix gets a dense index 0..n-1 by customer_id through a
-distributed prefix sum (no single-task row_number); ``spark.range`` generates
-the n_boot*n draws spread over all tasks; draws join the matrix on the index -
-a broadcast hash join when the matrix is under ``broadcast_limit_bytes``
-(checked from its row count), a shuffle join otherwise; a partial aggregation
-by replicate leaves a few rows per task.
+distributed prefix sum (no single-task row_number); draws join the matrix on
+the index - the matrix is broadcast only when its measured size is under the threshold
+(AQE at run time, or an explicit row-count check with ``broadcast_limit_bytes``),
+otherwise draws and matrix meet in a sort-merge join on the uniformly hashed
+index; a partial aggregation by replicate leaves a few rows per task. Draws
+are generated from the customer rows themselves (customer j emits its n_boot
+draw ids), so no count is taken on the driver.
 
 ``method="poisson"`` is the scale path with no index and no join: every
 customer gets a Poisson(1) weight per replicate (inverse CDF on a hash
@@ -29,7 +31,6 @@ from pyspark.sql import functions as F
 from kestrel.config import BOOTSTRAP_SEED, EXPERIMENT_GROUPS, N_BOOTSTRAP
 from kestrel.operators.quantiles import global_ranks
 
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 CI_PROBS = (0.025, 0.5, 0.975)
 
 
@@ -45,10 +46,11 @@ def customer_matrix(counts: DataFrame, groups: Sequence[str] = EXPERIMENT_GROUPS
 
 
 def indexed_matrix(matrix: DataFrame) -> DataFrame:
-    """Adds ``idx`` = rank of customer_id (0-based) via a range-partitioned prefix sum."""
+    """Adds ``idx`` = rank of customer_id (0-based) and ``n_customers`` via a
+    range-partitioned prefix sum (no single-task row_number)."""
     base = matrix.withColumn("_w", F.lit(1).cast("long")).withColumn("_g", F.lit(0))
     out = global_ranks(base, "customer_id", "_w", ["_g"])
-    return out.withColumnRenamed("_before", "idx").drop("_w", "_g")
+    return out.withColumnRenamed("_before", "idx").withColumnRenamed("_n", "n_customers").drop("_w", "_g")
 
 
 # Fixed constants of the draw hash (two chains of affine maps modulo primes
@@ -111,11 +113,10 @@ def _lifts(sums: DataFrame, k: int) -> DataFrame:
 def bootstrap_replicates(counts: DataFrame, groups: Sequence[str] = EXPERIMENT_GROUPS,
                          n_boot: int = N_BOOTSTRAP, seed: int = BOOTSTRAP_SEED,
                          method: str = "draws", hash_method: str = "mix",
-                         broadcast_limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+                         broadcast_limit_bytes: int | None = None) -> DataFrame:
     """One row per replicate: rep, lift_1..lift_{k-1} (percentage points vs arm 0).
     A replicate that drew no events of an arm has a NULL lift."""
     k = len(groups)
-    spark = counts.sparkSession
     matrix = customer_matrix(counts, groups)
     value_cols = [c for i in range(k) for c in (f"n{i}", f"x{i}")]
     if method == "poisson":
@@ -123,15 +124,22 @@ def bootstrap_replicates(counts: DataFrame, groups: Sequence[str] = EXPERIMENT_G
     if method != "draws":
         raise ValueError(method)
     indexed = indexed_matrix(matrix)
-    n = matrix.count()  # one scalar on the driver: the modulus of the draws
-    if n == 0:
-        return spark.createDataFrame([], "rep bigint, " + ", ".join(f"lift_{i} double" for i in range(1, k)))
-    draws = with_draw_hash(spark.range(0, n_boot * n), "id", seed, "_h", hash_method).select(
-        F.expr(f"id div {n}").alias("rep"), F.pmod(F.col("_h"), F.lit(n)).alias("idx"))
-    row_bytes = 8 * (len(value_cols) + 1) + 16
+    # Draw j of replicate r has id r*n + j; customer row j emits its n_boot draw ids,
+    # so draws are generated where the customers are, with no driver-side count.
+    draws = (indexed.select(F.col("idx").alias("_j"), F.col("n_customers").alias("_nc"))
+             .withColumn("rep", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_boot - 1).cast("long"))))
+             .withColumn("_id", F.col("rep") * F.col("_nc") + F.col("_j")))
+    draws = with_draw_hash(draws, "_id", seed, "_h", hash_method) \
+        .select("rep", F.pmod(F.col("_h"), F.col("_nc")).alias("idx"))
     side = indexed.select("idx", *value_cols)
-    if n * row_bytes <= broadcast_limit_bytes:
-        side = F.broadcast(side)
+    if broadcast_limit_bytes is not None:
+        # explicit size check: only when the caller asks for a hard bound (counts the customers)
+        row_bytes = 8 * (len(value_cols) + 1) + 16
+        n = matrix.count()
+        if n * row_bytes <= broadcast_limit_bytes:
+            side = F.broadcast(side)
+    # otherwise AQE measures the materialised matrix and broadcasts it only under
+    # spark.sql.adaptive.autoBroadcastJoinThreshold; above that it stays a sort-merge join
     joined = draws.join(side, "idx", "inner")
     sums = joined.groupBy("rep").agg(*[F.sum(c).alias(c) for c in value_cols])
     return _lifts(sums, k)

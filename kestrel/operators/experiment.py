@@ -47,8 +47,7 @@ def group_totals(counts: DataFrame, groups: Sequence[str] = EXPERIMENT_GROUPS) -
     arms = _arm_list(counts.sparkSession, groups)
     return (arms.join(F.broadcast(sums), "experiment_group", "left")
             .select("arm_idx", "experiment_group", "total_events", "purchase_events",
-                    (F.col("purchase_events").cast("double") / F.col("total_events")).alias("purchase_rate"))
-            .orderBy("arm_idx"))
+                    (F.col("purchase_events").cast("double") / F.col("total_events")).alias("purchase_rate")))
 
 
 def _wide(totals: DataFrame, groups: Sequence[str]) -> DataFrame:

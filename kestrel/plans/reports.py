@@ -81,7 +81,7 @@ def build_marts(spark: SparkSession, sf_dir: str, profile: Profile = DRIVER) ->
     return {
         "funnel_overall": overall.orderBy("step_idx"),
         "funnel_by_channel": by_channel,
-        "ab_test_totals": totals,
+        "ab_test_totals": totals.orderBy("arm_idx"),
         "ab_test_pairwise": pairwise.orderBy("pair_idx"),
         "ab_test_bootstrap": ci.orderBy("cmp_idx").select(
             "comparison", "median_lift_pp", F.col("ci_2_5pct").alias("ci_2.5pct"),

@@ -47,7 +47,10 @@ def test_invariant_to_partitioning_and_join_strategy(spark):
             _counts(spark).repartition(5), GROUPS, 40, 42, broadcast_limit_bytes=0).collect())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+    forced = sorted(tuple(r) for r in bootstrap.bootstrap_replicates(
+        _counts(spark), GROUPS, 40, 42, broadcast_limit_bytes=1 << 30).collect())
     assert base == shuffled
+    assert base == forced
 
 
 def test_ci_covers_point_lift(spark):
