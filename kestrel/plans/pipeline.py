@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from kestrel.config import DRIVER, Profile
 from kestrel.operators import quality, sessions
+from kestrel.session import checkpoint_dir
 from kestrel.sources import schemas, star
 
 
@@ -30,7 +31,11 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def clean_tables(spark: SparkSession, sf_dir: str, profile: Profile = DRIVER,
-                 check_domain: bool = True) -> dict[str, DataFrame]:
+                 check_domain: bool = True, materialize: bool = True) -> dict[str, DataFrame]:
+    """Cleaned star tables. The event-type domain contract is an action on the
+    de-duplicated events, which the cleaning then continues from; with
+    ``materialize`` they are checkpointed once into ``spark.checkpoint.dir`` so
+    the de-duplication shuffle is not repeated."""
     raw = raw_tables(spark, sf_dir)
     accepted = star.valid_customer_ids(spark, sf_dir)
     customers = quality.clean_dimension(
@@ -39,10 +44,13 @@ def clean_tables(spark: SparkSession, sf_dir: str, profile: Profile = DRIVER,
     campaigns = quality.clean_dimension(raw["dim_campaigns"], "campaign_id")
     valid = customers.select("customer_id")
     tx = quality.clean_transactions(raw["fct_transactions"], valid)
+    deduped = quality.dedupe_by_key(raw["fct_events"], "event_id")
     if check_domain:
-        deduped = quality.dedupe_by_key(raw["fct_events"], "event_id")
+        if materialize:
+            checkpoint_dir(spark)
+            deduped = deduped.checkpoint(eager=True)
         quality.raise_on_violations(domain=quality.domain_violations(deduped, profile.valid_event_types))
-    ev = quality.clean_events(raw["fct_events"], valid, profile.traffic_sources)
+    ev = quality.clean_events(deduped, valid, profile.traffic_sources, deduplicated=True)
     ev = sessions.build_sessions(ev, profile.gap_minutes, bucket=profile.session_bucket).drop("session_seq")
     out = {"dim_customers": customers, "dim_products": products, "dim_campaigns": campaigns,
            "fct_transactions": tx, "fct_events": ev}
@@ -58,9 +66,19 @@ def contract_frames(tables: dict[str, DataFrame]):
 
 
 def load_to_warehouse(tables: dict[str, DataFrame], warehouse_dir: str,
-                      partition_events_by_date: bool = True) -> dict[str, str]:
+                      partition_events_by_date: bool = True, materialize: bool = True) -> dict[str, str]:
     """Idempotent full refresh: every contract is checked first, then each table
-    is overwritten, parents before children."""
+    is overwritten, parents before children.
+
+    The contracts and the write are separate actions over the same cleaned
+    tables; to compute the cleaning (dedupe shuffles, sessionisation) once, the
+    cleaned tables are first checkpointed into ``spark.checkpoint.dir`` (a
+    reliable checkpoint in the shared folder: a lost executor does not lose it,
+    and the lineage is cut). Contracts then scan those files."""
+    if materialize:
+        spark = next(iter(tables.values())).sparkSession
+        checkpoint_dir(spark)
+        tables = {k: v.checkpoint(eager=True) for k, v in tables.items()}
     pk, fk, nn = contract_frames(tables)
     quality.raise_on_violations(pk=pk, fk=fk, nn=nn)
     paths = {}
