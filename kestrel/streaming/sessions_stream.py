@@ -52,10 +52,11 @@ def stream_sessions(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES,
 
 
 def run_stream_sessions(spark: SparkSession, sf_dir: str, gap_minutes: int = SESSION_GAP_MINUTES,
-                        delay: str = "30 minutes", out_dir: str | None = None) -> DataFrame:
+                        delay: str = "30 minutes", out_dir: str | None = None,
+                        max_files_per_trigger: int | None = None) -> DataFrame:
     """Process everything available (``availableNow``), then read the sink."""
     out_dir = out_dir or shared_path(spark, "stream_sessions", uuid.uuid4().hex)
-    q = (stream_sessions(event_stream(spark, sf_dir), gap_minutes, delay)
+    q = (stream_sessions(event_stream(spark, sf_dir, max_files_per_trigger), gap_minutes, delay)
          .writeStream.format("parquet").outputMode("append")
          .option("path", f"{out_dir}/data").option("checkpointLocation", f"{out_dir}/_checkpoint")
          .trigger(availableNow=True).start())
