@@ -57,7 +57,7 @@ def session_describe(summary: DataFrame) -> DataFrame:
     The two metrics are stacked with ``inline`` (one pass over the sessions);
     moments come from the same aggregation as the quartiles, over the value
     frequency table, with DECIMAL sums (values have at most 2 decimals), so
-    mean and variance are exact before the final division.
+    the sums and n*sum(v^2) - sum(v)^2 are exact before the final division.
     """
     metrics = ["duration_minutes", "n_events"]
     stacked = summary.select(F.inline(F.array(*[
@@ -65,10 +65,12 @@ def session_describe(summary: DataFrame) -> DataFrame:
     w = F.col(WEIGHT)
     v = F.col("v").cast("decimal(18,2)")
     n, s1, s2 = F.sum(w), F.sum(v * w), F.sum(v * v * w)
-    var = (s2 - s1 * s1 / n) / (n - 1)
+    # n*s2 - s1^2 is exact in DECIMAL; only the final division is floating point
+    centered = (n.cast("decimal(20,0)") * s2 - s1 * s1).cast("double")
+    var = centered / (n.cast("double") * (n - 1).cast("double"))
     extra = [n.cast("bigint").alias("count"),
-             F.round((s1 / n).cast("double"), 6).alias("mean"),
-             F.round(F.sqrt(var.cast("double")), 6).alias("std"),
+             F.round(s1.cast("double") / n.cast("double"), 6).alias("mean"),
+             F.round(F.sqrt(var), 6).alias("std"),
              F.min("v").alias("min"), F.max("v").alias("max")]
     q = exact_percentiles(stacked, "v", QUARTILES, ["metric"], names=["p25", "p50", "p75"], extra=extra)
     return q.select("metric", "count", "mean", "std", "min",
