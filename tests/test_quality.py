@@ -95,3 +95,10 @@ def test_csv_float_keys_and_failfast(spark, tmp_dir):
     bad = _write(tmp_dir, "tx_bad.csv", header + "3,2024-01-01 10:00:00,5,abc,1,0.1,9.99,0,0\n")
     with pytest.raises(Exception):
         csvsrc.read_raw_csv(spark, bad, "transactions").collect()
+
+
+def test_cluster_conf_sizing():
+    from kestrel.session import cluster_conf
+    conf = cluster_conf(100 * (1 << 40), total_cores=8000)  # 100 TB on 1000 x 8 cores
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600  # 100 TB / 256 MB
+    assert int(cluster_conf(1 << 30, total_cores=64)["spark.sql.shuffle.partitions"]) == 192  # 3 waves
