@@ -322,7 +322,7 @@ PAIRWISE_CTE = f"""
 pw AS (
   SELECT pair_idx, group_a, group_b, rate_a, rate_b, (rate_b - rate_a) * 100.0 AS absolute_lift_pp,
          round(z_raw, 9) AS z_stat, round({norm_p_sql('z_raw')}, 12) AS p_value,
-         {_BALPHA!r} AS bonferroni_alpha, {norm_p_sql('z_raw')} < {_BALPHA!r} AS significant
+         CAST({_BALPHA!r} AS DOUBLE) AS bonferroni_alpha, {norm_p_sql('z_raw')} < {_BALPHA!r} AS significant
   FROM (SELECT *, {_ztest_cols('n_a', 'x_a', 'n_b', 'x_b')} FROM ({_PAIR_ROWS}) p) q)"""
 
 Q["pairwise_z"] = with_star("SELECT * FROM pw", "fct_events", extra_ctes=_totals_ctes() + (PAIRWISE_CTE,))
