@@ -23,12 +23,13 @@ from pyspark.sql import functions as F
 from kestrel.config import PURCHASE, SESSION_GAP_MINUTES
 from kestrel.session import shared_path
 from kestrel.sources.star import events_projection
+from kestrel.sources.tables import SCHEMAS
 
 
 def event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming ``fct_events`` over the driver's event files. A glob keeps the
     file source happy when the table is a single file; new files are picked up."""
-    raw_schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
+    raw_schema = SCHEMAS["events"]
     reader = spark.readStream.schema(raw_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -102,3 +102,14 @@ def test_cluster_conf_sizing():
     conf = cluster_conf(100 * (1 << 40), total_cores=8000)  # 100 TB on 1000 x 8 cores
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600  # 100 TB / 256 MB
     assert int(cluster_conf(1 << 30, total_cores=64)["spark.sql.shuffle.partitions"]) == 192  # 3 waves
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_declared_driver_schemas_match_files(spark, sf):
+    from pyspark.sql import types as T
+
+    from kestrel.sources.tables import SCHEMAS
+    for name, ddl in SCHEMAS.items():
+        inferred = spark.read.parquet(f"/root/testdata/{sf}/{name}.parquet").schema
+        declared = T._parse_datatype_string(ddl)
+        assert [(f.name, f.dataType) for f in inferred] == [(f.name, f.dataType) for f in declared], name
