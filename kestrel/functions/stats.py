@@ -14,7 +14,7 @@ import math
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ERFC_DEGREE = 20
@@ -58,6 +58,46 @@ def normal_two_sided_p(z: Column) -> Column:
     return erfc(F.abs(z) / F.lit(math.sqrt(2.0)))
 
 
+def with_erfc_nonneg(df: DataFrame, x_col: str, out: str) -> DataFrame:
+    """``out`` = erfc(x) for x >= 0, staged: ``t`` is its own column, so the
+    20-term Horner polynomial refers to a column instead of repeating the
+    expression for t (Catalyst does not re-inline a non-trivial column used
+    more than once), which keeps generated code small."""
+    t_col, acc_col = f"_{out}_t", f"_{out}_acc"
+    df = df.withColumn(t_col, F.lit(1.0) / (F.lit(1.0) + F.lit(0.5) * F.col(x_col)))
+    acc = F.lit(0.0)
+    for a in reversed(erfc_coefficients()):
+        acc = acc * F.col(t_col) + F.lit(a)
+    df = df.withColumn(acc_col, acc)
+    x = F.col(x_col)
+    return df.withColumn(out, F.col(t_col) * F.exp(-(x * x) + F.col(acc_col))).drop(t_col, acc_col)
+
+
+def with_normal_p(df: DataFrame, z_col: str, out: str) -> DataFrame:
+    """``out`` = two-sided normal p-value of the column ``z_col`` (staged)."""
+    x_col = f"_{out}_x"
+    df = df.withColumn(x_col, F.abs(F.col(z_col)) / F.lit(math.sqrt(2.0)))
+    return with_erfc_nonneg(df, x_col, out).drop(x_col)
+
+
+def with_chi2_survival(df: DataFrame, x_col: str, dof: int, out: str) -> DataFrame:
+    """``out`` = chi-square upper tail of the column ``x_col`` (staged)."""
+    h_col = f"_{out}_h"
+    df = df.withColumn(h_col, F.col(x_col) / F.lit(2.0))
+    h = F.col(h_col)
+    if dof % 2 == 0:
+        total = F.lit(0.0)
+        for i in range(dof // 2):
+            total = total + F.pow(h, F.lit(float(i))) / F.lit(float(math.factorial(i)))
+        return df.withColumn(out, F.exp(-h) * total).drop(h_col)
+    r_col = f"_{out}_r"
+    df = with_erfc_nonneg(df.withColumn(r_col, F.sqrt(h)), r_col, f"_{out}_e")
+    total = F.lit(0.0)
+    for i in range(1, (dof - 1) // 2 + 1):
+        total = total + F.pow(h, F.lit(i - 0.5)) / F.lit(math.gamma(i + 0.5))
+    return df.withColumn(out, F.col(f"_{out}_e") + F.exp(-h) * total).drop(h_col, r_col, f"_{out}_e")
+
+
 def chi2_survival(x: Column, dof: int) -> Column:
     """Upper tail of the chi-square distribution for an integer dof >= 1.
 
@@ -78,6 +118,20 @@ def chi2_survival(x: Column, dof: int) -> Column:
     return erfc(F.sqrt(h)) + F.exp(-h) * total
 
 
+def with_two_proportion_z(df: DataFrame, n_a: str, x_a: str, n_b: str, x_b: str) -> DataFrame:
+    """Adds rate_a, rate_b, z_stat, p_value (pooled, two-sided), one stage per
+    intermediate; z = 0 when the standard error is 0."""
+    na, xa, nb, xb = F.col(n_a), F.col(x_a), F.col(n_b), F.col(x_b)
+    df = (df.withColumn("rate_a", xa.cast("double") / na)
+            .withColumn("rate_b", xb.cast("double") / nb)
+            .withColumn("_pool", (xa + xb).cast("double") / (na + nb)))
+    pool = F.col("_pool")
+    df = df.withColumn("_se", F.sqrt(pool * (F.lit(1.0) - pool) * (F.lit(1.0) / na + F.lit(1.0) / nb)))
+    df = df.withColumn("z_stat", F.when(F.col("_se") > 0, (F.col("rate_b") - F.col("rate_a")) / F.col("_se"))
+                       .otherwise(F.lit(0.0)))
+    return with_normal_p(df, "z_stat", "p_value").drop("_pool", "_se")
+
+
 def two_proportion_z(n_a: Column, x_a: Column, n_b: Column, x_b: Column) -> dict[str, Column]:
     """Pooled two-proportion z-test, two-sided. z = 0 when the standard error is 0."""
     p_a = x_a.cast("double") / n_a

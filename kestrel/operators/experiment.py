@@ -12,13 +12,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.config import ALPHA, EXPERIMENT_GROUPS, PURCHASE
 from kestrel.functions.labels import format_p, versus, yes_no
 from kestrel.functions.rounding import round_np
-from kestrel.functions.stats import chi2_survival, two_proportion_z
+from kestrel.functions.stats import with_chi2_survival, with_two_proportion_z
 
 
 def customer_group_counts(events: DataFrame, success_type: str = PURCHASE) -> DataFrame:
@@ -60,31 +60,28 @@ def _wide(totals: DataFrame, groups: Sequence[str]) -> DataFrame:
     return totals.agg(*aggs)
 
 
-def _chi2_expr(groups: Sequence[str]) -> Column:
-    k = len(groups)
+def _with_chi2(wide: DataFrame, k: int) -> DataFrame:
+    """Pearson statistic from the wide row, staged: totals, then expected counts
+    per cell, then the sum (each intermediate is computed once)."""
     n = [F.col(f"n{i}").cast("double") for i in range(k)]
     x = [F.col(f"x{i}").cast("double") for i in range(k)]
-    big_n = sum(n[1:], n[0])
-    big_x = sum(x[1:], x[0])
-    big_f = big_n - big_x
-    chi2 = None
+    df = wide.withColumn("_N", sum(n[1:], n[0])).withColumn("_X", sum(x[1:], x[0]))
+    df = df.withColumn("_F", F.col("_N") - F.col("_X"))
     for i in range(k):
-        e_s = big_x * n[i] / big_n
-        e_f = big_f * n[i] / big_n
-        term = (x[i] - e_s) * (x[i] - e_s) / e_s + ((n[i] - x[i]) - e_f) * ((n[i] - x[i]) - e_f) / e_f
-        chi2 = term if chi2 is None else chi2 + term
-    return chi2
+        df = (df.withColumn(f"_es{i}", F.col("_X") * n[i] / F.col("_N"))
+                .withColumn(f"_ef{i}", F.col("_F") * n[i] / F.col("_N")))
+    terms = [F.pow(x[i] - F.col(f"_es{i}"), 2) / F.col(f"_es{i}")
+             + F.pow((n[i] - x[i]) - F.col(f"_ef{i}"), 2) / F.col(f"_ef{i}") for i in range(k)]
+    return df.withColumn("chi2", sum(terms[1:], terms[0]))
 
 
 def chi_square_test(totals: DataFrame, groups: Sequence[str] = EXPERIMENT_GROUPS) -> DataFrame:
     """Pearson chi-square on the 2 x k table (success / not by arm), no continuity
     correction; NULL when an arm is missing."""
     dof = len(groups) - 1
-    wide = _wide(totals, groups)
-    return wide.select(_chi2_expr(groups).alias("chi2")).select(
-        F.round("chi2", 9).alias("chi2"),
-        F.round(chi2_survival(F.col("chi2"), dof), 12).alias("p_value"),
-        F.lit(dof).alias("dof"))
+    df = with_chi2_survival(_with_chi2(_wide(totals, groups), len(groups)), "chi2", dof, "_p")
+    return df.select(F.round("chi2", 9).alias("chi2"), F.round("_p", 12).alias("p_value"),
+                     F.lit(dof).alias("dof"))
 
 
 def pairwise_tests(totals: DataFrame, groups: Sequence[str] = EXPERIMENT_GROUPS,
@@ -99,25 +96,21 @@ def pairwise_tests(totals: DataFrame, groups: Sequence[str] = EXPERIMENT_GROUPS,
                               F.col(f"n{a}").alias("n_a"), F.col(f"x{a}").alias("x_a"),
                               F.col(f"n{b}").alias("n_b"), F.col(f"x{b}").alias("x_b"))
                      for i, (a, b) in enumerate(pairs)])
-    long = wide.select(F.inline(rows))
-    z = two_proportion_z(F.col("n_a"), F.col("x_a"), F.col("n_b"), F.col("x_b"))
+    long = with_two_proportion_z(wide.select(F.inline(rows)), "n_a", "x_a", "n_b", "x_b")
     return long.select(
-        "pair_idx", "group_a", "group_b",
-        z["rate_a"].alias("rate_a"), z["rate_b"].alias("rate_b"),
-        ((z["rate_b"] - z["rate_a"]) * F.lit(100.0)).alias("absolute_lift_pp"),
-        F.round(z["z_stat"], 9).alias("z_stat"),
-        F.round(z["p_value"], 12).alias("p_value"),
+        "pair_idx", "group_a", "group_b", "rate_a", "rate_b",
+        ((F.col("rate_b") - F.col("rate_a")) * F.lit(100.0)).alias("absolute_lift_pp"),
+        F.round("z_stat", 9).alias("z_stat"),
+        F.round("p_value", 12).alias("p_value"),
         F.lit(b_alpha).alias("bonferroni_alpha"),
-        (z["p_value"] < F.lit(b_alpha)).alias("significant"))
+        (F.col("p_value") < F.lit(b_alpha)).alias("significant"))
 
 
 def two_proportion_test(totals: DataFrame, group_a: str, group_b: str) -> DataFrame:
     """One pooled z-test between two named arms."""
-    wide = _wide(totals, [group_a, group_b])
-    z = two_proportion_z(F.col("n0"), F.col("x0"), F.col("n1"), F.col("x1"))
-    return wide.select(F.lit(group_a).alias("group_a"), F.lit(group_b).alias("group_b"),
-                       z["rate_a"].alias("rate_a"), z["rate_b"].alias("rate_b"),
-                       F.round(z["z_stat"], 9).alias("z_stat"), F.round(z["p_value"], 12).alias("p_value"))
+    wide = with_two_proportion_z(_wide(totals, [group_a, group_b]), "n0", "x0", "n1", "x1")
+    return wide.select(F.lit(group_a).alias("group_a"), F.lit(group_b).alias("group_b"), "rate_a", "rate_b",
+                       F.round("z_stat", 9).alias("z_stat"), F.round("p_value", 12).alias("p_value"))
 
 
 def experiment_report(pairwise: DataFrame) -> DataFrame:
@@ -137,16 +130,9 @@ def sample_ratio_test(totals: DataFrame, groups: Sequence[str] = EXPERIMENT_GROU
         raise ValueError("one expected share per arm")
     total = sum(expected)
     shares = [s / total for s in expected]
-    wide = _wide(totals, groups)
     n = [F.col(f"n{i}").cast("double") for i in range(len(groups))]
-    big_n = sum(n[1:], n[0])
-    chi2 = None
-    for i, s in enumerate(shares):
-        e = big_n * F.lit(s)
-        term = (n[i] - e) * (n[i] - e) / e
-        chi2 = term if chi2 is None else chi2 + term
+    df = _wide(totals, groups).withColumn("_N", sum(n[1:], n[0]))
+    terms = [F.pow(n[i] - F.col("_N") * F.lit(s), 2) / (F.col("_N") * F.lit(s)) for i, s in enumerate(shares)]
     dof = len(groups) - 1
-    return wide.select(chi2.alias("chi2")).select(
-        F.round("chi2", 9).alias("chi2"),
-        F.round(chi2_survival(F.col("chi2"), dof), 12).alias("p_value"),
-        F.lit(dof).alias("dof"))
+    df = with_chi2_survival(df.withColumn("chi2", sum(terms[1:], terms[0])), "chi2", dof, "_p")
+    return df.select(F.round("chi2", 9).alias("chi2"), F.round("_p", 12).alias("p_value"), F.lit(dof).alias("dof"))
