@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from kestrel.functions.labels import format_p
-from kestrel.functions.stats import chi2_survival, erfc, erfc_py, normal_two_sided_p
+from kestrel.functions.stats import (chi2_survival, erfc, erfc_py, normal_two_sided_p, with_chi2_survival,
+                                     with_normal_p)
 
 XS = [0.0, 1e-6, 0.1, 0.5, 1.0, 1.5, 2.0, 3.3, 5.0, 8.0, 12.0, 20.0, 26.0, -0.7, -2.5]
 
@@ -24,18 +25,22 @@ def test_erfc_column(spark):
         assert r.v == pytest.approx(e, rel=1e-12, abs=1e-300)
 
 
-def test_normal_p(spark):
+@pytest.mark.parametrize("staged", [False, True])
+def test_normal_p(spark, staged):
     df = spark.createDataFrame([(1.96,), (12.70096015595637,), (0.0,)], "z double")
-    got = [r.p for r in df.select(normal_two_sided_p(F.col("z")).alias("p")).collect()]
+    out = with_normal_p(df, "z", "p") if staged else df.select(normal_two_sided_p(F.col("z")).alias("p"))
+    got = [r.p for r in out.collect()]
     assert got[0] == pytest.approx(0.0499957902964, rel=1e-9)
     assert got[1] == pytest.approx(math.erfc(12.70096015595637 / math.sqrt(2)), rel=1e-10)
     assert got[2] == pytest.approx(1.0)
 
 
 @pytest.mark.parametrize("dof", [1, 2, 3, 4, 5])
-def test_chi2_survival(spark, dof):
+@pytest.mark.parametrize("staged", [False, True])
+def test_chi2_survival(spark, dof, staged):
     df = spark.createDataFrame([(0.5,), (3.0,), (11.0,)], "x double")
-    for r in df.select("x", chi2_survival(F.col("x"), dof).alias("q")).collect():
+    out = with_chi2_survival(df, "x", dof, "q") if staged else df.select("x", chi2_survival(F.col("x"), dof).alias("q"))
+    for r in out.collect():
         x, h = r.x, r.x / 2
         if dof % 2 == 0:
             exp = math.exp(-h) * sum(h ** i / math.factorial(i) for i in range(dof // 2))
