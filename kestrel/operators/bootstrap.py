@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from kestrel.config import BOOTSTRAP_SEED, EXPERIMENT_GROUPS, N_BOOTSTRAP
 from kestrel.operators.quantiles import global_ranks
+from kestrel.session import materialize as materialize_df
 
 CI_PROBS = (0.025, 0.5, 0.975)
 
@@ -113,7 +114,7 @@ def _lifts(sums: DataFrame, k: int) -> DataFrame:
 def bootstrap_replicates(counts: DataFrame, groups: Sequence[str] = EXPERIMENT_GROUPS,
                          n_boot: int = N_BOOTSTRAP, seed: int = BOOTSTRAP_SEED,
                          method: str = "draws", hash_method: str = "mix",
-                         broadcast_limit_bytes: int | None = None) -> DataFrame:
+                         broadcast_limit_bytes: int | None = None, materialize: bool = True) -> DataFrame:
     """One row per replicate: rep, lift_1..lift_{k-1} (percentage points vs arm 0).
     A replicate that drew no events of an arm has a NULL lift."""
     k = len(groups)
@@ -124,6 +125,11 @@ def bootstrap_replicates(counts: DataFrame, groups: Sequence[str] = EXPERIMENT_G
     if method != "draws":
         raise ValueError(method)
     indexed = indexed_matrix(matrix)
+    if materialize:
+        # Both the draw generator and the join side read the indexed matrix; writing it
+        # once to the shared folder (one row per customer, small next to the n_boot * n
+        # draws) computes it once and cuts the lineage the draw stage depends on.
+        indexed = materialize_df(indexed, "bootstrap-indexed-matrix")
     # Draw j of replicate r has id r*n + j; customer row j emits its n_boot draw ids,
     # so draws are generated where the customers are, with no driver-side count.
     draws = (indexed.select(F.col("idx").alias("_j"), F.col("n_customers").alias("_nc"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from kestrel.config import DRIVER, Profile
 from kestrel.operators import quality, sessions
-from kestrel.session import checkpoint_dir
+from kestrel.session import materialize as materialize_df
 from kestrel.sources import schemas, star
 
 
@@ -34,8 +34,8 @@ def clean_tables(spark: SparkSession, sf_dir: str, profile: Profile = DRIVER,
                  check_domain: bool = True, materialize: bool = True) -> dict[str, DataFrame]:
     """Cleaned star tables. The event-type domain contract is an action on the
     de-duplicated events, which the cleaning then continues from; with
-    ``materialize`` they are checkpointed once into ``spark.checkpoint.dir`` so
-    the de-duplication shuffle is not repeated."""
+    ``materialize`` they are written once to the shared folder so the
+    de-duplication shuffle is not repeated."""
     raw = raw_tables(spark, sf_dir)
     accepted = star.valid_customer_ids(spark, sf_dir)
     customers = quality.clean_dimension(
@@ -47,8 +47,7 @@ def clean_tables(spark: SparkSession, sf_dir: str, profile: Profile = DRIVER,
     deduped = quality.dedupe_by_key(raw["fct_events"], "event_id")
     if check_domain:
         if materialize:
-            checkpoint_dir(spark)
-            deduped = deduped.checkpoint(eager=True)
+            deduped = materialize_df(deduped, "dedup-events")
         quality.raise_on_violations(domain=quality.domain_violations(deduped, profile.valid_event_types))
     ev = quality.clean_events(deduped, valid, profile.traffic_sources, deduplicated=True)
     ev = sessions.build_sessions(ev, profile.gap_minutes, bucket=profile.session_bucket).drop("session_seq")
@@ -72,13 +71,11 @@ def load_to_warehouse(tables: dict[str, DataFrame], warehouse_dir: str,
 
     The contracts and the write are separate actions over the same cleaned
     tables; to compute the cleaning (dedupe shuffles, sessionisation) once, the
-    cleaned tables are first checkpointed into ``spark.checkpoint.dir`` (a
-    reliable checkpoint in the shared folder: a lost executor does not lose it,
-    and the lineage is cut). Contracts then scan those files."""
+    cleaned tables are first written once to the shared folder named by
+    ``spark.checkpoint.dir`` (a lost executor does not lose them, and the lineage
+    is cut). Contracts and the final write then scan those files."""
     if materialize:
-        spark = next(iter(tables.values())).sparkSession
-        checkpoint_dir(spark)
-        tables = {k: v.checkpoint(eager=True) for k, v in tables.items()}
+        tables = {k: materialize_df(v, f"clean-{k}") for k, v in tables.items()}
     pk, fk, nn = contract_frames(tables)
     quality.raise_on_violations(pk=pk, fk=fk, nn=nn)
     paths = {}

@@ -10,7 +10,7 @@ from kestrel.config import DRIVER, Profile
 from kestrel.functions.rounding import pct, round_np
 from kestrel.operators import bootstrap, experiment, funnel
 from kestrel.operators.common import one_row
-from kestrel.session import checkpoint_dir
+from kestrel.session import materialize as materialize_df
 from kestrel.sources import star
 
 REGRESSION_THRESHOLD_PP = 2.0
@@ -72,15 +72,14 @@ def build_marts(spark: SparkSession, sf_dir: str, profile: Profile = DRIVER,
     """The six dashboard marts, named and shaped like the original snapshot files.
 
     Each mart is written by its own action; the two per-customer intermediates
-    they share (step reach, per-arm counts) are checkpointed into
-    ``spark.checkpoint.dir`` so the event table is scanned once for each, not
-    once per mart."""
+    they share (step reach, per-arm counts) are written once to the shared
+    checkpoint folder so the event table is scanned once for each, not once
+    per mart."""
     events = star.fct_events(spark, sf_dir)
     reach = funnel.customer_step_reach(events, profile.steps)
     counts = experiment.customer_group_counts(events)
     if materialize:
-        checkpoint_dir(spark)
-        reach, counts = reach.checkpoint(eager=True), counts.checkpoint(eager=True)
+        reach, counts = materialize_df(reach, "mart-reach"), materialize_df(counts, "mart-counts")
     overall = funnel.overall_funnel(reach, profile.steps)
     by_channel = funnel.funnel_by_channel(reach, star.customer_channels(spark, sf_dir), profile.steps)
     totals = experiment.group_totals(counts, profile.groups)

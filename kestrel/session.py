@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BASE_CONF = {
     "spark.ui.enabled": "false",
@@ -77,3 +78,18 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for written intermediate tables)."""
     base = checkpoint_dir(spark)
     return os.path.join(base, *parts) if "://" not in base else "/".join([base.rstrip("/"), *parts])
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Compute ``df`` once into a Parquet table in the shared checkpoint folder
+    and continue from that table (lineage cut, survives lost executors).
+
+    Unlike an eager ``DataFrame.checkpoint()``, which evaluates the plan once
+    for its count and again to write the checkpoint unless it is also
+    persisted, the write evaluates the plan exactly once. The read uses the
+    known schema, so it starts no schema-inference job.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, "materialized", f"{label}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
