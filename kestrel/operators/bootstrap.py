@@ -54,29 +54,28 @@ def indexed_matrix(matrix: DataFrame) -> DataFrame:
     return out.withColumnRenamed("_before", "idx").withColumnRenamed("_n", "n_customers").drop("_w", "_g")
 
 
-# Fixed constants of the draw hash (two chains of affine maps modulo primes
-# below 2^31, separated by XOR with a constant).
-DRAW_PRIMES = (2147483647, 2147483629)
-DRAW_ROUNDS = (
-    ((48271, 69621, 12345, 0x5BD1E995 & 0x7FFFFFFF), (16807, 39373, 67890, 0x1B873593),
-     (40692, 40014, 13579, 0x2545F491)),
-    ((69069, 1103515245 % 2147483629, 24680, 0x68E31DA4), (22695477 % 2147483629, 1664525, 11223, 0x3C6EF372),
-     (134775813 % 2147483629, 214013, 44556, 0x0F4A7C15)),
+# Fixed constants of the draw hash: two chains, each (prime below 2^31,
+# first round (a, a_hi, b), then XOR rounds (k, a, b)).
+DRAW_CHAINS = (
+    (2147483647, (48271, 69621, 12345), ((0x1B873593, 16807, 67890), (0x2545F491, 40692, 13579))),
+    (2147483629, (69069, 1103515245, 24680), ((0x3C6EF372, 22695477, 11223), (0x0F4A7C15, 134775813, 44556))),
 )
 
 
-def _chain(id_name: str, prime: int, rounds) -> list[Column]:
+def _chain(id_name: str, prime: int, first, rounds) -> list:
     """Each round is one column referring to the previous one exactly once:
-    t1 = (id mod p * a + (id div p) * a2 + b) mod p, then
-    t' = ((t XOR k) * a + b) mod p. Operands stay below 2^31, products below
-    2^62: no overflow under ANSI, identical bits in any engine with 64-bit integers."""
-    (a1, a2, b1, _), (a_2, _, b_2, k_2), (a_3, _, b_3, k_3) = rounds
+    t0 = (id mod p * a + (id div p) * a_hi + b) mod p, then
+    t' = ((t XOR k) * a + b) mod p. Operands stay below 2^31 (id div p below
+    2^32), products below 2^63: no overflow under ANSI, identical bits in any
+    engine with 64-bit integers."""
+    a, a_hi, b = first
     p = F.lit(prime)
     id_col = F.col(id_name)
-    t1 = F.pmod(F.pmod(id_col, p) * F.lit(a1) + F.expr(f"`{id_name}` div {prime}") * F.lit(a2) + F.lit(b1), p)
-    return [t1,
-            lambda t: F.pmod(t.bitwiseXOR(F.lit(k_2)) * F.lit(a_2) + F.lit(b_2), p),
-            lambda t: F.pmod(t.bitwiseXOR(F.lit(k_3)) * F.lit(a_3) + F.lit(b_3), p)]
+    t0 = F.pmod(F.pmod(id_col, p) * F.lit(a) + F.expr(f"`{id_name}` div {prime}") * F.lit(a_hi) + F.lit(b), p)
+
+    def step(k, a_r, b_r):
+        return lambda t: F.pmod(t.bitwiseXOR(F.lit(k)) * F.lit(a_r) + F.lit(b_r), p)
+    return [t0, *[step(*r) for r in rounds]]
 
 
 def with_draw_hash(df: DataFrame, id_col: str, seed: int, out: str, method: str = "mix") -> DataFrame:
@@ -93,8 +92,8 @@ def with_draw_hash(df: DataFrame, id_col: str, seed: int, out: str, method: str
         raise ValueError(method)
     df = df.withColumn("_hx_sid", i + F.lit(seed * 7919))
     names = ["_hx_sid"]
-    for c, (prime, rounds) in enumerate(zip(DRAW_PRIMES, DRAW_ROUNDS)):
-        first, *rest = _chain("_hx_sid", prime, rounds)
+    for c, (prime, first_round, rounds) in enumerate(DRAW_CHAINS):
+        first, *rest = _chain("_hx_sid", prime, first_round, rounds)
         name = f"_hx{c}_0"
         df = df.withColumn(name, first)
         for r, fn in enumerate(rest, start=1):
@@ -121,7 +120,7 @@ def bootstrap_replicates(counts: DataFrame, groups: Sequence[str] = EXPERIMENT_G
     matrix = customer_matrix(counts, groups)
     value_cols = [c for i in range(k) for c in (f"n{i}", f"x{i}")]
     if method == "poisson":
-        return _poisson(matrix, k, n_boot, seed, hash_method)
+        return _poisson(matrix, k, n_boot, seed)
     if method != "draws":
         raise ValueError(method)
     indexed = indexed_matrix(matrix)
@@ -160,9 +159,9 @@ def _poisson_cdf(max_k: int = 20) -> list[float]:
     return out
 
 
-def _poisson(matrix: DataFrame, k: int, n_boot: int, seed: int, hash_method: str) -> DataFrame:
+def _poisson(matrix: DataFrame, k: int, n_boot: int, seed: int) -> DataFrame:
     bits = F.xxhash64(F.lit(seed), F.col("customer_id"), F.col("rep")).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
-    u = bits.cast("double") / F.lit(float(2 ** 63))  # Poisson mode has no oracle twin: the JVM hash is fine
+    u = F.col("_u")  # its own column, so the CASE below does not repeat the hash
     weight = None
     cdf = _poisson_cdf()
     for m, c in enumerate(cdf):
@@ -171,6 +170,7 @@ def _poisson(matrix: DataFrame, k: int, n_boot: int, seed: int, hash_method: str
     value_cols = [c for i in range(k) for c in (f"n{i}", f"x{i}")]
     exploded = matrix.withColumn("rep", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                              F.lit(n_boot - 1).cast("bigint"))))
+    exploded = exploded.withColumn("_u", bits.cast("double") / F.lit(float(2 ** 63)))
     weighted = exploded.withColumn("_wt", weight).filter(F.col("_wt") > 0)
     sums = weighted.groupBy("rep").agg(*[F.sum(F.col(c) * F.col("_wt")).alias(c) for c in value_cols])
     return _lifts(sums, k)

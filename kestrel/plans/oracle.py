@@ -358,13 +358,12 @@ FROM (SELECT {_srm_sql(len(GROUPS), DRIVER.expected_shares)} AS c FROM wd) t""",
 def mix_draws_sql(seed: int, n_boot: int) -> str:
     """Draw table (rep, idx): the same two chains of affine maps modulo primes,
     one staged subquery per round."""
-    from kestrel.operators.bootstrap import DRAW_PRIMES, DRAW_ROUNDS
+    from kestrel.operators.bootstrap import DRAW_CHAINS
     q = f"SELECT r.range AS id, r.range + {seed * 7919} AS sid, nn.n AS n FROM nn, range({n_boot} * nn.n) r"
-    for c, (p, rounds) in enumerate(zip(DRAW_PRIMES, DRAW_ROUNDS)):
-        (a1, a2, b1, _), (a_2, _, b_2, k_2), (a_3, _, b_3, k_3) = rounds
-        q = f"SELECT *, ((sid % {p}) * {a1} + (sid // {p}) * {a2} + {b1}) % {p} AS h{c}_0 FROM ({q}) s{c}0"
-        q = f"SELECT *, (xor(h{c}_0, {k_2}) * {a_2} + {b_2}) % {p} AS h{c}_1 FROM ({q}) s{c}1"
-        q = f"SELECT *, (xor(h{c}_1, {k_3}) * {a_3} + {b_3}) % {p} AS h{c}_2 FROM ({q}) s{c}2"
+    for c, (p, (a, a_hi, b), rounds) in enumerate(DRAW_CHAINS):
+        q = f"SELECT *, ((sid % {p}) * {a} + (sid // {p}) * {a_hi} + {b}) % {p} AS h{c}_0 FROM ({q}) s{c}0"
+        for r, (k, a_r, b_r) in enumerate(rounds, start=1):
+            q = f"SELECT *, (xor(h{c}_{r - 1}, {k}) * {a_r} + {b_r}) % {p} AS h{c}_{r} FROM ({q}) s{c}{r}"
     return f"SELECT id // n AS rep, (h0_2 * {2 ** 31} + h1_2) % n AS idx FROM ({q}) h"
 
 
