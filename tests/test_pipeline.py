@@ -78,3 +78,14 @@ def test_query_matches_oracle_sf0001(spark, name):
     orows = cur.fetchall()
     order = [ocols.index(c) for c in cols]
     assert _canon([tuple(r) for r in df.collect()]) == _canon([tuple(r[i] for i in order) for r in orows])
+
+
+STREAMING = {"stream_sessions", "stream_group_totals"}
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - STREAMING))
+def test_plan_has_no_cross_join_or_python(spark, name):
+    """Scale guard: no cartesian product / nested-loop join, no Python UDF in any plan."""
+    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in plan, f"{name}: {bad}"
