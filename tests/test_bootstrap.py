@@ -94,3 +94,24 @@ def test_draw_hash_large_ids_distinct(spark):
     base = 1 << 40
     hs = [r.h for r in bootstrap.with_draw_hash(spark.range(base, base + 50_000), "id", 42, "h").collect()]
     assert len(set(hs)) == len(hs) and min(hs) >= 0 and max(hs) < (1 << 62)
+
+
+def test_ci_width_close_to_cluster_robust_interval(spark):
+    """Delta-method cluster-robust s.e. of the rate difference (customers as
+    clusters) vs the bootstrap 95% interval width."""
+    import numpy as np
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    arm = F.when(F.pmod("event_id", F.lit(5)) < 3, "Control").when(F.pmod("event_id", F.lit(5)) == 3, "Variant_A") \
+        .otherwise("Variant_B")
+    counts = (ev.groupBy(F.col("user_id").alias("customer_id"), arm.alias("experiment_group"))
+              .agg(F.count(F.lit(1)).alias("total_events"),
+                   F.count_if(F.col("event_type") == "purchase").alias("purchase_events")))
+    m = bootstrap.customer_matrix(counts, GROUPS).toPandas()
+    n_c, x_c, n_b, x_b = (m[c].to_numpy(float) for c in ("n0", "x0", "n2", "x2"))
+    r_c, r_b = x_c.sum() / n_c.sum(), x_b.sum() / n_b.sum()
+    psi = (x_b - r_b * n_b) / n_b.sum() - (x_c - r_c * n_c) / n_c.sum()
+    se_pp = 100 * np.sqrt((psi ** 2).sum())
+    ci = {r.comparison: r for r in bootstrap.bootstrap_ci(
+        bootstrap.bootstrap_replicates(counts, GROUPS, 2000, 42), GROUPS).collect()}["Variant_B vs Control"]
+    width = ci.ci_97_5pct - ci.ci_2_5pct
+    assert width == pytest.approx(2 * 1.959964 * se_pp, rel=0.15)

@@ -89,3 +89,22 @@ def test_plan_has_no_cross_join_or_python(spark, name):
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in plan, f"{name}: {bad}"
+
+
+def test_pk_violation_fails_before_any_write(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from kestrel.operators.quality import DataQualityError
+    tables = pipeline.clean_tables(spark, SF)
+    dup = tables["dim_products"].limit(1)
+    tables["dim_products"] = tables["dim_products"].unionByName(dup)
+    wh = os.path.join(tmp_dir, "wh_pk")
+    with pytest.raises(DataQualityError, match="dim_products: 1 duplicate primary keys"):
+        pipeline.load_to_warehouse(tables, wh)
+    assert not os.path.exists(wh)
+    tables = pipeline.clean_tables(spark, SF)
+    tables["fct_events"] = tables["fct_events"].withColumn(
+        "product_id", F.when(F.col("event_id") == 1, F.lit(10 ** 9)).otherwise(F.col("product_id")))
+    with pytest.raises(DataQualityError, match="fct_events.product_id: 1 foreign-key"):
+        pipeline.load_to_warehouse(tables, wh)
+    assert not os.path.exists(wh)

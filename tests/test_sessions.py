@@ -94,3 +94,11 @@ def test_hot_customer_split_across_buckets_matches_plain_window(spark):
 def test_event_gaps(toy):
     g = {r.event_id: r.gap_minutes for r in sessions.event_gaps(toy).collect()}
     assert g[1] is None and g[2] == 10.0 and g[4] == 120.0 and g[5] is None
+
+
+def test_session_event_counts_add_up(spark):
+    from kestrel.sources import star
+    ev = star.fct_events(spark, "/root/testdata/sf0.01")
+    for gap in (30, 360):
+        summ = sessions.session_summary(sessions.build_sessions(ev, gap))
+        assert summ.agg(F.sum("n_events")).collect()[0][0] == ev.count()
