@@ -121,15 +121,20 @@ def load_audit(spark: SparkSession, sf_dir: str, profile: Profile = DRIVER) -> D
     raw = raw_tables(spark, sf_dir)
     accepted = star.valid_customer_ids(spark, sf_dir)
     parts = []
-    for name, key in (("dim_products", "product_id"), ("dim_campaigns", "campaign_id")):
+    # Dimensions: one de-duplication pass each; copies per key give rows in, and
+    # "no NULL in the kept copy" gives rows out. Acceptance depends on the key
+    # only, so filtering before or after de-duplication is the same.
+    for name, key in (("dim_products", "product_id"), ("dim_campaigns", "campaign_id"),
+                      ("dim_customers", "customer_id")):
         src = raw[name]
-        parts.append(_long(src.agg(F.count(F.lit(1)).alias("rows_in")), name, ["rows_in"]))
-        parts.append(_long(quality.clean_dimension(src, key).agg(F.count(F.lit(1)).alias("rows_out")),
-                           name, ["rows_out"]))
-    cust = raw["dim_customers"]
-    parts.append(_long(cust.agg(F.count(F.lit(1)).alias("rows_in")), "dim_customers", ["rows_in"]))
-    customers = quality.clean_dimension(quality.orphan_filter(cust, accepted), "customer_id")
-    parts.append(_long(customers.agg(F.count(F.lit(1)).alias("rows_out")), "dim_customers", ["rows_out"]))
+        complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in src.columns])
+        d = quality.dedupe_by_key(src, key, copies_col="_copies")
+        if name == "dim_customers":
+            d = d.join(accepted.withColumn("_acc", F.lit(True)), key, "left")
+            complete = complete & F.col("_acc").isNotNull()
+        parts.append(_long(d.agg(F.sum("_copies").alias("rows_in"), F.count_if(complete).alias("rows_out")),
+                           name, ["rows_in", "rows_out"]))
+    customers = quality.clean_dimension(quality.orphan_filter(raw["dim_customers"], accepted), "customer_id")
     marker = customers.select("customer_id").withColumn("_valid", F.lit(True))
 
     tx = raw["fct_transactions"]
