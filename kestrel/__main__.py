@@ -15,7 +15,7 @@ from kestrel.config import DRIVER
 from kestrel.session import get_spark
 
 
-def main(argv: list[str] | None = None) -> int:
+def _parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="kestrel")
     ap.add_argument("command", choices=["load", "funnel", "experiment", "sessions", "export", "query"])
     ap.add_argument("name", nargs="?", help="query name for the 'query' command")
@@ -23,8 +23,21 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--out", help="warehouse folder (load) or mart folder (export)")
     ap.add_argument("--master", default=None)
     ap.add_argument("--rows", type=int, default=50, help="rows to show")
-    args = ap.parse_args(argv)
+    return ap
+
+
+def main(argv: list[str] | None = None) -> int:
+    args = _parser().parse_args(argv)
     spark = get_spark(args.master)
+    try:
+        return run(argv, spark)
+    finally:
+        spark.stop()
+
+
+def run(argv: list[str] | None, spark) -> int:
+    ap = _parser()
+    args = ap.parse_args(argv)
 
     from kestrel.operators import bootstrap, diagnostics, experiment, funnel, sessions
     from kestrel.plans import pipeline, reports
@@ -68,7 +81,6 @@ def main(argv: list[str] | None = None) -> int:
         if args.name not in REGISTRY:
             ap.error(f"unknown query {args.name!r}; one of: {', '.join(sorted(REGISTRY))}")
         REGISTRY[args.name](spark, sf).show(args.rows, truncate=False)
-    spark.stop()
     return 0
 
 

@@ -108,3 +108,11 @@ def test_pk_violation_fails_before_any_write(spark, tmp_dir):
     with pytest.raises(DataQualityError, match="fct_events.product_id: 1 foreign-key"):
         pipeline.load_to_warehouse(tables, wh)
     assert not os.path.exists(wh)
+
+
+def test_cli_query_and_funnel(spark, capsys):
+    from kestrel.__main__ import run
+    assert run(["query", "bounce_rate", "--sf", SF], spark) == 0
+    assert run(["funnel", "--sf", SF], spark) == 0
+    out = capsys.readouterr().out
+    assert "bounce_rate_pct" in out and "step_over_step_pct" in out
