@@ -41,7 +41,7 @@ def test_chi2_survival(spark, dof, staged):
     df = spark.createDataFrame([(0.5,), (3.0,), (11.0,)], "x double")
     out = with_chi2_survival(df, "x", dof, "q") if staged else df.select("x", chi2_survival(F.col("x"), dof).alias("q"))
     for r in out.collect():
-        x, h = r.x, r.x / 2
+        h = r.x / 2
         if dof % 2 == 0:
             exp = math.exp(-h) * sum(h ** i / math.factorial(i) for i in range(dof // 2))
         else:
