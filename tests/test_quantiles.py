@@ -33,3 +33,20 @@ def test_matches_spark_percentile(spark):
     mine = exact_percentiles(df, "v", [0.1, 0.5, 0.9], names=["a", "b", "c"]).collect()[0]
     ref = df.agg(F.percentile("v", [0.1, 0.5, 0.9]).alias("p")).collect()[0].p
     assert [mine.a, mine.b, mine.c] == pytest.approx(ref, rel=1e-12)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(vals=st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(-5, 5).map(lambda v: v / 4)),
+                     min_size=1, max_size=60),
+       parts=st.integers(1, 7))
+def test_percentiles_match_numpy_random(spark, vals, parts):
+    df = spark.createDataFrame(vals, "g string, v double")
+    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    got = {r.g: r for r in exact_percentiles(df, "v", probs, ["g"], partitions=parts).collect()}
+    for g in {x[0] for x in vals}:
+        exp = np.percentile([x[1] for x in vals if x[0] == g], [p * 100 for p in probs])
+        assert [got[g][i + 1] for i in range(len(probs))] == pytest.approx(list(exp), abs=1e-12)

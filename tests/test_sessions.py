@@ -102,3 +102,31 @@ def test_session_event_counts_add_up(spark):
     for gap in (30, 360):
         summ = sessions.session_summary(sessions.build_sessions(ev, gap))
         assert summ.agg(F.sum("n_events")).collect()[0][0] == ev.count()
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_EVENTS = st.lists(st.tuples(st.integers(0, 3), st.sampled_from([0, 10, 29, 30, 31, 45, 60, 90, 200, 400, 1441])),
+                   min_size=1, max_size=40)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(raw=_EVENTS, bucket=st.sampled_from(["7 minutes", "1 hour", "1 day"]))
+def test_sessions_match_brute_force(spark, raw, bucket):
+    base = dt.datetime(2024, 3, 1)
+    rows, t = [], {}
+    for i, (cust, step) in enumerate(raw):
+        t[cust] = t.get(cust, 0) + step  # cumulative minutes per customer, steps of 0 give ties
+        rows.append((i, cust, base + dt.timedelta(minutes=t[cust])))
+    df = spark.createDataFrame(rows, "event_id long, customer_id long, timestamp timestamp_ntz")
+    got = ids(sessions.build_sessions(df, 30, bucket=bucket))
+    exp = {}
+    for cust in {r[1] for r in rows}:
+        seq, prev = 0, None
+        for eid, _, ts in sorted([r for r in rows if r[1] == cust], key=lambda r: (r[2], r[0])):
+            if prev is None or ts - prev > dt.timedelta(minutes=30):
+                seq += 1
+            exp[eid] = f"{cust}-{seq}"
+            prev = ts
+    assert got == exp
