@@ -83,3 +83,15 @@ def test_revenue_per_converted(spark):
                                "customer_id long, refund_flag int, gross_revenue string") \
         .withColumn("gross_revenue", F.col("gross_revenue").cast("decimal(10,2)"))
     assert funnel.revenue_per_converted_customer(tx).collect()[0][0] == 22.5
+
+
+def test_bounce_only_customer_denominators(spark):
+    """T2: a bounce-only customer is absent from the reach table (dataframe
+    denominator) but counted in the SQL funnel's total_customers."""
+    from kestrel.plans.sql_queries import LIFECYCLE_FUNNEL
+    ev = spark.createDataFrame(EVENTS + [(6, "bounce"), (6, "bounce")], "customer_id long, event_type string")
+    assert funnel.customer_step_reach(ev, STEPS).count() == 5
+    ev.createOrReplaceTempView("fct_events")
+    row = spark.sql(LIFECYCLE_FUNNEL).collect()[0]
+    assert row.total_customers == 6 and row.view_count == 5 and row.purchase_count == 1
+    spark.catalog.dropTempView("fct_events")
