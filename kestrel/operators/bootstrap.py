@@ -33,6 +33,7 @@ from kestrel.operators.quantiles import global_ranks
 from kestrel.session import materialize as materialize_df
 
 CI_PROBS = (0.025, 0.5, 0.975)
+REPLICATE_BLOCK = 16  # replicates generated per row after the spreading shuffle
 
 
 def customer_matrix(counts: DataFrame, groups: Sequence[str] = EXPERIMENT_GROUPS) -> DataFrame:
@@ -130,9 +131,17 @@ def bootstrap_replicates(counts: DataFrame, groups: Sequence[str] = EXPERIMENT_G
         # draws) computes it once and cuts the lineage the draw stage depends on.
         indexed = materialize_df(indexed, "bootstrap-indexed-matrix")
     # Draw j of replicate r has id r*n + j; customer row j emits its n_boot draw ids,
-    # so draws are generated where the customers are, with no driver-side count.
-    draws = (indexed.select(F.col("idx").alias("_j"), F.col("n_customers").alias("_nc"))
-             .withColumn("rep", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_boot - 1).cast("long"))))
+    # so draws are generated from the customer rows, with no driver-side count. The
+    # generation is spread over the cluster independently of how the index is stored:
+    # each row first emits replicate blocks, the narrow (block, j) rows are hash-
+    # repartitioned (AQE sizes the partitions), and only then are replicates exploded.
+    n_blocks = -(-n_boot // REPLICATE_BLOCK)
+    blocks = (indexed.select(F.col("idx").alias("_j"), F.col("n_customers").alias("_nc"))
+              .withColumn("_blk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
+              .repartition("_blk", "_j"))
+    first = F.col("_blk") * F.lit(REPLICATE_BLOCK)
+    last = F.least(first + F.lit(REPLICATE_BLOCK - 1), F.lit(n_boot - 1).cast("long"))
+    draws = (blocks.withColumn("rep", F.explode(F.sequence(first, last)))
              .withColumn("_id", F.col("rep") * F.col("_nc") + F.col("_j")))
     draws = with_draw_hash(draws, "_id", seed, "_h", hash_method) \
         .select("rep", F.pmod(F.col("_h"), F.col("_nc")).alias("idx"))
