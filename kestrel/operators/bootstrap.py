@@ -106,6 +106,19 @@ def with_draw_hash(df: DataFrame, id_col: str, seed: int, out: str, method: str
     return df.withColumn(out, F.col("_hx0_2") * F.lit(2 ** 31) + F.col("_hx1_2")).drop(*names)
 
 
+def _spread_replicates(rows: DataFrame, key: str, n_boot: int) -> DataFrame:
+    """Each row once per replicate 0..n_boot-1 (column ``rep``). Rows first emit
+    blocks of REPLICATE_BLOCK replicates, the narrow (block, key) rows are hash-
+    repartitioned (AQE sizes the partitions), then replicates are exploded: the
+    n_boot-fold expansion runs on many tasks whatever the input partitioning."""
+    n_blocks = -(-n_boot // REPLICATE_BLOCK)
+    blocks = (rows.withColumn("_blk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
+              .repartition("_blk", key))
+    first = F.col("_blk") * F.lit(REPLICATE_BLOCK)
+    last = F.least(first + F.lit(REPLICATE_BLOCK - 1), F.lit(n_boot - 1).cast("long"))
+    return blocks.withColumn("rep", F.explode(F.sequence(first, last))).drop("_blk")
+
+
 def _lifts(sums: DataFrame, k: int) -> DataFrame:
     rate = [F.try_divide(F.col(f"x{i}").cast("double"), F.col(f"n{i}").cast("double")) for i in range(k)]
     return sums.select("rep", *[((rate[i] - rate[0]) * F.lit(100.0)).alias(f"lift_{i}") for i in range(1, k)])
@@ -135,14 +148,8 @@ def bootstrap_replicates(counts: DataFrame, groups: Sequence[str] = EXPERIMENT_G
     # generation is spread over the cluster independently of how the index is stored:
     # each row first emits replicate blocks, the narrow (block, j) rows are hash-
     # repartitioned (AQE sizes the partitions), and only then are replicates exploded.
-    n_blocks = -(-n_boot // REPLICATE_BLOCK)
-    blocks = (indexed.select(F.col("idx").alias("_j"), F.col("n_customers").alias("_nc"))
-              .withColumn("_blk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
-              .repartition("_blk", "_j"))
-    first = F.col("_blk") * F.lit(REPLICATE_BLOCK)
-    last = F.least(first + F.lit(REPLICATE_BLOCK - 1), F.lit(n_boot - 1).cast("long"))
-    draws = (blocks.withColumn("rep", F.explode(F.sequence(first, last)))
-             .withColumn("_id", F.col("rep") * F.col("_nc") + F.col("_j")))
+    base = indexed.select(F.col("idx").alias("_j"), F.col("n_customers").alias("_nc"))
+    draws = _spread_replicates(base, "_j", n_boot).withColumn("_id", F.col("rep") * F.col("_nc") + F.col("_j"))
     draws = with_draw_hash(draws, "_id", seed, "_h", hash_method) \
         .select("rep", F.pmod(F.col("_h"), F.col("_nc")).alias("idx"))
     side = indexed.select("idx", *value_cols)
@@ -177,8 +184,7 @@ def _poisson(matrix: DataFrame, k: int, n_boot: int, seed: int) -> DataFrame:
         weight = F.when(u < F.lit(c), F.lit(m)) if weight is None else weight.when(u < F.lit(c), F.lit(m))
     weight = weight.otherwise(F.lit(len(cdf)))
     value_cols = [c for i in range(k) for c in (f"n{i}", f"x{i}")]
-    exploded = matrix.withColumn("rep", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                             F.lit(n_boot - 1).cast("bigint"))))
+    exploded = _spread_replicates(matrix, "customer_id", n_boot)
     exploded = exploded.withColumn("_u", bits.cast("double") / F.lit(float(2 ** 63)))
     weighted = exploded.withColumn("_wt", weight).filter(F.col("_wt") > 0)
     sums = weighted.groupBy("rep").agg(*[F.sum(F.col(c) * F.col("_wt")).alias(c) for c in value_cols])
