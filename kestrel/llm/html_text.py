@@ -185,11 +185,28 @@ TABLE = (
      (1, f"<p>{_LONG}</p></div>"), (0, f'<div class="sidebar"><h3>Popular</h3><ul><li><a href="/p">The best soups</a></li></ul><p>{_LONG}</p></div>'),
      (0, '<form><label>Search</label><p>Type a word to search our archive of old news.</p></form>'), (0, '<div class="footer">Imprint and terms of use</div>')),
     ((0, '<ul><li><a href="/1">One</a></li><li><a href="/2">Two</a></li></ul>'), (1, f"<p>{_LONG * 2}</p>"), (1, f"<p>{_LONG}</p>"), (1, "<p>The end of a short line.</p>"),
-     (1, f"<p>{_LONG}</p>"), (0, '<p><a href="/next">Next page</a></p>'), (0, "<p>Terms</p>")),
+     (1, f"<p>{_LONG}</p>"), (0, '<p><a href="/next">Next page</a></p>')),
     # an article in pieces with a promotion between them
     ((0, "<header><p>The daily news of the whole region</p></header>"), (1, "<article><p>Short first line.</p>"), (0, '<div class="promo"><p>Subscribe now for a month of free news at home.</p></div>'),
      (1, "<p>Then another.</p>"), (1, f'<p><a href="/all">The whole of this line is one link to the source of the story</a></p>'), (1, f"<p>{_LONG}</p></article>"),
      (0, '<div id="related"><p>Read also this other story of ours.</p></div>')),
+    # pages that break off inside the article
+    ((0, '<nav><a href="/a">Home</a></nav>'), (1, "<article><h1>Snow</h1>"), (1, f"<p>{_LONG}</p>"), (1, "<p>It melts.</p>"), (1, f"<p>{_LONG}")),
+    ((0, '<div class="banner">Big sale of shoes this week only.</div>'), (1, "<article><h1>Rain again today</h1>"), (1, "<p>Wet.</p>")),
+    ((0, "<header><a href='/'>Start</a></header>"), (1, f"<main><p>{_LONG}</p>"), (1, "<p>And so on.</p>"), (1, f"<p>{_LONG * 2}</p>"), (1, "<p>The end</p></main>")),
+    ((1, "<article><h1>Only a title</h1></article>"), (0, "<footer>Imprint</footer>")),
+    ((1, "<article><p>One line of text without any title here.</p></article>"), (0, '<div class="share">Share this with all of your friends today</div>')),
+    # no names, the text last; headings and short lines between long ones
+    ((0, '<div><a href="/">Front page</a></div>'), (0, '<div><a href="/w">Weather</a> <a href="/t">Traffic</a></div>'), (1, "<h1>The new road is open</h1>"), (1, f"<p>{_LONG}</p>"),
+     (1, "<p>Nobody complained.</p>"), (1, f"<p>{_LONG * 2}</p>"), (1, f"<p>{_LONG}</p>")),
+    ((0, '<ul><li><a href="/1">First</a></li><li><a href="/2">Second</a></li><li><a href="/3">Third</a></li></ul>'), (1, f"<p>{_LONG}</p>"), (1, "<h2>Second part</h2>"),
+     (1, f"<p>{_LONG}</p>"), (1, f"<p>{_LONG}</p>"), (0, '<p><a href="/back">Back to the list of all stories</a></p>')),
+    # text in sections and tables, menus that are lists of short links
+    ((0, '<div id="menu"><p>Welcome to this site of many stories</p></div>'), (1, f"<section><h2>First part</h2><p>{_LONG}</p></section>"),
+     (1, f"<section><h2>Last part</h2><p>{_LONG}</p><p>{_LONG}</p></section>"), (0, "<div role='contentinfo'>All rights reserved by the house</div>")),
+    ((0, '<table><tr><td><a href="/1">News</a></td><td><a href="/2">Mail</a></td></tr></table>'), (1, f"<table><tr><td><p>{_LONG}</p><p>{_LONG * 2}</p></td></tr></table>"),
+     (0, '<table><tr><td><a href="/3">Terms of use</a></td><td><a href="/4">Help</a></td></tr></table>')),
+    ((0, f'<div class="comment"><p>{_LONG}</p></div>'), (0, f'<div id="replies"><p>{_LONG * 2}</p><p>No.</p></div>'), (0, "<footer><p>Contact the office by mail.</p></footer>")),
 )
 
 

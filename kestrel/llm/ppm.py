@@ -3,7 +3,7 @@
 Text becomes its words (A-Z lower-cased) joined by one space and closed by an end symbol.
 The byte-context trie holds, per context of up to ORDER bytes, how often each byte followed
 it in all training texts. A byte is coded in the longest known context; one not seen
-there costs an escape (method C: distinct followers against all occurrences) and is coded in the next
+there costs an escape (method D: every distinct follower gives up half a count) and is coded in the next
 shorter context, where the bytes the longer context had seen are excluded, since they
 would have been coded there; after the empty context every other symbol is equally likely.
 
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from kestrel.llm.common import byte_texts, map_arrow
 from kestrel.session import materialize
 
-ORDER, STATES, FREQUENT = 4, 16_384, 50_000
+ORDER, STATES, FREQUENT = 5, 65_536, 50_000
 FOLDS, HELD = 7, 2
 END, SPACE = 10, 32
 #: Bytes that can follow: white space other than the separator cannot, and END closes the text.
@@ -107,16 +107,17 @@ def _counted(batches):
 
 @dataclass
 class Automaton:
-    """logp[state, symbol column] and follow[state, symbol column]; state 0 is the empty context.
-    The last column is padding: it costs nothing and leads nowhere."""
+    """logp[state, column] and follow[state, column]; state 0 is the empty context. ``columns`` gives
+    a byte's column; all bytes that training never saw share one. The last column is padding: it
+    costs nothing and leads nowhere."""
     logp: np.ndarray
     follow: np.ndarray
-    start: int
+    columns: np.ndarray
 
     def scores(self, sequences: list[bytes]) -> np.ndarray:
         """log10 probability of each sequence, all of them block by block in parallel."""
         lead = bytes([END]) * ORDER
-        data = _COLUMN[np.frombuffer(b"".join(lead + s for s in sequences), np.uint8)]
+        data = self.columns[np.frombuffer(b"".join(lead + s for s in sequences), np.uint8)]
         size = np.array([len(s) for s in sequences])
         first = np.r_[0, np.cumsum(size + ORDER)[:-1]]  # of each text's lead
         blocks = -(-size // _BLOCK)
@@ -137,59 +138,55 @@ class Automaton:
         return np.bincount(doc, total, minlength=len(size))
 
 
-_COLUMN = np.zeros(256, np.uint8)
-_COLUMN[SYMBOLS] = np.arange(len(SYMBOLS))
+def _coded(n, total, kinds, complete):
+    """Method D: probability of a symbol seen ``n`` times, and of the escape."""
+    size = np.maximum(2 * total, 1)
+    return np.where(complete, n / np.maximum(total, 1), (2 * n - 1) / size), np.where(complete, 0.0, np.where(kinds == 0, 1.0, kinds / size))
 
 
 def compile_trie(nodes: list[tuple[int, int]], counts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Automaton:
     """From the kept contexts (order, packed bytes), closed under prefix and suffix, and their
     (node, symbol, n)."""
-    if not nodes:
-        nodes = [(0, 0)]
+    nodes = nodes or [(0, 0)]
+    who, symbol, n = counts
+    seen_bytes, alphabet = np.unique(symbol), len(SYMBOLS)
+    columns = np.full(256, len(seen_bytes), np.uint16)
+    columns[seen_bytes] = np.arange(len(seen_bytes))
+    width = len(seen_bytes) + 1
     nodes_at = {x: i for i, x in enumerate(nodes)}
-    width = len(SYMBOLS)
     order = np.array([o for o, _ in nodes])
-    context = np.array([c for _, c in nodes], np.int64)
-    parent = np.array([nodes_at[(o - 1, int(_masked(c, o - 1)))] if o else 0 for o, c in nodes])
+    parent = np.array([nodes_at[(o - 1, _masked(c, o - 1))] if o else 0 for o, c in nodes])
     count = np.zeros((len(nodes), width), np.float32)
-    who, symbol, n = counts
-    count[who, _COLUMN[symbol]] = n
+    count[who, columns[symbol]] = n
     logp = np.zeros((len(nodes), width + 1), np.float32)
     follow = np.zeros((len(nodes), width + 1), np.uint16 if len(nodes) <= 65_536 else np.int32)
     free = np.empty((len(nodes), 1))  # escape probability of a context with nothing excluded
     for level in range(ORDER + 1):
-        for rows in np.array_split(np.flatnonzero(order == level), max(1, int(np.count_nonzero(order == level)) // 2048)):
-            if not len(rows):
-                continue
+        at_level = np.flatnonzero(order == level)
+        for rows in np.array_split(at_level, len(at_level) // 2048 + 1):
             own = count[rows].astype(np.float64)
             seen = own > 0
-            total, kinds = own.sum(1, keepdims=True), seen.sum(1, keepdims=True)
-            free[rows] = np.where(kinds == width, 0.0, kinds / np.maximum(total + kinds, 1))
-            free[rows] = np.where(kinds == 0, 1.0, free[rows])
-            p = np.where(seen, own / np.maximum(np.where(kinds == width, total, total + kinds), 1), 0.0)
+            kinds = seen.sum(1, keepdims=True)
+            p, free[rows] = _coded(own, own.sum(1, keepdims=True), kinds, kinds == alphabet)
             if level == 0:
-                rest = np.where(seen, 0.0, 1.0 / np.maximum(width - kinds, 1))
+                rest = 1.0 / np.maximum(alphabet - kinds, 1)
             else:  # the shorter context without the symbols seen here, then what lies below it
                 up = parent[rows]
                 other = np.where(seen, 0.0, count[up].astype(np.float64))
-                o_seen = other > 0
-                o_total, o_kinds = other.sum(1, keepdims=True), o_seen.sum(1, keepdims=True)
-                o_all = o_total + o_kinds
-                complete = (o_kinds + kinds) == width  # nothing is left to escape to
-                escape = np.where(complete, 0.0, np.where(o_kinds == 0, 1.0, o_kinds / np.maximum(o_all, 1)))
+                o_kinds = (other > 0).sum(1, keepdims=True)
+                coded, escape = _coded(other, other.sum(1, keepdims=True), o_kinds, o_kinds + kinds == alphabet)
                 below = 10.0 ** logp[up, :width].astype(np.float64) / np.maximum(free[up], 1e-300)
-                rest = np.where(o_seen, other / np.maximum(np.where(complete, o_total, o_all), 1), escape * below)
-            p = np.where(seen, p, free[rows] * rest)
-            logp[rows, :width] = np.log10(np.maximum(p, 1e-37))
+                rest = np.where(other > 0, coded, escape * below)
+            logp[rows, :width] = np.log10(np.maximum(np.where(seen, p, free[rows] * rest), 1e-37))
     for level in range(ORDER + 1):
         rows = np.flatnonzero(order == level)
         if level:
             follow[rows, :width] = follow[parent[rows], :width]
         for i in np.flatnonzero(order == level + 1).tolist():
-            before = nodes_at.get((level, int(context[i]) >> 8))
+            before = nodes_at.get((level, nodes[i][1] >> 8))
             if before is not None:
-                follow[before, _COLUMN[int(context[i]) & 255]] = i
-    return Automaton(logp, follow, 0)
+                follow[before, columns[nodes[i][1] & 255]] = i
+    return Automaton(logp, follow, columns)
 
 
 def train_trie(texts: DataFrame, states: int = STATES) -> Automaton:
@@ -230,12 +227,12 @@ def adaptive_code_length(text: bytes | None, order: int = ORDER) -> float:
             own = {s: n for s, n in seen.items() if s not in excluded}
             if not own:
                 continue
-            complete = len(own) + len(excluded) == len(SYMBOLS)
-            size = sum(own.values()) + (0 if complete else len(own))
+            size = sum(own.values())
             if symbol in own:
-                total += math.log10(own[symbol] / size)
+                complete = len(own) + len(excluded) == len(SYMBOLS)
+                total += math.log10(own[symbol] / size if complete else (2 * own[symbol] - 1) / (2 * size))
                 break
-            total += math.log10(len(own) / size)
+            total += math.log10(len(own) / (2 * size))
             excluded |= own.keys()
         else:
             total -= math.log10(len(SYMBOLS) - len(excluded))

@@ -78,10 +78,10 @@ def op10(spark, sf):
     return chat.format_conversations(read_table(spark, sf, "conversations"))
 
 
-_WORDS = "list_filter(regexp_split_to_array({}, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
+_WORDS = "list_filter(regexp_split_to_array({}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SHINGLES = ("SELECT DISTINCT {id}, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] "
-             "ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s FROM "
+             "ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM "
              f"(SELECT {{id}}, {_WORDS.format(_LOWER)} AS w FROM {{table}} WHERE text IS NOT NULL)")
 
 ORACLE["op1_decontamination"] = f"""
@@ -92,16 +92,16 @@ SELECT doc_id, item_id, n AS n_item_shingles, k AS n_shared, k / n AS containmen
 
 ORACLE["op3_quality_rules"] = f"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {_WORDS.format("coalesce(text, '')")} AS w,
-                  list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines FROM documents),
+                  list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines FROM documents),
 win AS (SELECT r, p, array_to_string(w[p:p + 7], ' ') AS s FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS p FROM t)),
 rep AS (SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY r, s) AS c FROM win) WHERE c > 1),
 cov AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(p, p + 8)) AS q FROM rep) GROUP BY r),
-m AS (SELECT doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, x -> length(x))), 0) AS BIGINT) AS word_chars,
+m AS (SELECT doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
              CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
              len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines,
              length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS n_upper,
              length(text) - length(regexp_replace(text, '[A-Za-z]', '', 'g')) AS n_letters,
-             len(list_filter(w, x -> regexp_matches(x, '[A-Za-z]|[^\\x00-\\x7F]'))) AS n_alpha,
+             len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\\x00-\\x7F]'))) AS n_alpha,
              length(text) - length(replace(text, '!', '')) AS n_exclaim
       FROM t LEFT JOIN cov USING (r)),
 f AS (SELECT *, CAST((n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
