@@ -5,5 +5,5 @@ Every operator is a DataFrame -> DataFrame function built from built-in
 verdict of a data contract.
 """
 
-from kestrel.config import DEFAULTS, Profile  # noqa: F401
+from kestrel.config import Profile  # noqa: F401
 from kestrel.session import checkpoint_dir, get_spark  # noqa: F401

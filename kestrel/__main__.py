@@ -68,7 +68,7 @@ def run(argv: list[str] | None, spark) -> int:
                                p.groups).orderBy("cmp_idx").show(truncate=False)
     elif args.command == "sessions":
         ev = star.fct_events(spark, sf)
-        summary = sessions.session_summary(sessions.build_sessions(ev, p.gap_minutes, bucket=p.session_bucket))
+        summary = sessions.session_summary(sessions.build_sessions(ev, p.gap_minutes))
         sessions.session_counts(ev, summary).show(truncate=False)
         diagnostics.session_describe(summary).show(truncate=False)
     elif args.command == "export":

@@ -3,21 +3,21 @@
 Exact resampling (``method="draws"``): each replicate draws n customers with
 replacement, sums their per-arm (events, successes), and takes rate
 differences. Draw j of replicate r is ``idx = h(seed, r*n + j) mod n`` with a
-deterministic hash, so a lost task recomputes the same draws, and the DuckDB
-oracle reproduces them bit for bit (integer hash, see ``with_draw_hash``).
-
-Plan: the customer matrix gets a dense index 0..n-1 by customer_id through a
-distributed prefix sum (no single-task row_number); draws join the matrix on
-the index - the matrix is broadcast only when its measured size is under the threshold
-(AQE at run time, or an explicit row-count check with ``broadcast_limit_bytes``),
-otherwise draws and matrix meet in a sort-merge join on the uniformly hashed
-index; a partial aggregation by replicate leaves a few rows per task. Draws
-are generated from the customer rows themselves (customer j emits its n_boot
-draw ids), so no count is taken on the driver.
-
-``method="poisson"`` is the scale path with no index and no join: every
-customer gets a Poisson(1) weight per replicate (inverse CDF on a hash
-uniform). Replicate sizes are then random, so it is labelled separately.
+deterministic integer hash, so a lost task recomputes the same draws, and the DuckDB
+oracle reproduces them bit for bit (see ``draw_hash``).
+
+Plan: the customer matrix gets a dense index 0..n-1 by customer_id (no single-task
+row_number). No draw is ever a row: replicates are dealt over tasks, each
+makes its draws as arrays and adds up the matrix rows they hit, so what moves is
+one row per replicate. For that every task needs the matrix, which is
+broadcast after its row count was checked against ``MATRIX_BYTES``; a larger matrix is
+taken in index ranges of that size (the same draws, each range adding its
+part), so no broadcast grows with the data and the result does not change.
+
+``method="poisson"`` is the method for very many customers: every customer gets a
+Poisson(1) weight per replicate (inverse CDF of the same hash), computed where the
+customer is, in one pass without index or join; tasks pass on one row of sums
+per replicate. Replicate sizes are then random, so it is labelled separately.
 """
 
 from __future__ import annotations
@@ -25,15 +25,19 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.config import BOOTSTRAP_SEED, EXPERIMENT_GROUPS, N_BOOTSTRAP
-from kestrel.operators.quantiles import global_ranks
-from kestrel.session import materialize as materialize_df
+from kestrel.operators.quantiles import dense_index
+from kestrel.session import materialize
 
 CI_PROBS = (0.025, 0.5, 0.975)
-REPLICATE_BLOCK = 16  # replicates generated per row after the spreading shuffle
+#: The matrix (or range of it) that is broadcast: at most this many bytes.
+MATRIX_BYTES = 64 << 20
+DRAWS_AT_ONCE = 1 << 18
 
 
 def customer_matrix(counts: DataFrame, groups: Sequence[str] = EXPERIMENT_GROUPS) -> DataFrame:
@@ -48,11 +52,8 @@ def customer_matrix(counts: DataFrame, groups: Sequence[str] = EXPERIMENT_GROUPS
 
 
 def indexed_matrix(matrix: DataFrame) -> DataFrame:
-    """Adds ``idx`` = rank of customer_id (0-based) and ``n_customers`` via a
-    range-partitioned prefix sum (no single-task row_number)."""
-    base = matrix.withColumn("_w", F.lit(1).cast("long")).withColumn("_g", F.lit(0))
-    out = global_ranks(base, "customer_id", "_w", ["_g"])
-    return out.withColumnRenamed("_before", "idx").withColumnRenamed("_n", "n_customers").drop("_w", "_g")
+    """Adds ``idx`` = rank of customer_id (0-based) and ``n_customers``."""
+    return dense_index(matrix, ["customer_id"], "idx", "n_customers")
 
 
 # Fixed constants of the draw hash: two chains, each (prime below 2^31,
@@ -63,60 +64,19 @@ DRAW_CHAINS = (
 )
 
 
-def _chain(id_name: str, prime: int, first, rounds) -> list:
-    """Each round is one column referring to the previous one exactly once:
+def draw_hash(ids: np.ndarray, seed: int) -> np.ndarray:
+    """Non-negative 62-bit hash of (seed, id) for ids >= 0. Each chain:
     t0 = (id mod p * a + (id div p) * a_hi + b) mod p, then
     t' = ((t XOR k) * a + b) mod p. Operands stay below 2^31 (id div p below
-    2^32), products below 2^63: no overflow under ANSI, identical bits in any
-    engine with 64-bit integers."""
-    a, a_hi, b = first
-    p = F.lit(prime)
-    id_col = F.col(id_name)
-    t0 = F.pmod(F.pmod(id_col, p) * F.lit(a) + F.expr(f"`{id_name}` div {prime}") * F.lit(a_hi) + F.lit(b), p)
-
-    def step(k, a_r, b_r):
-        return lambda t: F.pmod(t.bitwiseXOR(F.lit(k)) * F.lit(a_r) + F.lit(b_r), p)
-    return [t0, *[step(*r) for r in rounds]]
-
-
-def with_draw_hash(df: DataFrame, id_col: str, seed: int, out: str, method: str = "mix") -> DataFrame:
-    """Adds ``out`` = non-negative hash of (seed, id) for id >= 0: ``mix``
-    (default; 62 bits, reproducible in any SQL engine), ``md5`` (48 bits of
-    md5 text) or ``xxhash64``."""
-    i = F.col(id_col)
-    if method == "md5":
-        hexed = F.substring(F.md5(F.concat_ws("-", F.lit(str(seed)), i.cast("string"))), 1, 12)
-        return df.withColumn(out, F.conv(hexed, 16, 10).cast("bigint"))
-    if method == "xxhash64":
-        return df.withColumn(out, F.xxhash64(F.lit(seed), i).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF)))
-    if method != "mix":
-        raise ValueError(method)
-    df = df.withColumn("_hx_sid", i + F.lit(seed * 7919))
-    names = ["_hx_sid"]
-    for c, (prime, first_round, rounds) in enumerate(DRAW_CHAINS):
-        first, *rest = _chain("_hx_sid", prime, first_round, rounds)
-        name = f"_hx{c}_0"
-        df = df.withColumn(name, first)
-        for r, fn in enumerate(rest, start=1):
-            nxt = f"_hx{c}_{r}"
-            df = df.withColumn(nxt, fn(F.col(name)))
-            names.append(name)
-            name = nxt
-        names.append(name)
-    return df.withColumn(out, F.col("_hx0_2") * F.lit(2 ** 31) + F.col("_hx1_2")).drop(*names)
-
-
-def _spread_replicates(rows: DataFrame, key: str, n_boot: int) -> DataFrame:
-    """Each row once per replicate 0..n_boot-1 (column ``rep``). Rows first emit
-    blocks of REPLICATE_BLOCK replicates, the narrow (block, key) rows are hash-
-    repartitioned (AQE sizes the partitions), then replicates are exploded: the
-    n_boot-fold expansion runs on many tasks whatever the input partitioning."""
-    n_blocks = -(-n_boot // REPLICATE_BLOCK)
-    blocks = (rows.withColumn("_blk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
-              .repartition("_blk", key))
-    first = F.col("_blk") * F.lit(REPLICATE_BLOCK)
-    last = F.least(first + F.lit(REPLICATE_BLOCK - 1), F.lit(n_boot - 1).cast("long"))
-    return blocks.withColumn("rep", F.explode(F.sequence(first, last))).drop("_blk")
+    2^32), products below 2^63: identical bits in any engine with 64-bit integers."""
+    ids = ids.astype(np.int64) + seed * 7919
+    out = np.zeros(len(ids), np.int64)
+    for prime, (a, a_hi, b), rounds in DRAW_CHAINS:
+        t = (ids % prime * a + ids // prime * a_hi + b) % prime
+        for k, a_r, b_r in rounds:
+            t = ((t ^ k) * a_r + b_r) % prime
+        out = out * 2 ** 31 + t
+    return out
 
 
 def _lifts(sums: DataFrame, k: int) -> DataFrame:
@@ -124,46 +84,65 @@ def _lifts(sums: DataFrame, k: int) -> DataFrame:
     return sums.select("rep", *[((rate[i] - rate[0]) * F.lit(100.0)).alias(f"lift_{i}") for i in range(1, k)])
 
 
+def _value_columns(k: int) -> list[str]:
+    return [c for i in range(k) for c in (f"n{i}", f"x{i}")]
+
+
+def _sum_schema(k: int) -> str:
+    return "rep bigint, " + ", ".join(f"{c} bigint" for c in _value_columns(k))
+
+
+def _sum_batch(reps: np.ndarray, sums: np.ndarray, k: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(reps), *(pa.array(np.ascontiguousarray(c)) for c in sums.T)],
+                                      names=["rep", *_value_columns(k)])
+
+
 def bootstrap_replicates(counts: DataFrame, groups: Sequence[str] = EXPERIMENT_GROUPS,
                          n_boot: int = N_BOOTSTRAP, seed: int = BOOTSTRAP_SEED,
-                         method: str = "draws", hash_method: str = "mix",
-                         broadcast_limit_bytes: int | None = None, materialize: bool = True) -> DataFrame:
+                         method: str = "draws", matrix_bytes: int = MATRIX_BYTES) -> DataFrame:
     """One row per replicate: rep, lift_1..lift_{k-1} (percentage points vs arm 0).
     A replicate that drew no events of an arm has a NULL lift."""
     k = len(groups)
     matrix = customer_matrix(counts, groups)
-    value_cols = [c for i in range(k) for c in (f"n{i}", f"x{i}")]
     if method == "poisson":
-        return _poisson(matrix, k, n_boot, seed)
+        return _lifts(_poisson_sums(matrix, k, n_boot, seed), k)
     if method != "draws":
         raise ValueError(method)
-    indexed = indexed_matrix(matrix)
-    if materialize:
-        # Both the draw generator and the join side read the indexed matrix; writing it
-        # once to the shared folder (one row per customer, small next to the n_boot * n
-        # draws) computes it once and cuts the lineage the draw stage depends on.
-        indexed = materialize_df(indexed, "bootstrap-indexed-matrix")
-    # Draw j of replicate r has id r*n + j; customer row j emits its n_boot draw ids,
-    # so draws are generated from the customer rows, with no driver-side count. The
-    # generation is spread over the cluster independently of how the index is stored:
-    # each row first emits replicate blocks, the narrow (block, j) rows are hash-
-    # repartitioned (AQE sizes the partitions), and only then are replicates exploded.
-    base = indexed.select(F.col("idx").alias("_j"), F.col("n_customers").alias("_nc"))
-    draws = _spread_replicates(base, "_j", n_boot).withColumn("_id", F.col("rep") * F.col("_nc") + F.col("_j"))
-    draws = with_draw_hash(draws, "_id", seed, "_h", hash_method) \
-        .select("rep", F.pmod(F.col("_h"), F.col("_nc")).alias("idx"))
-    side = indexed.select("idx", *value_cols)
-    if broadcast_limit_bytes is not None:
-        # explicit size check: only when the caller asks for a hard bound (counts the customers)
-        row_bytes = 8 * (len(value_cols) + 1) + 16
-        n = matrix.count()
-        if n * row_bytes <= broadcast_limit_bytes:
-            side = F.broadcast(side)
-    # otherwise AQE measures the materialised matrix and broadcasts it only under
-    # spark.sql.adaptive.autoBroadcastJoinThreshold; above that it stays a sort-merge join
-    joined = draws.join(side, "idx", "inner")
-    sums = joined.groupBy("rep").agg(*[F.sum(c).alias(c) for c in value_cols])
-    return _lifts(sums, k)
+    return _lifts(_draw_sums(matrix, k, n_boot, seed, matrix_bytes), k)
+
+
+def _draw_sums(matrix: DataFrame, k: int, n_boot: int, seed: int, matrix_bytes: int) -> DataFrame:
+    spark, values = matrix.sparkSession, _value_columns(k)
+    indexed = materialize(indexed_matrix(matrix), "bootstrap-indexed-matrix")
+    n = indexed.count()
+    tasks = min(n_boot, 4 * spark.sparkContext.defaultParallelism)
+    step = max(1, matrix_bytes // (8 * len(values)))
+    parts = None
+    for low in range(0, n, step):
+        own = indexed.where((F.col("idx") >= low) & (F.col("idx") < low + step)).select("idx", *values).toArrow()  # <= matrix_bytes
+        rows = np.zeros((min(step, n - low), len(values)), np.int64)
+        rows[own.column("idx").to_numpy() - low] = np.column_stack([own.column(c).to_numpy() for c in values])
+        shared = spark.sparkContext.broadcast(rows)
+
+        def add(batches, low=low, shared=shared):
+            m = shared.value
+            for batch in batches:
+                reps = batch.column(0).to_numpy()
+                sums = np.zeros((len(reps), len(values)), np.int64)
+                for i, rep in enumerate(reps.tolist()):
+                    for start in range(0, n, DRAWS_AT_ONCE):
+                        ids = rep * n + np.arange(start, min(n, start + DRAWS_AT_ONCE), dtype=np.int64)
+                        at = draw_hash(ids, seed) % n - low
+                        if len(m) < n:
+                            at = at[(at >= 0) & (at < len(m))]
+                        sums[i] += np.bincount(at, minlength=len(m)) @ m
+                yield _sum_batch(reps, sums, k)
+
+        part = spark.range(0, n_boot, 1, tasks).select(F.col("id").alias("rep")).mapInArrow(add, _sum_schema(k))
+        parts = part if parts is None else parts.unionByName(part)
+    if parts is None:
+        return spark.range(n_boot).select(F.col("id").alias("rep"), *[F.lit(0).cast("bigint").alias(c) for c in values])
+    return parts if n <= step else parts.groupBy("rep").agg(*[F.sum(c).alias(c) for c in values])
 
 
 # Poisson(1) CDF: P(K <= m) = e^-1 * sum_{i<=m} 1/i!, tabulated by rule up to where it reaches 1.
@@ -175,20 +154,27 @@ def _poisson_cdf(max_k: int = 20) -> list[float]:
     return out
 
 
-def _poisson(matrix: DataFrame, k: int, n_boot: int, seed: int) -> DataFrame:
-    bits = F.xxhash64(F.lit(seed), F.col("customer_id"), F.col("rep")).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
-    u = F.col("_u")  # its own column, so the CASE below does not repeat the hash
-    weight = None
-    cdf = _poisson_cdf()
-    for m, c in enumerate(cdf):
-        weight = F.when(u < F.lit(c), F.lit(m)) if weight is None else weight.when(u < F.lit(c), F.lit(m))
-    weight = weight.otherwise(F.lit(len(cdf)))
-    value_cols = [c for i in range(k) for c in (f"n{i}", f"x{i}")]
-    exploded = _spread_replicates(matrix, "customer_id", n_boot)
-    exploded = exploded.withColumn("_u", bits.cast("double") / F.lit(float(2 ** 63)))
-    weighted = exploded.withColumn("_wt", weight).filter(F.col("_wt") > 0)
-    sums = weighted.groupBy("rep").agg(*[F.sum(F.col(c) * F.col("_wt")).alias(c) for c in value_cols])
-    return _lifts(sums, k)
+def _poisson_sums(matrix: DataFrame, k: int, n_boot: int, seed: int) -> DataFrame:
+    """Per replicate the weighted sums: each task adds up its customers for all
+    replicates, then n_boot rows per task are summed. The weight of customer c in
+    replicate r is the Poisson quantile of h(seed, c * n_boot + r) / 2^62."""
+    values = _value_columns(k)
+    cdf = np.floor(np.array(_poisson_cdf()) * 2.0 ** 62).astype(np.int64)  # thresholds on the 62-bit hash
+
+    def add(batches):
+        sums = np.zeros((n_boot, len(values)), np.int64)
+        for batch in batches:
+            ids = batch.column(0).to_numpy().astype(np.int64)
+            m = np.column_stack([batch.column(i + 1).to_numpy() for i in range(len(values))])
+            for start in range(0, len(ids), 256):
+                block = ids[start:start + 256]
+                draw = draw_hash((block[:, None] * n_boot + np.arange(n_boot)).ravel(), seed)
+                weight = np.searchsorted(cdf, draw, side="right").reshape(len(block), n_boot)
+                sums += weight.T @ m[start:start + 256]
+        yield _sum_batch(np.arange(n_boot), sums, k)
+
+    return (matrix.select("customer_id", *values).mapInArrow(add, _sum_schema(k))
+            .groupBy("rep").agg(*[F.sum(c).alias(c) for c in values]))
 
 
 def bootstrap_ci(replicates: DataFrame, groups: Sequence[str] = EXPERIMENT_GROUPS) -> DataFrame:

@@ -1,26 +1,31 @@
 """Sessions derived from timestamps, and the per-customer event gap.
 
 A plain ``Window.partitionBy(customer)`` sends a customer's whole history to one
-task; one customer may hold a third of all rows, so that window is not used.
-Instead the history is split into (customer, time bucket) groups:
-
-1. Window per (customer, bucket) ordered by time: the previous event inside the
-   bucket and a running count of session starts inside it.
-2. A bucket summary (first/last time, starts) - one row per active bucket, and
-   a hot customer has at most span/bucket-width of them - is windowed per
-   customer to get, for each bucket, the last time of the previous active
-   bucket and the number of sessions started before it.
-3. Join back on (customer, bucket). The event side is already hash-partitioned
-   on those keys by step 1, so only the summary is shuffled.
-
-Correctness does not depend on the bucket width; the width only bounds the
-largest task. Session rule: a new session starts at a customer's first event or
+task; one customer may hold a third of all rows, so no window over a customer
+is used. Instead the events are range-partitioned and sorted by (customer, time)
+once - a hot customer is cut wherever the range bounds fall - and linked while
+they stream through the sorted partition: each event gets the previous time and
+the number of sessions its customer has started in this partition. The linked
+events are written once with their partition id. What is missing concerns only the
+first customer of each partition: one row per partition (its first and last event)
+says whether the partition before ends with the same customer, and how many
+sessions that customer had by then; a join on the partition id adds it.
+
+So the events are scanned and shuffled once, and no join or window is as large as
+the events. The result does not depend on where partitions are cut.
+
+Session rule: a new session starts at a customer's first event or
 when the gap to the previous event is strictly greater than the threshold; equal
-timestamps never open a session, so ids do not depend on tie order.
+timestamps never open a session, so ids do not depend on tie order. An event
+without a time sorts first and opens or closes no gap.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,18 +33,9 @@ from pyspark.sql import types as T
 from kestrel.config import SESSION_GAP_MINUTES
 from kestrel.functions.rounding import round_np
 from kestrel.operators.common import one_row
+from kestrel.session import materialize
 
 US_PER_MINUTE = 60_000_000
-_UNITS_US = {"second": 1_000_000, "minute": US_PER_MINUTE, "hour": 60 * US_PER_MINUTE,
-             "day": 24 * 60 * US_PER_MINUTE}
-
-
-def interval_us(spec: str) -> int:
-    """'1 hour' -> microseconds."""
-    n, unit = spec.split()
-    return int(float(n) * _UNITS_US[unit.rstrip("s").lower()])
-
-
 def micros(df: DataFrame, ts_col: str) -> Column:
     """Microseconds since 1970-01-01 without time-zone shifts (NTZ stays wall-clock)."""
     dtype = df.schema[ts_col].dataType
@@ -51,49 +47,78 @@ def micros(df: DataFrame, ts_col: str) -> Column:
                   f"to_timestamp_ntz(`{ts_col}`))")
 
 
+def _link_sorted(customer: str, gap_us: int):
+    """Over the rows of one sorted partition: ``_prev`` (previous time of the customer in it), ``_seq``
+    (sessions started by its customer in it, from 1; from 0 for the partition's first
+    customer, whose history may begin earlier), ``_head`` (is it that customer), ``_pid``, ``_pos``."""
+    def run(batches):
+        pid, pos, runs, carry = TaskContext.get().partitionId(), 0, 0, None  # carry: customer, time, seq
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            who = batch.column(batch.schema.get_field_index(customer))
+            us = batch.column(batch.schema.get_field_index("_us"))
+            timed, time = us.is_valid().to_numpy(zero_copy_only=False), pc.fill_null(us, 0).to_numpy()
+            code = pc.dictionary_encode(who, null_encoding="encode").indices.to_numpy()
+            new = np.r_[carry is None or who[0].as_py() != carry[0], code[1:] != code[:-1]]
+            before = np.r_[carry[1] or 0 if carry else 0, time[:-1]]
+            known = np.r_[carry is not None and carry[1] is not None, timed[:-1]] & ~new
+            start = (known & timed & (time - before > gap_us)).cumsum()
+            at = np.flatnonzero(new)
+            base = np.ones(len(at), np.int64)
+            if runs == 0 and len(at):
+                base[0] = 0
+            group = new.cumsum()
+            seq = start + np.r_[carry[2] if carry else 0, base - start[at]][group]
+            run_no = runs + group
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(before, mask=~known), pa.array(seq), pa.array(run_no <= 1),
+                 pa.array(np.full(n, pid, np.int32)), pa.array(np.arange(pos, pos + n))],
+                names=[*batch.schema.names, "_prev", "_seq", "_head", "_pid", "_pos"])
+            runs, pos, carry = int(run_no[-1]), pos + n, (who[n - 1].as_py(), us[n - 1].as_py(), int(seq[-1]))
+    return run
+
+
 def link_events(events: DataFrame, gap_minutes: float | None = SESSION_GAP_MINUTES,
                 customer_col: str = "customer_id", ts_col: str = "timestamp",
-                tie_col: str | None = "event_id", bucket: str = "1 hour") -> DataFrame:
+                tie_col: str | None = "event_id", partitions: int | None = None) -> DataFrame:
     """Adds ``_us`` (event time), ``prev_us`` (previous event time of the customer)
-    and, when ``gap_minutes`` is given, ``session_seq`` (1-based)."""
-    w_us = interval_us(bucket)
-    gap_us = None if gap_minutes is None else int(round(gap_minutes * US_PER_MINUTE))
-    df = events.withColumn("_us", micros(events, ts_col)) \
-               .withColumn("_b", F.floor(F.col("_us") / F.lit(w_us)))
-    order = [F.col("_us")] + ([F.col(tie_col)] if tie_col else [])
-    w1 = Window.partitionBy(customer_col, "_b").orderBy(*order)
-    df = df.withColumn("_prev_in", F.lag("_us").over(w1))
-    if gap_us is not None:
-        start_in = (F.col("_prev_in").isNotNull() & ((F.col("_us") - F.col("_prev_in")) > gap_us)).cast("long")
-        df = df.withColumn("_start_in", start_in) \
-               .withColumn("_r", F.sum("_start_in").over(w1.rowsBetween(Window.unboundedPreceding, 0)))
-        aggs = [F.min("_us").alias("_first"), F.max("_us").alias("_last"), F.sum("_start_in").alias("_n_in")]
-    else:
-        aggs = [F.max("_us").alias("_last")]
-    summary = df.groupBy(customer_col, "_b").agg(*aggs)
-    w2 = Window.partitionBy(customer_col).orderBy("_b")
-    summary = summary.withColumn("_prev_last", F.lag("_last").over(w2))
-    keep = [customer_col, "_b", "_prev_last"]
-    if gap_us is not None:
-        b_start = (F.col("_prev_last").isNull() | ((F.col("_first") - F.col("_prev_last")) > gap_us)).cast("long")
-        summary = summary.withColumn("_b_start", b_start) \
-            .withColumn("_before", F.coalesce(
-                F.sum(F.col("_b_start") + F.col("_n_in")).over(w2.rowsBetween(Window.unboundedPreceding, -1)),
-                F.lit(0).cast("long")))
-        keep += ["_b_start", "_before"]
-    out = df.join(summary.select(*keep), [customer_col, "_b"], "inner") \
-            .withColumn("prev_us", F.coalesce(F.col("_prev_in"), F.col("_prev_last")))
-    if gap_us is not None:
-        out = out.withColumn("session_seq", F.col("_before") + F.col("_b_start") + F.col("_r"))
-    return out.drop("_b", "_prev_in", "_prev_last", "_start_in", "_r", "_b_start", "_before")
+    and, when ``gap_minutes`` is given, ``session_seq`` (1-based). Runs the one shuffle."""
+    gap_us = 0 if gap_minutes is None else int(round(gap_minutes * US_PER_MINUTE))
+    n_parts = partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [customer_col, "_us", *([tie_col] if tie_col else [])]
+    ordered = events.withColumn("_us", micros(events, ts_col)).repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
+    schema = T.StructType([*ordered.schema.fields, T.StructField("_prev", T.LongType()), T.StructField("_seq", T.LongType()),
+                           T.StructField("_head", T.BooleanType()), T.StructField("_pid", T.IntegerType()), T.StructField("_pos", T.LongType())])
+    linked = materialize(ordered.mapInArrow(_link_sorted(customer_col, gap_us), schema), "linked-events")
+    row = F.struct(F.col(customer_col).alias("who"), F.col("_us").alias("us"), F.col("_seq").alias("seq"), F.col("_head").alias("head"))
+    edges = linked.groupBy("_pid").agg(F.min_by(row, "_pos").alias("first"), F.max_by(row, "_pos").alias("last"))
+    # from here on one row per partition
+    w = Window.partitionBy(F.lit(0)).orderBy("_pid")
+    before = F.lag("last").over(w)
+    edges = (edges.withColumn("prior", before)
+             .withColumn("same", F.col("prior").isNotNull() & F.col("first.who").eqNullSafe(F.col("prior.who")))
+             .withColumn("opens", F.when(~F.col("same") | F.coalesce(F.col("first.us") - F.col("prior.us") > gap_us, F.lit(False)), 1).otherwise(0))
+             .withColumn("segment", F.sum(F.when(F.col("last.head") & F.col("same"), 0).otherwise(1)).over(w))
+             .withColumn("gained", F.col("last.seq") + F.when(F.col("last.head"), F.col("opens")).otherwise(0)))
+    by_segment = Window.partitionBy("segment").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
+    edges = edges.withColumn("reached", F.sum("gained").over(by_segment))
+    carried = F.when(F.col("same"), F.lag("reached").over(w)).otherwise(0)
+    edges = edges.select("_pid", (carried + F.col("opens")).alias("_add"), F.when(F.col("same"), F.col("prior.us")).alias("_prior"))
+    out = (linked.join(edges, "_pid")
+           .withColumn("prev_us", F.when(F.col("_pos") == 0, F.col("_prior")).otherwise(F.col("_prev"))))
+    if gap_minutes is not None:
+        out = out.withColumn("session_seq", F.col("_seq") + F.when(F.col("_head"), F.col("_add")).otherwise(0))
+    return out.drop("_pid", "_pos", "_prev", "_seq", "_head", "_add", "_prior")
 
 
 def build_sessions(events: DataFrame, gap_minutes: float = SESSION_GAP_MINUTES,
                    customer_col: str = "customer_id", ts_col: str = "timestamp",
-                   bucket: str = "1 hour") -> DataFrame:
+                   partitions: int | None = None) -> DataFrame:
     """All input columns + ``session_seq`` + ``derived_session_id = "{customer}-{seq}"``."""
     tie = "event_id" if "event_id" in events.columns else None
-    linked = link_events(events, gap_minutes, customer_col, ts_col, tie, bucket)
+    linked = link_events(events, gap_minutes, customer_col, ts_col, tie, partitions)
     return (linked.withColumn("derived_session_id",
                               F.concat_ws("-", F.col(customer_col).cast("string"),
                                           F.col("session_seq").cast("string")))
@@ -101,10 +126,10 @@ def build_sessions(events: DataFrame, gap_minutes: float = SESSION_GAP_MINUTES,
 
 
 def event_gaps(events: DataFrame, customer_col: str = "customer_id", ts_col: str = "timestamp",
-               bucket: str = "1 hour") -> DataFrame:
+               partitions: int | None = None) -> DataFrame:
     """Each event with ``gap_minutes`` to the customer's previous event (NULL for the first)."""
     tie = "event_id" if "event_id" in events.columns else None
-    linked = link_events(events, None, customer_col, ts_col, tie, bucket)
+    linked = link_events(events, None, customer_col, ts_col, tie, partitions)
     gap = (F.col("_us") - F.col("prev_us")).cast("double") / F.lit(float(US_PER_MINUTE))
     return linked.withColumn("gap_minutes", gap).drop("_us", "prev_us")
 

@@ -50,7 +50,7 @@ def clean_tables(spark: SparkSession, sf_dir: str, profile: Profile = DRIVER,
             deduped = materialize_df(deduped, "dedup-events")
         quality.raise_on_violations(domain=quality.domain_violations(deduped, profile.valid_event_types))
     ev = quality.clean_events(deduped, valid, profile.traffic_sources, deduplicated=True)
-    ev = sessions.build_sessions(ev, profile.gap_minutes, bucket=profile.session_bucket).drop("session_seq")
+    ev = sessions.build_sessions(ev, profile.gap_minutes).drop("session_seq")
     out = {"dim_customers": customers, "dim_products": products, "dim_campaigns": campaigns,
            "fct_transactions": tx, "fct_events": ev}
     return {k: schemas.conform(v, k) for k, v in out.items()}

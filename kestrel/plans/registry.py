@@ -77,7 +77,7 @@ def q_revenue_per_converted(spark, sf):
 
 
 def _sessionize(spark, sf, gap):
-    return sessions.build_sessions(star.fct_events(spark, sf), gap, bucket=P.session_bucket)
+    return sessions.build_sessions(star.fct_events(spark, sf), gap)
 
 
 @query("sessionize")
@@ -92,7 +92,7 @@ def q_sessionize_gap360(spark, sf):
 
 @query("event_gaps")
 def q_event_gaps(spark, sf):
-    return sessions.event_gaps(star.fct_events(spark, sf), bucket=P.session_bucket) \
+    return sessions.event_gaps(star.fct_events(spark, sf)) \
         .select("event_id", "customer_id", "timestamp", "gap_minutes")
 
 
@@ -124,7 +124,7 @@ def q_dq_session_sharing(spark, sf):
 
 @query("dq_gap_profile")
 def q_dq_gap_profile(spark, sf):
-    gaps = sessions.event_gaps(star.fct_events(spark, sf), bucket=P.session_bucket)
+    gaps = sessions.event_gaps(star.fct_events(spark, sf))
     return diagnostics.gap_profile(gaps, P.gap_minutes)
 
 

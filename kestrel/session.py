@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -57,11 +58,16 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
     }
 
 
+def _is_local(spark: SparkSession) -> bool:
+    return (spark.sparkContext.master or "").split("[")[0] == "local"
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator and only read here. A private
-    folder is created only when the setting is missing (local tests).
+    On a cluster the setting must be there: executors cannot see a folder of the
+    driver's machine, so without it this raises. Only a local master, where
+    driver and executors are one process, gets a private folder instead.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -69,6 +75,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not _is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="kestrel-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -80,6 +88,32 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(base, *parts) if "://" not in base else "/".join([base.rstrip("/"), *parts])
 
 
+def _hadoop(spark: SparkSession, path: str):
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Does the path exist in its own store (local, HDFS, object store)?"""
+    fs, hpath = _hadoop(spark, path)
+    return fs.exists(hpath)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, hpath = _hadoop(spark, path)
+    fs.delete(hpath, True)
+
+
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    fs, hpath = _hadoop(spark, source)
+    if not fs.rename(hpath, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"could not rename {source} to {target}")
+
+
+#: Tables written by ``materialize`` and not yet released, in order.
+_MATERIALIZED: list[str] = []
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Compute ``df`` once into a Parquet table in the shared checkpoint folder
     and continue from that table (lineage cut, survives lost executors).
@@ -92,4 +126,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, "materialized", f"{label}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    _MATERIALIZED.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Deletes, on leaving, the tables materialized inside: for callers that have
+    consumed their result by then (command line, benchmark, load)."""
+    mark = len(_MATERIALIZED)
+    try:
+        yield
+    finally:
+        for path in _MATERIALIZED[mark:]:
+            delete_path(spark, path)
+        del _MATERIALIZED[mark:]

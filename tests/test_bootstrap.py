@@ -38,19 +38,59 @@ def _counts(spark):
                  F.count_if(F.col("event_type") == "purchase").alias("purchase_events")))
 
 
-def test_invariant_to_partitioning_and_join_strategy(spark):
-    base = sorted(tuple(r) for r in bootstrap.bootstrap_replicates(_counts(spark), GROUPS, 40, 42).collect())
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "7")
+def _customers(spark, n):
+    """Counts of n customers with several value columns."""
+    ids = spark.range(n).select((F.col("id") * 7 + 3).alias("customer_id"), F.explode(F.array(*[F.lit(g) for g in GROUPS])).alias("experiment_group"))
+    return ids.select("customer_id", "experiment_group", (F.pmod(F.xxhash64("customer_id", "experiment_group"), F.lit(9)) + 1).alias("total_events"),
+                      F.pmod(F.xxhash64("customer_id", "experiment_group"), F.lit(3)).alias("purchase_events"))
+
+
+@pytest.mark.parametrize("n", [20_000, 100_000])
+def test_dense_index_is_row_number_with_value_columns(spark, n):
+    """At sizes where range bounds are sampled, and with columns one branch does not read."""
+    matrix = bootstrap.customer_matrix(_customers(spark, n), GROUPS)
     try:
-        shuffled = sorted(tuple(r) for r in bootstrap.bootstrap_replicates(
-            _counts(spark).repartition(5), GROUPS, 40, 42, broadcast_limit_bytes=0).collect())
+        for reuse, parts in (("true", "8"), ("false", "64")):
+            spark.conf.set("spark.sql.exchange.reuse", reuse)
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got = bootstrap.indexed_matrix(matrix)
+            bad = got.where((F.col("customer_id") != F.col("idx") * 7 + 3) | (F.col("n_customers") != n))
+            assert bad.count() == 0 and got.select("idx").distinct().count() == n
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
-    forced = sorted(tuple(r) for r in bootstrap.bootstrap_replicates(
-        _counts(spark), GROUPS, 40, 42, broadcast_limit_bytes=1 << 30).collect())
-    assert base == shuffled
-    assert base == forced
+        spark.conf.unset("spark.sql.exchange.reuse")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_replicates_do_not_depend_on_plan_settings(spark):
+    base = None
+    try:
+        for parts, reuse, limit in (("1", "true", None), ("8", "false", None), ("64", "true", 6 * 8 * 700)):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            spark.conf.set("spark.sql.exchange.reuse", reuse)
+            n, extra = (20_000, {}) if limit is None else (2_000, {"matrix_bytes": limit})
+            got = sorted(tuple(r) for r in bootstrap.bootstrap_replicates(_customers(spark, n), GROUPS, 10, 42, **extra).collect())
+            if limit is None:
+                base = base or got
+                assert got == base
+            else:  # a matrix in several ranges gives the same draws
+                assert got == sorted(tuple(r) for r in bootstrap.bootstrap_replicates(_customers(spark, n), GROUPS, 10, 42).collect())
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_replicates_match_plain_python(spark):
+    import numpy as np
+    counts = _customers(spark, 500)
+    m = bootstrap.customer_matrix(counts, GROUPS).orderBy("customer_id").toPandas()[["n0", "x0", "n1", "x1", "n2", "x2"]].to_numpy()
+    for r in bootstrap.bootstrap_replicates(counts, GROUPS, 20, 7).collect():
+        s = m[bootstrap.draw_hash(r.rep * 500 + np.arange(500), 7) % 500].sum(0)
+        assert r.lift_1 == pytest.approx((s[3] / s[2] - s[1] / s[0]) * 100)
+
+
+def test_no_customers(spark):
+    reps = bootstrap.bootstrap_replicates(spark.createDataFrame([], SCHEMA), GROUPS, 5, 42).collect()
+    assert len(reps) == 5 and all(r.lift_1 is None for r in reps)
 
 
 def test_ci_covers_point_lift(spark):
@@ -70,30 +110,34 @@ def test_dense_index(spark):
     assert got == {c: i for i, c in enumerate(sorted(got))}
 
 
-def test_poisson_method_runs(spark):
-    reps = bootstrap.bootstrap_replicates(_counts(spark), GROUPS, 30, 42, method="poisson")
-    assert reps.count() == 30
+def test_poisson_weights_agree_with_exact_draws(spark):
+    """Same centre and spread as exact resampling; independent of partitioning."""
+    import numpy as np
+    counts = _customers(spark, 3000)
+    a, b = ([r.lift_2 for r in bootstrap.bootstrap_replicates(counts, GROUPS, 300, 42, method=m).orderBy("rep").collect()] for m in ("draws", "poisson"))
+    assert np.std(b) == pytest.approx(np.std(a), rel=0.25) and abs(np.mean(a) - np.mean(b)) < np.std(a) / 3
+    again = bootstrap.bootstrap_replicates(counts.repartition(7), GROUPS, 300, 42, method="poisson").orderBy("rep").collect()
+    assert [r.lift_2 for r in again] == b
 
 
 @pytest.mark.parametrize("n", [7, 1000, 1 << 20])
 def test_draw_hash_uniform_and_independent(spark, n):
     """Chi-square of idx counts over 10 bins and lag-1 correlation of draws."""
+    import numpy as np
     m = 200_000
-    d = bootstrap.with_draw_hash(spark.range(m), "id", 42, "h").select("id", F.pmod("h", F.lit(n)).alias("idx"))
+    idx = bootstrap.draw_hash(np.arange(m), 42) % n
     bins = min(n, 10)
-    counts = [r[1] for r in d.groupBy((F.col("idx") * bins / n).cast("int").alias("b")).count().collect()]
-    exp = [m * len(range(b * n // bins, (b + 1) * n // bins)) / n for b in range(bins)]
-    chi2 = sum((c - e) ** 2 / e for c, e in zip(sorted(counts), sorted(exp)))
+    counts = np.bincount(idx * bins // n, minlength=bins)
+    exp = [m * len(range(-(-b * n // bins), -(-(b + 1) * n // bins))) / n for b in range(bins)]
+    chi2 = sum((c - e) ** 2 / e for c, e in zip(counts, exp))
     assert chi2 < 40  # df <= 9: p < 1e-5 would be ~ 37
-    pdf = d.orderBy("id").toPandas()
-    corr = pdf["idx"].astype(float).autocorr(lag=1)
-    assert abs(corr) < 0.02
+    assert abs(np.corrcoef(idx[1:], idx[:-1])[0, 1]) < 0.02
 
 
-def test_draw_hash_large_ids_distinct(spark):
-    base = 1 << 40
-    hs = [r.h for r in bootstrap.with_draw_hash(spark.range(base, base + 50_000), "id", 42, "h").collect()]
-    assert len(set(hs)) == len(hs) and min(hs) >= 0 and max(hs) < (1 << 62)
+def test_draw_hash_large_ids_distinct():
+    import numpy as np
+    hs = bootstrap.draw_hash((1 << 40) + np.arange(50_000), 42)
+    assert len(set(hs.tolist())) == len(hs) and hs.min() >= 0 and hs.max() < (1 << 62)
 
 
 def test_ci_width_close_to_cluster_robust_interval(spark):

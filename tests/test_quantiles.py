@@ -35,6 +35,18 @@ def test_matches_spark_percentile(spark):
     assert [mine.a, mine.b, mine.c] == pytest.approx(ref, rel=1e-12)
 
 
+def test_percentiles_of_many_values_without_exchange_reuse(spark):
+    df = spark.range(500_000).select((F.pmod(F.xxhash64("id"), F.lit(10_000_019)) / 7.0).alias("v"))
+    ref = df.agg(F.percentile("v", [0.1, 0.5, 0.9]).alias("p")).collect()[0].p
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            got = exact_percentiles(df, "v", [0.1, 0.5, 0.9], names=["a", "b", "c"], partitions=16).collect()[0]
+        finally:
+            spark.conf.unset("spark.sql.exchange.reuse")
+        assert [got.a, got.b, got.c] == pytest.approx(ref, rel=1e-12)
+
+
 from hypothesis import HealthCheck, given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
