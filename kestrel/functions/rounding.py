@@ -16,10 +16,6 @@ def round_np(x: Column, ndigits: int = 2) -> Column:
     return F.rint(x * F.lit(scale)) / F.lit(scale)
 
 
-def round_sql(x: Column, ndigits: int = 2) -> Column:
-    return F.round(x, ndigits)
-
-
 def pct(numer: Column, denom: Column) -> Column:
     """numer / denom * 100 as double; NULL (not an error under ANSI) when denom is 0."""
     return F.try_divide(numer.cast("double"), denom.cast("double")) * F.lit(100.0)

@@ -14,7 +14,7 @@ import math
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ERFC_DEGREE = 20
@@ -32,32 +32,6 @@ def erfc_coefficients(degree: int = ERFC_DEGREE) -> tuple[float, ...]:
     return tuple(float(c) for c in poly.coef)
 
 
-def erfc_py(x: float) -> float:
-    """Reference evaluation of the same approximation in Python (for tests)."""
-    z = abs(x)
-    t = 1.0 / (1.0 + 0.5 * z)
-    acc = 0.0
-    for a in reversed(erfc_coefficients()):
-        acc = acc * t + a
-    v = t * math.exp(-z * z + acc)
-    return v if x >= 0 else 2.0 - v
-
-
-def erfc(x: Column) -> Column:
-    z = F.abs(x)
-    t = F.lit(1.0) / (F.lit(1.0) + F.lit(0.5) * z)
-    acc = F.lit(0.0)
-    for a in reversed(erfc_coefficients()):
-        acc = acc * t + F.lit(a)
-    v = t * F.exp(-(z * z) + acc)
-    return F.when(x >= 0, v).otherwise(F.lit(2.0) - v)
-
-
-def normal_two_sided_p(z: Column) -> Column:
-    """P(|Z| >= |z|) = erfc(|z| / sqrt 2)."""
-    return erfc(F.abs(z) / F.lit(math.sqrt(2.0)))
-
-
 def with_erfc_nonneg(df: DataFrame, x_col: str, out: str) -> DataFrame:
     """``out`` = erfc(x) for x >= 0, staged: ``t`` is its own column, so the
     20-term Horner polynomial refers to a column instead of repeating the
@@ -98,45 +72,17 @@ def with_chi2_survival(df: DataFrame, x_col: str, dof: int, out: str) -> DataFra
     return df.withColumn(out, F.col(f"_{out}_e") + F.exp(-h) * total).drop(h_col, r_col, f"_{out}_e")
 
 
-def chi2_survival(x: Column, dof: int) -> Column:
-    """Upper tail of the chi-square distribution for an integer dof >= 1.
-
-    Even dof: exp(-x/2) * sum_{i<dof/2} (x/2)^i / i!.
-    Odd dof:  erfc(sqrt(x/2)) + exp(-x/2) * sum_{i=1}^{(dof-1)/2} (x/2)^(i-1/2) / Gamma(i+1/2).
-    """
-    if dof < 1:
-        raise ValueError("dof must be >= 1")
-    h = x / F.lit(2.0)
-    if dof % 2 == 0:
-        total = F.lit(0.0)
-        for i in range(dof // 2):
-            total = total + F.pow(h, F.lit(float(i))) / F.lit(float(math.factorial(i)))
-        return F.exp(-h) * total
-    total = F.lit(0.0)
-    for i in range(1, (dof - 1) // 2 + 1):
-        total = total + F.pow(h, F.lit(i - 0.5)) / F.lit(math.gamma(i + 0.5))
-    return erfc(F.sqrt(h)) + F.exp(-h) * total
-
-
 def with_two_proportion_z(df: DataFrame, n_a: str, x_a: str, n_b: str, x_b: str) -> DataFrame:
     """Adds rate_a, rate_b, z_stat, p_value (pooled, two-sided), one stage per
-    intermediate; z = 0 when the standard error is 0."""
-    na, xa, nb, xb = F.col(n_a), F.col(x_a), F.col(n_b), F.col(x_b)
-    df = (df.withColumn("rate_a", xa.cast("double") / na)
-            .withColumn("rate_b", xb.cast("double") / nb)
-            .withColumn("_pool", (xa + xb).cast("double") / (na + nb)))
+    intermediate; z = 0 when the standard error is 0; an arm that is missing or
+    has no events gives NULL rate, z and p: no test was run."""
+    na, xa, nb, xb = (F.col(c).cast("double") for c in (n_a, x_a, n_b, x_b))
+    df = (df.withColumn("rate_a", F.try_divide(xa, na))
+            .withColumn("rate_b", F.try_divide(xb, nb))
+            .withColumn("_pool", F.try_divide(xa + xb, na + nb)))
     pool = F.col("_pool")
-    df = df.withColumn("_se", F.sqrt(pool * (F.lit(1.0) - pool) * (F.lit(1.0) / na + F.lit(1.0) / nb)))
+    one = F.lit(1.0)
+    df = df.withColumn("_se", F.sqrt(pool * (one - pool) * (F.try_divide(one, na) + F.try_divide(one, nb))))
     df = df.withColumn("z_stat", F.when(F.col("_se") > 0, (F.col("rate_b") - F.col("rate_a")) / F.col("_se"))
-                       .otherwise(F.lit(0.0)))
+                       .when(F.col("_se") == 0, F.lit(0.0)))
     return with_normal_p(df, "z_stat", "p_value").drop("_pool", "_se")
-
-
-def two_proportion_z(n_a: Column, x_a: Column, n_b: Column, x_b: Column) -> dict[str, Column]:
-    """Pooled two-proportion z-test, two-sided. z = 0 when the standard error is 0."""
-    p_a = x_a.cast("double") / n_a
-    p_b = x_b.cast("double") / n_b
-    pool = (x_a + x_b).cast("double") / (n_a + n_b)
-    se = F.sqrt(pool * (F.lit(1.0) - pool) * (F.lit(1.0) / n_a + F.lit(1.0) / n_b))
-    z = F.when(se > 0, (p_b - p_a) / se).otherwise(F.lit(0.0))
-    return {"rate_a": p_a, "rate_b": p_b, "z_stat": z, "p_value": normal_two_sided_p(z)}

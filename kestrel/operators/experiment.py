@@ -47,7 +47,7 @@ def group_totals(counts: DataFrame, groups: Sequence[str] = EXPERIMENT_GROUPS) -
     arms = _arm_list(counts.sparkSession, groups)
     return (arms.join(F.broadcast(sums), "experiment_group", "left")
             .select("arm_idx", "experiment_group", "total_events", "purchase_events",
-                    (F.col("purchase_events").cast("double") / F.col("total_events")).alias("purchase_rate")))
+                    F.try_divide(F.col("purchase_events").cast("double"), F.col("total_events")).alias("purchase_rate")))
 
 
 def _wide(totals: DataFrame, groups: Sequence[str]) -> DataFrame:
@@ -68,16 +68,17 @@ def _with_chi2(wide: DataFrame, k: int) -> DataFrame:
     df = wide.withColumn("_N", sum(n[1:], n[0])).withColumn("_X", sum(x[1:], x[0]))
     df = df.withColumn("_F", F.col("_N") - F.col("_X"))
     for i in range(k):
-        df = (df.withColumn(f"_es{i}", F.col("_X") * n[i] / F.col("_N"))
-                .withColumn(f"_ef{i}", F.col("_F") * n[i] / F.col("_N")))
-    terms = [F.pow(x[i] - F.col(f"_es{i}"), 2) / F.col(f"_es{i}")
-             + F.pow((n[i] - x[i]) - F.col(f"_ef{i}"), 2) / F.col(f"_ef{i}") for i in range(k)]
+        df = (df.withColumn(f"_es{i}", F.try_divide(F.col("_X") * n[i], F.col("_N")))
+                .withColumn(f"_ef{i}", F.try_divide(F.col("_F") * n[i], F.col("_N"))))
+    terms = [F.try_divide(F.pow(x[i] - F.col(f"_es{i}"), F.lit(2)), F.col(f"_es{i}"))
+             + F.try_divide(F.pow((n[i] - x[i]) - F.col(f"_ef{i}"), F.lit(2)), F.col(f"_ef{i}")) for i in range(k)]
     return df.withColumn("chi2", sum(terms[1:], terms[0]))
 
 
 def chi_square_test(totals: DataFrame, groups: Sequence[str] = EXPERIMENT_GROUPS) -> DataFrame:
     """Pearson chi-square on the 2 x k table (success / not by arm), no continuity
-    correction; NULL when an arm is missing."""
+    correction; NULL when an arm is missing or an expected count is 0 (no
+    purchases at all, nothing but purchases, an arm without events)."""
     dof = len(groups) - 1
     df = with_chi2_survival(_with_chi2(_wide(totals, groups), len(groups)), "chi2", dof, "_p")
     return df.select(F.round("chi2", 9).alias("chi2"), F.round("_p", 12).alias("p_value"),
@@ -87,7 +88,8 @@ def chi_square_test(totals: DataFrame, groups: Sequence[str] = EXPERIMENT_GROUPS
 def pairwise_tests(totals: DataFrame, groups: Sequence[str] = EXPERIMENT_GROUPS,
                    alpha: float = ALPHA) -> DataFrame:
     """All arm pairs in list order, pooled two-sided z-test, Bonferroni alpha/m,
-    significant = p < alpha/m (strict); lift in percentage points (b - a)."""
+    significant = p < alpha/m (strict); lift in percentage points (b - a). With a
+    missing arm the pair has NULL z, p and significance: no test was run."""
     pairs = list(combinations(range(len(groups)), 2))
     b_alpha = alpha / len(pairs)
     wide = _wide(totals, groups)
@@ -132,7 +134,7 @@ def sample_ratio_test(totals: DataFrame, groups: Sequence[str] = EXPERIMENT_GROU
     shares = [s / total for s in expected]
     n = [F.col(f"n{i}").cast("double") for i in range(len(groups))]
     df = _wide(totals, groups).withColumn("_N", sum(n[1:], n[0]))
-    terms = [F.pow(n[i] - F.col("_N") * F.lit(s), 2) / (F.col("_N") * F.lit(s)) for i, s in enumerate(shares)]
+    terms = [F.try_divide(F.pow(n[i] - F.col("_N") * F.lit(s), F.lit(2)), F.col("_N") * F.lit(s)) for i, s in enumerate(shares)]
     dof = len(groups) - 1
     df = with_chi2_survival(df.withColumn("chi2", sum(terms[1:], terms[0])), "chi2", dof, "_p")
     return df.select(F.round("chi2", 9).alias("chi2"), F.round("_p", 12).alias("p_value"), F.lit(dof).alias("dof"))

@@ -1,8 +1,11 @@
-"""Independent DuckDB SQL for every registered query (the correctness oracle).
+"""DuckDB SQL for every registered query (the correctness oracle).
 
 The driver registers the raw tables as DuckDB views. Each oracle string starts
 with CTEs that derive the star schema from them with the FIXTURES.md §4 rules,
-written directly in DuckDB SQL (not generated from the Spark plans).
+written directly in DuckDB SQL (not generated from the Spark plans). Two things
+are shared with the code under test, because SQL has no other source for them: the
+fitted ``erfc`` coefficients (so p-values rest on the unit tests against
+``math.erfc``) and the constants of the bootstrap's draw hash.
 """
 
 from __future__ import annotations
@@ -355,16 +358,32 @@ FROM (SELECT {_srm_sql(len(GROUPS), DRIVER.expected_shares)} AS c FROM wd) t""",
     "fct_events", extra_ctes=_totals_ctes())
 
 
-def mix_draws_sql(seed: int, n_boot: int) -> str:
-    """Draw table (rep, idx): the same two chains of affine maps modulo primes,
-    one staged subquery per round."""
+def mix_hash_sql(source: str) -> str:
+    """``source`` (a query with ``sid``) with the draw hash ``h``: the same two chains of affine maps
+    modulo primes, one staged subquery per round (the constants are those of the operator)."""
     from kestrel.operators.bootstrap import DRAW_CHAINS
-    q = f"SELECT r.range AS id, r.range + {seed * 7919} AS sid, nn.n AS n FROM nn, range({n_boot} * nn.n) r"
+    q = source
     for c, (p, (a, a_hi, b), rounds) in enumerate(DRAW_CHAINS):
         q = f"SELECT *, ((sid % {p}) * {a} + (sid // {p}) * {a_hi} + {b}) % {p} AS h{c}_0 FROM ({q}) s{c}0"
         for r, (k, a_r, b_r) in enumerate(rounds, start=1):
             q = f"SELECT *, (xor(h{c}_{r - 1}, {k}) * {a_r} + {b_r}) % {p} AS h{c}_{r} FROM ({q}) s{c}{r}"
-    return f"SELECT id // n AS rep, (h0_2 * {2 ** 31} + h1_2) % n AS idx FROM ({q}) h"
+    return f"SELECT *, h0_2 * {2 ** 31} + h1_2 AS h FROM ({q}) h"
+
+
+def mix_draws_sql(seed: int, n_boot: int) -> str:
+    """Draw table (rep, idx)."""
+    ids = f"SELECT r.range AS id, r.range + {seed * 7919} AS sid, nn.n AS n FROM nn, range({n_boot} * nn.n) r"
+    return f"SELECT id // n AS rep, h % n AS idx FROM ({mix_hash_sql(ids)}) d"
+
+
+def poisson_weights_sql(seed: int, n_boot: int) -> str:
+    """Weight table (customer_id, rep, w): the Poisson(1) quantile of the hash."""
+    ids = f"SELECT customer_id, r.range AS rep, customer_id * {n_boot} + r.range + {seed * 7919} AS sid FROM mat, range({n_boot}) r"
+    steps, below = [], 0.0
+    for m in range(21):
+        below += math.exp(-1.0) / math.factorial(m)
+        steps.append(f"CAST(h >= {math.floor(below * 2.0 ** 62)} AS INTEGER)")
+    return f"SELECT customer_id, rep, {' + '.join(steps)} AS w FROM ({mix_hash_sql(ids)}) p"
 
 
 def _boot_ctes(groups=GROUPS, n_boot=DRIVER.n_boot, seed=DRIVER.seed):
@@ -385,6 +404,22 @@ reps AS (SELECT rep, {lifts} FROM (SELECT rep, {sums} FROM draws JOIN mi USING (
 
 Q["bootstrap_replicates"] = with_star("SELECT * FROM reps", "fct_events", extra_ctes=_boot_ctes())
 
+
+def _poisson_ctes(groups=GROUPS, n_boot=DRIVER.n_boot, seed=DRIVER.seed):
+    counts, chain = _boot_ctes(groups, n_boot, seed)
+    k = len(groups)
+    sums = ", ".join(f"sum(n{i} * w) AS n{i}, sum(x{i} * w) AS x{i}" for i in range(k))
+    lifts = ", ".join(f"(CAST(x{i} AS DOUBLE) / NULLIF(n{i}, 0) - CAST(x0 AS DOUBLE) / NULLIF(n0, 0)) * 100.0 AS lift_{i}" for i in range(1, k))
+    return (counts, chain.split("\nmi AS")[0].rstrip().rstrip(",") + f""",
+weights AS ({poisson_weights_sql(seed, n_boot)}),
+reps AS (SELECT rep, {lifts} FROM (SELECT rep, {sums} FROM weights JOIN mat USING (customer_id) GROUP BY rep) s)""")
+
+
+Q["bootstrap_poisson"] = with_star("SELECT * FROM reps", "fct_events", extra_ctes=_poisson_ctes())
+
+Q["dense_index_orders"] = """
+SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS idx, count(*) OVER () AS n_rows FROM orders"""
+
 Q["bootstrap_ci"] = with_star(" UNION ALL ".join(f"""
 SELECT {i} AS cmp_idx, '{GROUPS[i]} vs {GROUPS[0]}' AS comparison,
        round(quantile_cont(lift_{i}, 0.5), 9) AS median_lift_pp,
@@ -406,9 +441,9 @@ WHERE event_id IS NOT NULL AND "timestamp" IS NOT NULL AND customer_id IS NOT NU
   AND experiment_group IS NOT NULL""", "fct_events")
 
 Q["clean_customers"] = with_star("""
-SELECT * FROM dim_customers WHERE customer_id IN (SELECT customer_id FROM valid_customers)
+SELECT * FROM dim_customers WHERE customer_id IS NOT NULL
   AND signup_date IS NOT NULL AND country IS NOT NULL AND age IS NOT NULL AND gender IS NOT NULL
-  AND loyalty_tier IS NOT NULL AND acquisition_channel IS NOT NULL""", "dim_customers", "valid_customers")
+  AND loyalty_tier IS NOT NULL AND acquisition_channel IS NOT NULL""", "dim_customers")
 
 Q["orphan_semi_join"] = with_star(
     "SELECT * FROM fct_transactions WHERE customer_id IN (SELECT customer_id FROM valid_customers)",
@@ -513,9 +548,9 @@ SELECT table_name, metric, CAST(value AS BIGINT) AS value FROM (
   UNION ALL SELECT 'fct_events', 'device_type_filled', count_if(ok AND device_type IS NULL) FROM ev
   UNION ALL SELECT 'fct_events', 'traffic_source_normalized', count_if(ok AND {_SOURCE_CASE} <> traffic_source)
             FROM ev) t""",
-    "dim_customers", "dim_products", "dim_campaigns", "fct_transactions", "fct_events", "valid_customers",
+    "dim_customers", "dim_products", "dim_campaigns", "fct_transactions", "fct_events",
     extra_ctes=("""
-cust AS (SELECT DISTINCT customer_id FROM dim_customers WHERE customer_id IN (SELECT customer_id FROM valid_customers)
+cust AS (SELECT DISTINCT customer_id FROM dim_customers WHERE customer_id IS NOT NULL
          AND signup_date IS NOT NULL AND country IS NOT NULL AND age IS NOT NULL AND gender IS NOT NULL
          AND loyalty_tier IS NOT NULL AND acquisition_channel IS NOT NULL)""",
                 "tx AS (SELECT *, customer_id IN (SELECT customer_id FROM cust) AS ok FROM fct_transactions)",
@@ -596,16 +631,18 @@ def _regression_sql(steps=STEPS, threshold=2.0) -> str:
     rows = " UNION ALL ".join(f"SELECT week_start, total, {i} AS step_idx, '{s}' AS step_name, c{i} AS reached "
                               f"FROM weekly" for i, s in enumerate(steps))
     return f"""
-wr AS (SELECT CAST(date_trunc('week', "timestamp") AS DATE) AS week_start, customer_id, {bools}
+wr AS (SELECT CAST(date_trunc('week', "timestamp") AS DATE) AS week_start, customer_id, {bools},
+              min(CAST("timestamp" AS DATE)) AS d0, max(CAST("timestamp" AS DATE)) AS d1
        FROM fct_events WHERE event_type IN ({_in_list(steps)}) GROUP BY 1, 2),
 weekly AS (SELECT week_start, count(*) AS total, {counts} FROM wr GROUP BY week_start),
-lw AS (SELECT *, {rnp(pct('reached', 'total'))} AS pct_of_customers FROM ({rows}) x),
-lg AS (SELECT *, lag(pct_of_customers) OVER (PARTITION BY step_idx ORDER BY week_start) AS prev_pct_of_customers
-       FROM lw)
+span AS (SELECT min(d0) AS d0, max(d1) AS d1 FROM wr),
+lw AS (SELECT x.*, {rnp(pct('reached', 'total'))} AS pct_of_customers, d0 > week_start OR d1 < week_start + 6 AS partial_week FROM ({rows}) x, span),
+lg AS (SELECT a.*, b.pct_of_customers AS prev_pct_of_customers, coalesce(b.partial_week, false) AS prev_partial
+       FROM lw a LEFT JOIN lw b ON b.step_idx = a.step_idx AND b.week_start = a.week_start - 7)
 SELECT week_start, CAST(step_idx AS INTEGER) AS step_idx, step_name, CAST(reached AS BIGINT) AS customers_reached,
        CAST(total AS BIGINT) AS active_customers, pct_of_customers, prev_pct_of_customers,
-       {rnp('pct_of_customers - prev_pct_of_customers')} AS change_pp,
-       coalesce({rnp('pct_of_customers - prev_pct_of_customers')} < -{threshold!r}, false) AS alert
+       {rnp('pct_of_customers - prev_pct_of_customers')} AS change_pp, partial_week,
+       coalesce({rnp('pct_of_customers - prev_pct_of_customers')} < -{threshold!r}, false) AND NOT partial_week AND NOT prev_partial AS alert
 FROM lg"""
 
 
@@ -614,11 +651,48 @@ Q["funnel_regression_alerts"] = "WITH " + STAR["fct_events"].strip() + ",\n" + _
 Q["stream_sessions"] = with_star("""
 SELECT customer_id, min("timestamp") AS session_start, max("timestamp") + INTERVAL 30 MINUTE AS session_end,
        CAST(count(*) AS BIGINT) AS n_events, CAST(count_if(event_type = 'purchase') AS BIGINT) AS n_purchases
-FROM sess GROUP BY customer_id, session_seq
-HAVING max("timestamp") + INTERVAL 30 MINUTE <= (SELECT max("timestamp") FROM fct_events) - INTERVAL 30 MINUTE""",
+FROM sess GROUP BY customer_id, session_seq""",
     "fct_events", extra_ctes=(_sessions_cte(30),))
 
 Q["stream_group_totals"] = with_star("""
 SELECT experiment_group, CAST(count(*) AS BIGINT) AS total_events,
        CAST(count_if(event_type = 'purchase') AS BIGINT) AS purchase_events
 FROM fct_events GROUP BY experiment_group""", "fct_events")
+
+# --- CSV scans, load and marts ---------------------------------------------
+
+for _table, _entity in (("dim_customers", "customers"), ("dim_products", "products"), ("dim_campaigns", "campaigns"),
+                        ("fct_transactions", "transactions"), ("fct_events", "events")):
+    Q[f"csv_{_entity}"] = with_star(f"SELECT * FROM {_table}", _table)
+
+_LOADED = ("""
+cust AS (SELECT * FROM dim_customers WHERE customer_id IS NOT NULL AND signup_date IS NOT NULL AND country IS NOT NULL AND age IS NOT NULL
+         AND gender IS NOT NULL AND loyalty_tier IS NOT NULL AND acquisition_channel IS NOT NULL)""",
+           "kept AS (SELECT * FROM fct_events WHERE customer_id IN (SELECT customer_id FROM cust))")
+
+_SESSION_IDS = """
+gap AS (SELECT *, CASE WHEN date_diff('microsecond', lag("timestamp") OVER w, "timestamp") > 1800000000 THEN 1 ELSE 0 END AS opens,
+               row_number() OVER w AS pos FROM kept WINDOW w AS (PARTITION BY customer_id ORDER BY "timestamp", event_id)),
+seq AS (SELECT *, 1 + sum(opens) OVER (PARTITION BY customer_id ORDER BY pos) AS nr FROM gap)"""
+
+Q["csv_load_events"] = with_star(f"""
+SELECT event_id, "timestamp", customer_id, session_id, customer_id || '-' || CAST(nr AS BIGINT) AS derived_session_id, event_type, product_id,
+       coalesce(device_type, 'unknown') AS device_type, {_SOURCE_CASE} AS traffic_source, campaign_id, page_category, session_duration_sec,
+       experiment_group FROM seq""", "dim_customers", "fct_events", extra_ctes=(*_LOADED, _SESSION_IDS))
+
+Q["warehouse_tables"] = with_star("""
+SELECT 'dim_customers' AS table_name, count(*) AS n_rows, 7 AS n_columns FROM cust
+UNION ALL SELECT 'dim_products', count(*), 6 FROM dim_products
+UNION ALL SELECT 'dim_campaigns', count(*), 7 FROM dim_campaigns
+UNION ALL SELECT 'fct_transactions', count(*), 11 FROM fct_transactions WHERE customer_id IN (SELECT customer_id FROM cust)
+UNION ALL SELECT 'fct_events', count(*), 13 FROM kept""",
+    "dim_customers", "dim_products", "dim_campaigns", "fct_transactions", "fct_events", extra_ctes=_LOADED)
+
+_REACHED = "reached AS (SELECT customer_id, " + ", ".join(f"bool_or(event_type = '{s}') AS s{i}" for i, s in enumerate(STEPS)) + \
+    f" FROM kept WHERE event_type IN ({_in_list(STEPS)}) GROUP BY customer_id)"
+_MART_ROWS = " UNION ALL ".join(
+    f"SELECT {label} AS channel, '{s}' AS step_name, count_if(s{i}) AS customers_reached, {rnp(pct(f'count_if(s{i})', 'count(*)'))} AS pct FROM {src}"
+    for label, src in (("'all'", "reached"), ("acquisition_channel", "reached JOIN cust USING (customer_id) GROUP BY acquisition_channel"))
+    for i, s in enumerate(STEPS))
+Q["marts_roundtrip"] = with_star(f"SELECT channel, step_name, CAST(customers_reached AS BIGINT) AS customers_reached, pct FROM ({_MART_ROWS}) m",
+                                 "dim_customers", "fct_events", extra_ctes=(*_LOADED, _REACHED))

@@ -1,14 +1,17 @@
-"""The load: raw star tables -> cleaned tables -> contracts -> warehouse write.
-
-Order follows the analysed application: dimensions are de-duplicated then
-stripped of null rows; facts are de-duplicated, the event-type domain is
-checked (failing the job), orphans are dropped, flags and normalisations are
-added, sessions are derived. All contracts run before the first write.
+"""The load: raw star tables (CSV folder or driver tables) -> cleaned tables ->
+contracts -> warehouse.
+
+Dimensions are de-duplicated, then stripped of null rows; facts are de-duplicated, the
+event-type domain is checked (failing the job), orphans are dropped, flags and
+normalisations are added, sessions are derived. The cleaned tables are written once, in
+their final layout, to a staging folder; the contracts read them there; only then is the
+staging folder renamed to ``current``. So a refresh replaces all five tables or none, and
+readers never see a mixed warehouse.
 """
 
 from __future__ import annotations
 
-import os
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +19,8 @@ from pyspark.sql import functions as F
 
 from kestrel.config import DRIVER, Profile
 from kestrel.operators import quality, sessions
-from kestrel.session import materialize as materialize_df
-from kestrel.sources import schemas, star
+from kestrel.session import delete_path, materialize, path_exists, rename_path, scratch
+from kestrel.sources import csv, schemas, star
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -30,24 +33,17 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def clean_tables(spark: SparkSession, sf_dir: str, profile: Profile = DRIVER,
-                 check_domain: bool = True, materialize: bool = True) -> dict[str, DataFrame]:
-    """Cleaned star tables. The event-type domain contract is an action on the
-    de-duplicated events, which the cleaning then continues from; with
-    ``materialize`` they are written once to the shared folder so the
-    de-duplication shuffle is not repeated."""
-    raw = raw_tables(spark, sf_dir)
-    accepted = star.valid_customer_ids(spark, sf_dir)
-    customers = quality.clean_dimension(
-        quality.orphan_filter(raw["dim_customers"], accepted), "customer_id")
+def clean_tables(spark: SparkSession, raw: dict[str, DataFrame], profile: Profile = DRIVER,
+                 check_domain: bool = True) -> dict[str, DataFrame]:
+    """Cleaned star tables from raw ones. The de-duplicated events are written once to the shared
+    folder: the domain contract (an action) and the cleaning both continue from there."""
+    customers = materialize(quality.clean_dimension(raw["dim_customers"], "customer_id"), "clean-customers")
     products = quality.clean_dimension(raw["dim_products"], "product_id")
     campaigns = quality.clean_dimension(raw["dim_campaigns"], "campaign_id")
     valid = customers.select("customer_id")
     tx = quality.clean_transactions(raw["fct_transactions"], valid)
-    deduped = quality.dedupe_by_key(raw["fct_events"], "event_id")
+    deduped = materialize(quality.dedupe_by_key(raw["fct_events"], "event_id"), "dedup-events")
     if check_domain:
-        if materialize:
-            deduped = materialize_df(deduped, "dedup-events")
         quality.raise_on_violations(domain=quality.domain_violations(deduped, profile.valid_event_types))
     ev = quality.clean_events(deduped, valid, profile.traffic_sources, deduplicated=True)
     ev = sessions.build_sessions(ev, profile.gap_minutes).drop("session_seq")
@@ -64,45 +60,49 @@ def contract_frames(tables: dict[str, DataFrame]):
     return pk, fk, nn
 
 
-def load_to_warehouse(tables: dict[str, DataFrame], warehouse_dir: str,
-                      partition_events_by_date: bool = True, materialize: bool = True) -> dict[str, str]:
-    """Idempotent full refresh: every contract is checked first, then each table
-    is overwritten, parents before children.
-
-    The contracts and the write are separate actions over the same cleaned
-    tables; to compute the cleaning (dedupe shuffles, sessionisation) once, the
-    cleaned tables are first written once to the shared folder named by
-    ``spark.checkpoint.dir`` (a lost executor does not lose them, and the lineage
-    is cut). Contracts and the final write then scan those files."""
-    if materialize:
-        tables = {k: materialize_df(v, f"clean-{k}") for k, v in tables.items()}
-    pk, fk, nn = contract_frames(tables)
-    quality.raise_on_violations(pk=pk, fk=fk, nn=nn)
-    paths = {}
-    for name in schemas.LOAD_ORDER:
-        df = tables[name]
-        path = os.path.join(warehouse_dir, name)
-        writer = df
-        if name == "fct_events" and partition_events_by_date:
-            # Range-partition on (date, customer): each task writes a contiguous slice, i.e. a few
-            # customer-sorted files per date, instead of one file per date per task.
-            writer = (df.withColumn("event_date", F.to_date("timestamp"))
-                      .repartitionByRange("event_date", "customer_id")
-                      .sortWithinPartitions("event_date", "customer_id", "timestamp"))
-            writer.write.mode("overwrite").partitionBy("event_date").parquet(path)
-        else:
-            writer.write.mode("overwrite").parquet(path)
-        paths[name] = path
-    return paths
+def load_to_warehouse(spark: SparkSession, tables: dict[str, DataFrame], warehouse_dir: str) -> dict[str, str]:
+    """Idempotent full refresh, all tables or none. Events and transactions are range-sorted
+    by time, so a file covers a span of time and scans skip files by their statistics."""
+    base = warehouse_dir.rstrip("/")
+    staging, current, old = f"{base}/_staging-{uuid.uuid4().hex}", f"{base}/current", f"{base}/_old-{uuid.uuid4().hex}"
+    try:
+        for name in schemas.LOAD_ORDER:
+            df = tables[name]
+            if "timestamp" in df.columns:
+                key = schemas.PRIMARY_KEYS[name]
+                df = df.repartitionByRange("timestamp", key).sortWithinPartitions("timestamp", key)
+            df.write.parquet(f"{staging}/{name}")
+        written = {name: schemas.conform(spark.read.parquet(f"{staging}/{name}"), name) for name in schemas.LOAD_ORDER}
+        pk, fk, nn = contract_frames(written)
+        quality.raise_on_violations(pk=pk, fk=fk, nn=nn)
+    except BaseException:
+        delete_path(spark, staging)
+        raise
+    if path_exists(spark, current):
+        rename_path(spark, current, old)
+    rename_path(spark, staging, current)
+    delete_path(spark, old)
+    return {name: f"{current}/{name}" for name in schemas.LOAD_ORDER}
+
+
+def warehouse_path(warehouse_dir: str, name: str) -> str:
+    return f"{warehouse_dir.rstrip('/')}/current/{name}"
 
 
 def read_warehouse(spark: SparkSession, warehouse_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(os.path.join(warehouse_dir, name))
-    return schemas.conform(df, name)
+    return schemas.conform(spark.read.parquet(warehouse_path(warehouse_dir, name)), name)
+
+
+def read_warehouse_tables(spark: SparkSession, warehouse_dir: str) -> dict[str, DataFrame]:
+    """All star tables of a warehouse, the input of the analyses and marts."""
+    return {name: read_warehouse(spark, warehouse_dir, name) for name in schemas.LOAD_ORDER}
 
 
-def run(spark: SparkSession, sf_dir: str, warehouse_dir: str, profile: Profile = DRIVER) -> dict[str, str]:
-    return load_to_warehouse(clean_tables(spark, sf_dir, profile), warehouse_dir)
+def run(spark: SparkSession, source: str, warehouse_dir: str, profile: Profile = DRIVER, from_csv: bool = False) -> dict[str, str]:
+    """CSV folder or driver tables -> clean -> contracts -> warehouse; intermediate tables are deleted."""
+    with scratch(spark):
+        raw = csv.read_raw_tables(spark, source) if from_csv else raw_tables(spark, source)
+        return load_to_warehouse(spark, clean_tables(spark, raw, profile), warehouse_dir)
 
 
 def _long(df: DataFrame, table: str, metrics: list[str]) -> DataFrame:
@@ -119,23 +119,21 @@ def load_audit(spark: SparkSession, sf_dir: str, profile: Profile = DRIVER) -> D
     then a left join with the accepted customers marks orphans and a single
     aggregation produces every tally."""
     raw = raw_tables(spark, sf_dir)
-    accepted = star.valid_customer_ids(spark, sf_dir)
     parts = []
     # Dimensions: one de-duplication pass each; copies per key give rows in, and
-    # "no NULL in the kept copy" gives rows out. Acceptance depends on the key
-    # only, so filtering before or after de-duplication is the same.
+    # "no NULL in the kept copy" gives rows out. The customers are needed again as
+    # the facts' parents, so their pass is written once.
+    marker = None
     for name, key in (("dim_products", "product_id"), ("dim_campaigns", "campaign_id"),
                       ("dim_customers", "customer_id")):
         src = raw[name]
         complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in src.columns])
-        d = quality.dedupe_by_key(src, key, copies_col="_copies")
+        d = quality.dedupe_by_key(src, key, copies_col="_copies").select(key, "_copies", complete.alias("_valid"))
         if name == "dim_customers":
-            d = d.join(accepted.withColumn("_acc", F.lit(True)), key, "left")
-            complete = complete & F.col("_acc").isNotNull()
-        parts.append(_long(d.agg(F.sum("_copies").alias("rows_in"), F.count_if(complete).alias("rows_out")),
+            d = materialize(d, "audit-customers")
+            marker = d.where("_valid").select(key, "_valid")
+        parts.append(_long(d.agg(F.sum("_copies").alias("rows_in"), F.count_if("_valid").alias("rows_out")),
                            name, ["rows_in", "rows_out"]))
-    customers = quality.clean_dimension(quality.orphan_filter(raw["dim_customers"], accepted), "customer_id")
-    marker = customers.select("customer_id").withColumn("_valid", F.lit(True))
 
     tx = raw["fct_transactions"]
     tx_d = quality.flag_transactions(quality.dedupe_by_key(tx, "transaction_id", copies_col="_copies")) \

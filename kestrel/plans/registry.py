@@ -6,15 +6,18 @@ appears only where top-k is the feature.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.config import DRIVER, VALID_EVENT_TYPES
-from kestrel.operators import bootstrap, diagnostics, experiment, funnel, quality, sessions
+from kestrel.operators import bootstrap, diagnostics, experiment, funnel, quality, quantiles, sessions
 from kestrel.plans import pipeline, reports, sql_queries
-from kestrel.sources import schemas, star
+from kestrel.session import shared_path
+from kestrel.sources import csv, marts, schemas, star
 from kestrel.sources.tables import read_table
 from kestrel.streaming import sessions_stream
 
@@ -181,6 +184,18 @@ def q_bootstrap_replicates(spark, sf):
     return bootstrap.bootstrap_replicates(_counts(spark, sf), P.groups, P.n_boot, P.seed)
 
 
+@query("bootstrap_poisson")
+def q_bootstrap_poisson(spark, sf):
+    return bootstrap.bootstrap_replicates(_counts(spark, sf), P.groups, P.n_boot, P.seed, method="poisson")
+
+
+@query("dense_index_orders")
+def q_dense_index_orders(spark, sf):
+    """J6 at the size of a whole table: rank of every order key without a one-task row_number."""
+    return quantiles.dense_index(read_table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"]) \
+        .select("o_orderkey", "idx", "n_rows")
+
+
 @query("bootstrap_ci")
 def q_bootstrap_ci(spark, sf):
     reps = bootstrap.bootstrap_replicates(_counts(spark, sf), P.groups, P.n_boot, P.seed)
@@ -202,8 +217,7 @@ def q_drop_any_null(spark, sf):
 
 @query("clean_customers")
 def q_clean_customers(spark, sf):
-    accepted = star.valid_customer_ids(spark, sf)
-    return quality.clean_dimension(quality.orphan_filter(star.dim_customers(spark, sf), accepted), "customer_id")
+    return quality.clean_dimension(star.dim_customers(spark, sf), "customer_id")
 
 
 @query("orphan_semi_join")
@@ -291,7 +305,59 @@ for _name in sql_queries.QUERIES:
 
 @query("kpi_summary")
 def q_kpi_summary(spark, sf):
-    return reports.kpi_summary(spark, sf, P)
+    return reports.kpi_summary(star.fct_events(spark, sf), star.fct_transactions(spark, sf), P)
+
+
+def _csv_tables(spark, sf):
+    """The driver tables written as the five raw CSVs and read back through the CSV scans."""
+    folder = shared_path(spark, "raw-csv", uuid.uuid4().hex)
+    return csv.read_raw_tables(spark, csv.write_raw_csv(pipeline.raw_tables(spark, sf), folder))
+
+
+def _csv_query(table):
+    def fn(spark, sf):
+        return _csv_tables(spark, sf)[table]
+    return fn
+
+
+for _table, _entity in csv.ENTITY.items():
+    REGISTRY[f"csv_{_entity}"] = _csv_query(_table)
+
+
+def _warehouse(spark, sf):
+    """CSV -> clean -> contracts -> warehouse in the shared folder."""
+    base = shared_path(spark, "warehouse", uuid.uuid4().hex)
+    tables = pipeline.clean_tables(spark, _csv_tables(spark, sf), P)
+    pipeline.load_to_warehouse(spark, tables, base)
+    return base
+
+
+@query("csv_load_events")
+def q_csv_load_events(spark, sf):
+    return pipeline.read_warehouse(spark, _warehouse(spark, sf), "fct_events")
+
+
+@query("warehouse_tables")
+def q_warehouse_tables(spark, sf):
+    """Rows and columns of every catalog table created over the loaded warehouse."""
+    base, db = _warehouse(spark, sf), f"kestrel_{uuid.uuid4().hex[:12]}"
+    names = schemas.create_tables(spark, db, base)
+    parts = [spark.table(n).agg(F.lit(n.split(".")[1]).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+                                F.lit(len(spark.table(n).columns)).alias("n_columns")) for n in names]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("marts_roundtrip")
+def q_marts_roundtrip(spark, sf):
+    """The funnel marts built from the warehouse, written as CSV and read back as a snapshot."""
+    tables = pipeline.read_warehouse_tables(spark, _warehouse(spark, sf))
+    built = reports.build_marts(tables, P)
+    out = shared_path(spark, "marts", uuid.uuid4().hex)
+    marts.write_marts(built, out)
+    back = marts.read_marts(spark, out)
+    overall = back["funnel_overall"].select(F.lit("all").alias("channel"), "step_name", "customers_reached", F.col("pct_of_customers").alias("pct"))
+    channel = back["funnel_by_channel"].select(F.col("acquisition_channel").alias("channel"), "step_name", "customers_reached", F.col("pct_of_signups").alias("pct"))
+    return overall.unionByName(channel)
 
 
 @query("funnel_regression_alerts")

@@ -3,8 +3,9 @@
 Every column is read as text with ``mode=FAILFAST`` (a row with the wrong
 number of fields fails the job), null tokens are mapped to NULL, then each
 column is cast under ANSI rules, so malformed values raise instead of turning
-into NULL silently. Integer keys go through DECIMAL first, so ``123.0`` (how a
-float-typed export writes a nullable integer) becomes 123.
+into NULL silently. Numbers must fit their type without loss: ``123.0`` (how a
+float-typed export writes a nullable integer) becomes 123, ``1.9`` for an
+integer or a third decimal in a two-decimal amount fails the job.
 
 By default only the empty field is NULL; ``na_tokens`` adds more (e.g. the
 pandas defaults, under which the country code ``NA`` would vanish).
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +47,16 @@ PANDAS_NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN"
                     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
+def _exact_number(text: Column, name: str, target: T.DataType) -> Column:
+    """The number as ``target``; an error where the text has digits that it cannot hold."""
+    wide = text.cast(T.DecimalType(38, 18))
+    narrow = wide.cast(target)
+    lossy = (wide != narrow) | text.rlike(r"\.\d{18}0*[1-9]")
+    return (F.when(text.isNull(), F.lit(None).cast(target))
+            .when(lossy, F.raise_error(F.concat(F.lit(f"{name}: "), text, F.lit(f" is not a {target.simpleString()}"))).cast(target))
+            .otherwise(narrow))
+
+
 def read_raw_csv(spark: SparkSession, path: str, entity: str,
                  na_tokens: Sequence[str] | None = None) -> DataFrame:
     cols = RAW_COLUMNS[entity]
@@ -59,11 +70,30 @@ def read_raw_csv(spark: SparkSession, path: str, entity: str,
         if tokens:
             v = F.when(v.isin(tokens), F.lit(None).cast("string")).otherwise(v)
         target = RAW_TYPES[c]
-        if isinstance(target, (T.LongType, T.IntegerType)):
-            v = v.cast(T.DecimalType(38, 6)).cast(target)
+        if isinstance(target, (T.LongType, T.IntegerType, T.DecimalType)):
+            v = _exact_number(v, c, target)
         elif isinstance(target, T.TimestampNTZType):
             v = F.to_timestamp_ntz(v)
         else:
             v = v.cast(target)
         out.append(v.alias(c))
     return df.select(*out)
+
+
+#: CSV entity of each star table.
+ENTITY = {"dim_customers": "customers", "dim_products": "products", "dim_campaigns": "campaigns",
+          "fct_transactions": "transactions", "fct_events": "events"}
+
+
+def read_raw_tables(spark: SparkSession, folder: str, na_tokens: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """The five raw CSVs ``<folder>/<entity>.csv`` under their star-table names."""
+    return {t: read_raw_csv(spark, f"{folder.rstrip('/')}/{e}.csv", e, na_tokens) for t, e in ENTITY.items()}
+
+
+def write_raw_csv(tables: dict[str, DataFrame], folder: str) -> str:
+    """Write star tables as raw CSVs (a folder of part files per entity)."""
+    for table, entity in ENTITY.items():
+        df = tables[table].select(*RAW_COLUMNS[entity])
+        df.write.mode("overwrite").option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(
+            f"{folder.rstrip('/')}/{entity}.csv")
+    return folder

@@ -6,12 +6,14 @@ is written as a single file; the computation behind them stays distributed.
 
 from __future__ import annotations
 
-import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kestrel.session import path_exists
+
 CSV_MARTS = ("funnel_overall", "funnel_by_channel", "ab_test_totals", "ab_test_bootstrap")
 JSON_MARTS = ("ab_test_pairwise", "summary_stats")
 
@@ -37,7 +39,7 @@ def _conform(df: DataFrame, name: str) -> DataFrame:
 def write_marts(marts: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
     paths = {}
     for name, df in marts.items():
-        path = os.path.join(out_dir, name)
+        path = f"{out_dir.rstrip('/')}/{name}"
         one = _conform(df, name).coalesce(1)
         if name in CSV_MARTS:
             one.write.mode("overwrite").option("header", True).csv(path)
@@ -49,17 +51,21 @@ def write_marts(marts: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
 
 def read_mart(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
     schema = MART_SCHEMAS[name]
-    path = os.path.join(out_dir, name)
+    path = f"{out_dir.rstrip('/')}/{name}"
     if name in CSV_MARTS:
         return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def read_marts(spark: SparkSession, snapshot_dir: str, live: dict[str, DataFrame] | None = None,
+def read_marts(spark: SparkSession, snapshot_dir: str, live: Callable[[], dict[str, DataFrame]] | None = None,
                warehouse_dir: str | None = None) -> dict[str, DataFrame]:
-    """Live marts when the warehouse exists (computed by ``live``), else the
-    snapshot files; each frame carries a ``mode`` column."""
-    if warehouse_dir and os.path.isdir(warehouse_dir) and live is not None:
-        return {k: _conform(v, k).withColumn("mode", F.lit("live")) for k, v in live.items()}
-    return {k: read_mart(spark, snapshot_dir, k).withColumn("mode", F.lit("snapshot")) for k in MART_SCHEMAS
-            if os.path.isdir(os.path.join(snapshot_dir, k))}
+    """Live marts when the warehouse exists (``live()`` computes them, only then), else the
+    snapshot files; each frame carries a ``mode`` column. Existence is asked of the path's
+    own store. Neither warehouse nor any snapshot is an error, not an empty result."""
+    if warehouse_dir and live is not None and path_exists(spark, f"{warehouse_dir.rstrip('/')}/current"):
+        return {k: _conform(v, k).withColumn("mode", F.lit("live")) for k, v in live().items()}
+    found = {k: read_mart(spark, snapshot_dir, k).withColumn("mode", F.lit("snapshot")) for k in MART_SCHEMAS
+             if path_exists(spark, f"{snapshot_dir.rstrip('/')}/{k}")}
+    if not found:
+        raise FileNotFoundError(f"no warehouse and no mart snapshot in {snapshot_dir}")
+    return found
