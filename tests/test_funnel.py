@@ -1,4 +1,4 @@
-"""Funnel: the original six cases plus rounding and non-monotone traps."""
+"""Funnel: hand-derived counts, rounding and non-monotone traps."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,59 +6,61 @@ from pyspark.sql import functions as F
 from kestrel.operators import funnel
 
 STEPS = ("view", "click", "add_to_cart", "purchase")
-EVENTS = [(1, "view"), (1, "click"), (1, "add_to_cart"), (1, "purchase"),
-          (2, "view"), (2, "click"), (2, "add_to_cart"),
-          (3, "view"), (3, "click"), (4, "view"), (4, "click"), (5, "view"), (5, "bounce")]
+#: what each customer did, letter by letter: v(iew), c(lick), a(dd to cart), p(urchase), b(ounce)
+HISTORY = {21: "vvb", 22: "vcvc", 23: "vcab", 24: "vcap", 25: "bb", 26: "vcappp", 27: "p", 28: "vca"}
+CHANNEL = {21: "Social", 22: "Social", 23: "Search", 24: "Search", 25: "Search", 26: "Social", 27: "Direct", 28: "Search"}
+NAMES = dict(zip("vcapb", (*STEPS, "bounce")))
 
 
 @pytest.fixture
 def events(spark):
-    return spark.createDataFrame(EVENTS, "customer_id long, event_type string")
+    return spark.createDataFrame([(c, NAMES[x]) for c, h in HISTORY.items() for x in h], "customer_id long, event_type string")
 
 
 @pytest.fixture
-def customers(spark):
-    return spark.createDataFrame([(1, "Organic"), (2, "Organic"), (3, "Email"), (4, "Email"), (5, "Email")],
-                                 "customer_id long, acquisition_channel string")
+def reach(events):
+    return funnel.customer_step_reach(events, STEPS)
 
 
-def test_reach_shape(events):
-    reach = funnel.customer_step_reach(events, STEPS)
-    assert set(reach.columns) - {"customer_id"} == set(STEPS)
-    assert reach.count() == 5
+def test_reach_is_what_each_customer_did(reach):
+    got = {r.customer_id: tuple(r[s] for s in STEPS) for r in reach.collect()}
+    assert got == {c: tuple(x in h for x in "vcap") for c, h in HISTORY.items() if set(h) - {"b"}}
 
 
-def test_overall_counts(events):
-    rows = funnel.overall_funnel(funnel.customer_step_reach(events, STEPS), STEPS).collect()
-    assert {r.step_name: r.customers_reached for r in rows} == {"view": 5, "click": 4, "add_to_cart": 2,
-                                                               "purchase": 1}
-    first = [r for r in rows if r.step_idx == 0][0]
-    assert first.step_over_step_pct == 100.0 and first.drop_off_pct == 0.0
+def test_overall_funnel(reach):
+    rows = sorted(funnel.overall_funnel(reach, STEPS).collect(), key=lambda r: r.step_idx)
+    assert [r.customers_reached for r in rows] == [6, 5, 4, 3]
+    assert [r.pct_of_customers for r in rows] == [85.71, 71.43, 57.14, 42.86]  # of the 7 with a step
+    assert [r.step_over_step_pct for r in rows] == [100.0, 83.33, 80.0, 75.0]
+    assert [r.drop_off_pct for r in rows] == [0.0, 16.67, 20.0, 25.0]
 
 
-def test_bounce_is_not_a_step(events):
-    r = {x.customer_id: x for x in funnel.customer_step_reach(events, STEPS).collect()}
-    assert r[5].view is True and r[5].click is False
+def test_worst_step(spark, reach):
+    assert tuple(funnel.biggest_drop_off_step(funnel.overall_funnel(reach, STEPS)).first()) == ("purchase", 25.0)
+    tied = spark.createDataFrame([(i, True, i < 4, i < 2, i < 1) for i in range(8)], "customer_id long, " + ", ".join(f"{s} boolean" for s in STEPS))
+    assert funnel.biggest_drop_off_step(funnel.overall_funnel(tied, STEPS)).first().step_name == "click"  # three halvings: the first
 
 
-def test_biggest_drop_off(events):
-    worst = funnel.biggest_drop_off_step(funnel.overall_funnel(funnel.customer_step_reach(events, STEPS),
-                                                               STEPS)).collect()[0]
-    assert worst.step_name == "add_to_cart"  # tie with purchase, lower index wins
-    assert worst.drop_off_pct == pytest.approx(50.0)
+def test_bounces_share(events):
+    n = sum(map(len, HISTORY.values()))
+    bounces = sum(h.count("b") for h in HISTORY.values())
+    assert funnel.bounce_rate(events).first().bounce_rate_pct == pytest.approx(100 * bounces / n, abs=0.005)
 
 
-def test_bounce_rate(events):
-    assert funnel.bounce_rate(events).collect()[0].bounce_rate_pct == pytest.approx(100 / 13, abs=0.01)
+def test_channels(spark, reach):
+    customers = spark.createDataFrame(list(CHANNEL.items()), "customer_id long, acquisition_channel string")
+    by = funnel.funnel_by_channel(reach, customers, STEPS)
+    got = {(r.acquisition_channel, r.step_name): (r.customers_reached, r.pct_of_signups) for r in by.collect()}
+    assert got[("Direct", "view")] == (0, 0.0) and got[("Direct", "purchase")] == (1, 100.0)
+    assert got[("Social", "click")] == (2, 66.67) and got[("Search", "add_to_cart")] == (3, 100.0)  # 25 only bounced
+    assert [(r.acquisition_channel, r.pct_of_signups) for r in funnel.channel_conversion(by).collect()] == \
+        [("Direct", 100.0), ("Search", 33.33), ("Social", 33.33)]
 
 
-def test_by_channel(events, customers):
-    rows = funnel.funnel_by_channel(funnel.customer_step_reach(events, STEPS), customers, STEPS).collect()
-    got = {(r.acquisition_channel, r.step_name): r.customers_reached for r in rows}
-    assert got[("Email", "purchase")] == 0 and got[("Organic", "purchase")] == 1
-    conv = funnel.channel_conversion(funnel.funnel_by_channel(funnel.customer_step_reach(events, STEPS),
-                                                              customers, STEPS)).collect()
-    assert [r.acquisition_channel for r in conv] == ["Organic", "Email"]
+def test_profile_gives_the_same_reach(events, reach):
+    from kestrel.plans import reports
+    table = reports.activity_profile(events.withColumn("experiment_group", F.lit("Control")), STEPS)
+    assert sorted(map(tuple, reports.reach_of(table, STEPS).select(*reach.columns).collect())) == sorted(map(tuple, reach.collect()))
 
 
 def test_half_even_rounding_matches_published_share(spark):
@@ -85,13 +87,12 @@ def test_revenue_per_converted(spark):
     assert funnel.revenue_per_converted_customer(tx).collect()[0][0] == 22.5
 
 
-def test_bounce_only_customer_denominators(spark):
+def test_bounce_only_customer_denominators(spark, events):
     """T2: a bounce-only customer is absent from the reach table (dataframe
     denominator) but counted in the SQL funnel's total_customers."""
     from kestrel.plans.sql_queries import LIFECYCLE_FUNNEL
-    ev = spark.createDataFrame(EVENTS + [(6, "bounce"), (6, "bounce")], "customer_id long, event_type string")
-    assert funnel.customer_step_reach(ev, STEPS).count() == 5
-    ev.createOrReplaceTempView("fct_events")
+    assert funnel.customer_step_reach(events, STEPS).count() == 7
+    events.createOrReplaceTempView("fct_events")
     row = spark.sql(LIFECYCLE_FUNNEL).collect()[0]
-    assert row.total_customers == 6 and row.view_count == 5 and row.purchase_count == 1
+    assert row.total_customers == 8 and row.view_count == 6 and row.purchase_count == 3
     spark.catalog.dropTempView("fct_events")
