@@ -18,7 +18,9 @@ input task and order; an empty table gives no pieces; other columns are ignored.
 from __future__ import annotations
 
 import functools
+import json
 import re
+import struct
 import zlib
 from collections import Counter, deque
 
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from kestrel.llm.common import BoundedCache, map_arrow, strings
 from kestrel.session import materialize
 
-CACHED = 150_000
+CACHED = 300_000
 
 
 class CapacityTree:
@@ -108,6 +110,33 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _bytes_of() -> dict[str, int]:
+    """The character that stands for each byte in a byte-level vocabulary: printable Latin-1 for
+    itself, the others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+@functools.cache
+def _ranked(path: str):
+    """The same merges for one chunk at a time without the tokenizer's per-call cost, or None where a
+    vocabulary's ids are not its merge order (then every chunk goes to the tokenizer)."""
+    import tiktoken
+    model, byte = json.loads(_tokenizer(path).to_str())["model"], _bytes_of()
+    vocab, merges = model.get("vocab", {}), [m if isinstance(m, list) else m.split(" ") for m in model.get("merges", [])]
+    if model.get("type") != "BPE" or model.get("ignore_merges") or any(vocab.get(a + b) != 256 + i for i, (a, b) in enumerate(merges)):
+        return None
+    ranks = {bytes(byte[c] for c in token): i for token, i in vocab.items() if i < 256 + len(merges)}
+    return tiktoken.Encoding("chunks", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={})
+
+
+#: The split of byte-level tokenizers, and the chunks in which it cannot depend on a
+#: library's Unicode tables: printable ASCII and the letters and signs up to U+024F.
+_WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_STABLE = re.compile("[!-~\u00a1-\u024f]+")
+
+
 class _Encoder:
     """Ids of a text as the tokenizer at ``path`` gives them, as little-endian bytes.
 
@@ -117,7 +146,6 @@ class _Encoder:
     tokenizer whole."""
 
     def __init__(self, path: str):
-        import json
         self.tok = _tokenizer(path)
         made = json.loads(self.tok.to_str())
         added = [re.escape(a["content"]) for a in made.get("added_tokens", [])]
@@ -125,25 +153,37 @@ class _Encoder:
         split = made.get("pre_tokenizer") or {}
         self.cuttable = (made.get("normalizer") is None and split.get("type") == "ByteLevel"
                          and split.get("use_regex") and not split.get("add_prefix_space"))
-        self.mid = BoundedCache(lambda chunk: self._encode(" " + chunk), CACHED)
-        self.start = BoundedCache(self._encode, CACHED // 4)
+        self.ranked = _ranked(path) if self.cuttable else None
+        self.mid = BoundedCache(lambda chunk: self._chunk(chunk, " "), CACHED)
+        self.start = BoundedCache(lambda chunk: self._chunk(chunk, ""), CACHED // 4)
         self.newline = self._encode("\n")
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _chunk(self, chunk: str, lead: str) -> bytes:
+        if self.ranked and _STABLE.fullmatch(chunk):
+            return struct.pack(f"<{len(ids)}I", *ids) if (ids := self.ranked.encode_ordinary(lead + chunk)) else b""
+        return self._encode(lead + chunk)
+
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
         if not self.cuttable or self.whole.search(text):
             return self._encode(text)
-        lines, mid, start = [], self.mid, self.start
+        lines, mid, start = [], self.mid.__getitem__, self.start
         for line in text.split("\n"):
-            chunks = line.split(" ")
-            lines.append(start[chunks[0]] + b"".join(map(mid.__getitem__, chunks[1:])))
+            first, *rest = line.split(" ")
+            lines.append(start[first] + b"".join(map(mid, rest)))
         return self.newline.join(lines)
 
 
+@functools.cache
+def _encoder(path: str) -> _Encoder:
+    """One per worker process: its memory of chunks serves all of the worker's tasks."""
+    return _Encoder(path)
+
+
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int = 2,
                  with_ids: bool = False, id_col: str = "doc_id") -> DataFrame:
     """Every document cut into pieces: (id, piece, start, length, ids_crc32[, ids], part, rank),
@@ -152,7 +192,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end
     kind = dict(src.dtypes)["id"]
 
     def cut(batches):
-        encode, part, seen = _Encoder(tokenizer_path), TaskContext.get().partitionId(), Counter()
+        encode, part, seen = _encoder(tokenizer_path), TaskContext.get().partitionId(), Counter()
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             at, piece, start, length, crc, ids, rank = [], [], [], [], [], [], []
