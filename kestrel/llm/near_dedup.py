@@ -38,6 +38,8 @@ from kestrel.session import materialize
 K, THRESHOLD, NEEDED = 48, 0.75, 0.375
 #: Rows and bytes of one block of a candidate group.
 BLOCK_ROWS, BLOCK_BYTES = 512, 8 << 20
+#: Tasks over which the edges of one node are dealt.
+SALTS = 8
 
 
 def _digest(s: np.ndarray) -> bytes | None:
@@ -56,19 +58,26 @@ def _sketched(batches):
              pa.array([s[:K].view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["doc_id", "row", "n", "digest", "sketch"])
 
 
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """``edges`` (u, v) with the ``m`` that ``least`` gives for u. The edges of a node are dealt over
+    SALTS tasks by v and the one row of ``least`` goes to each, so a hub is no hot spot."""
+    dealt = edges.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    return dealt.join(least.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["u", "s"]).drop("s")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of the connected components of ``edges`` (a, b: long), root the smallest
     node: alternating large-star and small-star steps, each written once; partial
-    minima before every shuffle, so a node of many edges is no hot spot."""
+    minima before every shuffle and salted joins, so a node of many edges is no hot spot."""
     e = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
     mark = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = materialize(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = materialize(_with_least(both.where("v > u"), low).select(F.col("v").alias("u"), F.col("m").alias("v"))
                             .where("u <> v").distinct(), "cc")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        e = materialize(large.join(least, "u").where("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
+        e = materialize(_with_least(large, least).where("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
                         .unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "cc")
         now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u") % 1_000_003)).first()
         if now == mark:
