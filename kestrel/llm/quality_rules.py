@@ -12,6 +12,7 @@ empty table gives an empty ledger; other input columns are ignored.
 
 from __future__ import annotations
 
+import operator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +24,7 @@ from kestrel.llm.common import byte_texts, map_arrow
 
 WINDOW = 8
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_ascii_letters",
-            "n_alpha_words", "n_exclaim")
+            "n_alpha_words", "n_exclaim", "n_echo_words")
 
 #: bit -> (rule, SQL condition that fails the document). Bits are never reused.
 RULES = (
@@ -35,6 +36,7 @@ RULES = (
     ("alpha_words", "100 * n_alpha_words < 80 * n_words"),
     ("dup_lines", "2 * n_dup_lines > n_lines"),
     ("exclaim", "2 * n_exclaim > n_words"),
+    ("echo_words", "5 * n_echo_words > n_words"),  # words equal to the word before
 )
 BIT = {name: 1 << i for i, (name, _) in enumerate(RULES)}
 
@@ -105,7 +107,7 @@ def measure(text: bytes | None) -> tuple[int, ...]:
         starts = np.flatnonzero(np.diff(gap, prepend=True) & ~gap)
         alpha = int(np.count_nonzero(np.add.reduceat(_LETTER[kinds], starts, dtype=np.int64)))
     return (len(words), int(len(kinds) - n[7] - n[1]), int(n[2]), len(lines) - len(set(lines)), repeated_words(words),
-            len(lines), int(n[3]), int(n[3] + n[4]), alpha, int(n[5]))
+            len(lines), int(n[3]), int(n[3] + n[4]), alpha, int(n[5]), sum(map(operator.eq, words, words[1:])))
 
 
 def _measured(batches):

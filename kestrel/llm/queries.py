@@ -102,11 +102,13 @@ m AS (SELECT doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w,
              length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS n_upper,
              length(text) - length(regexp_replace(text, '[A-Za-z]', '', 'g')) AS n_letters,
              len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\\x00-\\x7F]'))) AS n_alpha,
-             length(text) - length(replace(text, '!', '')) AS n_exclaim
+             length(text) - length(replace(text, '!', '')) AS n_exclaim,
+             len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_echo
       FROM t LEFT JOIN cov USING (r)),
 f AS (SELECT *, CAST((n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
                 + 8 * (10 * n_upper > 3 * n_letters)::INT + 16 * (word_chars < 3 * n_words OR word_chars > 12 * n_words)::INT
-                + 32 * (100 * n_alpha < 80 * n_words)::INT + 64 * (2 * n_dup_lines > n_lines)::INT + 128 * (2 * n_exclaim > n_words)::INT AS BIGINT) AS fail_bits FROM m)
+                + 32 * (100 * n_alpha < 80 * n_words)::INT + 64 * (2 * n_dup_lines > n_lines)::INT + 128 * (2 * n_exclaim > n_words)::INT
+                + 256 * (5 * n_echo > n_words)::INT AS BIGINT) AS fail_bits FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM f"""
 
 ORACLE["op7_warc"] = """
