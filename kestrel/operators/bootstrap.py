@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from kestrel.config import BOOTSTRAP_SEED, EXPERIMENT_GROUPS, N_BOOTSTRAP
 from kestrel.operators.quantiles import dense_index
-from kestrel.session import materialize
+from kestrel.session import materialize, ship_package
 
 CI_PROBS = (0.025, 0.5, 0.975)
 #: The matrix (or range of it) that is broadcast: at most this many bytes.
@@ -103,6 +103,7 @@ def bootstrap_replicates(counts: DataFrame, groups: Sequence[str] = EXPERIMENT_G
     """One row per replicate: rep, lift_1..lift_{k-1} (percentage points vs arm 0).
     A replicate that drew no events of an arm has a NULL lift."""
     k = len(groups)
+    ship_package(counts.sparkSession)
     matrix = customer_matrix(counts, groups)
     if method == "poisson":
         return _lifts(_poisson_sums(matrix, k, n_boot, seed), k)

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from kestrel.config import SESSION_GAP_MINUTES
 from kestrel.functions.rounding import round_np
 from kestrel.operators.common import one_row
-from kestrel.session import materialize
+from kestrel.session import materialize, ship_package
 
 US_PER_MINUTE = 60_000_000
 def micros(df: DataFrame, ts_col: str) -> Column:
@@ -91,6 +91,7 @@ def link_events(events: DataFrame, gap_minutes: float | None = SESSION_GAP_MINUT
     ordered = events.withColumn("_us", micros(events, ts_col)).repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
     schema = T.StructType([*ordered.schema.fields, T.StructField("_prev", T.LongType()), T.StructField("_seq", T.LongType()),
                            T.StructField("_head", T.BooleanType()), T.StructField("_pid", T.IntegerType()), T.StructField("_pos", T.LongType())])
+    ship_package(events.sparkSession)
     linked = materialize(ordered.mapInArrow(_link_sorted(customer_col, gap_us), schema), "linked-events")
     row = F.struct(F.col(customer_col).alias("who"), F.col("_us").alias("us"), F.col("_seq").alias("seq"), F.col("_head").alias("head"))
     edges = linked.groupBy("_pid").agg(F.min_by(row, "_pos").alias("first"), F.max_by(row, "_pos").alias("last"))

@@ -6,6 +6,7 @@ import contextlib
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -130,6 +131,25 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that functions and
+    broadcast models can be unpickled there however the driver came to import it."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        root = os.path.dirname(os.path.abspath(__file__))
+        path = os.path.join(tempfile.mkdtemp(prefix="kestrel-package-"), "kestrel.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in sorted(os.walk(root)):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(root)))
+        spark.sparkContext.addPyFile(path)
+        _SHIPPED.add(app)
+
+
 @contextlib.contextmanager
 def scratch(spark: SparkSession):
     """Deletes, on leaving, the tables materialized inside: for callers that have
