@@ -5,6 +5,8 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from kestrel.session import ship_package
+
 #: Rows and bytes of one Arrow batch: a batch of very long texts stays small.
 BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
 
@@ -16,8 +18,9 @@ def limit_batches(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` with bounded batches."""
+    """``mapInArrow`` with bounded batches, in workers that have this package."""
     limit_batches(df.sparkSession)
+    ship_package(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
