@@ -1,8 +1,7 @@
 """kestrel: Spark-native funnel, sessionisation and experiment analytics.
 
-Every operator is a DataFrame -> DataFrame function built from built-in
-``pyspark.sql.functions``; nothing is collected to the driver except the
-verdict of a data contract.
+Every operator is a DataFrame -> DataFrame function; what is collected to the
+driver (verdicts of contracts, histograms, models) has a stated bound.
 """
 
 from kestrel.config import Profile  # noqa: F401
