@@ -316,7 +316,9 @@ def _csv_tables(spark, sf):
 
 def _csv_query(table):
     def fn(spark, sf):
-        return _csv_tables(spark, sf)[table]
+        folder = shared_path(spark, "raw-csv", uuid.uuid4().hex)
+        csv.write_raw_csv({table: pipeline.raw_tables(spark, sf)[table]}, folder)
+        return csv.read_raw_csv(spark, f"{folder}/{csv.ENTITY[table]}.csv", csv.ENTITY[table])
     return fn
 
 

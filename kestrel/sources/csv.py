@@ -92,8 +92,9 @@ def read_raw_tables(spark: SparkSession, folder: str, na_tokens: Sequence[str] |
 
 def write_raw_csv(tables: dict[str, DataFrame], folder: str) -> str:
     """Write star tables as raw CSVs (a folder of part files per entity)."""
-    for table, entity in ENTITY.items():
-        df = tables[table].select(*RAW_COLUMNS[entity])
+    for table, raw in tables.items():
+        entity = ENTITY[table]
+        df = raw.select(*RAW_COLUMNS[entity])
         df.write.mode("overwrite").option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(
             f"{folder.rstrip('/')}/{entity}.csv")
     return folder
