@@ -48,8 +48,10 @@ def test_format_p_matches_python(spark):
     assert got == exp
 
 
-def test_format_p_documented_near_tie_divergence(spark):
-    """Shortest text 0.00012345 is a decimal tie; the JVM rounds it up, Python
-    rounds the binary value (just below the tie) down. Documented in format_p."""
-    got = spark.createDataFrame([(0.00012345,)], "p double").select(format_p(F.col("p"))).collect()[0][0]
-    assert got == "0.0001235" and f"{0.00012345:.4g}" == "0.0001234"
+def test_format_p_at_decimal_ties(spark):
+    """Five-digit values ending in 5: half of them lie below the decimal in binary, a few are exact ties."""
+    ps = [n * 10 + 5 for n in range(1000, 9999, 7)]
+    ps = [x / 10 ** d for x in ps for d in (5, 6, 7, 8)] + [0.03125, 0.00390625, 0.5 ** 12]
+    df = spark.createDataFrame([(p,) for p in ps], "p double")
+    got = [r.s for r in df.select(format_p(F.col("p")).alias("s")).collect()]
+    assert got == ["< 0.0001" if p < 0.0001 else f"{p:.4g}" for p in ps]
