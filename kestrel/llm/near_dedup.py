@@ -40,6 +40,8 @@ K, THRESHOLD, NEEDED = 48, 0.75, 0.375
 BLOCK_ROWS, BLOCK_BYTES = 512, 8 << 20
 #: Tasks over which the edges of one node are dealt.
 SALTS = 8
+#: Bits of the filter that keeps texts out of shuffles they need not enter.
+BITMAP_BITS = 1 << 27
 
 
 def _digest(s: np.ndarray) -> bytes | None:
@@ -109,6 +111,33 @@ def _sets(batches):
                                           pa.array([s.tobytes() for s in sets], pa.binary())], names=["digest", "shingles"])
 
 
+def id_bitmap(ids: DataFrame, column: str) -> np.ndarray | None:
+    """A bitmap of BITMAP_BITS (16 MB at most) of the hashes of the ids, or None if there are so many
+    that it would let too much pass. It decides nothing: rows it lets pass still meet an exact join."""
+    if ids.count() > BITMAP_BITS // 8:
+        return None
+    at = F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS))
+    words = (ids.select(F.shiftright(at, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(`{column}`), 64) as int))").alias("bit"))
+             .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow())
+    out = np.zeros(BITMAP_BITS // 64, np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return out
+
+
+def split_rows(df: DataFrame, id_col: str, bitmap: np.ndarray, inside: bool) -> DataFrame:
+    """The rows of ``df`` whose id may be (``inside``) or surely is not in the bitmap, without a shuffle."""
+    src = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.xxhash64(id_col).alias("hash"))
+    shared = df.sparkSession.sparkContext.broadcast(bitmap)
+
+    def select(batches):
+        for batch in batches:
+            at = batch.column(1).to_numpy() & (BITMAP_BITS - 1)
+            hit = (shared.value[at >> 6] >> (at & 63)) & 1 == 1
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(hit == inside))], names=["row"])
+
+    return map_arrow(src, select, f"row {src.schema['row'].dataType.simpleString()}").select("row.*")
+
+
 def _incidence(sets: list[np.ndarray], values: np.ndarray) -> np.ndarray:
     out = np.zeros((len(sets), len(values)), np.float32)
     for i, s in enumerate(sets):
@@ -193,7 +222,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sizes = (members.groupBy("root").agg(F.count("*").alias("m"), F.sum(8 * F.col("n")).alias("bytes"))
              .select("root", F.ceil(F.greatest(F.col("m") / BLOCK_ROWS, F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks")))
     need = materialize(members.join(sizes, "root").select("node", "root", "digest", "doc", "blocks"), "members")
-    texts = src.join(need.select("doc").distinct(), src["doc_id"].eqNullSafe(F.col("doc")), "left_semi")
+    wanted = need.select("doc").distinct()
+    bitmap = id_bitmap(wanted, "doc")
+    if bitmap is None:
+        texts = src.join(wanted, src["doc_id"].eqNullSafe(F.col("doc")), "left_semi")
+    else:  # the join on the digest below is exact
+        texts = split_rows(src, "doc_id", bitmap, True)
     sets = map_arrow(texts.select("text"), _sets, "digest binary, shingles binary")
     sets = sets.join(need, "digest").dropDuplicates(["digest"])
     dealt = (sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -215,15 +249,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with one document of each component, all columns kept. Ids that
-    only one row has are settled by an anti join with the dropped ids; rows that share an
-    id (or have none) are told apart by their sets."""
+    only one row has are settled by an anti join with the dropped ids, which rows outside the
+    ids' bitmap pass by; rows that share an id (or have none) are told apart by their sets."""
     marks = materialize(near_duplicates(docs).select("doc_id", "digest", "kept"), "near-marks")
     repeated = materialize(marks.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("_id")), "repeated-ids")
-    dropped = marks.where("NOT kept").select(F.col("doc_id").alias("_id")).unionByName(repeated).distinct()
-    single = docs.join(dropped, docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    dropped = materialize(marks.where("NOT kept").select(F.col("doc_id").alias("_id")).unionByName(repeated).distinct(), "dropped-ids")
+    bitmap = id_bitmap(dropped, "_id")
+    doubtful = docs if bitmap is None else split_rows(docs, "doc_id", bitmap, True)
+    single = doubtful.join(dropped, doubtful["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    if bitmap is not None:
+        single = split_rows(docs, "doc_id", bitmap, False).unionByName(single)
     if repeated.isEmpty():
         return single
-    src = docs.join(repeated, docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
+    src = doubtful.join(repeated, doubtful["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
     src = src.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
 
     def with_digest(batches):

@@ -48,14 +48,14 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch):
     texts = variants() + [None, "", "  ", "a b", "A B", "a b c", "one two three four five", "one two three four five six"]
     sets, root = slow_near(texts)
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
-    for block in (512, 3):  # groups in one block, and dealt into many
+    for block, bits in ((512, 1 << 27), (3, 64), (3, 1 << 10)):  # groups in one block, and dealt into many; no, a full and a sparse filter
         monkeypatch.setattr(near_dedup, "BLOCK_ROWS", block)
+        monkeypatch.setattr(near_dedup, "BITMAP_BITS", bits)
         got = {r.doc_id: r for r in near_dedup.near_duplicates(df).collect()}
         assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == \
             {i: (len(sets[i]), root[i], root[i] == i) for i in range(len(texts))}
+        assert {r.doc_id for r in near_dedup.keep_one(df).collect()} == {i for i in root if root[i] == i}
     assert sum(root[i] != i for i in root) > 30
-    kept = near_dedup.keep_one(df)
-    assert {r.doc_id for r in kept.collect()} == {i for i in root if root[i] == i}
 
 
 def test_near_duplicates_of_repeated_and_null_ids(spark):
