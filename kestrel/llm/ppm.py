@@ -10,9 +10,12 @@ would have been coded there; after the empty context every other symbol is equal
 The pretrained trie is compiled into an automaton: one state per context, and per state and byte
 the log10 probability (escapes and exclusions worked in) and the next state. States depend on
 the last ORDER bytes only, so texts are scored in blocks side by side, whatever their
-length. The automaton holds the STATES most frequent contexts: that is the size of the model,
-and the bound of its broadcast. Without a pretrained trie, ``adaptive_code_length`` learns while
-it codes one document.
+length. The automaton holds the STATES most frequent contexts, the bound of its broadcast, and is only a
+cache in front of the written table of all contexts: where it is in a context shorter than ORDER, a longer
+one may be known there. Those bytes are kept as (document, context and byte, times), their
+distinct ones resolved by a join with the whole table, and the log probabilities summed per document, so
+the score is that of the whole trie whatever STATES is. Without a pretrained trie,
+``adaptive_code_length`` learns while it codes one document.
 
 The base score needs the count of every word: frequent words come from a broadcast table of
 FREQUENT entries, the rest from a join on the word, after summing per document.
@@ -109,15 +112,33 @@ def _counted(batches):
 class Automaton:
     """logp[state, column] and follow[state, column]; state 0 is the empty context. ``columns`` gives
     a byte's column; all bytes that training never saw share one. The last column is padding: it
-    costs nothing and leads nowhere."""
+    costs nothing and leads nowhere. Per state: its order, the sum and number of its followers' counts and the
+    escape probability; ``cells`` (sorted state * columns + column) and ``cell_n`` are the counts
+    themselves. ``whole``: no context of the training texts is missing."""
     logp: np.ndarray
     follow: np.ndarray
     columns: np.ndarray
+    order: np.ndarray
+    total: np.ndarray
+    kinds: np.ndarray
+    free: np.ndarray
+    cells: np.ndarray
+    cell_n: np.ndarray
+    whole: bool = True
 
     def scores(self, sequences: list[bytes]) -> np.ndarray:
-        """log10 probability of each sequence, all of them block by block in parallel."""
+        """log10 probability of each sequence in the contexts held here."""
+        return self.known(sequences, np.zeros(len(self.order), bool))[0]
+
+    def known(self, sequences: list[bytes], short: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """log10 probability of each sequence without the bytes for which a longer context may be known
+        (coded in a state that is ``short``), all of them block by block in parallel; and those
+        bytes: (sequence, gram, times)."""
+        if short is None:
+            short = (self.order < ORDER) & (not self.whole)
         lead = bytes([END]) * ORDER
-        data = self.columns[np.frombuffer(b"".join(lead + s for s in sequences), np.uint8)]
+        raw = np.frombuffer(b"".join(lead + s for s in sequences), np.uint8)
+        data = self.columns[raw]
         size = np.array([len(s) for s in sequences])
         first = np.r_[0, np.cumsum(size + ORDER)[:-1]]  # of each text's lead
         blocks = -(-size // _BLOCK)
@@ -127,15 +148,62 @@ class Automaton:
         width, logp, follow = self.logp.shape[1], self.logp.ravel(), self.follow.ravel()
         total, last = np.zeros(len(doc)), len(data) - 1
         state = np.zeros(len(doc), np.int64)
+        open_doc, open_at, any_short = [], [], bool(short.any())
         for step in range(ORDER + int(left.max(initial=0))):
             column = data[np.minimum(begin + step, last)].astype(np.int64)
             if step >= ORDER:
                 column[step - ORDER >= left] = width - 1
             cell = state * width + column
             if step >= ORDER:
-                total += logp[cell]
+                cost = logp[cell]
+                if any_short:
+                    at = np.flatnonzero(short[state])
+                    at = at[step - ORDER < left[at]]
+                    cost[at] = 0
+                    open_doc.append(doc[at])
+                    open_at.append(begin[at] + step)
+                total += cost
             state = follow[cell].astype(np.int64)
-        return np.bincount(doc, total, minlength=len(size))
+        who, at = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (open_doc, open_at))
+        gram = np.zeros(len(at), np.int64)
+        for j in range(ORDER + 1):
+            gram = (gram << 8) | raw[at - ORDER + j]
+        by = np.lexsort((gram, who))
+        who, gram = who[by], gram[by]
+        head = np.flatnonzero(np.r_[True, (who[1:] != who[:-1]) | (gram[1:] != gram[:-1])][:len(who)])
+        return np.bincount(doc, total, minlength=len(size)), who[head], gram[head], np.diff(np.r_[head, len(who)])
+
+    def reached(self, grams: np.ndarray) -> np.ndarray:
+        """The state in which the last byte of each gram is coded."""
+        state = np.zeros(len(grams), np.int64)
+        for j in range(ORDER, 0, -1):
+            state = self.follow[state, self.columns[(grams >> 8 * j) & 255]].astype(np.int64)
+        return state
+
+    def resolved(self, grams: np.ndarray, levels: dict[int, tuple[np.ndarray, ...]]) -> np.ndarray:
+        """log10 probability of each gram's last byte, given per order what the whole table says of its context:
+        (count of the byte, sum and number of the followers' counts, sum of the shorter context's counts
+        over these followers), the sum 0 where the context is unknown."""
+        state, alphabet, width = self.reached(grams), len(SYMBOLS), self.logp.shape[1]
+        column = self.columns[grams & 255].astype(np.int64)
+        order = self.order[state]
+        p = 10.0 ** self.logp[state, column].astype(np.float64)
+        below = p / np.maximum(self.free[state], 1e-300)  # of a byte not seen in the context reached
+        n, total, kinds = np.zeros(len(grams)), self.total[state], self.kinds[state]
+        if len(self.cells):
+            cell = state * width + column
+            at = np.minimum(np.searchsorted(self.cells, cell), len(self.cells) - 1)
+            n = np.where(self.cells[at] == cell, self.cell_n[at], 0.0)
+        for level in range(1, ORDER + 1):
+            own_n, own_total, own_kinds, excluded = levels[level]
+            on = (level > order) & (own_total > 0)
+            coded, escape = _coded(n, total - excluded, kinds - own_kinds, kinds == alphabet)
+            rest = np.where(n > 0, coded, escape * below)
+            own, free = _coded(own_n, own_total, own_kinds, own_kinds == alphabet)
+            p = np.where(on, np.where(own_n > 0, own, free * rest), p)
+            below = np.where(on, rest, below)
+            n, total, kinds = np.where(on, own_n, n), np.where(on, own_total, total), np.where(on, own_kinds, kinds)
+        return np.log10(np.maximum(p, 1e-37))
 
 
 def _coded(n, total, kinds, complete):
@@ -144,15 +212,17 @@ def _coded(n, total, kinds, complete):
     return np.where(complete, n / np.maximum(total, 1), (2 * n - 1) / size), np.where(complete, 0.0, np.where(kinds == 0, 1.0, kinds / size))
 
 
-def compile_trie(nodes: list[tuple[int, int]], counts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Automaton:
+def compile_trie(nodes: list[tuple[int, int]], counts: tuple[np.ndarray, np.ndarray, np.ndarray], whole: bool = True) -> Automaton:
     """From the kept contexts (order, packed bytes), closed under prefix and suffix, and their
-    (node, symbol, n)."""
+    (node, symbol, n); ``whole``: all contexts are kept."""
     nodes = nodes or [(0, 0)]
     who, symbol, n = counts
     seen_bytes, alphabet = np.unique(symbol), len(SYMBOLS)
     columns = np.full(256, len(seen_bytes), np.uint16)
     columns[seen_bytes] = np.arange(len(seen_bytes))
     width = len(seen_bytes) + 1
+    cells = who * (width + 1) + columns[symbol]
+    by = np.argsort(cells)
     nodes_at = {x: i for i, x in enumerate(nodes)}
     order = np.array([o for o, _ in nodes])
     parent = np.array([nodes_at[(o - 1, _masked(c, o - 1))] if o else 0 for o, c in nodes])
@@ -186,31 +256,73 @@ def compile_trie(nodes: list[tuple[int, int]], counts: tuple[np.ndarray, np.ndar
             before = nodes_at.get((level, nodes[i][1] >> 8))
             if before is not None:
                 follow[before, columns[nodes[i][1] & 255]] = i
-    return Automaton(logp, follow, columns)
+    return Automaton(logp, follow, columns, order, np.bincount(who, n, len(nodes)), np.bincount(who, minlength=len(nodes)).astype(float),
+                     free[:, 0], cells[by], n[by].astype(float), whole)
 
 
-def train_trie(texts: DataFrame, states: int = STATES) -> Automaton:
-    """Count every training text's contexts on the cluster; the driver compiles the ``states`` most
-    frequent ones (parents and prefixes are at least as frequent and shorter, so the set is closed)."""
+def context_table(texts: DataFrame) -> DataFrame:
+    """(depth, context, symbol, n) of every context of the training texts, counted on the cluster and written."""
     grams = map_arrow(texts.select("text"), _counted, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
     level = F.explode(F.sequence(F.lit(0), F.lit(ORDER)))
-    table = materialize(
+    return materialize(
         grams.select(level.alias("depth"), "gram", "n")
         .select("depth", F.shiftright("gram", 8).bitwiseAND(F.expr("shiftleft(1L, 8 * depth) - 1")).alias("context"),
                 F.col("gram").bitwiseAND(F.lit(255)).cast("int").alias("symbol"), "n")
         .groupBy("depth", "context", "symbol").agg(F.sum("n").alias("n")), "ppm-contexts")
+
+
+def train_trie(texts: DataFrame, states: int = STATES) -> Automaton:
+    """The automaton of the ``states`` most frequent contexts of the training texts."""
+    return _front(context_table(texts), states)[0]
+
+
+def _front(table: DataFrame, states: int) -> tuple[Automaton, DataFrame]:
+    """The driver compiles the ``states`` most frequent contexts (parents and prefixes are at least as
+    frequent and shorter, so the set is closed); with them their (depth, context, node)."""
     kept = (table.groupBy("depth", "context").agg(F.sum("n").alias("total"))
-            .orderBy(F.desc("total"), "depth", "context").limit(states).select("depth", "context").toArrow())
+            .orderBy(F.desc("total"), "depth", "context").limit(states + 1).select("depth", "context").toArrow())
     nodes = list(zip(kept.column("depth").to_pylist(), kept.column("context").to_pylist()))
+    whole, nodes = len(nodes) <= states, nodes[:states]
     have = set(nodes)
     nodes = [x for x in nodes if x[0] == 0 or (x[0] - 1, x[1] >> 8) in have]  # a tie at the edge may part a pair
     nodes.sort()
-    if not nodes:
-        return compile_trie([], (np.empty(0, np.int64),) * 3)
-    spark = texts.sparkSession
+    spark = table.sparkSession
     index = spark.createDataFrame([(o, c, i) for i, (o, c) in enumerate(nodes)], "depth int, context bigint, node int")
+    if not nodes:
+        return compile_trie([], (np.empty(0, np.int64),) * 3), index
     own = table.join(F.broadcast(index), ["depth", "context"]).select("node", "symbol", "n").toArrow()  # <= states * symbols
-    return compile_trie(nodes, tuple(own.column(c).to_numpy().astype(np.int64) for c in ("node", "symbol", "n")))
+    return compile_trie(nodes, tuple(own.column(c).to_numpy().astype(np.int64) for c in ("node", "symbol", "n")), whole), index
+
+
+def resolve(grams: DataFrame, table: DataFrame, index: DataFrame, model) -> DataFrame:
+    """(gram, logp) of distinct grams by the whole context table; ``model``: the broadcast automaton, whose
+    contexts are ``index``. Only contexts that it does not hold are joined, so none is a frequent one."""
+    def longer(batches):
+        for batch in batches:
+            gram = batch.column(0).to_numpy()
+            order = model.value.order[model.value.reached(gram)]
+            for level in range(1, ORDER + 1):
+                own = gram[order < level]
+                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.full(len(own), level, np.int32)),
+                                                  pa.array(_masked(own >> 8, level))], names=["gram", "depth", "context"])
+
+    def coded(batches):
+        for batch in batches:
+            col = {c: batch.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(batch.schema.names)}
+            levels = {k: tuple(col[f"{c}{k}"].astype(float) for c in ("n", "total", "kinds", "excluded")) for k in range(1, ORDER + 1)}
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.value.resolved(col["gram"], levels))], names=["gram", "logp"])
+
+    shorter = table.select((F.col("depth") + 1).alias("depth"), F.col("context").alias("suffix"), "symbol", F.col("n").alias("up"))
+    rare = (table.join(F.broadcast(index), ["depth", "context"], "left_anti")
+            .withColumn("suffix", F.col("context").bitwiseAND(F.expr("shiftleft(1L, 8 * (depth - 1)) - 1")))
+            .join(shorter, ["depth", "suffix", "symbol"])
+            .groupBy("depth", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), F.sum("up").alias("excluded"),
+                                             F.map_from_entries(F.collect_list(F.struct("symbol", "n"))).alias("seen")))
+    found = (map_arrow(grams, longer, "gram bigint, depth int, context bigint").join(rare, ["depth", "context"], "left")
+             .withColumn("n", F.try_element_at("seen", F.col("gram").bitwiseAND(F.lit(255)).cast("int"))))
+    levels = found.groupBy("gram").agg(*[F.coalesce(F.max(F.when(F.col("depth") == k, F.col(c))), F.lit(0)).alias(f"{c}{k}")
+                                         for k in range(1, ORDER + 1) for c in ("n", "total", "kinds", "excluded")])
+    return map_arrow(levels, coded, "gram bigint, logp double")
 
 
 def adaptive_code_length(text: bytes | None, order: int = ORDER) -> float:
@@ -273,7 +385,9 @@ def score_documents(docs: DataFrame, states: int = STATES, frequent: int = FREQU
     n_all, norm = r["tokens"], math.log10(r["tokens"] + r["distinct"] + 1)
     top = counts.where(F.octet_length("word") <= 64).orderBy(F.desc("n"), "word").limit(frequent).collect()
     shared = spark.sparkContext.broadcast({bytes(x["word"]): math.log10(x["n"] + 1) for x in top})
-    model = spark.sparkContext.broadcast(train_trie(learn, states))
+    table = context_table(learn)
+    automaton, index = _front(table, states)
+    model = spark.sparkContext.broadcast(automaton)
 
     def score(batches):
         part, nth, look = TaskContext.get().partitionId(), 0, shared.value.get
@@ -294,31 +408,42 @@ def score_documents(docs: DataFrame, states: int = STATES, frequent: int = FREQU
                 rows["rare_n"].append(list(rare.values()))
                 nth += 1
             types = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v, t) for v, t in zip(rows.values(), types)),
-                                              pa.array(_scores(model.value, sequences))], names=["doc_id", *rows, "score"])
+            score, ends, gram, times = _scores(model.value, sequences)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v, t) for v, t in zip(rows.values(), types)), pa.array(score),
+                                              pa.ListArray.from_arrays(ends, gram), pa.ListArray.from_arrays(ends, times)],
+                                             names=["doc_id", *rows, "score", "gram", "times"])
 
     facts = materialize(map_arrow(src, score, f"doc_id {kind}, row bigint, n_tokens bigint, known bigint, log_sum double, "
-                                  "rare array<binary>, rare_n array<bigint>, score double"), "scored")
+                                  "rare array<binary>, rare_n array<bigint>, score double, gram array<bigint>, times array<int>"), "scored")
     rare = (facts.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("w"))
             .select("row", F.col("w.rare").alias("word"), F.col("w.rare_n").alias("times")))
     rest = (rare.join(counts.withColumnRenamed("n", "c"), "word")
             .groupBy("row").agg(F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more_log")))
-    out = facts.drop("rare", "rare_n").join(rest, "row", "left")
+    out = facts.drop("rare", "rare_n", "gram", "times").join(rest, "row", "left").withColumn("more_score", F.lit(0.0))
+    if not automaton.whole:
+        longer = (facts.select("row", F.explode(F.arrays_zip("gram", "times")).alias("g"))
+                  .select("row", F.col("g.gram").alias("gram"), F.col("g.times").alias("times")))
+        known = resolve(longer.select("gram").distinct(), table, index, model)
+        out = out.drop("more_score").join(longer.join(known, "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("logp")).alias("more_score")),
+                                          "row", "left")
     return out.select("doc_id", held_out().alias("held_out"), "n_tokens",
                       (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
                       F.lit(n_all).cast("bigint").alias("train_tokens"),
-                      (F.col("log_sum") + F.coalesce("more_log", F.lit(0.0)) - F.col("n_tokens") * F.lit(norm)).alias("base_score"), "score")
+                      (F.col("log_sum") + F.coalesce("more_log", F.lit(0.0)) - F.col("n_tokens") * F.lit(norm)).alias("base_score"),
+                      (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"))
 
 
-def _scores(model: Automaton, sequences: list[bytes]) -> np.ndarray:
-    """In groups of a few MB, so that memory follows the longest text at most."""
-    out, group, size = [], [], 0
-    for s in sequences:
+def _scores(model: Automaton, sequences: list[bytes]) -> tuple[np.ndarray, pa.Array, pa.Array, pa.Array]:
+    """Scores, and per sequence the grams to resolve (list offsets, grams, times); in groups of a few
+    MB, so that memory follows the longest text at most."""
+    out, group, size, first = [], [], 0, 0
+    for i, s in enumerate(sequences, 1):
         group.append(s)
         size += len(s)
-        if size > 4 << 20:
-            out.append(model.scores(group))
-            group, size = [], 0
-    if group:
-        out.append(model.scores(group))
-    return np.concatenate(out) if out else np.empty(0)
+        if size > 4 << 20 or i == len(sequences):
+            score, who, gram, times = model.known(group)
+            out.append((score, who + first, gram, times))
+            first, group, size = i, [], 0
+    score, who, gram, times = (np.concatenate(x) for x in zip(*out)) if out else (np.empty(0), *(np.empty(0, np.int64),) * 3)
+    ends = np.searchsorted(who, np.arange(len(sequences) + 1)).astype(np.int32)
+    return score, pa.array(ends), pa.array(gram), pa.array(times.astype(np.int32))

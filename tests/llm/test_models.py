@@ -68,6 +68,19 @@ def test_a_small_model_keeps_the_trie_closed(spark):
         assert np.allclose(p[:, :-1].sum(1) + unseen * p[:, -1], 1, atol=1e-5)
 
 
+def test_scores_come_from_all_contexts(spark):
+    r = random.Random(5)
+    texts = [" ".join(r.choice(TRAIN).split()[r.randrange(3)] + r.choice("abcé") for _ in range(r.randrange(1, 40))) for _ in range(40)]
+    texts += ["zq zq! 漢", "the cat sat on the log " * 60, "", *TRAIN]
+    df = documents(spark, texts, extra=False)
+    rows = df.collect()
+    learned = [(x.text or "").encode() for x in rows if zlib.crc32(("" if x.doc_id is None else str(x.doc_id)).encode()) % 7 != 2]
+    want = sorted(slow_ppm(learned, (x.text or "").encode()) for x in rows)
+    for states in (1, 40, 300, 1_000_000):
+        got = sorted(x.score for x in ppm.score_documents(df, states=states).collect())
+        assert got == pytest.approx(want, rel=1e-4), states
+
+
 def test_adaptive_mode_learns_as_it_codes():
     once, many = ppm.adaptive_code_length(b"some words here"), ppm.adaptive_code_length(b"some words here " * 20)
     assert many > 20 * once / 3 and ppm.adaptive_code_length(None) == pytest.approx(-math.log10(len(ppm.SYMBOLS)))
