@@ -13,7 +13,8 @@ State is kept in RocksDB, the batch is bounded by default, and events merge into
 within a task before the shuffle, so a hot customer sends sessions, not events. Rows behind
 the watermark cannot be added any more; they are counted (``late_rows``) and, if any,
 raise ``LateRows`` unless the caller accepts them: the result never depends silently
-on file order.
+on file order. Each batch's count is kept beside the sink, so that it holds for any number of
+batches and over restarts from the checkpoint; a committed batch without one raises too.
 
 Arm totals are partial sums per batch over the de-duplicated stream, each batch in a folder
 of its own (written again, if a batch is repeated, to the same one) and added up on
@@ -29,13 +30,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.config import PURCHASE, SESSION_GAP_MINUTES
-from kestrel.session import path_exists, shared_path
+from kestrel.session import _hadoop, path_exists, shared_path
 from kestrel.sources.star import events_projection
 from kestrel.sources.tables import SCHEMAS
 
 FILES_PER_TRIGGER = 64
 STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-         "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
+         "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+         "spark.sql.streaming.numRecentProgressUpdates": "10000"}
+#: Seconds between two looks at a running query's progress (it keeps the last 10,000 batches).
+LOOK_S = 2
 #: Event id of the marker row of the closing pass (event ids are not negative).
 MARKER = -1
 
@@ -67,21 +71,52 @@ def _write_control(spark: SparkSession, control: str, close: bool) -> None:
         .write.mode("append").parquet(control)
 
 
-def _run(query_of, spark: SparkSession, accept_late: bool) -> int:
-    """Run a query to the end of its input; returns the rows dropped behind the watermark."""
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    fs, path = _hadoop(spark, folder)
+    return [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
+
+
+def _keep_late(spark: SparkSession, q, folder: str, seen: set) -> None:
+    """An empty file ``batch-rows`` for each batch whose progress is known and not yet in ``seen``."""
+    for p in q.recentProgress:
+        p = json.loads(p if isinstance(p, str) else p.json)
+        late = sum(op.get("numRowsDroppedByWatermark", 0) for op in p["stateOperators"])
+        name = f"{p['batchId']}-{late}"
+        if name not in seen:
+            fs, path = _hadoop(spark, f"{folder}/{name}")
+            fs.create(path, True).close()
+            seen.add(name)
+
+
+def _late(spark: SparkSession, out_dir: str) -> tuple[int, int]:
+    """Rows dropped in all batches so far, and the number of committed batches of which it is not known."""
+    kept: dict[int, int] = {}
+    for name in _names(spark, f"{out_dir}/late"):
+        batch, rows = map(int, name.split("-"))
+        kept[batch] = max(rows, kept.get(batch, 0))
+    commits = [int(n) for n in _names(spark, f"{out_dir}/_checkpoint/commits") if n.isdigit()]  # the last ones; ids have no gaps
+    return sum(kept.values()), sum(b not in kept for b in range(max(commits, default=-1) + 1))
+
+
+def _run(query_of, spark: SparkSession, accept_late: bool, out_dir: str) -> int:
+    """Run a query to the end of its input; returns the rows dropped behind the watermark in all its batches,
+    those before a restart included."""
     old = {k: spark.conf.get(k, None) for k in STATE}
     for k, v in STATE.items():
         spark.conf.set(k, v)
     try:
-        q = query_of().trigger(availableNow=True).start()
-        q.awaitTermination()
-        late = sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress
-                   for op in json.loads(p if isinstance(p, str) else p.json)["stateOperators"])
+        q, seen = query_of().trigger(availableNow=True).start(), set()
+        try:
+            while not q.awaitTermination(LOOK_S):
+                _keep_late(spark, q, f"{out_dir}/late", seen)
+        finally:  # also of a query that failed: its committed batches are not run again
+            _keep_late(spark, q, f"{out_dir}/late", seen)
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    if late and not accept_late:
-        raise LateRows(f"{late} row(s) behind the watermark: raise the delay or feed files in time order")
+    late, unknown = _late(spark, out_dir)
+    if (late or unknown) and not accept_late:
+        raise LateRows(f"{late} row(s) behind the watermark, {unknown} batch(es) not counted: raise the delay or feed files in time order")
     return late
 
 
@@ -117,10 +152,10 @@ def run_stream_sessions(spark: SparkSession, sf_dir: str, gap_minutes: int = SES
                 .writeStream.format("parquet").outputMode("append")
                 .option("path", f"{out_dir}/data").option("checkpointLocation", f"{out_dir}/_checkpoint"))
 
-    _run(query, spark, accept_late)
+    _run(query, spark, accept_late, out_dir)
     if close:
         _write_control(spark, control, close=True)
-        _run(query, spark, accept_late)
+        _run(query, spark, accept_late, out_dir)
     return spark.read.parquet(f"{out_dir}/data")
 
 
@@ -139,6 +174,6 @@ def run_stream_group_totals(spark: SparkSession, sf_dir: str, out_dir: str | Non
         return (events.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["event_id"])
                 .writeStream.outputMode("append").foreachBatch(add).option("checkpointLocation", f"{out_dir}/_checkpoint"))
 
-    _run(query, spark, accept_late)
+    _run(query, spark, accept_late, out_dir)
     return (spark.read.parquet(f"{out_dir}/data").groupBy("experiment_group")
             .agg(F.sum("total_events").alias("total_events"), F.sum("purchase_events").alias("purchase_events")))

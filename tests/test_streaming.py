@@ -73,3 +73,28 @@ def test_stream_group_totals(spark, tmp_dir):
     out = sessions_stream.run_stream_group_totals(spark, tmp_dir, out_dir=os.path.join(tmp_dir, "tot"), max_files_per_trigger=1)
     assert {r.experiment_group: (r.total_events, r.purchase_events) for r in out.collect()} == \
         {"Control": (3, 0), "Variant_A": (1, 1), "Variant_B": (1, 1)}
+
+
+def test_late_rows_of_early_batches_count(spark, tmp_dir):
+    _feed(tmp_dir, late=True)
+    folder = os.path.join(tmp_dir, "events.parquet")
+    for i in (3, 4, 5):  # batches after the late row's, more than the progress records kept
+        _write(os.path.join(folder, f"part-{i}.parquet"), [(10 + i, T0 + 240 * M, 5, "view", 1.0, '{"k": 5}')])
+        os.utime(os.path.join(folder, f"part-{i}.parquet"), (1e9 + i, 1e9 + i))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
+    try:
+        with pytest.raises(sessions_stream.LateRows):
+            sessions_stream.run_stream_sessions(spark, tmp_dir, 30, out_dir=os.path.join(tmp_dir, "s"), max_files_per_trigger=1)
+        with pytest.raises(sessions_stream.LateRows):
+            sessions_stream.run_stream_group_totals(spark, tmp_dir, os.path.join(tmp_dir, "g"), "30 minutes", max_files_per_trigger=1)
+        assert spark.conf.get("spark.sql.streaming.numRecentProgressUpdates") == "1"
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
+def test_late_rows_count_after_a_restart(spark, tmp_dir):
+    _feed(tmp_dir, late=True)
+    out = os.path.join(tmp_dir, "out")
+    sessions_stream.run_stream_sessions(spark, tmp_dir, 30, out_dir=out, max_files_per_trigger=1, close=False, accept_late=True)
+    with pytest.raises(sessions_stream.LateRows):  # nothing new to read: the row of the first run still counts
+        sessions_stream.run_stream_sessions(spark, tmp_dir, 30, out_dir=out, max_files_per_trigger=1)
