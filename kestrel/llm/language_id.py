@@ -9,8 +9,9 @@ character. Entropies of labelled texts that were kept out of the counts calibrat
 softmax with a fitted temperature) and the rejection: a text whose entropy lies far
 above what texts of its length in a known language have.
 
-Training reads a bounded sample: about SAMPLE_DOCS texts of at most SAMPLE_BYTES per language,
-chosen by the hash of their id; every fifth of them calibrates.
+Training reads a bounded sample: about SAMPLE_DOCS texts per language, of any length, chosen by the hash of their
+id; a text of more than SAMPLE_BYTES characters is read in slices from all over it, as many characters in all. Every fifth
+text calibrates, if its language has others.
 
 Defined results: null text or no letter: ``und``, score 0, rejected; ties go to the
 first language by name; a null id counts as an empty text in the hold-out rule; repeated rows are
@@ -32,6 +33,8 @@ from kestrel.llm.common import map_arrow, strings
 from kestrel.llm.shingles import _mix
 
 ORDER, SAMPLE_DOCS, SAMPLE_BYTES, FOLDS = 4, 400, 20_000, 5
+#: Slices that stand for a text of more than SAMPLE_BYTES characters.
+SLICES = 8
 UNKNOWN = "und"
 #: Characters the score takes into account, and where a text counts as foreign: this many
 #: standard errors and this much (nats a character) over the calibration mean.
@@ -166,6 +169,7 @@ class KneserNey:
     def calibrate(self, samples: list[tuple[str, int, list[float]]]) -> None:
         """From (language, characters, entropies) of labelled texts kept out of the counts."""
         if not samples:
+            self.mean = math.inf  # nothing to tell what is foreign by
             return
         own = np.array([e[self.languages.index(lang)] for lang, _, e in samples])
         size = np.array([n for _, n, _ in samples], np.float64)
@@ -199,24 +203,36 @@ def held_out(id_col: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % FOLDS == 0
 
 
+def sampled(text: str) -> str:
+    """The text, or SLICES slices spread evenly from its start to its end if it has more than SAMPLE_BYTES characters."""
+    size = SAMPLE_BYTES // SLICES
+    if len(text) <= size * SLICES:
+        return text
+    starts = np.linspace(0, len(text) - size, SLICES).astype(int).tolist()
+    return " ".join(text[a:a + size] for a in starts)
+
+
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> KneserNey:
     """Learn from the text and lang of a bounded sample of the documents that are not held out."""
-    rows = docs.select("doc_id", "text", "lang").where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()
-                                                       & (F.octet_length("text") <= SAMPLE_BYTES))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per language
+    rows = (docs.select("doc_id", "text", "lang").where(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+            .withColumn("own", F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(5)) == 0))
     spread = 1_000_000
-    share = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, math.ceil(spread * min(1.0, sample_docs / n)))]) \
-        if sizes else None
-    if share is None:
-        return KneserNey([], [], [], [], [], 0.0)
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(spread))
-    sample = rows.where(draw < share[F.col("lang")]).withColumn("own", F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(5)) == 0)
+    # per language its texts, and the least draw of those that may be counted (null: all are for calibration)
+    sizes = {r["lang"]: (r["n"], r["least"]) for r in rows.groupBy("lang").agg(
+        F.count("*").alias("n"), F.min(F.when(~F.col("own"), draw)).alias("least")).collect()}
+    if not sizes:
+        return KneserNey([], [], [], [], [], 0.0)
+    share = {lang: math.ceil(spread * min(1.0, sample_docs / n)) for lang, (n, _) in sorted(sizes.items())}
+    counted = {lang: least is not None and least < share[lang] for lang, (_, least) in sorted(sizes.items())}
+    in_map = lambda m: F.create_map(*[F.lit(x) for pair in m.items() for x in pair])[F.col("lang")]
+    sample = rows.where(draw < in_map(share)).withColumn("own", F.col("own") & in_map(counted))
 
     def count(batches):
         seen: dict = {}
         for batch in batches:
             for text, lang in zip(strings(batch, "text"), strings(batch, "lang")):
-                codes = characters(text)
+                codes = characters(sampled(text))
                 if len(codes):
                     seen.setdefault(lang, []).append(grams(codes, ORDER))
         for lang, parts in seen.items():
@@ -241,7 +257,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> KneserNey:
     def entropies(batches):
         for batch in batches:
             out = [(lang, len(c) - 1, shared.value.entropy(c).tolist()) for text, lang in zip(strings(batch, "text"), strings(batch, "lang"))
-                   if len(c := characters(text)) and lang in shared.value.languages]
+                   if len(c := characters(sampled(text))) and lang in shared.value.languages]
             yield pa.RecordBatch.from_pylist([{"lang": a, "n": b, "e": c} for a, b, c in out],
                                              schema=pa.schema([("lang", pa.string()), ("n", pa.int64()), ("e", pa.list_(pa.float64()))]))
 

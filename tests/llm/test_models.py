@@ -151,6 +151,35 @@ def test_language_id_without_labels(spark):
         assert all(r.lang_pred == "und" and r.rejected for r in language_id.identify(docs, model).collect())
 
 
+EN, DE = "the cat sat on the mat and the dog ran to the house ", "der hund lief und die katze sass auf der matte im haus "
+
+
+def test_languages_of_long_texts_are_learned(spark):
+    texts = [(i, (EN if i % 2 else DE) * 500, "en" if i % 2 else "de") for i in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string, lang string")
+    model = language_id.train(docs)
+    assert model.languages == ["de", "en"]
+    for r in language_id.identify(docs, model).collect():
+        assert r.lang_pred == texts[r.doc_id][2] and not r.rejected
+    text = "a" * 30_000 + "b" * 30_000 + "c" * 30_000
+    assert len(language_id.sampled(text)) <= language_id.SAMPLE_BYTES + language_id.SLICES and set(language_id.sampled(text)) == set("abc ")
+
+
+def test_a_language_with_one_text_is_learned_in_either_fold(spark):
+    many = [(i, EN * 3, "en") for i in range(60)]
+    for only in range(1000, 1040):
+        if zlib.crc32(str(only).encode()) % language_id.FOLDS == 0:
+            continue
+        docs = spark.createDataFrame([*many, (only, DE * 3, "de")], "doc_id bigint, text string, lang string")
+        own = docs.where(f"doc_id = {only} AND pmod(xxhash64(doc_id, 'calibrate'), 5) = 0").count()
+        if own:
+            assert language_id.train(docs).languages == ["de", "en"]
+            alone = docs.where("lang = 'de'")
+            assert [(r.lang_pred, r.rejected) for r in language_id.identify(alone, language_id.train(alone)).collect()] == [("de", False)]
+            return
+    raise AssertionError("no id of the calibration fold")
+
+
 def test_long_texts_score_alike_in_blocks():
     counts = {}
     for lang, t in (("en", "the cat sat on the mat"), ("de", "die katze auf der matte")):
