@@ -2,8 +2,10 @@
 
 A page becomes a flat list of text blocks, cut at block-level tags. Every block gets its
 word count and link density, those of the blocks before and after it, and what its open
-containers say (main or boilerplate, by tag or by words in class, id and role). A decision tree, trained
-when first used on the small labelled table below, keeps or drops the block.
+containers say (main or boilerplate by tag; what words in class, id and role hint at, and how much of the
+page stands under such a name). A decision tree, trained when first used on the small labelled table
+below, keeps or drops the block. A name that only says what a wrapper has (has-sidebar, with-nav) is no hint,
+and an article inside a named wrapper is not named by it, unless the page has another one outside.
 
 Defined results: null, empty or text-less html gives an empty text; comments, scripts, styles and the
 head never count; unclosed tags end with their container, an unclosed comment or script at the
@@ -42,10 +44,14 @@ BOILERPLATE_WORDS = frozenset(
     "footer gdpr header login masthead menu menubar modal nav navbar navigation newsletter notice notification popup promo promotion "
     "recommended related share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets "
     "comment comments commentlist disqus reply replies respond discussion search alert complementary contentinfo pagination pager".split())
+#: A name that starts with one of these tells what stands beside or inside, not what the element is.
+STATE_WORDS = frozenset("has have with without no is show hide".split())
+#: Words that name a part of the text when they stand inside an article.
+SECTION_WORDS = frozenset({"discussion"})
 MAIN_WORDS = frozenset("article content entry main post story body text maincontent articlebody".split())
 
 FEATURES = ("boilerplate", "main", "page_has_main", "heading", "list", "words", "link_density", "words_before", "link_density_before",
-            "words_after", "link_density_after", "hinted")
+            "words_after", "link_density_after", "hinted", "named", "named_share")
 
 
 @dataclass
@@ -59,26 +65,32 @@ class Block:
     listed: bool
     hinted: bool
     at: int  # where it starts in the page
+    named: int = 0  # the outermost container whose name hints at boilerplate, 0 without one
+    cleared: bool = False  # an article or main element stands between that container and the block
 
     @property
     def density(self) -> float:
         return self.link_words / max(1, self.words)
 
 
-def _hints(attributes: str) -> tuple[bool, bool]:
+def _hints(attributes: str, in_main: bool = False) -> tuple[bool, bool]:
     """(boilerplate, main) by the words of the element's names."""
     words = set()
     if "=" in attributes:
         for m in _ATTR.finditer(attributes):
-            words.update(_WORD.findall((m[2] or m[3] or m[4] or "").lower()))
-    return bool(words & BOILERPLATE_WORDS), bool(words & MAIN_WORDS)
+            for name in (m[2] or m[3] or m[4] or "").lower().split():
+                own = _WORD.findall(name)
+                if len(own) < 2 or own[0] not in STATE_WORDS:
+                    words.update(own)
+    return bool(words & (BOILERPLATE_WORDS - SECTION_WORDS if in_main else BOILERPLATE_WORDS)), bool(words & MAIN_WORDS)
 
 
 def blocks(page: str | None) -> list[Block]:
     """The page's text blocks in order."""
     out: list[Block] = []
-    # (tag, hidden, boilerplate, main, listed, only a form makes it boilerplate)
-    stack = [("", False, False, False, False, False)]
+    # (tag, hidden, boilerplate, main, listed, only a form makes it boilerplate, named, cleared)
+    stack = [("", False, False, False, False, False, 0, False)]
+    names = 0
     parts: list[str] = []
     links = begin = pos = 0
     in_link, tag_of, hinted = False, "", False
@@ -88,9 +100,10 @@ def blocks(page: str | None) -> list[Block]:
         nonlocal parts, links
         text = " ".join("".join(parts).split())
         if text:
-            _, _, boilerplate, main, listed, _ = stack[-1]
+            _, _, boilerplate, main, listed, _, named, cleared = stack[-1]
             n = len(text.split(" "))
-            out.append(Block(text, n, min(links, n), boilerplate, main, tag_of in HEADINGS, listed or tag_of in ("li", "dt", "dd"), hinted, begin))
+            out.append(Block(text, n, min(links, n), boilerplate, main, tag_of in HEADINGS, listed or tag_of in ("li", "dt", "dd"), hinted, begin,
+                             named, cleared))
         parts, links = [], 0
 
     def add(raw: str):
@@ -135,19 +148,24 @@ def blocks(page: str | None) -> list[Block]:
             elif not closing:
                 if stack[-1][0] == "head" and tag != "head":
                     stack.pop()
-                boiler, main = _hints(m[3])
+                boiler, main = _hints(m[3], stack[-1][3] and not stack[-1][6])
                 if tag in CONTAINERS and not m[3].endswith("/"):
-                    _, hidden, b, mm, listed, formed = stack[-1]
+                    _, hidden, b, mm, listed, formed, named, cleared = stack[-1]
                     own_main = tag in MAIN or main and not boiler
-                    own = tag in BOILERPLATE or tag == "header" and not mm or boiler and tag not in MAIN
-                    only_form = tag == "form" and not boiler and not b or formed and not own
+                    own = tag in BOILERPLATE or tag == "header" and not mm
+                    only_form = tag == "form" and not b or formed and not own
                     if tag in MAIN and b and formed:
                         b = only_form = False
-                    stack.append((tag, hidden or tag in HIDDEN, b or own, mm or own_main, listed or tag in ("ul", "ol", "menu"), only_form))
+                    if boiler and tag not in MAIN and (not named or cleared):
+                        names += 1
+                        named, cleared = names, False
+                    elif tag in MAIN and named and not boiler:
+                        cleared = True
+                    stack.append((tag, hidden or tag in HIDDEN, b or own, mm or own_main, listed or tag in ("ul", "ol", "menu"), only_form, named, cleared))
                 else:
                     hinted = boiler
         elif tag in CONTAINERS and not closing:
-            stack.append((tag, True, True, False, False, False))
+            stack.append((tag, True, True, False, False, False, 0, False))
     flush()
     return out
 
@@ -157,11 +175,16 @@ def features(page: list[Block]) -> np.ndarray:
     if not page:
         return np.empty((0, len(FEATURES)))
     words, density = np.array([b.words for b in page], float), np.array([b.density for b in page])
-    has_main = any(b.main and not b.boilerplate for b in page)
+    # an article outside of all named containers is the page's: those inside are comments or teasers
+    outside = any(b.main and not b.boilerplate and not b.named for b in page)
+    named = [b.named if not b.cleared or outside else 0 for b in page]
+    under = np.bincount(named, words)
+    share = np.where(np.array(named) > 0, under[named] / words.sum(), 0.0)
+    has_main = any(b.main and not b.boilerplate and not n for b, n in zip(page, named))
     shift = lambda x: (np.r_[0.0, x[:-1]], np.r_[x[1:], 0.0])
     (wb, wa), (db, da) = shift(words), shift(density)
     flags = np.array([[b.boilerplate, b.main, has_main, b.heading, b.listed] for b in page], float)
-    return np.c_[flags, words, density, wb, db, wa, da, [float(b.hinted) for b in page]]
+    return np.c_[flags, words, density, wb, db, wa, da, [float(b.hinted) for b in page], [float(n > 0) for n in named], share]
 
 
 _LONG = "the council said on monday that the old bridge will be closed for repairs until the end of the summer because of the flood damage "
@@ -206,6 +229,16 @@ TABLE = (
      (1, f"<section><h2>Last part</h2><p>{_LONG}</p><p>{_LONG}</p></section>"), (0, "<div role='contentinfo'>All rights reserved by the house</div>")),
     ((0, '<table><tr><td><a href="/1">News</a></td><td><a href="/2">Mail</a></td></tr></table>'), (1, f"<table><tr><td><p>{_LONG}</p><p>{_LONG * 2}</p></td></tr></table>"),
      (0, '<table><tr><td><a href="/3">Terms of use</a></td><td><a href="/4">Help</a></td></tr></table>')),
+    # wrappers named after what they also hold: the text inside is the page's
+    ((1, f'<div class="page has-sidebar"><article><h1>Roads</h1><p>{_LONG * 2}</p><p>Yes.</p>'), (0, '<p class="advert">Cheap cars for sale here.</p>'),
+     (0, '<aside><p><a href="/1">Related roads</a></p><p><a href="/2">Other roads</a></p></aside></article>'), (0, '<div class="sidebar"><p>Popular soups of the week</p></div></div>'),
+     (0, "<footer>Imprint</footer>")),
+    ((0, '<div class="with-nav"><nav><a href="/a">Home</a></nav>'), (1, f"<h1>Snow</h1><p>{_LONG}</p>"), (0, '<p class="promo">Subscribe now for more of it.</p>'), (1, f"<p>{_LONG * 2}</p></div>"), (0, '<div class="footer">Imprint and terms of use</div>')),
+    ((1, f'<article><h1>Study</h1><p>{_LONG}</p><section class="discussion"><h2>Discussion</h2><p>{_LONG}</p><p>So it is.</p></section></article>'),
+     (0, f'<section class="comments"><p>{_LONG}</p></section>')),
+    ((1, f'<div class="sidebar-layout"><main><p>{_LONG * 2}</p><p>The end.</p></main></div>'), (0, '<div class="banner">Big sale of boats this week.</div>')),
+    ((0, '<div class="menu"><a href="/">Start</a></div>'), (1, f'<div id="navbar-page"><h1>Rain</h1><p>{_LONG * 3}</p><p>{_LONG * 3}</p><p>It stops.</p></div>'), (0, "<footer>Imprint</footer>")),
+    ((1, f'<div class="sidebar-right"><p>{_LONG * 2}</p><p>{_LONG * 3}</p><p>Yes.</p></div>'), (0, '<div class="footer">Imprint</div>')),
     ((0, f'<div class="comment"><p>{_LONG}</p></div>'), (0, f'<div id="replies"><p>{_LONG * 2}</p><p>No.</p></div>'), (0, "<footer><p>Contact the office by mail.</p></footer>")),
 )
 

@@ -145,6 +145,18 @@ def test_main_text(page, want):
     assert html_text.main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    (f"<div class='page has-sidebar'><article><h1>T</h1><p>{TEXT}</p><p>Ea.</p></article><div class='sidebar'><p>{TEXT}</p></div></div>", f"T\n{TEXT}\nEa."),
+    (f"<div class='with-nav'><nav><a href=a>Home</a></nav><main><p>{TEXT}</p></main></div>", TEXT),
+    (f"<div id=sidebar-layout><article><p>{TEXT}</p><p>Ea.</p></article></div><footer>c</footer>", f"{TEXT}\nEa."),
+    (f"<article><p>{TEXT}</p><section class='discussion'><h2>Dis</h2><p>{TEXT}</p></section></article>", f"{TEXT}\nDis\n{TEXT}"),
+    (f"<section class='discussion'><article><p>{TEXT}</p></article></section>", TEXT),
+    (f"<article><p>{TEXT}</p></article><div class='comments'><article><p>{TEXT} no</p></article></div>", TEXT),
+])
+def test_wrappers_with_names_of_boilerplate_keep_the_article(page, want):
+    assert html_text.main_text(page) == want
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sampled_from([*"<>/\"'=!- pa&;b", "<p>", "</p>", "<div class=", "<script>", "<!--", "-->", "<a href='"]), max_size=40).map("".join))
 def test_broken_markup_never_fails(page):
