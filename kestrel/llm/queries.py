@@ -5,7 +5,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from kestrel.llm import (chat, decontamination, html_text, language_id, near_dedup, packing, ppm, quality_rules, token_counts, warc)
+from kestrel.llm import (alignment, chat, decontamination, fingerprints, html_text, language_id, near_dedup, packing, ppm, prefix_trie,
+                         quality_rules, token_counts, warc)
 from kestrel.sources.tables import read_table
 
 REGISTRY: dict = {}
@@ -78,6 +79,22 @@ def op10(spark, sf):
     return chat.format_conversations(read_table(spark, sf, "conversations"))
 
 
+@query("op11_document_fingerprints")
+def op11(spark, sf):
+    return fingerprints.edited_fingerprints(read_table(spark, sf, "documents"))
+
+
+@query("op12_conversation_trie")
+def op12(spark, sf):
+    return prefix_trie.trie(prefix_trie.sequences(read_table(spark, sf, "conversations"), family=20)).drop("turn_id")
+
+
+@query("op13_tokenizer_alignment")
+def op13(spark, sf):
+    return alignment.alignment_measures(read_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                        public_tokenizers.path("piece_bpe_32k.model"))
+
+
 _WORDS = "list_filter(regexp_split_to_array({}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SHINGLES = ("SELECT DISTINCT {id}, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] "
@@ -127,3 +144,23 @@ e AS MATERIALIZED (SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc
 reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, e.y FROM reach r JOIN e ON r.y = e.x)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.y) AS component_id, d.doc_id = min(r.y) AS kept
 FROM documents d JOIN reach r ON r.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id, n.n"""
+
+_CRC32 = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)), "
+          "lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda r, i: xor(r >> 1, (r & 1) * 3988292384))), 4294967295)")
+ORACLE["op12_conversation_trie"] = f"""
+WITH f AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+u AS (SELECT role, text, row_number() OVER () AS id, len({_WORDS.format('text')}) AS words FROM (SELECT DISTINCT role, text FROM f)),
+t AS (SELECT conv_id, id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos FROM f JOIN u USING (role, text)),
+c AS (SELECT conv_id, {_CRC32} % 4 AS h, conv_id - conv_id % 20 AS base FROM (SELECT DISTINCT conv_id FROM f)),
+r AS (SELECT c.conv_id, 0 AS own, t.pos, t.id FROM c JOIN t ON t.conv_id = c.base AND t.pos < c.h
+      UNION ALL SELECT c.conv_id, 1, t.pos, t.id FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos >= c.h),
+s AS (SELECT conv_id, coalesce(path, []) AS path FROM c LEFT JOIN (SELECT conv_id, list(id ORDER BY own, pos) AS path FROM r GROUP BY conv_id) USING (conv_id)),
+n AS (SELECT conv_id, d, path[1:d] AS p, d = len(path) AS ends FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM s)),
+g AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256 FROM n GROUP BY p, d),
+k AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM g WHERE d > 0 GROUP BY 1),
+w AS (SELECT g.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * coalesce(words, 0) AS saved FROM g LEFT JOIN k USING (p) LEFT JOIN u ON u.id = g.p[g.d]),
+b AS (SELECT p[1:a] AS p, CAST(sum(saved) AS BIGINT) AS saved_tokens, CAST(count(*) FILTER (WHERE n_children = 0) AS BIGINT) AS n_leaves
+      FROM (SELECT p, saved, n_children, unnest(range(0, d + 1)) AS a FROM w) GROUP BY 1)
+SELECT w.conv_id, CAST(w.d AS BIGINT) AS depth, CASE WHEN w.d > 0 THEN g.conv_id END AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens, w.ends_sha256
+FROM w JOIN b USING (p) LEFT JOIN g ON g.p = w.p[1:w.d - 1]"""
