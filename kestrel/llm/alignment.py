@@ -25,13 +25,15 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import BoundedCache, byte_texts, map_arrow, strings
+from kestrel.llm.common import byte_texts, map_arrow, strings
+from kestrel.llm.packing import _STABLE, _ranked
 from kestrel.session import materialize
 
 MARK = "▁"
@@ -39,6 +41,7 @@ MARK = "▁"
 FREQUENT, HELD, CACHED = 1 << 18, 1 << 20, 200_000
 #: The most copied texts, whose measures are repeated so that their documents spread over tasks.
 HOT_TEXTS, SPREAD = 1024, 64
+_CODE = struct.Struct("<q")
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
 #: White space that meets, starts or ends the text, or a literal space mark: such texts are aligned whole.
 _WHOLE = re.compile(rf"[ \n]\s|\s[ \n]|^\s|\s$|{MARK}")
@@ -65,12 +68,12 @@ class Pair:
                         for i in range(self.a.get_vocab_size())]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(m[1], 16)]) if (m := _BYTE.fullmatch(p)) else p.replace(MARK, " ").encode() for p in pieces]
-        self.newline = self.b.encode("\n")
-        if any(MARK in p.lstrip(MARK) or "\n" in p for p in pieces) or len(self.newline) != 2:
+        newline = self.b.encode("\n")
+        if any(MARK in p.lstrip(MARK) or "\n" in p for p in pieces) or len(newline) != 2:
             raise ValueError("a piece of this vocabulary crosses a space or a newline: its texts cannot be cut there")
-        self.words = BoundedCache(lambda w: self.aligned(self.a_ids(" " + w), self.b.encode(w), (" " + w).encode()), CACHED)
-        self.starts = BoundedCache(lambda w: self.aligned(self.a_ids(w), self.b.encode("\n" + w)[2:], w.encode()), CACHED // 4)
-        self.break_ = self.aligned(self.a_ids("\n"), self.newline[1:], b"\n")
+        self.ranked = _ranked(a_path)
+        self.known: dict = {}  # (chunk as A reads it) -> alignment; words after a space start with it
+        self.break_ = self.aligned(self.a_ids("\n"), newline[1:], b"\n")
 
     def a_ids(self, text: str) -> list[int]:
         return self.a.encode(text, add_special_tokens=False).ids
@@ -80,26 +83,60 @@ class Pair:
         a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
         if None in a_parts or b"".join(a_parts) != data or b"".join(b_parts) != data:
             return None
-        a_ends, b_ends = np.cumsum([*map(len, a_parts)]), np.cumsum([*map(len, b_parts)])
-        _, at_a, at_b = np.intersect1d(a_ends, b_ends, return_indices=True)
-        groups, i, j = [], 0, 0
-        for p, q in zip(at_a.tolist(), at_b.tolist()):
-            groups.append(",".join(map(str, a[i:p + 1])) + "|" + ",".join(map(str, b[j:q + 1])))
-            i, j = p + 1, q + 1
-        codes = np.array(a, np.int64)[at_a] << 32 | np.array(b, np.int64)[at_b]
-        return ";".join(groups), codes.astype("<i8").tobytes(), len(a), len(b), len(groups)
-
-    def __call__(self, text: str):
-        """The text's alignment, by chunks where it can be cut."""
+        if len(a) == len(b) == 1:
+            return f"{a[0]}|{b[0]}", _CODE.pack(a[0] << 32 | b[0]), 1, 1, 1
+        groups, codes, from_a, from_b, at_b, a_end, b_end = [], [], 0, 0, 0, 0, len(b_parts[0])
+        for at_a, part in enumerate(a_parts):
+            a_end += len(part)
+            while b_end < a_end:
+                at_b += 1
+                b_end += len(b_parts[at_b])
+            if a_end == b_end:
+                groups.append(",".join(map(str, a[from_a:at_a + 1])) + "|" + ",".join(map(str, b[from_b:at_b + 1])))
+                codes.append(a[at_a] << 32 | b[at_b])
+                from_a, from_b = at_a + 1, at_b + 1
+        return ";".join(groups), struct.pack(f"<{len(codes)}q", *codes), len(a), len(b), len(groups)
+
+    def whole(self, text: str):
+        return self.aligned(self.a_ids(" " + text), self.b.encode(text), (" " + text).encode())
+
+    def chunks(self, text: str) -> list[str] | None:
+        """The chunks of space + text between its white space, or None where it must be aligned whole."""
         if _WHOLE.search(text):
-            return self.aligned(self.a_ids(" " + text), self.b.encode(text), (" " + text).encode())
-        parts, words, starts = [], self.words.__getitem__, self.starts
-        for n, line in enumerate(text.split("\n")):
-            first, *rest = line.split(" ")
-            if n:
-                parts.append(self.break_)
-            parts.append(starts[first] if n else words(first))
-            parts += map(words, rest)
+            return None
+        first, *rest = text.split("\n")
+        out = (" " + first.replace(" ", "\0 ")).split("\0") if "\0" not in text else None
+        if out is None:
+            return None
+        for line in rest:
+            out.append("\n")
+            out += line.replace(" ", "\0 ").split("\0")
+        return out
+
+    def learn(self, chunks: set[str]) -> None:
+        """Align the chunks that are not known yet, B's side in one call."""
+        new = [c for c in chunks if c not in self.known]
+        if len(self.known) + len(new) > CACHED:
+            self.known.clear()
+            new = list(chunks)
+        ids = self.b.encode([c[1:] if c[0] == " " else "\n" + c for c in new], num_threads=1)
+        for c, b in zip(new, ids):
+            a = self.ranked.encode_ordinary(c) if self.ranked and _STABLE.fullmatch(c, 1 if c[0] == " " else 0) else self.a_ids(c)
+            self.known[c] = self.aligned(a, b if c[0] == " " else b[2:], c.encode())
+        self.known["\n"] = self.break_
+
+    def align(self, texts: list[str]) -> list:
+        """Each text's alignment, by chunks where it can be cut."""
+        out = []
+        for a in range(0, len(texts), 64):
+            cut = [self.chunks(t) for t in texts[a:a + 64]]
+            self.learn({c for chunks in cut if chunks for c in chunks if c != "\n"})
+            for text, chunks in zip(texts[a:a + 64], cut):
+                out.append(self.whole(text) if chunks is None else self._joined(list(map(self.known.__getitem__, chunks))))
+        return out
+
+    @staticmethod
+    def _joined(parts: list):
         if None in parts:
             return None
         groups, codes, n_a, n_b, n = zip(*parts)
@@ -128,8 +165,8 @@ def align_texts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         pair = tokenizer_pair(a_path, b_path)
         for batch in batches:
             rows = []
-            for data in byte_texts(batch, "text"):
-                found = pair(data.decode())
+            texts = byte_texts(batch, "text")
+            for data, found in zip(texts, pair.align([t.decode() for t in texts])):
                 digest = hashlib.sha256(data).digest()
                 if found is None:
                     rows.append((digest, 0, 0, 0, 0, "", b"", b""))

@@ -258,4 +258,4 @@ def test_chunks_align_as_whole_texts(parts):
     text = "".join(parts).encode("utf-8", "ignore").decode()
     pair = alignment.tokenizer_pair(A, B)
     if text:
-        assert pair(text) == pair.aligned(pair.a_ids(" " + text), pair.b.encode(text), (" " + text).encode())
+        assert pair.align([text]) == [pair.whole(text)]
