@@ -4,12 +4,14 @@ A page becomes a flat list of text blocks, cut at block-level tags. Every block
 word count and link density, those of the blocks before and after it, and what its open
 containers say (main or boilerplate by tag; what words in class, id and role hint at, and how much of the
 page stands under such a name). A decision tree, trained when first used on the small labelled table
-below, keeps or drops the block. A name that only says what a wrapper has (has-sidebar, with-nav) is no hint,
-and an article inside a named wrapper is not named by it, unless the page has another one outside.
+below, keeps or drops the block. Inside an article everything stays that no tag or name takes out. A name that only says what a
+wrapper has (has-sidebar, with-nav) is no hint, and an article inside a named wrapper, or inside a menu or the like
+that was never closed, is not taken out by it, unless the page has another one outside. Reader comments go however much
+of the page they are. Without names and articles, length, links and neighbours of a block decide.
 
 Defined results: null, empty or text-less html gives an empty text; comments, scripts, styles and the
 head never count; unclosed tags end with their container, an unclosed comment or script at the
-page's end; a <br> is white space; repeated rows and null ids keep their row; an empty table stays
+page's end; elements hidden by attribute or style (block-level ones) never count; a <br> is white space; repeated rows and null ids keep their row; an empty table stays
 empty; other columns are ignored.
 """
 
@@ -42,8 +44,10 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 BOILERPLATE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs cookie cookies consent copyright disclaimer "
     "footer gdpr header login masthead menu menubar modal nav navbar navigation newsletter notice notification popup promo promotion "
-    "recommended related share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets "
-    "comment comments commentlist disqus reply replies respond discussion search alert complementary contentinfo pagination pager".split())
+    "overlay recommended related share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets "
+    "comment comments commentlist disqus reply replies respond responses thread discussion search alert complementary contentinfo pagination pager".split())
+#: Those that name reader comments: no share of the page makes them its text.
+COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies respond responses thread".split())
 #: A name that starts with one of these tells what stands beside or inside, not what the element is.
 STATE_WORDS = frozenset("has have with without no is show hide".split())
 #: Words that name a part of the text when they stand inside an article.
@@ -52,6 +56,8 @@ MAIN_WORDS = frozenset("article content entry main post story body text maincont
 
 FEATURES = ("boilerplate", "main", "page_has_main", "heading", "list", "words", "link_density", "words_before", "link_density_before",
             "words_after", "link_density_after", "hinted", "named", "named_share")
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_UNSEEN = re.compile(r"style\s*=\s*[\"']?[^\"']*display\s*:\s*none", re.I)
 
 
 @dataclass
@@ -67,14 +73,21 @@ class Block:
     at: int  # where it starts in the page
     named: int = 0  # the outermost container whose name hints at boilerplate, 0 without one
     cleared: bool = False  # an article or main element stands between that container and the block
+    boxed: bool = False  # boilerplate only by a container outside of an article or main element
+    comment: bool = False  # stands in reader comments
 
     @property
     def density(self) -> float:
         return self.link_words / max(1, self.words)
 
 
-def _hints(attributes: str, in_main: bool = False) -> tuple[bool, bool]:
-    """(boilerplate, main) by the words of the element's names."""
+def _unseen(attributes: str) -> bool:
+    """Is the element hidden by its attributes?"""
+    return "hidden" in _QUOTED.sub("", attributes).lower().replace("=", " ").split() or bool(_UNSEEN.search(attributes))
+
+
+def _hints(attributes: str, in_main: bool = False) -> tuple[bool, bool, bool]:
+    """(boilerplate, main, comment) by the words of the element's names."""
     words = set()
     if "=" in attributes:
         for m in _ATTR.finditer(attributes):
@@ -82,33 +95,33 @@ def _hints(attributes: str, in_main: bool = False) -> tuple[bool, bool]:
                 own = _WORD.findall(name)
                 if len(own) < 2 or own[0] not in STATE_WORDS:
                     words.update(own)
-    return bool(words & (BOILERPLATE_WORDS - SECTION_WORDS if in_main else BOILERPLATE_WORDS)), bool(words & MAIN_WORDS)
+    return bool(words & (BOILERPLATE_WORDS - SECTION_WORDS if in_main else BOILERPLATE_WORDS)), bool(words & MAIN_WORDS), bool(words & COMMENT_WORDS)
 
 
 def blocks(page: str | None) -> list[Block]:
     """The page's text blocks in order."""
     out: list[Block] = []
-    # (tag, hidden, boilerplate, main, listed, only a form makes it boilerplate, named, cleared)
-    stack = [("", False, False, False, False, False, 0, False)]
+    # (tag, hidden, boilerplate, main, listed, only a form makes it boilerplate, named, cleared, boxed, comment)
+    stack = [("", False, False, False, False, False, 0, False, False, False)]
     names = 0
     parts: list[str] = []
     links = begin = pos = 0
-    in_link, tag_of, hinted = False, "", False
+    in_link, tag_of, hinted, unseen = False, "", False, False
     page = page or ""
 
     def flush():
         nonlocal parts, links
         text = " ".join("".join(parts).split())
         if text:
-            _, _, boilerplate, main, listed, _, named, cleared = stack[-1]
+            _, _, boilerplate, main, listed, _, named, cleared, boxed, comment = stack[-1]
             n = len(text.split(" "))
             out.append(Block(text, n, min(links, n), boilerplate, main, tag_of in HEADINGS, listed or tag_of in ("li", "dt", "dd"), hinted, begin,
-                             named, cleared))
+                             named, cleared, boxed, comment))
         parts, links = [], 0
 
     def add(raw: str):
         nonlocal links, begin
-        if raw and not stack[-1][1]:
+        if raw and not stack[-1][1] and not unseen:
             if not parts:
                 begin = pos
             text = html.unescape(raw)
@@ -137,7 +150,7 @@ def blocks(page: str | None) -> list[Block]:
             parts.append(" ")
         elif tag in BLOCKS:
             flush()
-            in_link, tag_of, hinted = False, "" if closing else tag, False
+            in_link, tag_of, hinted, unseen = False, "" if closing else tag, False, False
             if tag == "body":
                 del stack[1:]
             elif closing and tag in CONTAINERS:
@@ -148,24 +161,27 @@ def blocks(page: str | None) -> list[Block]:
             elif not closing:
                 if stack[-1][0] == "head" and tag != "head":
                     stack.pop()
-                boiler, main = _hints(m[3], stack[-1][3] and not stack[-1][6])
+                boiler, main, talk = _hints(m[3], stack[-1][3] and not stack[-1][6])
+                gone = _unseen(m[3])
                 if tag in CONTAINERS and not m[3].endswith("/"):
-                    _, hidden, b, mm, listed, formed, named, cleared = stack[-1]
+                    _, hidden, b, mm, listed, formed, named, cleared, boxed, comment = stack[-1]
                     own_main = tag in MAIN or main and not boiler
                     own = tag in BOILERPLATE or tag == "header" and not mm
                     only_form = tag == "form" and not b or formed and not own
                     if tag in MAIN and b and formed:
                         b = only_form = False
+                    boxed = not own and b and (boxed or tag in MAIN)
                     if boiler and tag not in MAIN and (not named or cleared):
                         names += 1
                         named, cleared = names, False
                     elif tag in MAIN and named and not boiler:
                         cleared = True
-                    stack.append((tag, hidden or tag in HIDDEN, b or own, mm or own_main, listed or tag in ("ul", "ol", "menu"), only_form, named, cleared))
+                    stack.append((tag, hidden or tag in HIDDEN or gone, b or own, mm or own_main, listed or tag in ("ul", "ol", "menu"), only_form,
+                                  named, cleared, boxed, comment or talk and boiler and tag not in MAIN))
                 else:
-                    hinted = boiler
+                    hinted, unseen = boiler, gone
         elif tag in CONTAINERS and not closing:
-            stack.append((tag, True, True, False, False, False, 0, False))
+            stack.append((tag, True, True, False, False, False, 0, False, False, False))
     flush()
     return out
 
@@ -175,19 +191,22 @@ def features(page: list[Block]) -> np.ndarray:
     if not page:
         return np.empty((0, len(FEATURES)))
     words, density = np.array([b.words for b in page], float), np.array([b.density for b in page])
-    # an article outside of all named containers is the page's: those inside are comments or teasers
+    # an article outside of all menus and named containers is the page's: those inside are comments or teasers
     outside = any(b.main and not b.boilerplate and not b.named for b in page)
+    boilerplate = [b.boilerplate and (outside or not b.boxed) for b in page]
     named = [b.named if not b.cleared or outside else 0 for b in page]
+    # how much of the page stands under a name: a page without an article may be named as a whole
     under = np.bincount(named, words)
-    share = np.where(np.array(named) > 0, under[named] / words.sum(), 0.0)
-    has_main = any(b.main and not b.boilerplate and not n for b, n in zip(page, named))
+    share = np.array([0.0 if outside or b.comment or not n else under[n] / words.sum() for b, n in zip(page, named)])
+    has_main = any(b.main and not x and not n for b, x, n in zip(page, boilerplate, named))
     shift = lambda x: (np.r_[0.0, x[:-1]], np.r_[x[1:], 0.0])
     (wb, wa), (db, da) = shift(words), shift(density)
-    flags = np.array([[b.boilerplate, b.main, has_main, b.heading, b.listed] for b in page], float)
+    flags = np.array([[x, b.main, has_main, b.heading, b.listed] for b, x in zip(page, boilerplate)], float)
     return np.c_[flags, words, density, wb, db, wa, da, [float(b.hinted) for b in page], [float(n > 0) for n in named], share]
 
 
 _LONG = "the council said on monday that the old bridge will be closed for repairs until the end of the summer because of the flood damage "
+_FERRY, _NEXT = "the ferry did not leave the harbour today because of the strong wind", "nobody knows when the next one will leave again"
 #: The labelled table: pages as (keep, html) pieces; every block takes the label of the piece it starts in.
 TABLE = (
     # an article element after menu, advert and before the footer; short paragraphs and headings belong to it
@@ -239,6 +258,35 @@ TABLE = (
     ((1, f'<div class="sidebar-layout"><main><p>{_LONG * 2}</p><p>The end.</p></main></div>'), (0, '<div class="banner">Big sale of boats this week.</div>')),
     ((0, '<div class="menu"><a href="/">Start</a></div>'), (1, f'<div id="navbar-page"><h1>Rain</h1><p>{_LONG * 3}</p><p>{_LONG * 3}</p><p>It stops.</p></div>'), (0, "<footer>Imprint</footer>")),
     ((1, f'<div class="sidebar-right"><p>{_LONG * 2}</p><p>{_LONG * 3}</p><p>Yes.</p></div>'), (0, '<div class="footer">Imprint</div>')),
+    # links that are all of a paragraph or a list item of the article
+    ((0, '<nav><a href="/a">Home</a></nav>'), (1, f'<article><p>{_LONG}</p><p><a href="/s">Read the source here</a></p><ul><li><a href="/1">First report</a></li><li><a href="/2">Second</a></li></ul>'),
+     (1, '<p><a href="/3">Map</a> <a href="/4">Photos</a></p><p>Ends.</p></article>'), (0, '<div><a href="/5">Imprint</a></div>')),
+    ((0, '<div><a href="/a">Home</a></div>'), (1, f'<div class="content"><p><a href="/s">Report of the council</a></p><p>{_LONG}</p><p><a href="/t">Table</a></p></div>'), (0, "<footer>Imprint</footer>")),
+    # reader comments longer than the article, and a page of nothing else
+    ((1, f"<article><p>{_LONG}</p></article>"), (0, f'<section id="comments"><h3>Comments</h3><p>{_LONG * 2}</p><p>{_LONG * 3}</p><p>I agree.</p><p>{_LONG}</p><p>{_LONG * 2}</p><p>No.</p></section>')),
+    ((1, f"<div><h1>Hail</h1><p>{_LONG}</p></div>"), (0, f'<div class="comments"><p>{_LONG}</p><p>{_LONG * 2}</p><p>Yes.</p><p>{_LONG * 2}</p><p>{_LONG}</p></div>'), (0, "<footer>Imprint</footer>")),
+    # a menu that is never closed before the article
+    ((0, '<nav><ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li></ul>'), (1, f"<article><h1>Fog</h1><p>{_LONG}</p><p>Thick.</p>"), (0, "<aside><p>Other fog stories of the week</p></aside></article>")),
+    # what a tag makes boilerplate is none of the text, whatever its length and place
+    ((0, f"<nav><p>{_FERRY}</p></nav>"), (1, f"<div><p>{_LONG}</p><p>{_NEXT}</p></div>"), (0, f"<footer><p>{_FERRY} {_NEXT}</p></footer>")),
+    ((0, f"<aside><p>{_LONG * 2}</p></aside>"), (1, f"<p>{_LONG}</p><p>{_FERRY}</p>"), (0, f"<form><p>{_LONG}</p></form>"), (0, f"<footer>{_NEXT}</footer>")),
+    ((1, f"<article><p>{_LONG * 2}</p><p>{_FERRY}</p></article>"), (0, f"<footer>{_FERRY}</footer>")), ((1, f"<main><p>{_FERRY}</p></main>"), (0, f"<aside><p>{_LONG}</p></aside>"), (0, f"<footer>{_LONG}</footer>")),
+    ((0, f"<header><p>{_FERRY}</p></header>"), (1, f"<div><p>{_LONG}</p><p>{_LONG}</p></div>"), (0, f"<footer><p>{_LONG}</p><p>{_FERRY}</p><p>{_NEXT}</p></footer>")),
+    # the last line of an article, however short
+    ((1, "<article><p>Only this</p></article>"),), ((1, "<main><p>So be it</p></main>"), (0, "<footer>Imprint</footer>")),
+    ((1, f"<article><p>{_FERRY}</p><p>Again.</p></article>"),), ((1, f"<article><h1>Ice</h1><p>{_NEXT}</p><p>Perhaps.</p></article>"), (0, "<footer>Imprint</footer>")),
+    ((1, f'<div id="content"><h2>Wind</h2><p>{_FERRY}</p><p>It blew</p></div>'), (0, "<footer>Imprint</footer>")), ((1, "<article><h2>Two</h2><p>Or three.</p></article>"),),
+    # no names and no long block: sentences are text
+    ((0, '<div><a href="/a">Start here</a></div>'), (1, f"<h1>Wind</h1><p>{_FERRY}</p>")),
+    ((0, '<p><a href="/a">Home</a> <a href="/b">Mail</a></p>'), (1, f"<h1>Harbour</h1><p>{_FERRY}</p><p>{_NEXT}</p><p>{_NEXT} said the captain</p>"), (0, '<p><a href="/c">Next</a></p>')),
+    ((0, '<div><a href="/a">Top</a></div>'), (1, f"<div>{_NEXT}</div><div>{_FERRY} {_NEXT}</div>"), (0, '<div><a href="/c">Help</a></div>'), (0, "<div>Terms of use</div>")),
+    ((1, f"<h1>Ferry</h1><p>{_FERRY}</p><p>{_FERRY}</p>"), (0, '<p><a href="/c">Back</a></p>')),
+    # no names: the same short lines are text between long blocks and not beside menus
+    ((0, "<div>Today is Monday</div>"), (0, '<div><a href="/">Home</a> <a href="/n">News</a></div>'), (0, "<div>All about cities</div>"), (0, '<div><a href="/s">Sport</a></div>'),
+     (1, f"<div>{_LONG}</div>"), (1, "<div>It was cold.</div>"), (1, f"<div>{_LONG * 2}</div>"), (1, "<div>Nobody came.</div>"), (1, f"<div>{_LONG}</div>"),
+     (0, '<div><a href="/i">Imprint</a></div>'), (0, "<div>All rights reserved</div>")),
+    ((0, "<p>Welcome back here</p>"), (0, '<p><a href="/1">Top</a> <a href="/2">New</a></p>'), (0, "<p>The city paper</p>"), (0, '<p><a href="/3">Mail</a></p>'), (1, f"<p>{_LONG}</p>"), (1, "<p>We waited.</p>"),
+     (1, f"<p>{_LONG}</p>"), (1, "<p>All was still.</p>"), (1, f"<p>{_LONG * 3}</p>"), (0, '<p><a href="/4">Terms</a></p>'), (0, "<p>Printed in town</p>"), (0, '<p><a href="/5">Help</a></p>')),
     ((0, f'<div class="comment"><p>{_LONG}</p></div>'), (0, f'<div id="replies"><p>{_LONG * 2}</p><p>No.</p></div>'), (0, "<footer><p>Contact the office by mail.</p></footer>")),
 )
 
@@ -246,7 +294,7 @@ TABLE = (
 class Tree:
     """A binary decision tree grown by Gini impurity."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 2):
+    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 9, least: int = 2):
         self.share = float(y.mean()) if len(y) else 0.0
         self.feature = None
         if depth == 0 or len(y) < 2 * least or self.share in (0.0, 1.0):

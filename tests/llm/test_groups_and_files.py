@@ -249,3 +249,93 @@ def test_splitting_changes_nothing(spark, monkeypatch):
     for t in many[0].values():
         assert legal([chat.ROLES[p[0]] for p in parse(t)])
     assert chat.format_conversations(df.limit(0), 2).count() == 0
+
+
+LONG_P = "<p>" + html_text._LONG + "</p>"
+
+
+@pytest.mark.parametrize("name", ["id='comments'", "class='comments'", "class='responses'", "class='thread'", "class='reader-comments'"])
+def test_reader_comments_go_however_long_they_are(name):
+    for n in (1, 2, 5, 8, 20, 30):
+        page = f"<html><body><article>{LONG_P}</article><section {name}>{LONG_P * n}<p>I agree.</p></section></body></html>"
+        assert html_text.main_text(page) == html_text._LONG.strip()
+        assert html_text.main_text(f"<body><div>{LONG_P}</div><div {name}>{LONG_P * n}</div></body>") == html_text._LONG.strip()
+
+
+def test_links_of_an_article_stay():
+    page = f"<nav><a href='/'>Home</a></nav><article>{LONG_P}<p><a href='/s'>Read the source here</a></p><ul><li><a href='/1'>One</a></li></ul></article>"
+    assert html_text.main_text(page).split("\n") == [html_text._LONG.strip(), "Read the source here", "One"]
+
+
+def test_unclosed_menus_and_hidden_parts():
+    want = "T\n" + html_text._LONG.strip()
+    for tag in ("nav", "aside", "footer"):
+        assert html_text.main_text(f"<{tag}><a href='/'>Home</a><article><h1>T</h1>{LONG_P}</article>") == want
+    # a teaser article inside a sidebar is none when the page has its own
+    assert html_text.main_text(f"<article><h1>T</h1>{LONG_P}</article><aside><article><p>Another story of the day</p></article></aside>") == want
+    hidden = "<p hidden>secret</p><div style='color:red; display: none'>unseen <p>words</p></div><div data-x='hidden'></div><p class='overlay'>We use cookies</p>"
+    assert html_text.main_text(f"<article><h1>T</h1>{hidden}{LONG_P}</article>") == want
+
+
+def test_neighbours_decide_where_nothing_else_does():
+    x, _ = html_text.labelled()
+    tree, rng = html_text.block_tree(), np.random.default_rng(0)
+    moved = x.copy()
+    for name in ("words_before", "link_density_before", "words_after", "link_density_after"):
+        i = html_text.FEATURES.index(name)
+        moved[:, i] = rng.permutation(moved[:, i])
+    assert (tree.predict(moved) != tree.predict(x)).sum() >= 5
+    menu = "<div><a href='/'>Home</a> <a href='/n'>News</a></div>"
+    body = html_text.main_text(f"{menu}<div>All about towns</div>{menu}<div>{html_text._LONG}</div><div>It was late.</div><div>{html_text._LONG}</div>{menu}")
+    assert "It was late." in body and "All about towns" not in body
+
+
+def plain_article(page):
+    """The article element of a page by the standard library's parser: a second, plain way for pages that have one."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.depth, self.lines, self.now = 0, [], []
+
+        def cut(self):
+            text = " ".join("".join(self.now).split())
+            self.now = []
+            if text:
+                self.lines.append(text)
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "article":
+                self.depth += 1
+            if tag in html_text.BLOCKS:
+                self.cut()
+            elif tag == "br":
+                self.now.append(" ")
+
+        def handle_endtag(self, tag):
+            if tag in html_text.BLOCKS:
+                self.cut()
+            if tag == "article":
+                self.depth -= 1
+
+        def handle_data(self, data):
+            if self.depth > 0:
+                self.now.append(data)
+
+    r = Reader()
+    r.feed(page)
+    r.close()
+    r.cut()
+    return "\n".join(r.lines)
+
+
+def test_given_pages_equal_a_plain_reading_of_their_article(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()
+    differ = [r.html for r in pages if r.html and "<article" in r.html and html_text.main_text(r.html) != plain_article(r.html)]
+    assert len(pages) > 200 and not differ
+
+
+def test_a_very_long_page():
+    page = f"<article>{LONG_P * 20_000}</article>"
+    assert html_text.main_text(page).count("\n") == 19_999
