@@ -9,8 +9,8 @@ character. Entropies of labelled texts that were kept out of the counts calibrat
 softmax with a fitted temperature) and the rejection: a text whose entropy lies far
 above what texts of its length in a known language have.
 
-Training reads a bounded sample: about SAMPLE_DOCS texts per language, of any length, chosen by the hash of their
-id; a text of more than SAMPLE_BYTES characters is read in slices from all over it, as many characters in all. Every fifth
+Training reads a bounded sample: about SAMPLE_DOCS texts per language, of any length, chosen by the hash of id and
+text (equal rows count once, and every language has at least its text of the least hash); a text of more than SAMPLE_BYTES characters is read in slices from all over it, as many characters in all. Every fifth
 text calibrates, if its language has others.
 
 Defined results: null text or no letter: ``und``, score 0, rejected; ties go to the
@@ -45,7 +45,7 @@ SCORE_CHARS, REJECT_SIGMAS, REJECT_NATS = 60, 8.0, 0.5
 def _letters() -> np.ndarray:
     """code point -> its lower-case letter in 16 bits, or a space."""
     table = np.full(0x110000, 32, np.uint16)
-    for c in range(0x30000):
+    for c in range(0x110000):
         ch = chr(c)
         if ch.isalpha():
             low = ord(ch.lower()[0])
@@ -214,19 +214,21 @@ def sampled(text: str) -> str:
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> KneserNey:
     """Learn from the text and lang of a bounded sample of the documents that are not held out."""
+    draw = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2)
     rows = (docs.select("doc_id", "text", "lang").where(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-            .withColumn("own", F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(5)) == 0))
-    spread = 1_000_000
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(spread))
-    # per language its texts, and the least draw of those that may be counted (null: all are for calibration)
-    sizes = {r["lang"]: (r["n"], r["least"]) for r in rows.groupBy("lang").agg(
-        F.count("*").alias("n"), F.min(F.when(~F.col("own"), draw)).alias("least")).collect()}
+            .withColumn("own", F.pmod(F.xxhash64("doc_id", "text", F.lit("calibrate")), F.lit(5)) == 0).withColumn("draw", draw))
+    spread = 1 << 62
+    # per language its different texts, and the least draw of those that may be counted (null: all are for calibration)
+    sizes = {r["lang"]: (r["n"], r["least"], r["first"]) for r in rows.groupBy("lang").agg(
+        F.approx_count_distinct("draw").alias("n"), F.min(F.when(~F.col("own"), F.col("draw"))).alias("least"), F.min("draw").alias("first")).collect()}
     if not sizes:
         return KneserNey([], [], [], [], [], 0.0)
-    share = {lang: math.ceil(spread * min(1.0, sample_docs / n)) for lang, (n, _) in sorted(sizes.items())}
-    counted = {lang: least is not None and least < share[lang] for lang, (_, least) in sorted(sizes.items())}
+    share = {lang: max(int(spread * min(1.0, sample_docs / max(1, n))), 1 + (first if least is None else least))
+             for lang, (n, least, first) in sorted(sizes.items())}
+    counted = {lang: least is not None for lang, (_, least, _) in sorted(sizes.items())}
     in_map = lambda m: F.create_map(*[F.lit(x) for pair in m.items() for x in pair])[F.col("lang")]
-    sample = rows.where(draw < in_map(share)).withColumn("own", F.col("own") & in_map(counted))
+    sample = (rows.where(F.col("draw") < in_map(share)).withColumn("own", F.col("own") & in_map(counted))
+              .dropDuplicates(["lang", "draw"]))  # a hot text counts once
 
     def count(batches):
         seen: dict = {}
