@@ -12,13 +12,17 @@ the log10 probability (escapes and exclusions worked in) and the next state. Sta
 the last ORDER bytes only, so texts are scored in blocks side by side, whatever their
 length. The automaton holds the STATES most frequent contexts, the bound of its broadcast, and is only a
 cache in front of the written table of all contexts: where it is in a context shorter than ORDER, a longer
-one may be known there. Those bytes are kept as (document, context and byte, times), their
-distinct ones resolved by a join with the whole table, and the log probabilities summed per document, so
-the score is that of the whole trie whatever STATES is. Without a pretrained trie,
-``adaptive_code_length`` learns while it codes one document.
+one may be known there. Of those bytes, the up to RESOLVED commonest (context and byte, a "gram") come from a second broadcast; the
+others are kept as (document, gram, times), their distinct ones resolved from the whole table, and the log
+probabilities summed per document, so the score is that of the whole trie whatever the sizes of the caches are. Without a
+pretrained trie, ``adaptive_code_length`` learns while it codes one document.
+
+The table has one row per gram of each order. Grams are dealt once by the last three bytes of their context: all longer contexts of a
+gram then lie in its task, so their counts are sums over sorted runs there, and no order is exploded, shuffled or joined by itself. Orders up
+to two are bounded by the alphabet and kept beside the automaton. Grams to resolve are dealt the same way.
 
 The base score needs the count of every word: frequent words come from a broadcast table of
-FREQUENT entries, the rest from a join on the word, after summing per document.
+FREQUENT entries, the rest from a join on the word, after summing per document. Words of more than 64 bytes are counted under their SHA-256.
 
 Defined results: null text is empty (one end token); a null id counts as an empty text in the
 hold-out rule; repeated rows are scored (and learned from) row by row; without training rows
@@ -27,6 +31,7 @@ all counts are 0 and the model is uniform; an empty table gives an empty result;
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from dataclasses import dataclass
@@ -41,6 +46,10 @@ from kestrel.llm.common import byte_texts, map_arrow
 from kestrel.session import materialize
 
 ORDER, STATES, FREQUENT = 5, 65_536, 50_000
+#: Grams of the second broadcast (12 bytes each), and rows that a task takes together (whole buckets of grams).
+RESOLVED, TOGETHER = 1 << 20, 1 << 20
+#: Context bytes by which grams are dealt over tasks.
+DEALT = 3
 FOLDS, HELD = 7, 2
 END, SPACE = 10, 32
 #: Bytes that can follow: white space other than the separator cannot, and END closes the text.
@@ -260,69 +269,178 @@ def compile_trie(nodes: list[tuple[int, int]], counts: tuple[np.ndarray, np.ndar
                      free[:, 0], cells[by], n[by].astype(float), whole)
 
 
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, sorted, with the sums of their counts."""
+    by = np.argsort(keys, kind="stable")
+    keys, n = keys[by], n[by]
+    head = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][:len(keys)])
+    return keys[head], np.add.reduceat(n, head) if len(head) else n[:0]
+
+
+@dataclass
+class Level:
+    """The contexts of one order: ``keys`` (context << 8 | byte, sorted) with counts ``n``; and per context the sum and
+    number of its followers' counts."""
+    keys: np.ndarray
+    n: np.ndarray
+
+    def __post_init__(self):
+        context = self.keys >> 8
+        self.head = np.flatnonzero(np.r_[True, context[1:] != context[:-1]][:len(context)])
+        self.contexts = context[self.head]
+        self.total = np.add.reduceat(self.n, self.head) if len(self.head) else self.n[:0]
+        self.kinds = np.diff(np.r_[self.head, len(context)])
+
+    def shorter(self, order: int) -> Level:
+        """The level of the next lower order, if all its grams are here."""
+        return Level(*_summed(_masked(self.keys, order), self.n))
+
+    def excluded(self, below: Level, order: int) -> np.ndarray:
+        """Per context: the sum of the next shorter context's counts over its followers."""
+        at = np.searchsorted(below.keys, _masked(self.keys, order))
+        return np.add.reduceat(below.n[at], self.head) if len(self.head) else self.n[:0]
+
+    def of(self, grams: np.ndarray, order: int, excluded: np.ndarray) -> tuple[np.ndarray, ...]:
+        """What ``Automaton.resolved`` needs of this order."""
+        at, found = _at(self.contexts, _masked(grams >> 8, order))
+        key, known = _at(self.keys, _masked(grams, order + 1))
+        pick = lambda x, i, ok: np.where(ok, x[i], 0).astype(float) if len(x) else np.zeros(len(grams))
+        return pick(self.n, key, known), pick(self.total, at, found), pick(self.kinds, at, found), pick(excluded, at, found)
+
+
+def _at(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
+    return at, keys[at] == wanted if len(keys) else np.zeros(len(wanted), bool)
+
+
+def _whole_buckets(batches):
+    """The columns of rows sorted by their first column (bucket), some TOGETHER rows at a time, no bucket cut."""
+    held, size, enough = [], 0, TOGETHER
+    for batch in batches:
+        held.append([c.to_numpy() for c in batch.columns])
+        size += batch.num_rows
+        if size >= enough:
+            cols = [np.concatenate(c) for c in zip(*held)]
+            cut = int(np.searchsorted(cols[0], cols[0][-1]))
+            if cut:
+                yield [c[:cut] for c in cols]
+            held, size = [[c[cut:] for c in cols]], len(cols[0]) - cut
+            enough = max(TOGETHER, 2 * size)
+    if size:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
+def _dealt(grams: DataFrame) -> DataFrame:
+    """Rows (gram, n) in the order of their bucket, the last DEALT bytes of the context; a bucket lies in one task."""
+    bucket = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * DEALT) - 1))
+    return grams.select(bucket.alias("bucket"), "gram", "n").repartition("bucket").sortWithinPartitions("bucket")
+
+
+def _levels(batches):
+    """Rows of the context table from whole buckets: all of order DEALT and above, and partial sums of the order below."""
+    for _, gram, n in _whole_buckets(batches):
+        level = Level(*_summed(gram, n))
+        for order in range(ORDER, DEALT - 2, -1):
+            total = np.zeros(len(level.keys), np.int64)
+            if order >= DEALT:
+                total[level.head] = level.total
+            for a in range(0, len(total), 100_000):
+                key = level.keys[a:a + 100_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(key), order, np.int32)), pa.array(key >> 8), pa.array((key & 255).astype(np.int32)),
+                     pa.array(level.n[a:a + 100_000]), pa.array(total[a:a + 100_000])], names=["depth", "context", "symbol", "n", "total"])
+            level = level.shorter(order)
+
+
 def context_table(texts: DataFrame) -> DataFrame:
-    """(depth, context, symbol, n) of every context of the training texts, counted on the cluster and written."""
-    grams = map_arrow(texts.select("text"), _counted, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-    level = F.explode(F.sequence(F.lit(0), F.lit(ORDER)))
-    return materialize(
-        grams.select(level.alias("depth"), "gram", "n")
-        .select("depth", F.shiftright("gram", 8).bitwiseAND(F.expr("shiftleft(1L, 8 * depth) - 1")).alias("context"),
-                F.col("gram").bitwiseAND(F.lit(255)).cast("int").alias("symbol"), "n")
-        .groupBy("depth", "context", "symbol").agg(F.sum("n").alias("n")), "ppm-contexts")
+    """(depth, context, symbol, n, total) of the contexts of the training texts, written: whole from order DEALT on, with the
+    context's total in its first row (0 in others), and partial rows of order DEALT - 1."""
+    grams = map_arrow(texts.select("text"), _counted, "gram bigint, n bigint")
+    return materialize(map_arrow(_dealt(grams), _levels, "depth int, context bigint, symbol int, n bigint, total bigint"), "ppm-contexts")
+
+
+def low_levels(table: DataFrame) -> dict[int, Level]:
+    """Orders below DEALT. Their size is bounded by the alphabet, not by the corpus."""
+    rows = table.where(F.col("depth") == DEALT - 1).groupBy("context", "symbol").agg(F.sum("n").alias("n")).toArrow()
+    level = Level(*_summed(rows.column("context").to_numpy() << 8 | rows.column("symbol").to_numpy(), rows.column("n").to_numpy()))
+    out = {DEALT - 1: level}
+    for order in range(DEALT - 1, 0, -1):
+        out[order - 1] = level = level.shorter(order)
+    return out
 
 
 def train_trie(texts: DataFrame, states: int = STATES) -> Automaton:
     """The automaton of the ``states`` most frequent contexts of the training texts."""
-    return _front(context_table(texts), states)[0]
+    table = context_table(texts)
+    return _front(table, low_levels(table), states)
 
 
-def _front(table: DataFrame, states: int) -> tuple[Automaton, DataFrame]:
+def _front(table: DataFrame, low: dict[int, Level], states: int) -> Automaton:
     """The driver compiles the ``states`` most frequent contexts (parents and prefixes are at least as
-    frequent and shorter, so the set is closed); with them their (depth, context, node)."""
-    kept = (table.groupBy("depth", "context").agg(F.sum("n").alias("total"))
-            .orderBy(F.desc("total"), "depth", "context").limit(states + 1).select("depth", "context").toArrow())
-    nodes = list(zip(kept.column("depth").to_pylist(), kept.column("context").to_pylist()))
+    frequent and shorter, so the set is closed)."""
+    kept = (table.where("total > 0").select("depth", "context", "total")
+            .orderBy(F.desc("total"), "depth", "context").limit(states + 1).toArrow())
+    ranked = [(-t, d, c) for d, c, t in zip(*(kept.column(x).to_pylist() for x in ("depth", "context", "total")))]
+    ranked += [(-t, order, c) for order, level in low.items() for c, t in zip(level.contexts.tolist(), level.total.tolist())]
+    nodes = [(d, c) for _, d, c in sorted(ranked)]
     whole, nodes = len(nodes) <= states, nodes[:states]
     have = set(nodes)
-    nodes = [x for x in nodes if x[0] == 0 or (x[0] - 1, x[1] >> 8) in have]  # a tie at the edge may part a pair
-    nodes.sort()
-    spark = table.sparkSession
-    index = spark.createDataFrame([(o, c, i) for i, (o, c) in enumerate(nodes)], "depth int, context bigint, node int")
+    nodes = sorted(x for x in nodes if x[0] == 0 or (x[0] - 1, x[1] >> 8) in have)  # a tie at the edge may part a pair
     if not nodes:
-        return compile_trie([], (np.empty(0, np.int64),) * 3), index
+        return compile_trie([], (np.empty(0, np.int64),) * 3)
+    number = {x: i for i, x in enumerate(nodes)}
+    index = table.sparkSession.createDataFrame([(o, c, i) for (o, c), i in number.items() if o >= DEALT], "depth int, context bigint, node int")
     own = table.join(F.broadcast(index), ["depth", "context"]).select("node", "symbol", "n").toArrow()  # <= states * symbols
-    return compile_trie(nodes, tuple(own.column(c).to_numpy().astype(np.int64) for c in ("node", "symbol", "n")), whole), index
-
-
-def resolve(grams: DataFrame, table: DataFrame, index: DataFrame, model) -> DataFrame:
-    """(gram, logp) of distinct grams by the whole context table; ``model``: the broadcast automaton, whose
-    contexts are ``index``. Only contexts that it does not hold are joined, so none is a frequent one."""
-    def longer(batches):
+    cells = [tuple(own.column(c).to_numpy().astype(np.int64) for c in ("node", "symbol", "n"))]
+    for order, level in low.items():
+        who = np.array([number.get((order, c), -1) for c in (level.keys >> 8).tolist()], np.int64)
+        cells.append((who[who >= 0], level.keys[who >= 0] & 255, level.n[who >= 0]))
+    return compile_trie(nodes, tuple(np.concatenate(c) for c in zip(*cells)), whole)
+
+
+def resolve(grams: DataFrame, table: DataFrame, shared) -> DataFrame:
+    """(gram, logp) of the distinct ``grams`` by the whole context table; ``shared``: broadcast (automaton, low levels)."""
+    def answer(batches):
+        model, low = shared.value
+        fixed = {k: (low[k], low[k].excluded(low[k - 1], k)) for k in range(1, DEALT)}
+        for _, gram, n in _whole_buckets(batches):
+            asked = np.unique(gram[n == 0])
+            if not len(asked):
+                continue
+            own = {ORDER: Level(*_summed(gram[n > 0], n[n > 0]))}
+            for order in range(ORDER, DEALT, -1):
+                own[order - 1] = own[order].shorter(order)
+            levels = {k: level.of(asked, k, excluded) for k, (level, excluded) in fixed.items()}
+            for k, level in own.items():
+                levels[k] = level.of(asked, k, level.excluded(own.get(k - 1) or low[k - 1], k))
+            yield pa.RecordBatch.from_arrays([pa.array(asked), pa.array(model.resolved(asked, levels))], names=["gram", "logp"])
+
+    known = table.where(F.col("depth") == ORDER).select(F.shiftleft("context", 8).bitwiseOR(F.col("symbol").cast("bigint")).alias("gram"), "n")
+    return map_arrow(_dealt(known.unionByName(grams.select("gram", F.lit(0).cast("bigint").alias("n")))), answer, "gram bigint, logp double")
+
+
+def _common_grams(table: DataFrame, shared, resolved: int) -> tuple[np.ndarray, np.ndarray]:
+    """At most ``resolved`` grams that the automaton leaves open, the commonest, with their log probabilities."""
+    def open_only(batches):
+        model = shared.value[0]
         for batch in batches:
             gram = batch.column(0).to_numpy()
-            order = model.value.order[model.value.reached(gram)]
-            for level in range(1, ORDER + 1):
-                own = gram[order < level]
-                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.full(len(own), level, np.int32)),
-                                                  pa.array(_masked(own >> 8, level))], names=["gram", "depth", "context"])
-
-    def coded(batches):
-        for batch in batches:
-            col = {c: batch.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(batch.schema.names)}
-            levels = {k: tuple(col[f"{c}{k}"].astype(float) for c in ("n", "total", "kinds", "excluded")) for k in range(1, ORDER + 1)}
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.value.resolved(col["gram"], levels))], names=["gram", "logp"])
-
-    shorter = table.select((F.col("depth") + 1).alias("depth"), F.col("context").alias("suffix"), "symbol", F.col("n").alias("up"))
-    rare = (table.join(F.broadcast(index), ["depth", "context"], "left_anti")
-            .withColumn("suffix", F.col("context").bitwiseAND(F.expr("shiftleft(1L, 8 * (depth - 1)) - 1")))
-            .join(shorter, ["depth", "suffix", "symbol"])
-            .groupBy("depth", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), F.sum("up").alias("excluded"),
-                                             F.map_from_entries(F.collect_list(F.struct("symbol", "n"))).alias("seen")))
-    found = (map_arrow(grams, longer, "gram bigint, depth int, context bigint").join(rare, ["depth", "context"], "left")
-             .withColumn("n", F.try_element_at("seen", F.col("gram").bitwiseAND(F.lit(255)).cast("int"))))
-    levels = found.groupBy("gram").agg(*[F.coalesce(F.max(F.when(F.col("depth") == k, F.col(c))), F.lit(0)).alias(f"{c}{k}")
-                                         for k in range(1, ORDER + 1) for c in ("n", "total", "kinds", "excluded")])
-    return map_arrow(levels, coded, "gram bigint, logp double")
+            yield batch.filter(pa.array((model.order[model.reached(gram)] < ORDER) & (not model.whole)))
+
+    own = table.where(F.col("depth") == ORDER).select(F.shiftleft("context", 8).bitwiseOR(F.col("symbol").cast("bigint")).alias("gram"), "n")
+    left = materialize(map_arrow(own, open_only, "gram bigint, n bigint"), "open-grams")
+    top, least = 1 << 16, None  # the least count from which on at most ``resolved`` grams are taken
+    seen = 0
+    for r in sorted(left.groupBy(F.least("n", F.lit(top)).alias("n")).count().collect(), key=lambda r: -r["n"]):  # <= top rows
+        seen += r["count"]
+        if seen > resolved:
+            break
+        least = r["n"]
+    if least is None:
+        return np.empty(0, np.int64), np.empty(0)
+    found = resolve(left.where(F.col("n") >= least).select("gram"), table, shared).toArrow()
+    order = np.argsort(found.column("gram").to_numpy())
+    return found.column("gram").to_numpy()[order], found.column("logp").to_numpy()[order].astype(np.float32)
 
 
 def adaptive_code_length(text: bytes | None, order: int = ORDER) -> float:
@@ -353,6 +471,12 @@ def adaptive_code_length(text: bytes | None, order: int = ORDER) -> float:
     return total
 
 
+def _counted_words(text: bytes | None) -> list[bytes]:
+    """The text's words as they are counted: one of more than 64 bytes under a hash that no word can be (it starts with white space)."""
+    words = (text or b"").lower().split()
+    return [w if len(w) <= 64 else b"\v" + hashlib.sha256(w).digest() for w in words] if max(map(len, words), default=0) > 64 else words
+
+
 def _word_counts(batches):
     seen: Counter = Counter()
 
@@ -364,7 +488,7 @@ def _word_counts(batches):
 
     for batch in batches:
         for text in byte_texts(batch, "text"):
-            words = (text or b"").lower().split()
+            words = _counted_words(text)
             for a in range(0, len(words), 100_000):
                 seen.update(words[a:a + 100_000])
                 if len(seen) > 600_000:
@@ -374,7 +498,7 @@ def _word_counts(batches):
     yield from rows(seen)
 
 
-def score_documents(docs: DataFrame, states: int = STATES, frequent: int = FREQUENT) -> DataFrame:
+def score_documents(docs: DataFrame, states: int = STATES, frequent: int = FREQUENT, resolved: int = RESOLVED) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
     src = docs.select("doc_id", "text")
     spark, kind = docs.sparkSession, dict(src.dtypes)["doc_id"]
@@ -383,11 +507,12 @@ def score_documents(docs: DataFrame, states: int = STATES, frequent: int = FREQU
                          .groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     r = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct")).first()
     n_all, norm = r["tokens"], math.log10(r["tokens"] + r["distinct"] + 1)
-    top = counts.where(F.octet_length("word") <= 64).orderBy(F.desc("n"), "word").limit(frequent).collect()
+    top = counts.orderBy(F.desc("n"), "word").limit(frequent).collect()
     shared = spark.sparkContext.broadcast({bytes(x["word"]): math.log10(x["n"] + 1) for x in top})
     table = context_table(learn)
-    automaton, index = _front(table, states)
-    model = spark.sparkContext.broadcast(automaton)
+    low = low_levels(table)
+    model = spark.sparkContext.broadcast((_front(table, low, states), low))
+    common = spark.sparkContext.broadcast(_common_grams(table, model, resolved))
 
     def score(batches):
         part, nth, look = TaskContext.get().partitionId(), 0, shared.value.get
@@ -395,8 +520,8 @@ def score_documents(docs: DataFrame, states: int = STATES, frequent: int = FREQU
             rows = {k: [] for k in ("row", "n_tokens", "known", "log_sum", "rare", "rare_n")}
             sequences = []
             for text in byte_texts(batch, "text"):
-                words = (text or b"").lower().split()
-                sequences.append(b" ".join(words) + bytes([END]))
+                words = _counted_words(text)
+                sequences.append(canonical(text))
                 words.append(b"\n")
                 logs = list(map(look, words))
                 rare = Counter(w for w, x in zip(words, logs) if x is None) if None in logs else {}
@@ -408,7 +533,7 @@ def score_documents(docs: DataFrame, states: int = STATES, frequent: int = FREQU
                 rows["rare_n"].append(list(rare.values()))
                 nth += 1
             types = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
-            score, ends, gram, times = _scores(model.value, sequences)
+            score, ends, gram, times = _scores(model.value[0], sequences, *common.value)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v, t) for v, t in zip(rows.values(), types)), pa.array(score),
                                               pa.ListArray.from_arrays(ends, gram), pa.ListArray.from_arrays(ends, times)],
                                              names=["doc_id", *rows, "score", "gram", "times"])
@@ -419,13 +544,11 @@ def score_documents(docs: DataFrame, states: int = STATES, frequent: int = FREQU
             .select("row", F.col("w.rare").alias("word"), F.col("w.rare_n").alias("times")))
     rest = (rare.join(counts.withColumnRenamed("n", "c"), "word")
             .groupBy("row").agg(F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more_log")))
-    out = facts.drop("rare", "rare_n", "gram", "times").join(rest, "row", "left").withColumn("more_score", F.lit(0.0))
-    if not automaton.whole:
-        longer = (facts.select("row", F.explode(F.arrays_zip("gram", "times")).alias("g"))
-                  .select("row", F.col("g.gram").alias("gram"), F.col("g.times").alias("times")))
-        known = resolve(longer.select("gram").distinct(), table, index, model)
-        out = out.drop("more_score").join(longer.join(known, "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("logp")).alias("more_score")),
-                                          "row", "left")
+    out = facts.drop("rare", "rare_n", "gram", "times").join(rest, "row", "left")
+    longer = (facts.select("row", F.explode(F.arrays_zip("gram", "times")).alias("g"))
+              .select("row", F.col("g.gram").alias("gram"), F.col("g.times").alias("times")))
+    known = resolve(longer.select("gram").distinct(), table, model)
+    out = out.join(longer.join(known, "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("logp")).alias("more_score")), "row", "left")
     return out.select("doc_id", held_out().alias("held_out"), "n_tokens",
                       (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
                       F.lit(n_all).cast("bigint").alias("train_tokens"),
@@ -433,16 +556,19 @@ def score_documents(docs: DataFrame, states: int = STATES, frequent: int = FREQU
                       (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"))
 
 
-def _scores(model: Automaton, sequences: list[bytes]) -> tuple[np.ndarray, pa.Array, pa.Array, pa.Array]:
-    """Scores, and per sequence the grams to resolve (list offsets, grams, times); in groups of a few
-    MB, so that memory follows the longest text at most."""
+def _scores(model: Automaton, sequences: list[bytes], common: np.ndarray, logp: np.ndarray) -> tuple[np.ndarray, pa.Array, pa.Array, pa.Array]:
+    """Scores with the ``common`` grams worked in, and per sequence the grams to resolve (list offsets, grams, times); in
+    groups of a few MB, so that memory follows the longest text at most."""
     out, group, size, first = [], [], 0, 0
     for i, s in enumerate(sequences, 1):
         group.append(s)
         size += len(s)
         if size > 4 << 20 or i == len(sequences):
             score, who, gram, times = model.known(group)
-            out.append((score, who + first, gram, times))
+            at, hit = _at(common, gram)
+            if hit.any():
+                score = score + np.bincount(who[hit], times[hit] * logp[at[hit]].astype(float), minlength=len(group))
+            out.append((score, who[~hit] + first, gram[~hit], times[~hit]))
             first, group, size = i, [], 0
     score, who, gram, times = (np.concatenate(x) for x in zip(*out)) if out else (np.empty(0), *(np.empty(0, np.int64),) * 3)
     ends = np.searchsorted(who, np.arange(len(sequences) + 1)).astype(np.int32)

@@ -68,7 +68,7 @@ def test_a_small_model_keeps_the_trie_closed(spark):
         assert np.allclose(p[:, :-1].sum(1) + unseen * p[:, -1], 1, atol=1e-5)
 
 
-def test_scores_come_from_all_contexts(spark):
+def test_scores_come_from_all_contexts(spark, monkeypatch):
     r = random.Random(5)
     texts = [" ".join(r.choice(TRAIN).split()[r.randrange(3)] + r.choice("abcé") for _ in range(r.randrange(1, 40))) for _ in range(40)]
     texts += ["zq zq! 漢", "the cat sat on the log " * 60, "", *TRAIN]
@@ -76,9 +76,10 @@ def test_scores_come_from_all_contexts(spark):
     rows = df.collect()
     learned = [(x.text or "").encode() for x in rows if zlib.crc32(("" if x.doc_id is None else str(x.doc_id)).encode()) % 7 != 2]
     want = sorted(slow_ppm(learned, (x.text or "").encode()) for x in rows)
-    for states in (1, 40, 300, 1_000_000):
-        got = sorted(x.score for x in ppm.score_documents(df, states=states).collect())
-        assert got == pytest.approx(want, rel=1e-4), states
+    for states, resolved, together in ((1, 50, 10), (40, 0, 1 << 20), (300, 1 << 20, 1), (300, 0, 30), (1_000_000, 1 << 20, 1 << 20)):
+        monkeypatch.setattr(ppm, "TOGETHER", together)
+        got = sorted(x.score for x in ppm.score_documents(df, states=states, resolved=resolved).collect())
+        assert got == pytest.approx(want, rel=1e-4), (states, resolved)
 
 
 def test_adaptive_mode_learns_as_it_codes():
@@ -189,3 +190,66 @@ def test_long_texts_score_alike_in_blocks():
     codes = language_id.characters("".join(r.choice("abcdehtmn ") for _ in range(1_100_000)))
     whole = -model.log_probabilities(codes).sum(0, dtype=np.float64) / (len(codes) - 1)
     assert np.allclose(model.entropy(codes), whole, rtol=1e-6)
+
+
+def test_languages_of_repeated_and_null_ids_are_learned(spark):
+    """Above SAMPLE_DOCS rows a language under one id, under null ids, and of one hot row: all are learned from a bounded sample."""
+    r = random.Random(8)
+    words = {"en": "the cat sat on a mat and dog ran home".split(), "de": "der hund lief und die katze sass auf matte".split(), "xx": "zo qua vix pol mer tun".split()}
+    texts = {lang: [" ".join(r.choices(w, k=12)) + f" {i}" for i in range(900)] for lang, w in words.items()}
+    for ids in ((1, 1, 1), (None, None, None), (1, 2, None)):
+        rows = [(i, t, lang) for i, (lang, ts) in zip(ids, texts.items()) for t in ts]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+        model = language_id.train(docs, 50)
+        learn = {lang for i, lang in zip(ids, texts) if zlib.crc32(str("" if i is None else i).encode()) % 5}
+        assert set(model.languages) == learn
+        got = language_id.identify(docs, model).groupBy("lang_pred").count().collect()
+        assert {x.lang_pred for x in got} == (learn or {"und"})
+    hot = spark.createDataFrame([(1, texts["en"][0], "en")] * 2000 + [(1, texts["de"][0], "de")], "doc_id bigint, text string, lang string")
+    assert set(language_id.train(hot, 50).languages) == {"en", "de"}
+
+
+def test_letters_of_every_plane_count():
+    assert len(language_id.characters(chr(0x30000))) > 1 and len(language_id.characters("\U00010400")) > 1
+    assert len(language_id.characters("12 !")) == 0
+
+
+def slow_kneser_ney(texts, vocabulary):
+    """P(symbol | context) of one language by recursion over dictionary counts."""
+    n = language_id.ORDER
+    counts = [Counter()]
+    for t in texts:
+        s = [32] * n + language_id.characters(t).tolist()
+        counts[0].update(tuple(s[i - n + 1:i + 1]) for i in range(n + 1, len(s)))
+    for _ in range(n - 1):  # shorter ones count their distinct left extensions
+        counts.insert(0, Counter(g[1:] for g in counts[0]))
+    discount = [min(0.95, max(0.1, (k := list(c.values())).count(1) / max(1, k.count(1) + 2 * k.count(2)))) for c in counts]
+
+    def p(context, symbol):
+        if context is None:
+            return 1 / vocabulary
+        c, d = counts[len(context)], discount[len(context)]
+        followers = {g[-1]: x for g, x in c.items() if g[:-1] == context}
+        lower = p(context[1:] if context else None, symbol)
+        if not followers:
+            return lower
+        total = sum(followers.values())
+        return max(followers.get(symbol, 0) - d, 0) / total + d * len(followers) / total * lower
+
+    return p
+
+
+def test_entropy_equals_kneser_ney_by_recursion():
+    texts = {"en": ["the cat sat on the mat and the dog ran to the log", "a cat and a mat"], "de": ["der hund lief und die katze sass auf der matte", "die matte"]}
+    counts = {}
+    for lang, ts in texts.items():
+        counts[lang] = np.unique(np.concatenate([language_id.grams(language_id.characters(t), language_id.ORDER) for t in ts]), return_counts=True)
+    model = language_id.KneserNey.train(counts)
+    vocabulary = len({c for ts in texts.values() for t in ts for c in language_id.characters(t).tolist()[1:]}) + 1
+    for probe in ("the katze und the dog", "xyz the", "matte", "q"):
+        codes = language_id.characters(probe).tolist()
+        padded = [32] * language_id.ORDER + codes
+        for lang, got in zip(model.languages, model.entropy(np.array(codes, np.uint16))):
+            p = slow_kneser_ney(texts[lang], vocabulary)
+            want = -np.mean([math.log(p(tuple(padded[i - language_id.ORDER + 1:i]), padded[i])) for i in range(language_id.ORDER + 1, len(padded))])
+            assert got == pytest.approx(want, rel=1e-4), (lang, probe)
