@@ -7,17 +7,18 @@ deterministic integer hash, so a lost task recomputes the same draws, and the Du
 oracle reproduces them bit for bit (see ``draw_hash``).
 
 Plan: the customer matrix gets a dense index 0..n-1 by customer_id (no single-task
-row_number). No draw is ever a row: replicates are dealt over tasks, each
-makes its draws as arrays and adds up the matrix rows they hit, so what moves is
-one row per replicate. For that every task needs the matrix, which is
-broadcast after its row count was checked against ``MATRIX_BYTES``; a larger matrix is
-taken in index ranges of that size (the same draws, each range adding its
-part), so no broadcast grows with the data and the result does not change.
+row_number) and is cut into index ranges of ``RANGE_ROWS``. Each draw is made once: replicates and
+blocks of draws are dealt over tasks, which sort a block's draws by range and send each range its
+two-byte places as one message. A range's task keeps its rows in an array, adds up those that the messages hit, and passes
+on one row of sums per replicate. So work and shuffle are linear in customers times replicates, no
+task holds more than a range and a message, and nothing goes through the driver. Few ranges are
+copied for several groups of replicates, so that all tasks have work.
 
 ``method="poisson"`` is the method for very many customers: every customer gets a
 Poisson(1) weight per replicate (inverse CDF of the same hash), computed where the
 customer is, in one pass without index or join; tasks pass on one row of sums
-per replicate. Replicate sizes are then random, so it is labelled separately.
+per replicate. Replicate sizes are then random, so it is labelled separately. Customers without an id are
+one cluster; ids that are not integers are hashed before they are drawn for.
 """
 
 from __future__ import annotations
@@ -29,15 +30,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kestrel.config import BOOTSTRAP_SEED, EXPERIMENT_GROUPS, N_BOOTSTRAP
 from kestrel.operators.quantiles import dense_index
 from kestrel.session import materialize, ship_package
 
 CI_PROBS = (0.025, 0.5, 0.975)
-#: The matrix (or range of it) that is broadcast: at most this many bytes.
-MATRIX_BYTES = 64 << 20
-DRAWS_AT_ONCE = 1 << 18
+#: Customers of an index range (a place in it takes two bytes) and draws of one message's block.
+RANGE_ROWS = 1 << 16
+DRAWS_AT_ONCE = 1 << 20
 
 
 def customer_matrix(counts: DataFrame, groups: Sequence[str] = EXPERIMENT_GROUPS) -> DataFrame:
@@ -99,7 +101,7 @@ def _sum_batch(reps: np.ndarray, sums: np.ndarray, k: int) -> pa.RecordBatch:
 
 def bootstrap_replicates(counts: DataFrame, groups: Sequence[str] = EXPERIMENT_GROUPS,
                          n_boot: int = N_BOOTSTRAP, seed: int = BOOTSTRAP_SEED,
-                         method: str = "draws", matrix_bytes: int = MATRIX_BYTES) -> DataFrame:
+                         method: str = "draws", range_rows: int = RANGE_ROWS) -> DataFrame:
     """One row per replicate: rep, lift_1..lift_{k-1} (percentage points vs arm 0).
     A replicate that drew no events of an arm has a NULL lift."""
     k = len(groups)
@@ -109,41 +111,82 @@ def bootstrap_replicates(counts: DataFrame, groups: Sequence[str] = EXPERIMENT_G
         return _lifts(_poisson_sums(matrix, k, n_boot, seed), k)
     if method != "draws":
         raise ValueError(method)
-    return _lifts(_draw_sums(matrix, k, n_boot, seed, matrix_bytes), k)
+    return _lifts(_draw_sums(matrix, k, n_boot, seed, range_rows), k)
 
 
-def _draw_sums(matrix: DataFrame, k: int, n_boot: int, seed: int, matrix_bytes: int) -> DataFrame:
+_MESSAGE = "cell bigint, rep bigint, places binary, rows binary"
+
+
+def _messages(cells, reps, places, rows) -> pa.RecordBatch:
+    """``cell``: index range and group of replicates; rep -1 for matrix rows; ``places`` in the range, two bytes each."""
+    return pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(reps, pa.int64()), pa.array(places, pa.binary()), pa.array(rows, pa.binary())],
+                                      names=["cell", "rep", "places", "rows"])
+
+
+def _draw_sums(matrix: DataFrame, k: int, n_boot: int, seed: int, range_rows: int) -> DataFrame:
     spark, values = matrix.sparkSession, _value_columns(k)
+    if not 0 < range_rows <= RANGE_ROWS:
+        raise ValueError(f"range_rows must lie between 1 and {RANGE_ROWS}")
     indexed = materialize(indexed_matrix(matrix), "bootstrap-indexed-matrix")
     n = indexed.count()
-    tasks = min(n_boot, 4 * spark.sparkContext.defaultParallelism)
-    step = max(1, matrix_bytes // (8 * len(values)))
-    parts = None
-    for low in range(0, n, step):
-        own = indexed.where((F.col("idx") >= low) & (F.col("idx") < low + step)).select("idx", *values).toArrow()  # <= matrix_bytes
-        rows = np.zeros((min(step, n - low), len(values)), np.int64)
-        rows[own.column("idx").to_numpy() - low] = np.column_stack([own.column(c).to_numpy() for c in values])
-        shared = spark.sparkContext.broadcast(rows)
-
-        def add(batches, low=low, shared=shared):
-            m = shared.value
-            for batch in batches:
-                reps = batch.column(0).to_numpy()
-                sums = np.zeros((len(reps), len(values)), np.int64)
-                for i, rep in enumerate(reps.tolist()):
-                    for start in range(0, n, DRAWS_AT_ONCE):
-                        ids = rep * n + np.arange(start, min(n, start + DRAWS_AT_ONCE), dtype=np.int64)
-                        at = draw_hash(ids, seed) % n - low
-                        if len(m) < n:
-                            at = at[(at >= 0) & (at < len(m))]
-                        sums[i] += np.bincount(at, minlength=len(m)) @ m
-                yield _sum_batch(reps, sums, k)
-
-        part = spark.range(0, n_boot, 1, tasks).select(F.col("id").alias("rep")).mapInArrow(add, _sum_schema(k))
-        parts = part if parts is None else parts.unionByName(part)
-    if parts is None:
-        return spark.range(n_boot).select(F.col("id").alias("rep"), *[F.lit(0).cast("bigint").alias(c) for c in values])
-    return parts if n <= step else parts.groupBy("rep").agg(*[F.sum(c).alias(c) for c in values])
+    zeros = spark.range(n_boot).select(F.col("id").alias("rep"), *[F.lit(0).cast("bigint").alias(c) for c in values])
+    if not n:
+        return zeros
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranges = -(-n // range_rows)
+    groups = max(1, min(n_boot, -(-tasks // ranges)))  # a range is copied for so many groups of replicates
+    blocks = -(-n // DRAWS_AT_ONCE)
+
+    def rows_of_ranges(batches):
+        for batch in batches:
+            idx = batch.column(0).to_numpy()
+            m = np.column_stack([batch.column(i + 1).to_numpy() for i in range(len(values))])
+            for r in np.unique(idx // range_rows).tolist():
+                own = idx // range_rows == r
+                place, row = (idx[own] % range_rows).astype("<u2").tobytes(), m[own].astype("<i8").tobytes()
+                yield _messages([r * groups + g for g in range(groups)], [-1] * groups, [place] * groups, [row] * groups)
+
+    def draws(batches):
+        for batch in batches:
+            for job in batch.column(0).to_pylist():
+                rep, block = divmod(job, blocks)
+                ids = rep * n + np.arange(block * DRAWS_AT_ONCE, min(n, (block + 1) * DRAWS_AT_ONCE), dtype=np.int64)
+                at = np.sort(draw_hash(ids, seed) % n)
+                hit, first = np.unique(at // range_rows, return_index=True)
+                parts = [(p % range_rows).astype("<u2").tobytes() for p in np.split(at, first[1:])]
+                yield _messages(hit * groups + rep % groups, [rep] * len(hit), parts, [b""] * len(hit))
+
+    def add(batches):
+        cell, m, sums = None, np.zeros((range_rows, len(values)), np.int64), {}
+
+        def done():
+            return _sum_batch(np.fromiter(sums, np.int64, len(sums)), np.array(list(sums.values()), np.int64).reshape(-1, len(values)), k)
+
+        for batch in batches:
+            for c, rep, places, rows in zip(*(x.to_pylist() for x in batch.columns)):
+                if c != cell:
+                    if sums:
+                        yield done()
+                    cell, sums = c, {}
+                    m[:] = 0
+                at = np.frombuffer(places, "<u2")
+                if rep < 0:  # sorted before the draws
+                    m[at] = np.frombuffer(rows, "<i8").reshape(-1, len(values))
+                else:
+                    sums[rep] = sums.get(rep, 0) + m[at].sum(0)
+        if sums:
+            yield done()
+
+    sent = (spark.range(0, n_boot * blocks, 1, min(n_boot * blocks, 4 * tasks)).mapInArrow(draws, _MESSAGE)
+            .unionByName(indexed.select("idx", *values).mapInArrow(rows_of_ranges, _MESSAGE)))
+    parts = min(ranges * groups, tasks)
+    summed = (sent.repartitionById(parts, F.pmod("cell", F.lit(parts)).cast("int")).sortWithinPartitions("cell", "rep")
+              .mapInArrow(add, _sum_schema(k)))
+    return summed.groupBy("rep").agg(*[F.sum(c).alias(c) for c in values])
+
+
+#: Cluster ids for which Poisson weights are drawn lie below this (times the replicates, within the hash's range).
+CLUSTER_IDS = 1 << 48
 
 
 # Poisson(1) CDF: P(K <= m) = e^-1 * sum_{i<=m} 1/i!, tabulated by rule up to where it reaches 1.
@@ -165,7 +208,7 @@ def _poisson_sums(matrix: DataFrame, k: int, n_boot: int, seed: int) -> DataFram
     def add(batches):
         sums = np.zeros((n_boot, len(values)), np.int64)
         for batch in batches:
-            ids = batch.column(0).to_numpy().astype(np.int64)
+            ids = batch.column(0).to_numpy()
             m = np.column_stack([batch.column(i + 1).to_numpy() for i in range(len(values))])
             for start in range(0, len(ids), 256):
                 block = ids[start:start + 256]
@@ -174,7 +217,10 @@ def _poisson_sums(matrix: DataFrame, k: int, n_boot: int, seed: int) -> DataFram
                 sums += weight.T @ m[start:start + 256]
         yield _sum_batch(np.arange(n_boot), sums, k)
 
-    return (matrix.select("customer_id", *values).mapInArrow(add, _sum_schema(k))
+    who, top = F.col("customer_id"), F.lit(CLUSTER_IDS)
+    number = who if isinstance(matrix.schema["customer_id"].dataType, T.IntegralType) else F.lit(-1)
+    cluster = F.when(who.isNull(), top).when((number >= 0) & (number < top), number).otherwise(F.pmod(F.xxhash64(who), top)).cast("bigint")
+    return (matrix.select(cluster.alias("cluster"), *values).mapInArrow(add, _sum_schema(k))
             .groupBy("rep").agg(*[F.sum(c).alias(c) for c in values]))
 
 

@@ -61,24 +61,48 @@ def test_dense_index_is_row_number_with_value_columns(spark, n):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
-def test_replicates_do_not_depend_on_plan_settings(spark):
-    base = None
+def test_replicates_do_not_depend_on_plan_settings(spark, monkeypatch):
+    """Partitions, exchange reuse, index ranges (1 to 61) and blocks of draws give the same replicates."""
+    def run(n, **extra):
+        return sorted(tuple(r) for r in bootstrap.bootstrap_replicates(_customers(spark, n), GROUPS, 10, 42, **extra).collect())
+
     try:
-        for parts, reuse, limit in (("1", "true", None), ("8", "false", None), ("64", "true", 6 * 8 * 700)):
+        base, small = run(20_000), run(2_000)
+        for parts, reuse in (("1", "true"), ("8", "false"), ("61", "true")):
             spark.conf.set("spark.sql.shuffle.partitions", parts)
             spark.conf.set("spark.sql.exchange.reuse", reuse)
-            n, extra = (20_000, {}) if limit is None else (2_000, {"matrix_bytes": limit})
-            got = sorted(tuple(r) for r in bootstrap.bootstrap_replicates(_customers(spark, n), GROUPS, 10, 42, **extra).collect())
-            if limit is None:
-                base = base or got
-                assert got == base
-            else:  # a matrix in several ranges gives the same draws
-                assert got == sorted(tuple(r) for r in bootstrap.bootstrap_replicates(_customers(spark, n), GROUPS, 10, 42).collect())
+            assert run(20_000) == base
+        for ranges in (1, 3, 61):
+            assert run(2_000, range_rows=-(-2_000 // ranges)) == small
+        monkeypatch.setattr(bootstrap, "DRAWS_AT_ONCE", 300)
+        assert run(2_000, range_rows=700) == small
     finally:
         spark.conf.unset("spark.sql.exchange.reuse")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_draws_spread_over_tasks_without_the_driver(spark):
+    """No range row or draw passes the driver, and one range alone still gives work to every task."""
+    import inspect
+    source = inspect.getsource(bootstrap._draw_sums)
+    assert not any(x in source for x in ("toArrow", "collect(", "broadcast(", "toPandas"))
+    plan = bootstrap.bootstrap_replicates(_customers(spark, 500), GROUPS, 40, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan
+
+
+@pytest.mark.parametrize("method", ["draws", "poisson"])
+def test_null_and_text_customers_are_clusters(spark, method):
+    rows = [(None, "Control", 10, 1), (None, "Variant_A", 10, 2), ("a", "Control", 5, 1), ("b", "Variant_A", 5, 2), ("b", "Variant_B", 9, 3)]
+    for kind, ids in (("string", {"a": "a", "b": "b"}), ("long", {"a": 1, "b": -5}), ("int", {"a": 7, "b": 8})):
+        own = [(ids.get(c), *rest) for c, *rest in rows]
+        reps = bootstrap.bootstrap_replicates(spark.createDataFrame(own, SCHEMA.replace("customer_id long", f"customer_id {kind}")), GROUPS, 60, 3, method=method)
+        got = reps.collect()
+        assert len(got) == 60 and any(r.lift_1 is not None for r in got)
+        again = bootstrap.bootstrap_replicates(spark.createDataFrame(own[::-1], SCHEMA.replace("customer_id long", f"customer_id {kind}")).repartition(3),
+                                               GROUPS, 60, 3, method=method).collect()
+        assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, again), key=repr)
+
+
 def test_replicates_match_plain_python(spark):
     import numpy as np
     counts = _customers(spark, 500)
