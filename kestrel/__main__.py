@@ -22,6 +22,7 @@ def _parser() -> argparse.ArgumentParser:
     ap.add_argument("name", nargs="?", help="query name for the 'query' command")
     ap.add_argument("--sf", default="/root/testdata/sf0.01", help="folder with the driver tables")
     ap.add_argument("--csv", help="folder with the five raw CSVs (load)")
+    ap.add_argument("--increment", action="store_true", help="load: merge the CSVs that the folder has into the warehouse")
     ap.add_argument("--warehouse", help="read the star tables from this warehouse")
     ap.add_argument("--out", help="warehouse folder (load), mart folder (export), result folder (query)")
     ap.add_argument("--master", default=None)
@@ -59,6 +60,13 @@ def run(argv: list[str] | None, spark) -> int:
     if args.command in ("load", "export") and not args.out:
         ap.error(f"--out is required for {args.command}")
     with scratch(spark):
+        if args.command == "load" and args.increment:
+            if not args.csv:
+                ap.error("--increment takes a folder of raw CSVs (--csv)")
+            from kestrel.plans import increment
+            version = increment.run(spark, args.csv, args.out, p)
+            print(f"version {version.number} of {args.out}")
+            return 0
         if args.command == "load":
             for name, path in pipeline.run(spark, args.csv or sf, args.out, p, from_csv=bool(args.csv)).items():
                 print(f"{name}: {path}")

@@ -3,23 +3,24 @@ contracts -> warehouse.
 
 Dimensions are de-duplicated, then stripped of null rows; facts are de-duplicated, the
 event-type domain is checked (failing the job), orphans are dropped, flags and
-normalisations are added, sessions are derived. The cleaned tables are written once, in
-their final layout, to a staging folder; the contracts read them there; only then is the
-staging folder renamed to ``current``. So a refresh replaces all five tables or none, and
-readers never see a mixed warehouse.
+normalisations are added, sessions are derived. Each raw table is scanned once: the audit
+(rows in and out, copies, orphans, values changed) is observed on the write of the
+cleaned rows, in its last stage, so recomputed tasks count once. The tables are then written under the
+load's label, the contracts read them there, and one manifest makes all of them visible
+(``warehouse``). So a refresh replaces all five tables or none, and readers never see a mixed warehouse.
 """
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.config import DRIVER, Profile
 from kestrel.operators import quality, sessions
-from kestrel.session import delete_path, materialize, path_exists, rename_path, scratch
+from kestrel.plans import warehouse
+from kestrel.session import materialize, scratch
 from kestrel.sources import csv, schemas, star
 
 
@@ -33,23 +34,52 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def _observed(df: DataFrame, table: str, metrics: dict[str, Column], keep: Column, audit: list | None, label: str) -> DataFrame:
+    """Write the rows that ``keep`` marks, counting ``metrics`` over all rows on the way."""
+    seen = Observation()
+    counted = df.observe(seen, *(c.cast("bigint").alias(m) for m, c in metrics.items()))
+    out = materialize(counted.filter(keep), label)
+    if audit is not None:
+        audit += [(table, m, seen.get[m] or 0) for m in metrics]
+    return out
+
+
+def clean_dimension(raw: DataFrame, table: str, audit: list | None) -> DataFrame:
+    d = quality.dedupe_by_key(raw, schemas.PRIMARY_KEYS[table], copies_col="_copies")
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in raw.columns])
+    return _observed(d, table, {"rows_in": F.sum("_copies"), "rows_out": F.count_if(complete)}, complete, audit, f"clean-{table}").drop("_copies")
+
+
+def clean_facts(raw: dict[str, DataFrame], customers: DataFrame, profile: Profile, check_domain: bool, audit: list | None) -> tuple[DataFrame, DataFrame]:
+    """(transactions, events without sessions), of accepted customers. A broken event-type domain fails the load."""
+    marker, ok = customers.select("customer_id", F.lit(True).alias("_valid")), F.col("_valid").isNotNull()
+    counts = {"rows_in": F.sum("_copies"), "rows_after_dedupe": F.count("*"), "orphan_rows": F.count_if(~ok), "rows_out": F.count_if(ok)}
+    tx = quality.flag_transactions(quality.dedupe_by_key(raw["fct_transactions"], "transaction_id", copies_col="_copies"))
+    flags = {c: F.sum(F.when(ok, F.col(c))) for c in ("has_missing_product_or_revenue", "revenue_sign_mismatch")}
+    tx = _observed(tx.join(marker, "customer_id", "left"), "fct_transactions", counts | flags, ok, audit, "clean-transactions")
+    bad = F.coalesce(~F.col("event_type").isin(list(profile.valid_event_types)), F.lit(True))
+    changed = quality.normalize_case("traffic_source", profile.traffic_sources) != F.col("traffic_source")
+    own: list = []
+    ev = quality.dedupe_by_key(raw["fct_events"], "event_id", copies_col="_copies").join(marker, "customer_id", "left")
+    ev = _observed(ev, "fct_events", counts | {"domain_violations": F.count_if(bad), "device_type_filled": F.count_if(ok & F.col("device_type").isNull()),
+                                               "traffic_source_normalized": F.count_if(ok & changed)}, ok, own, "clean-events")
+    if check_domain and dict((m, v) for _, m, v in own)["domain_violations"]:
+        quality.raise_on_violations(domain=quality.domain_violations(quality.dedupe_by_key(raw["fct_events"], "event_id"), profile.valid_event_types))
+    if audit is not None:
+        audit += own
+    ev = (ev.drop("_copies", "_valid").withColumn("traffic_source", quality.normalize_case("traffic_source", profile.traffic_sources))
+          .withColumn("device_type", quality.fill_unknown("device_type")))
+    return tx.drop("_copies", "_valid"), ev
+
+
 def clean_tables(spark: SparkSession, raw: dict[str, DataFrame], profile: Profile = DRIVER,
-                 check_domain: bool = True) -> dict[str, DataFrame]:
-    """Cleaned star tables from raw ones. The de-duplicated events are written once to the shared
-    folder: the domain contract (an action) and the cleaning both continue from there."""
-    customers = materialize(quality.clean_dimension(raw["dim_customers"], "customer_id"), "clean-customers")
-    products = quality.clean_dimension(raw["dim_products"], "product_id")
-    campaigns = quality.clean_dimension(raw["dim_campaigns"], "campaign_id")
-    valid = customers.select("customer_id")
-    tx = quality.clean_transactions(raw["fct_transactions"], valid)
-    deduped = materialize(quality.dedupe_by_key(raw["fct_events"], "event_id"), "dedup-events")
-    if check_domain:
-        quality.raise_on_violations(domain=quality.domain_violations(deduped, profile.valid_event_types))
-    ev = quality.clean_events(deduped, valid, profile.traffic_sources, deduplicated=True)
+                 check_domain: bool = True, audit: list | None = None) -> dict[str, DataFrame]:
+    """Cleaned star tables from raw ones, written once each to the shared folder. ``audit`` receives
+    (table, metric, value) of every table."""
+    out = {t: clean_dimension(raw[t], t, audit) for t in schemas.LOAD_ORDER if t not in warehouse.PERIODS}
+    tx, ev = clean_facts(raw, out["dim_customers"], profile, check_domain, audit)
     ev = sessions.build_sessions(ev, profile.gap_minutes).drop("session_seq")
-    out = {"dim_customers": customers, "dim_products": products, "dim_campaigns": campaigns,
-           "fct_transactions": tx, "fct_events": ev}
-    return {k: schemas.conform(v, k) for k, v in out.items()}
+    return {k: schemas.conform(v, k) for k, v in (out | {"fct_transactions": tx, "fct_events": ev}).items()}
 
 
 def contract_frames(tables: dict[str, DataFrame]):
@@ -60,37 +90,34 @@ def contract_frames(tables: dict[str, DataFrame]):
     return pk, fk, nn
 
 
-def load_to_warehouse(spark: SparkSession, tables: dict[str, DataFrame], warehouse_dir: str) -> dict[str, str]:
-    """Idempotent full refresh, all tables or none. Events and transactions are range-sorted
-    by time, so a file covers a span of time and scans skip files by their statistics."""
-    base = warehouse_dir.rstrip("/")
-    staging, current, old = f"{base}/_staging-{uuid.uuid4().hex}", f"{base}/current", f"{base}/_old-{uuid.uuid4().hex}"
+def customer_state(events: DataFrame) -> DataFrame:
+    """Last time and session number of each customer: where the sessions of a next load go on."""
+    seq = F.substring_index("derived_session_id", "-", -1).cast("bigint")
+    return events.groupBy("customer_id").agg(F.max("timestamp").alias("last_time"), F.max(seq).alias("last_seq"))
+
+
+def load_to_warehouse(spark: SparkSession, tables: dict[str, DataFrame], warehouse_dir: str, audit: list | None = None) -> dict[str, str]:
+    """Idempotent full refresh, all tables or none, as a new version; the version before stays for its readers."""
+    base, load = warehouse_dir.rstrip("/"), warehouse.new_load()
+    before = warehouse.read_version(spark, base) or warehouse.Version()
     try:
         for name in schemas.LOAD_ORDER:
-            df = tables[name]
-            if "timestamp" in df.columns:
-                key = schemas.PRIMARY_KEYS[name]
-                df = df.repartitionByRange("timestamp", key).sortWithinPartitions("timestamp", key)
-            df.write.parquet(f"{staging}/{name}")
-        written = {name: schemas.conform(spark.read.parquet(f"{staging}/{name}"), name) for name in schemas.LOAD_ORDER}
-        pk, fk, nn = contract_frames(written)
-        quality.raise_on_violations(pk=pk, fk=fk, nn=nn)
+            warehouse.write_table(spark, base, name, tables[name], load)
+        written = {name: warehouse.read_load(spark, base, name, load) for name in schemas.LOAD_ORDER}
+        quality.raise_on_violations(**dict(zip(("pk", "fk", "nn"), contract_frames(written))))
+        warehouse.write_table(spark, base, warehouse.STATE, customer_state(written["fct_events"]), load)
+        places = {t: warehouse.places_of_load(spark, base, t, load) for t in (*schemas.LOAD_ORDER, warehouse.STATE)}
+        warehouse.commit(spark, base, warehouse.Version(before.number + 1, places, audit or []))
     except BaseException:
-        delete_path(spark, staging)
+        warehouse.drop_load(spark, base, load)
         raise
-    if path_exists(spark, current):
-        rename_path(spark, current, old)
-    rename_path(spark, staging, current)
-    delete_path(spark, old)
-    return {name: f"{current}/{name}" for name in schemas.LOAD_ORDER}
-
-
-def warehouse_path(warehouse_dir: str, name: str) -> str:
-    return f"{warehouse_dir.rstrip('/')}/current/{name}"
+    warehouse.vacuum(spark, base)
+    return {name: f"{base}/data/{name}" for name in schemas.LOAD_ORDER}
 
 
 def read_warehouse(spark: SparkSession, warehouse_dir: str, name: str) -> DataFrame:
-    return schemas.conform(spark.read.parquet(warehouse_path(warehouse_dir, name)), name)
+    """A table of the newest version with its declared columns."""
+    return schemas.conform(warehouse.read_table(spark, warehouse_dir, name), name)
 
 
 def read_warehouse_tables(spark: SparkSession, warehouse_dir: str) -> dict[str, DataFrame]:
@@ -102,7 +129,8 @@ def run(spark: SparkSession, source: str, warehouse_dir: str, profile: Profile =
     """CSV folder or driver tables -> clean -> contracts -> warehouse; intermediate tables are deleted."""
     with scratch(spark):
         raw = csv.read_raw_tables(spark, source) if from_csv else raw_tables(spark, source)
-        return load_to_warehouse(spark, clean_tables(spark, raw, profile), warehouse_dir)
+        audit: list = []
+        return load_to_warehouse(spark, clean_tables(spark, raw, profile, audit=audit), warehouse_dir, audit)
 
 
 def _long(df: DataFrame, table: str, metrics: list[str]) -> DataFrame:

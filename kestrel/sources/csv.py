@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kestrel.session import path_exists
+
 RAW_COLUMNS = {
     "customers": ["customer_id", "signup_date", "country", "age", "gender", "loyalty_tier", "acquisition_channel"],
     "products": ["product_id", "category", "brand", "base_price", "launch_date", "is_premium"],
@@ -90,6 +92,17 @@ def read_raw_tables(spark: SparkSession, folder: str, na_tokens: Sequence[str] |
     return {t: read_raw_csv(spark, f"{folder.rstrip('/')}/{e}.csv", e, na_tokens) for t, e in ENTITY.items()}
 
 
+def raw_schema(table: str) -> T.StructType:
+    """Columns and types of a star table as its raw CSV gives them."""
+    return T.StructType([T.StructField(c, RAW_TYPES[c]) for c in RAW_COLUMNS[ENTITY[table]]])
+
+
+def read_present_tables(spark: SparkSession, folder: str, na_tokens: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """Those of the five raw CSVs that the folder has (an increment may lack some)."""
+    base = folder.rstrip("/")
+    return {t: read_raw_csv(spark, f"{base}/{e}.csv", e, na_tokens) for t, e in ENTITY.items() if path_exists(spark, f"{base}/{e}.csv")}
+
+
 def write_raw_csv(tables: dict[str, DataFrame], folder: str) -> str:
     """Write star tables as raw CSVs (a folder of part files per entity)."""
     for table, raw in tables.items():

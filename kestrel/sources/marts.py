@@ -62,7 +62,7 @@ def read_marts(spark: SparkSession, snapshot_dir: str, live: Callable[[], dict[s
     """Live marts when the warehouse exists (``live()`` computes them, only then), else the
     snapshot files; each frame carries a ``mode`` column. Existence is asked of the path's
     own store. Neither warehouse nor any snapshot is an error, not an empty result."""
-    if warehouse_dir and live is not None and path_exists(spark, f"{warehouse_dir.rstrip('/')}/current"):
+    if warehouse_dir and live is not None and path_exists(spark, f"{warehouse_dir.rstrip('/')}/manifests"):
         return {k: _conform(v, k).withColumn("mode", F.lit("live")) for k, v in live().items()}
     found = {k: read_mart(spark, snapshot_dir, k).withColumn("mode", F.lit("snapshot")) for k in MART_SCHEMAS
              if path_exists(spark, f"{snapshot_dir.rstrip('/')}/{k}")}

@@ -73,17 +73,3 @@ def conform(df, table: str):
     """Select and cast to the declared schema (column order and types)."""
     from pyspark.sql import functions as F
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[table].fields])
-
-
-def ddl(table: str, database: str, location: str) -> str:
-    """CREATE TABLE IF NOT EXISTS for a star table stored as Parquet at ``location``."""
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in TABLES[table].fields)
-    return f"CREATE TABLE IF NOT EXISTS {database}.{table} ({cols}) USING parquet LOCATION '{location}'"
-
-
-def create_tables(spark, database: str, warehouse_dir: str) -> list[str]:
-    """The star schema as catalog tables over a warehouse folder; safe to repeat."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    for table in LOAD_ORDER:
-        spark.sql(ddl(table, database, f"{warehouse_dir.rstrip('/')}/current/{table}"))
-    return [f"{database}.{t}" for t in LOAD_ORDER]
