@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 
 from kestrel.config import DRIVER
+from kestrel.sources.schemas import TABLES
 from kestrel.functions.stats import erfc_coefficients
 
 STAR = {
@@ -659,6 +660,46 @@ SELECT experiment_group, CAST(count(*) AS BIGINT) AS total_events,
        CAST(count_if(event_type = 'purchase') AS BIGINT) AS purchase_events
 FROM fct_events GROUP BY experiment_group""", "fct_events")
 
+# --- mergeable summaries and SQL functions -------------------------------------------------
+
+_SPANS = "(SELECT *, CAST(CAST(date_trunc('week', \"timestamp\") AS DATE) AS VARCHAR) AS span FROM fct_events UNION ALL SELECT *, 'all' FROM fct_events)"
+Q["distinct_sketches"] = with_star(" UNION ALL ".join(
+    f"SELECT span, '{m}' AS measure, count({m}) AS n_rows, count(DISTINCT {m}) AS n_exact, true AS within_bound, true AS agrees_with_direct FROM {_SPANS} e GROUP BY span"
+    for m in ("customer_id", "session_id", "product_id")), "fct_events")
+Q["funnel_span_bitmaps"] = with_star(" UNION ALL ".join(
+    f"SELECT span, acquisition_channel, {i} AS step_idx, '{s}' AS step_name, count(DISTINCT CASE WHEN event_type = '{s}' THEN customer_id END) AS customers_reached, "
+    f"{rnp(pct(f'count(DISTINCT CASE WHEN event_type = {chr(39)}{s}{chr(39)} THEN customer_id END)', 'count(DISTINCT customer_id)'))} AS pct_of_customers "
+    f"FROM {_SPANS} e JOIN (SELECT c_custkey AS customer_id, c_mktsegment AS acquisition_channel FROM customer) c USING (customer_id) "
+    f"WHERE event_type IN ({_in_list(STEPS)}) GROUP BY span, acquisition_channel" for i, s in enumerate(STEPS)), "fct_events")
+Q["sql_function_tests"] = with_star(f"""
+SELECT pair_idx, group_a || ' vs ' || group_b AS comparison, rate_a, rate_b, z_stat, p_value,
+       CASE WHEN p_value IS NULL THEN NULL WHEN p_value < 0.0001 THEN '< 0.0001' ELSE printf('%.4g', p_value) END AS p_value_label, significant,
+       (SELECT round({chi2_sf_sql('c', len(GROUPS) - 1)}, 12) FROM (SELECT {_chi2_sql(len(GROUPS))} AS c FROM wd) t0) AS chi2_p_value
+FROM pw""", "fct_events", extra_ctes=_totals_ctes() + (PAIRWISE_CTE,))
+Q["sql_function_sessions"] = f"SELECT event_id, customer_id, \"timestamp\", derived_session_id FROM ({Q['sessionize']}) t"
+
+# --- revenue attribution: the driver's orders move by a fixed number of days -------------
+
+_ATTRIBUTED = """
+tx AS (SELECT * REPLACE ("timestamp" + INTERVAL 10592 DAY AS "timestamp") FROM fct_transactions),
+pe AS (SELECT * FROM fct_events WHERE event_type = 'purchase' AND product_id IS NOT NULL AND customer_id IS NOT NULL),
+near AS (SELECT transaction_id, arg_max(e.event_id, (e."timestamp", e.event_id)) AS event_id
+         FROM tx t JOIN pe e ON e.customer_id = t.customer_id AND e.product_id = t.product_id AND e."timestamp" <= t."timestamp"
+         WHERE t."timestamp" - INTERVAL 2500 DAY <= e."timestamp" GROUP BY transaction_id),
+attributed AS (SELECT t.transaction_id, t.customer_id, t.product_id, t.refund_flag, CAST(t.gross_revenue AS DECIMAL(38,2)) AS gross_revenue, n.event_id,
+                      e.experiment_group, date_diff('microsecond', e."timestamp", t."timestamp") / 1e6 AS seconds_after
+               FROM tx t LEFT JOIN near n USING (transaction_id) LEFT JOIN pe e ON e.event_id = n.event_id)"""
+Q["attributed_transactions"] = with_star("SELECT * FROM attributed", "fct_events", "fct_transactions", extra_ctes=(_ATTRIBUTED,))
+Q["revenue_per_event"] = with_star(f"""
+SELECT arm_idx, experiment_group, total_events, purchase_events, matched_transactions, revenue, round(rpe, 9) AS revenue_per_event,
+       round((rpe - max(CASE WHEN arm_idx = 0 THEN rpe END) OVER ()) / NULLIF(max(CASE WHEN arm_idx = 0 THEN rpe END) OVER (), 0) * 100, 6) AS lift_pct
+FROM (SELECT a.arm_idx, a.experiment_group, coalesce(total_events, 0) AS total_events, coalesce(purchase_events, 0) AS purchase_events,
+             coalesce(m, 0) AS matched_transactions, coalesce(r, 0.0) AS revenue, coalesce(r, 0.0) / NULLIF(total_events, 0) AS rpe
+      FROM totals a LEFT JOIN (SELECT experiment_group, count(*) AS m,
+             CAST(coalesce(sum(gross_revenue) FILTER (WHERE refund_flag = 0), 0) AS DOUBLE) AS r
+             FROM attributed WHERE event_id IS NOT NULL GROUP BY experiment_group) x USING (experiment_group)) y""",
+    "fct_events", "fct_transactions", extra_ctes=_totals_ctes() + (_ATTRIBUTED,))
+
 # --- CSV scans, load and marts ---------------------------------------------
 
 for _table, _entity in (("dim_customers", "customers"), ("dim_products", "products"), ("dim_campaigns", "campaigns"),
@@ -680,19 +721,50 @@ SELECT event_id, "timestamp", customer_id, session_id, customer_id || '-' || CAS
        coalesce(device_type, 'unknown') AS device_type, {_SOURCE_CASE} AS traffic_source, campaign_id, page_category, session_duration_sec,
        experiment_group FROM seq""", "dim_customers", "fct_events", extra_ctes=(*_LOADED, _SESSION_IDS))
 
-Q["warehouse_tables"] = with_star("""
-SELECT 'dim_customers' AS table_name, count(*) AS n_rows, 7 AS n_columns FROM cust
-UNION ALL SELECT 'dim_products', count(*), 6 FROM dim_products
-UNION ALL SELECT 'dim_campaigns', count(*), 7 FROM dim_campaigns
-UNION ALL SELECT 'fct_transactions', count(*), 11 FROM fct_transactions WHERE customer_id IN (SELECT customer_id FROM cust)
-UNION ALL SELECT 'fct_events', count(*), 13 FROM kept""",
-    "dim_customers", "dim_products", "dim_campaigns", "fct_transactions", "fct_events", extra_ctes=_LOADED)
-
-_REACHED = "reached AS (SELECT customer_id, " + ", ".join(f"bool_or(event_type = '{s}') AS s{i}" for i, s in enumerate(STEPS)) + \
-    f" FROM kept WHERE event_type IN ({_in_list(STEPS)}) GROUP BY customer_id)"
-_MART_ROWS = " UNION ALL ".join(
-    f"SELECT {label} AS channel, '{s}' AS step_name, count_if(s{i}) AS customers_reached, {rnp(pct(f'count_if(s{i})', 'count(*)'))} AS pct FROM {src}"
-    for label, src in (("'all'", "reached"), ("acquisition_channel", "reached JOIN cust USING (customer_id) GROUP BY acquisition_channel"))
-    for i, s in enumerate(STEPS))
-Q["marts_roundtrip"] = with_star(f"SELECT channel, step_name, CAST(customers_reached AS BIGINT) AS customers_reached, pct FROM ({_MART_ROWS}) m",
-                                 "dim_customers", "fct_events", extra_ctes=(*_LOADED, _REACHED))
+Q["csv_load_audit"] = Q["load_audit"]
+
+_KEPT_TX = """kept_tx AS (SELECT *, CAST(product_id IS NULL OR gross_revenue IS NULL AS INTEGER) AS has_missing_product_or_revenue,
+       CAST(refund_flag = 1 AND coalesce(gross_revenue, 0) >= 0 AS INTEGER) AS revenue_sign_mismatch
+       FROM fct_transactions WHERE customer_id IN (SELECT customer_id FROM cust))"""
+
+# an increment changes no row but those it sends again
+Q["load_increment_events"] = f"""
+SELECT * REPLACE (CASE WHEN event_id % 499 = 0 THEN 'corrected' ELSE page_category END AS page_category) FROM ({Q["csv_load_events"]}) t"""
+Q["load_increment_state"] = with_star("""
+SELECT customer_id, last_time, last_seq, n_transactions, revenue
+FROM (SELECT customer_id, max("timestamp") AS last_time, CAST(max(nr) AS BIGINT) AS last_seq FROM seq GROUP BY customer_id) e
+FULL JOIN (SELECT customer_id, count(*) AS n_transactions, CAST(sum(gross_revenue) AS DOUBLE) AS revenue FROM kept_tx GROUP BY customer_id) t
+USING (customer_id)""", "dim_customers", "fct_events", "fct_transactions", extra_ctes=(*_LOADED, _SESSION_IDS, _KEPT_TX))
+
+_TABLE_SOURCES = {"dim_customers": "cust", "dim_products": "dim_products", "dim_campaigns": "dim_campaigns", "fct_transactions": "kept_tx", "fct_events": "loaded_ev"}
+
+
+def _checksum_sql(table: str) -> str:
+    """One row per column: rows, nulls, and the sum of the first 15 hex digits of the values' MD5."""
+    parts = []
+    for f in TABLES[table].fields:
+        text = f"strftime(\"{f.name}\", '%Y-%m-%d %H:%M:%S.%f')" if f.name == "timestamp" else f'CAST(CAST("{f.name}" AS {f.dataType.simpleString()}) AS VARCHAR)'
+        parts.append(f"SELECT '{table}' AS table_name, '{f.name}' AS column_name, count(*) AS n_rows, CAST(count_if(\"{f.name}\" IS NULL) AS BIGINT) AS n_nulls, "
+                     f"CAST(sum(CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)) AS VARCHAR) AS checksum FROM {_TABLE_SOURCES[table]}")
+    return " UNION ALL ".join(parts)
+
+
+Q["warehouse_tables"] = with_star(" UNION ALL ".join(_checksum_sql(t) for t in _TABLE_SOURCES), *_TABLE_SOURCES,
+                                  extra_ctes=(*_LOADED, _SESSION_IDS, _KEPT_TX, f"loaded_ev AS ({Q['csv_load_events']})"))
+
+# The marts, from the queries above over the rows that the load keeps: the facts of its customers.
+_MART_KEYS = {"funnel_overall": "step_name", "funnel_by_channel": "acquisition_channel || '/' || step_name", "ab_test_totals": "experiment_group",
+              "ab_test_bootstrap": "comparison", "ab_test_pairwise": "group_a || '/' || group_b", "summary_stats": "''"}
+_MART_QUERIES = {"funnel_overall": "funnel_overall", "funnel_by_channel": "funnel_by_channel", "ab_test_totals": "group_totals",
+                 "ab_test_bootstrap": "bootstrap_ci", "ab_test_pairwise": "pairwise_z", "summary_stats": "kpi_summary"}
+_MART_MEASURES = {"funnel_overall": "customers_reached pct_of_customers step_over_step_pct drop_off_pct", "funnel_by_channel": "customers_reached pct_of_signups",
+                  "ab_test_totals": "total_events purchase_events purchase_rate", "ab_test_bootstrap": "median_lift_pp ci_2.5pct ci_97.5pct",
+                  "ab_test_pairwise": "rate_a rate_b absolute_lift_pp z_stat p_value significant",
+                  "summary_stats": "chi2 chi2_p_value chi2_dof bounce_rate_pct avg_revenue_per_converted_customer total_customers"}
+_KEPT_IDS = "(SELECT c_custkey FROM main.customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment IS NOT NULL AND n_name IS NOT NULL)"
+Q["marts_roundtrip"] = (f"WITH events AS (SELECT * FROM main.events WHERE user_id IN {_KEPT_IDS}), orders AS (SELECT * FROM main.orders WHERE o_custkey IN {_KEPT_IDS}), "
+                        + ", ".join(f"mart_{m} AS MATERIALIZED ({Q[q]})" for m, q in _MART_QUERIES.items())
+                        + ", mart_rows AS (" + " UNION ALL ".join(
+                            f"SELECT '{m}' AS mart, {_MART_KEYS[m]} AS row_key, '{c}' AS measure, CAST({c.replace('.', '_')} AS DOUBLE) AS value FROM mart_{m}"
+                            for m, cs in _MART_MEASURES.items() for c in cs.split())
+                        + ") SELECT mode, mart, row_key, measure, value FROM mart_rows, (VALUES ('live'), ('snapshot')) modes(mode)")

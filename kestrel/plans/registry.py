@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.config import DRIVER, VALID_EVENT_TYPES
-from kestrel.operators import bootstrap, diagnostics, experiment, funnel, quality, quantiles, sessions
-from kestrel.plans import pipeline, reports, sql_queries
-from kestrel.session import shared_path
+from kestrel.operators import attribution, bootstrap, diagnostics, experiment, funnel, quality, quantiles, sessions, sketches
+from kestrel.plans import increment, pipeline, reports, sql_queries, warehouse
+from kestrel.session import materialize, shared_path
 from kestrel.sources import csv, marts, schemas, star
 from kestrel.sources.tables import read_table
 from kestrel.streaming import sessions_stream
@@ -174,6 +174,61 @@ def q_experiment_report(spark, sf):
     return experiment.experiment_report(experiment.pairwise_tests(_totals(spark, sf), P.groups, P.alpha))
 
 
+@query("distinct_sketches")
+def q_distinct_sketches(spark, sf):
+    """Distinct customers, sessions and products per week and over all days from stored daily sketches: their exact number, and whether the merged
+    estimate lies within the error bound of it and of the sketch of all rows counted together."""
+    ev, measures = star.fct_events(spark, sf), ["customer_id", "session_id", "product_id"]
+    stored = materialize(sketches.daily_sketches(ev, measures), "daily-sketches")
+    week = F.date_trunc("week", "day").cast("date").cast("string")
+    rows = ev.select(sketches.day().alias("day"), F.inline(F.array(*(F.struct(F.lit(m).alias("measure"), F.col(m).cast("string").alias("value")) for m in measures))))
+    parts = []
+    for span in (week, F.lit("all")):
+        exact = rows.groupBy(span.alias("span"), "measure").agg(F.count_distinct("value").alias("n_exact"), F.hll_sketch_estimate(F.hll_sketch_agg("value", sketches.LG_K)).alias("direct"))
+        parts.append(sketches.merged_distinct(stored, span.alias("span")).join(exact, ["span", "measure"]))
+    both = parts[0].unionByName(parts[1])
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.greatest(F.lit(1.0), sketches.ERROR_BOUND * F.col("n_exact"))
+    return both.select("span", "measure", "n_rows", "n_exact", near("n_distinct", "n_exact").alias("within_bound"), near("n_distinct", "direct").alias("agrees_with_direct"))
+
+
+@query("funnel_span_bitmaps")
+def q_funnel_span_bitmaps(spark, sf):
+    """The funnel by channel of every week and of all days, from stored daily bitmaps of customers."""
+    numbers = sketches.number_customers(star.customer_channels(spark, sf))
+    stored = materialize(sketches.daily_reach_bitmaps(star.fct_events(spark, sf), numbers, P.steps), "daily-bitmaps")
+    weeks = sketches.span_funnel(stored, P.steps, F.date_trunc("week", "day").cast("date").cast("string"))
+    return weeks.unionByName(sketches.span_funnel(stored, P.steps, F.lit("all")))
+
+
+@query("sql_function_tests")
+def q_sql_function_tests(spark, sf):
+    """Pairwise tests, chi-square and labels by SQL functions of the catalog: the whole text is SQL."""
+    return sql_queries.run_function_tests(spark, _totals(spark, sf), star.fct_events(spark, sf), P)
+
+
+@query("sql_function_sessions")
+def q_sql_function_sessions(spark, sf):
+    return sql_queries.run_function_sessions(spark, _totals(spark, sf), star.fct_events(spark, sf), P)
+
+
+#: The driver's orders lie 29 years before its events: for the attribution they move to start with the first day of events.
+ORDER_SHIFT_DAYS, ATTRIBUTION_DAYS = 10592, 2500
+
+
+def _moved_transactions(spark, sf):
+    return star.fct_transactions(spark, sf).withColumn("timestamp", F.expr(f"timestamp + INTERVAL '{ORDER_SHIFT_DAYS}' DAY"))
+
+
+@query("attributed_transactions")
+def q_attributed_transactions(spark, sf):
+    return attribution.attribute_transactions(star.fct_events(spark, sf), _moved_transactions(spark, sf), ATTRIBUTION_DAYS)
+
+
+@query("revenue_per_event")
+def q_revenue_per_event(spark, sf):
+    return attribution.revenue_per_event(star.fct_events(spark, sf), _moved_transactions(spark, sf), P.groups, ATTRIBUTION_DAYS)
+
+
 @query("srm_test")
 def q_srm_test(spark, sf):
     return experiment.sample_ratio_test(_totals(spark, sf), P.groups, P.expected_shares)
@@ -328,9 +383,9 @@ for _table, _entity in csv.ENTITY.items():
 
 def _warehouse(spark, sf):
     """CSV -> clean -> contracts -> warehouse in the shared folder."""
-    base = shared_path(spark, "warehouse", uuid.uuid4().hex)
-    tables = pipeline.clean_tables(spark, _csv_tables(spark, sf), P)
-    pipeline.load_to_warehouse(spark, tables, base)
+    base, audit = shared_path(spark, "warehouse", uuid.uuid4().hex), []
+    tables = pipeline.clean_tables(spark, _csv_tables(spark, sf), P, audit=audit)
+    pipeline.load_to_warehouse(spark, tables, base, audit)
     return base
 
 
@@ -339,27 +394,95 @@ def q_csv_load_events(spark, sf):
     return pipeline.read_warehouse(spark, _warehouse(spark, sf), "fct_events")
 
 
+@query("csv_load_audit")
+def q_csv_load_audit(spark, sf):
+    """The audit that the load observed on its own writes and stored with its version."""
+    return warehouse.audit_rows(spark, _warehouse(spark, sf))
+
+
+def _value_text(df, column):
+    """A value as text for a checksum: numbers and times in one spelling that any engine can give."""
+    kind = df.schema[column].dataType.simpleString()
+    if kind == "timestamp_ntz":
+        return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return F.col(column).cast("string")
+
+
 @query("warehouse_tables")
 def q_warehouse_tables(spark, sf):
-    """Rows and columns of every catalog table created over the loaded warehouse."""
+    """Every column of the catalog views over the loaded warehouse: rows, nulls, and the sum of the values' hashes
+    (the first 15 hex digits of MD5), so that a changed value, a lost row or a swapped type shows."""
     base, db = _warehouse(spark, sf), f"kestrel_{uuid.uuid4().hex[:12]}"
-    names = schemas.create_tables(spark, db, base)
-    parts = [spark.table(n).agg(F.lit(n.split(".")[1]).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
-                                F.lit(len(spark.table(n).columns)).alias("n_columns")) for n in names]
+    parts = []
+    for name in warehouse.create_views(spark, db, base):
+        df, table = spark.table(name), name.split(".")[1]
+        digits = {c: F.conv(F.substring(F.md5(_value_text(df, c)), 1, 15), 16, 10).cast("decimal(38,0)") for c in df.columns}
+        wide = df.agg(F.count("*").alias("n_rows"), *(F.struct(F.count_if(F.col(c).isNull()).alias("n_nulls"), F.sum(d).alias("checksum")).alias(c)
+                                                      for c, d in digits.items()))
+        parts.append(wide.select("n_rows", F.inline(F.array(*(F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"),
+                                                                       F.col(c)["n_nulls"].alias("n_nulls"), F.col(c)["checksum"].cast("string").alias("checksum")) for c in df.columns)))))
+    return reduce(lambda a, b: a.unionByName(b), parts).select("table_name", "column_name", "n_rows", "n_nulls", "checksum")
+
+
+#: An increment for the keys below: the last day, late rows of any day, and rows of before sent again with another page category.
+_LATE, _SENT_AGAIN = F.col("event_id") % 211 == 0, F.col("event_id") % 499 == 0
+
+
+def _incremented(spark, sf):
+    """A warehouse loaded from a CSV folder without the last day of events and of transactions, and some late events; then the rest as an
+    increment that also sends some events again, corrected."""
+    raw = pipeline.raw_tables(spark, sf)
+    ev, tx = raw["fct_events"], raw["fct_transactions"]
+    last = {t: df.agg(F.max(F.to_date("timestamp"))).first()[0] for t, df in (("ev", ev), ("tx", tx))}
+    new = _LATE | (F.to_date("timestamp") == F.lit(last["ev"]))
+    folders = [shared_path(spark, "raw-csv", uuid.uuid4().hex) for _ in range(2)]
+    csv.write_raw_csv(raw | {"fct_events": ev.where(~new), "fct_transactions": tx.where(F.to_date("timestamp") < F.lit(last["tx"]))}, folders[0])
+    again = ev.where(new | _SENT_AGAIN).withColumn("page_category", F.when(_SENT_AGAIN, "corrected").otherwise(F.col("page_category")))
+    csv.write_raw_csv({"fct_events": again, "fct_transactions": tx.where(F.to_date("timestamp") == F.lit(last["tx"]))}, folders[1])
+    base = shared_path(spark, "warehouse", uuid.uuid4().hex)
+    pipeline.run(spark, folders[0], base, P, from_csv=True)
+    increment.run(spark, folders[1], base, P)
+    return base
+
+
+@query("load_increment_events")
+def q_load_increment_events(spark, sf):
+    """Events after a full load and an increment: the rows and session ids of one load over both inputs."""
+    return pipeline.read_warehouse(spark, _incremented(spark, sf), "fct_events")
+
+
+@query("load_increment_state")
+def q_load_increment_state(spark, sf):
+    """The customers' session state and transactions after the increment: last time, last session, transactions and revenue."""
+    base = _incremented(spark, sf)
+    tx = pipeline.read_warehouse(spark, base, "fct_transactions").groupBy("customer_id").agg(
+        F.count("*").alias("n_transactions"), F.sum("gross_revenue").cast("double").alias("revenue"))
+    return warehouse.read_table(spark, base, warehouse.STATE).join(tx, "customer_id", "full").select(
+        "customer_id", "last_time", "last_seq", "n_transactions", "revenue")
+
+
+def _mart_rows(marts_by_name):
+    """Marts in long form: (mode, mart, row_key, measure, value) of every number, text columns joined as the row's key."""
+    parts = []
+    for name, df in marts_by_name.items():
+        texts = [c for c, t in df.dtypes if t == "string" and c != "mode"]
+        numbers = [c for c, t in df.dtypes if t not in ("string",)]
+        key = F.concat_ws("/", *(F.col(f"`{c}`") for c in texts)) if texts else F.lit("")
+        rows = F.array(*(F.struct(F.lit(c).alias("measure"), F.col(f"`{c}`").cast("double").alias("value")) for c in numbers))
+        parts.append(df.select("mode", F.lit(name).alias("mart"), key.alias("row_key"), F.inline(rows)))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 @query("marts_roundtrip")
 def q_marts_roundtrip(spark, sf):
-    """The funnel marts built from the warehouse, written as CSV and read back as a snapshot."""
-    tables = pipeline.read_warehouse_tables(spark, _warehouse(spark, sf))
-    built = reports.build_marts(tables, P)
+    """All six marts, twice: read live from the warehouse, and from the CSV and JSON snapshot that was written of them."""
+    base = _warehouse(spark, sf)
     out = shared_path(spark, "marts", uuid.uuid4().hex)
+    built = reports.build_marts(pipeline.read_warehouse_tables(spark, base), P)
     marts.write_marts(built, out)
-    back = marts.read_marts(spark, out)
-    overall = back["funnel_overall"].select(F.lit("all").alias("channel"), "step_name", "customers_reached", F.col("pct_of_customers").alias("pct"))
-    channel = back["funnel_by_channel"].select(F.col("acquisition_channel").alias("channel"), "step_name", "customers_reached", F.col("pct_of_signups").alias("pct"))
-    return overall.unionByName(channel)
+    live = marts.read_marts(spark, out, live=lambda: built, warehouse_dir=base)
+    snapshot = marts.read_marts(spark, out, live=lambda: built, warehouse_dir=f"{base}-none")
+    return _mart_rows(live).unionByName(_mart_rows(snapshot))
 
 
 @query("funnel_regression_alerts")

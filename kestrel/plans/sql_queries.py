@@ -9,15 +9,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kestrel.config import Profile
+from kestrel.functions import sql_functions
 from kestrel.sources.star import register_views
 
 LIFECYCLE_FUNNEL = """
-SELECT count_if(array_contains(types, 'view'))        AS view_count,
-       count_if(array_contains(types, 'click'))       AS click_count,
-       count_if(array_contains(types, 'add_to_cart')) AS add_to_cart_count,
-       count_if(array_contains(types, 'purchase'))    AS purchase_count,
-       count(*) AS total_customers
-FROM (SELECT customer_id, collect_set(event_type) AS types FROM fct_events GROUP BY customer_id)
+SELECT count_if(viewed) AS view_count, count_if(clicked) AS click_count, count_if(added) AS add_to_cart_count,
+       count_if(bought) AS purchase_count, count(*) AS total_customers
+FROM (SELECT customer_id, bool_or(event_type <=> 'view') AS viewed, bool_or(event_type <=> 'click') AS clicked,
+             bool_or(event_type <=> 'add_to_cart') AS added, bool_or(event_type <=> 'purchase') AS bought
+      FROM fct_events GROUP BY customer_id)
 """
 
 CHANNEL_PURCHASE = """
@@ -82,3 +83,31 @@ QUERIES = {
 def run_sql(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     register_views(spark, sf_dir)
     return spark.sql(QUERIES[name])
+
+
+FUNCTION_TESTS = """
+SELECT pair_idx, concat_ws(' vs ', group_a, group_b) AS comparison, rate_a, rate_b, z_stat, p_value, p_label(p_value) AS p_value_label, significant,
+       round(chi_square_p(chi2, dof), 12) AS chi2_p_value
+FROM arm_tests(:alpha), LATERAL (
+  SELECT sum(pow(x - e, 2) / e + pow(x - e, 2) / (n - e)) AS chi2, CAST(count(*) - 1 AS INT) AS dof
+  FROM (SELECT n, x, n * sum(x) OVER () / sum(n) OVER () AS e
+        FROM (SELECT CAST(total_events AS DOUBLE) AS n, CAST(purchase_events AS DOUBLE) AS x FROM arm_totals)))
+"""
+
+FUNCTION_SESSIONS = "SELECT event_id, customer_id, `timestamp`, derived_session_id FROM customer_sessions(:gap_minutes)"
+
+
+def _with_functions(spark: SparkSession, totals: DataFrame, events: DataFrame) -> None:
+    totals.createOrReplaceTempView("arm_totals")
+    events.createOrReplaceTempView("fct_events")
+    sql_functions.register(spark)
+
+
+def run_function_tests(spark: SparkSession, totals: DataFrame, events: DataFrame, profile: Profile) -> DataFrame:
+    _with_functions(spark, totals, events)
+    return spark.sql(FUNCTION_TESTS, args={"alpha": profile.alpha})
+
+
+def run_function_sessions(spark: SparkSession, totals: DataFrame, events: DataFrame, profile: Profile) -> DataFrame:
+    _with_functions(spark, totals, events)
+    return spark.sql(FUNCTION_SESSIONS, args={"gap_minutes": float(profile.gap_minutes)})

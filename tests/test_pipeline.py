@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from kestrel import config, session
 from kestrel.operators import quality
-from kestrel.plans import pipeline, reports
+from kestrel.plans import pipeline, reports, warehouse
 from kestrel.plans.oracle import Q as ORACLE
 from kestrel.plans.registry import REGISTRY
 from kestrel.sources import csv, marts, schemas
@@ -40,7 +40,7 @@ def test_load_then_read_back(spark, tmp_dir):
     assert set(paths) == {"dim_customers", "dim_products", "dim_campaigns", "fct_transactions", "fct_events"}
     assert ev.filter("device_type IS NULL").count() == 0
     assert ev.filter("traffic_source = 'ORGANIC'").count() == 0
-    assert os.listdir(wh) == ["current"]
+    assert sorted(os.listdir(wh)) == ["data", "manifests"]
 
 
 def test_csv_load_equals_table_load_and_can_be_repeated(spark, tmp_dir):
@@ -83,7 +83,9 @@ def test_failed_refresh_leaves_the_old_warehouse(spark, tmp_dir):
         "product_id", F.when(F.col("event_id") == 1, F.lit(10 ** 9)).otherwise(F.col("product_id")))}
     with pytest.raises(quality.ContractViolation, match="foreign key broken on fct_events.product_id: 1"):
         pipeline.load_to_warehouse(spark, broken, wh)
-    assert os.listdir(wh) == ["current"] and pipeline.read_warehouse(spark, wh, "dim_products").count() == old
+    assert warehouse.versions(spark, wh) == [1] and pipeline.read_warehouse(spark, wh, "dim_products").count() == old
+    loads = {f.split("load=")[1].split("/")[0] for d, _, fs in os.walk(wh) for f in (d,) if "load=" in d}
+    assert len(loads) == 1  # what the failed loads wrote is deleted
 
 
 def test_marts_roundtrip_and_fallback(spark, tmp_dir):
