@@ -424,20 +424,17 @@ def q_warehouse_tables(spark, sf):
     return reduce(lambda a, b: a.unionByName(b), parts).select("table_name", "column_name", "n_rows", "n_nulls", "checksum")
 
 
-#: An increment for the keys below: the last day, late rows of any day, and rows of before sent again with another page category.
-_LATE, _SENT_AGAIN = F.col("event_id") % 211 == 0, F.col("event_id") % 499 == 0
-
-
 def _incremented(spark, sf):
     """A warehouse loaded from a CSV folder without the last day of events and of transactions, and some late events; then the rest as an
     increment that also sends some events again, corrected."""
+    late, sent_again = F.col("event_id") % 211 == 0, F.col("event_id") % 499 == 0
     raw = pipeline.raw_tables(spark, sf)
     ev, tx = raw["fct_events"], raw["fct_transactions"]
     last = {t: df.agg(F.max(F.to_date("timestamp"))).first()[0] for t, df in (("ev", ev), ("tx", tx))}
-    new = _LATE | (F.to_date("timestamp") == F.lit(last["ev"]))
+    new = late | (F.to_date("timestamp") == F.lit(last["ev"]))
     folders = [shared_path(spark, "raw-csv", uuid.uuid4().hex) for _ in range(2)]
     csv.write_raw_csv(raw | {"fct_events": ev.where(~new), "fct_transactions": tx.where(F.to_date("timestamp") < F.lit(last["tx"]))}, folders[0])
-    again = ev.where(new | _SENT_AGAIN).withColumn("page_category", F.when(_SENT_AGAIN, "corrected").otherwise(F.col("page_category")))
+    again = ev.where(new | sent_again).withColumn("page_category", F.when(sent_again, "corrected").otherwise(F.col("page_category")))
     csv.write_raw_csv({"fct_events": again, "fct_transactions": tx.where(F.to_date("timestamp") == F.lit(last["tx"]))}, folders[1])
     base = shared_path(spark, "warehouse", uuid.uuid4().hex)
     pipeline.run(spark, folders[0], base, P, from_csv=True)
