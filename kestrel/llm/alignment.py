@@ -26,6 +26,7 @@ import functools
 import hashlib
 import re
 import struct
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from kestrel.session import materialize
 
 MARK = "▁"
 #: Pairs in the broadcast table, distinct pairs that a task holds before it passes them on, chunks that a worker remembers.
-FREQUENT, HELD, CACHED = 1 << 18, 1 << 20, 200_000
+FREQUENT, HELD, CACHED = 1 << 18, 1 << 20, 350_000
 #: The most copied texts, whose measures are repeated so that their documents spread over tasks.
 HOT_TEXTS, SPREAD = 1024, 64
 _CODE = struct.Struct("<q")
@@ -80,19 +81,18 @@ class Pair:
 
     def aligned(self, a: list[int], b: list[int], data: bytes):
         """(groups, pair codes as bytes, n_a, n_b, n_groups), or None where the tokens do not spell ``data``."""
-        a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
+        a_parts, b_parts = list(map(self.a_bytes.__getitem__, a)), list(map(self.b_bytes.__getitem__, b))
         if None in a_parts or b"".join(a_parts) != data or b"".join(b_parts) != data:
             return None
         if len(a) == len(b) == 1:
             return f"{a[0]}|{b[0]}", _CODE.pack(a[0] << 32 | b[0]), 1, 1, 1
-        groups, codes, from_a, from_b, at_b, a_end, b_end = [], [], 0, 0, 0, 0, len(b_parts[0])
-        for at_a, part in enumerate(a_parts):
-            a_end += len(part)
-            while b_end < a_end:
-                at_b += 1
-                b_end += len(b_parts[at_b])
-            if a_end == b_end:
-                groups.append(",".join(map(str, a[from_a:at_a + 1])) + "|" + ",".join(map(str, b[from_b:at_b + 1])))
+        a_ends, b_ends = list(accumulate(map(len, a_parts))), list(accumulate(map(len, b_parts)))
+        a_text, b_text = list(map(str, a)), list(map(str, b))
+        at_end, groups, codes, from_a, from_b = dict(zip(b_ends, range(len(b)))), [], [], 0, 0
+        for at_a, end in enumerate(a_ends):
+            at_b = at_end.get(end)
+            if at_b is not None:
+                groups.append(",".join(a_text[from_a:at_a + 1]) + "|" + ",".join(b_text[from_b:at_b + 1]))
                 codes.append(a[at_a] << 32 | b[at_b])
                 from_a, from_b = at_a + 1, at_b + 1
         return ";".join(groups), struct.pack(f"<{len(codes)}q", *codes), len(a), len(b), len(groups)
