@@ -8,10 +8,11 @@ be similar. Two sets of Jaccard similarity >= 0.75 share at least NEEDED of thei
 with the values in one global order (rarest first) two similar classes meet in the first
 K - NEEDED + 1 of them: passages that many documents hold stay out of the lists.
 
-Classes that meet in a list form a candidate group (each list adds a star, not its pairs; the
-stars' components are the groups). A group's full sets are compared block by block:
-a group of m classes is dealt into tasks of at most two blocks, the union sketches' estimate
-leaves out what cannot be similar, and the exact intersection of the rest decides. A task passes on
+Lists with the same members count once. A list is cut into blocks, and the sketches of each pair of blocks are compared in one
+task: of the K smallest values of two sets' union, the share that both hold estimates their similarity, and pairs
+below NEEDED go. A task passes on a spanning forest of the pairs that stay, so what it emits is as long as the
+list; their components are the candidate groups, and documents that only share passages are in none. A group's full sets are
+compared block by block, dealt into tasks of at most two blocks: the exact intersection decides. Again a task passes on
 a spanning forest of its exact links, which keeps every connection; the components of
 all forests are the result. No task or driver holds a group or a list whole.
 
@@ -36,8 +37,8 @@ from kestrel.llm.shingles import shingle_set
 from kestrel.session import materialize
 
 K, THRESHOLD, NEEDED = 48, 0.75, 0.375
-#: Rows and bytes of one block of a candidate group.
-BLOCK_ROWS, BLOCK_BYTES = 512, 8 << 20
+#: Rows and bytes of one block of a candidate group, and rows of one block of a list.
+BLOCK_ROWS, BLOCK_BYTES, LIST_ROWS = 512, 8 << 20, 256
 #: Tasks over which the edges of one node are dealt.
 SALTS = 8
 #: Bits of the filter that keeps texts out of shuffles they need not enter.
@@ -87,6 +88,64 @@ def components(edges: DataFrame) -> DataFrame:
         mark = now
 
 
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    """Does the union sketch of two sketches allow the threshold? Of the K smallest values of the union, both must hold NEEDED."""
+    both = np.intersect1d(a, b, assume_unique=True)
+    if not len(both):
+        return False
+    union = np.union1d(a, b)[:K]
+    return int(np.searchsorted(both, union[-1], side="right")) >= max(1, int(len(union) * NEEDED))
+
+
+def _list_pairs(batches):
+    """Rows sorted by (value, lo, hi): per pair of blocks of a list, a spanning forest of the pairs that are alike."""
+    held, key = [], None
+
+    def forest():
+        nodes, block = [x[0] for x in held], [x[1] for x in held]
+        sketches = [np.sort(np.array(x[2], np.int64).view(np.uint64)) for x in held]
+        lo, hi = key[1:]
+        left, right = [i for i, x in enumerate(block) if x == lo], [i for i, x in enumerate(block) if x == hi]
+        if not left or not right or len(held) < 2:
+            return []
+        if len(held) == 2:
+            pairs = [(0, 1)]
+        else:  # the sketches' common values bound the union sketch's from above
+            shared = overlaps([sketches[i] for i in left], [sketches[i] for i in right])
+            size = np.minimum([[len(sketches[i])] for i in left], [[len(sketches[i]) for i in right]])
+            pairs = [(left[i], right[j]) for i, j in np.argwhere(shared >= np.maximum(1, np.floor(size * NEEDED))) if lo != hi or left[i] < right[j]]
+        parent = list(range(len(held)))
+
+        def find(x):
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        out = []
+        for i, j in pairs:
+            p, q = find(i), find(j)
+            if p != q and alike(sketches[i], sketches[j]):
+                parent[p] = q
+                out.append((nodes[i], nodes[j]))
+        return out
+
+    def rows(pairs):
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([y for _, y in pairs], pa.int64())], names=["a", "b"])
+
+    for batch in batches:
+        out = []
+        for value, lo, hi, block, node, sketch in zip(*(c.to_pylist() for c in batch.columns)):
+            if (value, lo, hi) != key:
+                if held:
+                    out += forest()
+                held, key = [], (value, lo, hi)
+            held.append((node, block, sketch))
+        yield rows(out)
+    if held:
+        yield rows(forest())
+
+
 def candidate_groups(reps: DataFrame) -> DataFrame:
     """(node, root): the classes that can have a similar one, by candidate group."""
     values = reps.select("node", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
@@ -98,9 +157,16 @@ def candidate_groups(reps: DataFrame) -> DataFrame:
               .select("node", F.explode(F.expr("slice(own, 1, size(own) - need + 1)")).alias("o"))
               .select("node", F.col("o.value").alias("value")))
     prefix = materialize(prefix, "prefix")
-    first = prefix.groupBy("value").agg(F.min("node").alias("a"))
-    stars = prefix.join(first, "value").select("a", F.col("node").alias("b")).where("a <> b").distinct()
-    leaves = components(stars)
+    members = [F.bit_xor(F.xxhash64(F.lit(k), "node")).alias(f"x{k}") for k in (1, 2)]  # 128 bits tell lists of other members apart
+    lists = prefix.groupBy("value").agg(F.count("*").alias("m"), F.min("node").alias("least"), *members).where("m > 1")
+    lists = lists.groupBy("m", "least", "x1", "x2").agg(F.min("value").alias("value"))
+    blocks = F.ceil(F.col("m") / LIST_ROWS).cast("int")
+    dealt = (prefix.join(lists.select("value", blocks.alias("blocks")), "value").join(reps, "node")
+             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("value", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "sketch"))
+    dealt = dealt.repartition("value", "lo", "hi").sortWithinPartitions("value", "lo", "hi")
+    leaves = components(map_arrow(dealt, _list_pairs, "a bigint, b bigint"))
     return leaves.unionByName(leaves.select(F.col("root").alias("node"), "root").distinct())
 
 
