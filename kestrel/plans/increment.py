@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.config import DRIVER, Profile
-from kestrel.operators import quality, sessions
+from kestrel.operators import sessions
 from kestrel.plans import pipeline, warehouse
 from kestrel.session import materialize, scratch
 from kestrel.sources import csv, schemas
@@ -122,24 +122,22 @@ def load_increment(spark: SparkSession, raw: dict[str, DataFrame], warehouse_dir
         parents = {t: merged.get(t, warehouse.read_places(spark, base, t, places[t])) for t in schemas.LOAD_ORDER if t not in warehouse.PERIODS}
         none = {t: spark.createDataFrame([], csv.raw_schema(t)) for t in warehouse.PERIODS}
         tx, ev = pipeline.clean_facts(none | raw, parents["dim_customers"], profile, True, audit)
-        written = {}
+        written, touched = dict(merged), {}
         for t, df in merged.items():
             warehouse.write_table(spark, base, t, df, load)
-            written[t], places[t] = df, warehouse.places_of_load(spark, base, t, load)
-        touched: dict[str, set] = {}
         if EVENTS in raw:
             rows, state, touched[EVENTS] = merge_events(spark, base, old, materialize(ev, "fresh-events"), profile.gap_minutes)
             warehouse.write_table(spark, base, EVENTS, rows, load)
             warehouse.write_table(spark, base, warehouse.STATE, state, load)
-            places[warehouse.STATE] = warehouse.places_of_load(spark, base, warehouse.STATE, load)
         if "fct_transactions" in raw:
             rows, touched["fct_transactions"] = merge_transactions(spark, base, old, tx)
             warehouse.write_table(spark, base, "fct_transactions", rows, load)
-        for t, periods in touched.items():
-            written[t] = warehouse.read_load(spark, base, t, load)
-            kept = {p: at for p, at in places[t].items() if p not in periods}
-            places[t] = kept | warehouse.places_of_load(spark, base, t, load, written[t])
-        check_contracts(written, parents)
+        written |= {t: warehouse.read_load(spark, base, t, load) for t in touched}
+        pipeline.check_contracts(written, parents)  # kept periods were checked by their own load; parents only gain keys
+        if EVENTS in raw:
+            written[warehouse.STATE] = warehouse.read_load(spark, base, warehouse.STATE, load)
+        for t, new in warehouse.places_of_load(written, load).items():
+            places[t] = {p: at for p, at in places[t].items() if p not in touched[t]} | new if t in touched else new
         version = warehouse.Version(old.number + 1, places, audit)
         warehouse.commit(spark, base, version)
     except BaseException:
@@ -149,17 +147,6 @@ def load_increment(spark: SparkSession, raw: dict[str, DataFrame], warehouse_dir
     return version
 
 
-def check_contracts(written: dict[str, DataFrame], parents: dict[str, DataFrame]) -> None:
-    """The contracts on what the increment wrote. Kept periods were checked by their own load; parents only gain keys."""
-    if not written:
-        return
-    fk = [(c, col, written[c], parents[p], pcol) for (c, col), (p, pcol) in schemas.FOREIGN_KEYS.items() if c in written]
-    quality.raise_on_violations(
-        pk=quality.pk_violations({t: (df, schemas.PRIMARY_KEYS[t]) for t, df in written.items()}),
-        fk=quality.fk_violations(fk) if fk else None,
-        nn=quality.not_null_violations({t: (df, schemas.not_null_columns(t)) for t, df in written.items()}))
-
-
 def run(spark: SparkSession, folder: str, warehouse_dir: str, profile: Profile = DRIVER) -> warehouse.Version:
     """The raw CSVs that a folder has, merged into the warehouse; intermediate tables are deleted."""
     with scratch(spark):

@@ -82,12 +82,12 @@ def clean_tables(spark: SparkSession, raw: dict[str, DataFrame], profile: Profil
     return {k: schemas.conform(v, k) for k, v in (out | {"fct_transactions": tx, "fct_events": ev}).items()}
 
 
-def contract_frames(tables: dict[str, DataFrame]):
-    pk = quality.pk_violations({t: (df, schemas.PRIMARY_KEYS[t]) for t, df in tables.items()})
-    fk = quality.fk_violations([(c, col, tables[c], tables[p], pcol)
-                                for (c, col), (p, pcol) in schemas.FOREIGN_KEYS.items()])
-    nn = quality.not_null_violations({t: (df, schemas.not_null_columns(t)) for t, df in tables.items()})
-    return pk, fk, nn
+def check_contracts(written: dict[str, DataFrame], parents: dict[str, DataFrame]) -> None:
+    """Keys, null columns and references of the written tables, in one job."""
+    if written:
+        quality.raise_on_counts(quality.contract_counts(
+            {t: (df, schemas.PRIMARY_KEYS[t], schemas.not_null_columns(t)) for t, df in written.items()},
+            [(c, col, written[c], parents[p], pcol) for (c, col), (p, pcol) in schemas.FOREIGN_KEYS.items() if c in written]))
 
 
 def customer_state(events: DataFrame) -> DataFrame:
@@ -104,9 +104,9 @@ def load_to_warehouse(spark: SparkSession, tables: dict[str, DataFrame], warehou
         for name in schemas.LOAD_ORDER:
             warehouse.write_table(spark, base, name, tables[name], load)
         written = {name: warehouse.read_load(spark, base, name, load) for name in schemas.LOAD_ORDER}
-        quality.raise_on_violations(**dict(zip(("pk", "fk", "nn"), contract_frames(written))))
+        check_contracts(written, written)
         warehouse.write_table(spark, base, warehouse.STATE, customer_state(written["fct_events"]), load)
-        places = {t: warehouse.places_of_load(spark, base, t, load) for t in (*schemas.LOAD_ORDER, warehouse.STATE)}
+        places = warehouse.places_of_load(written | {warehouse.STATE: warehouse.read_load(spark, base, warehouse.STATE, load)}, load)
         warehouse.commit(spark, base, warehouse.Version(before.number + 1, places, audit or []))
     except BaseException:
         warehouse.drop_load(spark, base, load)

@@ -17,6 +17,7 @@ import json
 import re
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,22 +135,28 @@ def read_places(spark: SparkSession, base: str, table: str, places: dict[str, li
     return reader.parquet(*(f"{base}/{_folder(table, p, at[0])}" for p, at in sorted(places.items())))
 
 
-def places_of_load(spark: SparkSession, base: str, table: str, load: str, written: DataFrame | None = None) -> dict[str, list]:
-    """What a load has written of a table: per period its label, key range and rows (one row per period to the driver)."""
-    key = schemas.PRIMARY_KEYS.get(table, "customer_id")
-    df = read_load(spark, base, table, load) if written is None else written
-    period = F.col("period") if table in PERIODS else F.lit("")
-    rows = df.groupBy(period.alias("p")).agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count("*").alias("n")).collect()
-    found = {r["p"]: [load, r["lo"], r["hi"], r["n"]] for r in rows}
-    return found or ({} if table in PERIODS else {"": [load, None, None, 0]})
+def places_of_load(written: dict[str, DataFrame], load: str) -> dict[str, dict[str, list]]:
+    """What a load has written (table -> its rows): per table and period its label, key range and rows, in one job (one row per
+    table and period to the driver)."""
+    parts = [df.groupBy(F.lit(t).alias("t"), (F.col("period") if t in PERIODS else F.lit("")).alias("p")).agg(
+        F.min(key).alias("lo"), F.max(key).alias("hi"), F.count("*").alias("n"))
+        for t, df in written.items() for key in (schemas.PRIMARY_KEYS.get(t, "customer_id"),)]
+    places: dict = {t: {} if t in PERIODS else {"": [load, None, None, 0]} for t in written}
+    if parts:
+        for r in reduce(DataFrame.unionByName, parts).collect():
+            places[r["t"]][r["p"]] = [load, r["lo"], r["hi"], r["n"]]
+    return places
+
+
+def _periods_of(spark: SparkSession, base: str, table: str, load: str) -> list[str]:
+    fs, path = _hadoop(spark, f"{base}/data/{table}/period=*/load={load}")
+    return [s.getPath().getParent().getName().removeprefix("period=") for s in fs.globStatus(path) or []]
 
 
 def read_load(spark: SparkSession, base: str, table: str, load: str) -> DataFrame:
     if table not in PERIODS:
         return read_places(spark, base, table, {"": [load]})
-    periods = [n.removeprefix("period=") for n in _names(spark, f"{base}/data/{table}") if n.startswith("period=")
-               and path_exists(spark, f"{base}/{_folder(table, n.removeprefix('period='), load)}")]
-    return read_places(spark, base, table, {p: [load] for p in periods})
+    return read_places(spark, base, table, {p: [load] for p in _periods_of(spark, base, table, load)})
 
 
 def read_table(spark: SparkSession, base: str, table: str, number: int | None = None) -> DataFrame:
@@ -163,10 +170,8 @@ def read_table(spark: SparkSession, base: str, table: str, number: int | None =
 def drop_load(spark: SparkSession, base: str, load: str) -> None:
     """Delete what a failed load has written; nothing refers to it."""
     for table in (*schemas.LOAD_ORDER, STATE):
-        delete_path(spark, f"{base}/{_folder(table, '', load)}")
-        for n in _names(spark, f"{base}/data/{table}"):
-            if n.startswith("period="):
-                delete_path(spark, f"{base}/{_folder(table, n.removeprefix('period='), load)}")
+        for period in _periods_of(spark, base, table, load) if table in PERIODS else [""]:
+            delete_path(spark, f"{base}/{_folder(table, period, load)}")
 
 
 def vacuum(spark: SparkSession, base: str, keep: int = 2) -> None:
