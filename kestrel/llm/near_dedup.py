@@ -10,8 +10,8 @@ K - NEEDED + 1 of them: passages that many documents hold stay out of the lists.
 
 Lists with the same members count once. A list is cut into blocks, and the sketches of each pair of blocks are compared in one
 task: of the K smallest values of two sets' union, the share that both hold estimates their similarity, and pairs
-below NEEDED go. A task passes on a spanning forest of the pairs that stay, so what it emits is as long as the
-list; their components are the candidate groups, and documents that only share passages are in none. A group's full sets are
+below NEEDED go. A task passes on a spanning forest of the pairs that stay, over all its lists, so it emits fewer rows than it has
+members; their components are the candidate groups, and documents that only share passages are in none. A group's full sets are
 compared block by block, dealt into tasks of at most two blocks: the exact intersection decides. Again a task passes on
 a spanning forest of its exact links, which keeps every connection; the components of
 all forests are the result. No task or driver holds a group or a list whole.
@@ -108,12 +108,6 @@ def _list_pairs(batches):
         left, right = [i for i, x in enumerate(block) if x == lo], [i for i, x in enumerate(block) if x == hi]
         if not left or not right or len(held) < 2:
             return []
-        if len(held) == 2:
-            pairs = [(0, 1)]
-        else:  # the sketches' common values bound the union sketch's from above
-            shared = overlaps([sketches[i] for i in left], [sketches[i] for i in right])
-            size = np.minimum([[len(sketches[i])] for i in left], [[len(sketches[i]) for i in right]])
-            pairs = [(left[i], right[j]) for i, j in np.argwhere(shared >= np.maximum(1, np.floor(size * NEEDED))) if lo != hi or left[i] < right[j]]
         parent = list(range(len(held)))
 
         def find(x):
@@ -122,28 +116,58 @@ def _list_pairs(batches):
                 x = parent[x]
             return x
 
-        out = []
-        for i, j in pairs:
-            p, q = find(i), find(j)
-            if p != q and alike(sketches[i], sketches[j]):
-                parent[p] = q
-                out.append((nodes[i], nodes[j]))
-        return out
+        def joined(left, right, same):
+            """The pairs that join two trees, among those alike of the two sides."""
+            if len(held) == 2:
+                pairs = [(0, 1)]
+            else:  # the sketches' common values bound the union sketch's from above
+                shared = overlaps([sketches[i] for i in left], [sketches[i] for i in right])
+                size = np.minimum([[len(sketches[i])] for i in left], [[len(sketches[i]) for i in right]])
+                pairs = [(left[i], right[j]) for i, j in np.argwhere(shared >= np.maximum(1, np.floor(size * NEEDED))).tolist() if not same or left[i] < right[j]]
+            out = []
+            for i, j in pairs:
+                p, q = find(i), find(j)
+                if p != q and alike(sketches[i], sketches[j]):
+                    parent[p] = q
+                    out.append((nodes[i], nodes[j]))
+            return out
+
+        if lo != hi and len(held) > 2:  # trees inside a block are passed on by the task that has it alone
+            joined(left, left, True)
+            joined(right, right, True)
+        return joined(left, right, lo == hi)
 
     def rows(pairs):
         return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([y for _, y in pairs], pa.int64())], names=["a", "b"])
 
+    trees: dict = {}  # of all lists of this task: what it has joined already is not passed on again
+
+    def root(x):
+        while (up := trees.setdefault(x, x)) != x:
+            trees[x] = trees[up]
+            x = trees[x]
+        return x
+
+    def fresh(pairs):
+        out = []
+        for x, y in pairs:
+            p, q = root(x), root(y)
+            if p != q:
+                trees[p] = q
+                out.append((x, y))
+        return out
+
     for batch in batches:
         out = []
         for value, lo, hi, block, node, sketch in zip(*(c.to_pylist() for c in batch.columns)):
             if (value, lo, hi) != key:
                 if held:
-                    out += forest()
+                    out += fresh(forest())
                 held, key = [], (value, lo, hi)
             held.append((node, block, sketch))
         yield rows(out)
     if held:
-        yield rows(forest())
+        yield rows(fresh(forest()))
 
 
 def candidate_groups(reps: DataFrame) -> DataFrame:
