@@ -87,11 +87,11 @@ def run_sql(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 FUNCTION_TESTS = """
 SELECT pair_idx, concat_ws(' vs ', group_a, group_b) AS comparison, rate_a, rate_b, z_stat, p_value, p_label(p_value) AS p_value_label, significant,
-       round(chi_square_p(chi2, dof), 12) AS chi2_p_value
-FROM arm_tests(:alpha), LATERAL (
-  SELECT sum(pow(x - e, 2) / e + pow(x - e, 2) / (n - e)) AS chi2, CAST(count(*) - 1 AS INT) AS dof
-  FROM (SELECT n, x, n * sum(x) OVER () / sum(n) OVER () AS e
-        FROM (SELECT CAST(total_events AS DOUBLE) AS n, CAST(purchase_events AS DOUBLE) AS x FROM arm_totals)))
+       (SELECT round(chi_square_p(chi2, dof), 12)
+        FROM (SELECT sum(pow(x - e, 2) / e + pow(x - e, 2) / (n - e)) AS chi2, CAST(count(*) - 1 AS INT) AS dof
+              FROM (SELECT n, x, n * sum(x) OVER () / sum(n) OVER () AS e
+                    FROM (SELECT CAST(total_events AS DOUBLE) AS n, CAST(purchase_events AS DOUBLE) AS x FROM arm_totals)))) AS chi2_p_value
+FROM arm_tests(:alpha)
 """
 
 FUNCTION_SESSIONS = "SELECT event_id, customer_id, `timestamp`, derived_session_id FROM customer_sessions(:gap_minutes)"
