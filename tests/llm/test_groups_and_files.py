@@ -340,28 +340,3 @@ def test_a_very_long_page():
     page = f"<article>{LONG_P * 20_000}</article>"
     assert html_text.main_text(page).count("\n") == 19_999
 
-
-def chained(n, passages, seed=1):
-    """Documents put together from shared passages, none similar to another: each passage is in some 40 of them."""
-    r = random.Random(seed)
-    made = [" ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(12)) for _ in range(passages)]
-    return [" ".join(r.sample(made, 10)) for _ in range(n)]
-
-
-@pytest.mark.parametrize("n", [400, 1600])
-def test_chains_of_shared_passages_form_no_groups(spark, n):
-    """Every document meets others in its lists, and all are one chain; nothing of it is compared whole."""
-    docs = spark.createDataFrame(list(enumerate(chained(n, n // 4))), "doc_id bigint, text string")
-    rows = near_dedup.map_arrow(docs, near_dedup._sketched, "doc_id bigint, row bigint, n bigint, digest binary, sketch array<bigint>")
-    assert near_dedup.candidate_groups(rows.select(near_dedup.F.col("row").alias("node"), "sketch")).count() <= n // 50
-    out = near_dedup.near_duplicates(docs)
-    assert out.where("kept").count() == n
-
-
-def test_union_sketch_estimate():
-    r = np.random.default_rng(2)
-    for share, want in ((0.9, True), (0.75, True), (0.1, False), (0.0, False)):
-        base = r.integers(0, 2 ** 63, 2000, dtype=np.uint64)
-        k = int(2000 * share)
-        own = [np.sort(np.r_[base[:k], r.integers(0, 2 ** 63, (2000 - k) // 2, dtype=np.uint64)])[:near_dedup.K] for _ in range(2)]
-        assert near_dedup.alike(*own) is want
