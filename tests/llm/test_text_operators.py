@@ -204,3 +204,34 @@ def test_containment_matches_brute_force(spark):
 @pytest.mark.parametrize("size", [1, 5, 63, 64, 65, 200, 5000])
 def test_needed_hits_allow_what_the_threshold_allows(size):
     assert decontamination.needed_hits(size, 0.75) <= max(1, -(-3 * min(size, 64) // 4))
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 64, 65, 128, 129, 5000])
+def test_size_partitions(size):
+    p = decontamination.size_partition(size)
+    assert 2 ** p >= size and (size == 1 or 2 ** (p - 1) < size)
+    k = decontamination.sketch_size(p)
+    assert (k >= size) if size <= 64 else (64 <= k <= 96 and decontamination.needed_hits(size, 0.75) < 0.75 * k)
+
+
+def test_large_items_match_brute_force(spark):
+    """Items of 10 to 5,000 shingles in partitions of their own, contained to 0.7 to 1 in long documents."""
+    rng = np.random.default_rng(5)
+    words = [[f"w{n}x{i}" for i in range(n + 4)] for n in (10, 64, 65, 130, 200, 700, 5000)]
+    filler = [f"f{i}" for i in rng.integers(0, 3000, 4000)]
+    texts = [" ".join(filler)]
+    for item in words:
+        for share in (1.0, 0.9, 0.76, 0.74, 0.6):
+            texts.append(" ".join(filler[:300] + item[:4 + round(share * (len(item) - 4))] + filler[300:600]))
+    df = documents(spark, texts)
+    bench = spark.createDataFrame([(i, " ".join(item)) for i, item in enumerate(words)], "item_id bigint, text string")
+    sets = [shingles(" ".join(item)) for item in words]
+    own = {r.doc_id: shingles(r.text) for r in df.collect()}
+    want = {(d, i, len(s), len(s & t)) for d, t in own.items() for i, s in enumerate(sets) if 100 * len(s & t) >= 75 * len(s)}
+    index = decontamination.ItemIndex.build([np.array(sorted(set(range(len(s)))), np.uint64) for s in sets], 0.75)
+    assert len(index.partitions) > 4 and sum(len(p.items) for p in index.partitions) == len(words)
+    for block in (decontamination.BLOCK_SHINGLES, 1000):
+        got = [(r.doc_id, r.item_id, r.n_item_shingles, r.n_shared) for r in decontamination.contained_items(df, bench, block_shingles=block).collect()]
+        assert len(got) == len(want) and set(got) == want and len(want) >= 3 * len(words)
+        clean = {r.doc_id for r in decontamination.drop_contaminated(df, bench, block_shingles=block).collect()}
+        assert clean == set(own) - {d for d, *_ in want}
