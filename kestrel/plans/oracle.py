@@ -231,6 +231,7 @@ FROM fct_events""", "fct_events")
 
 Q["session_summary"] = with_star("SELECT * FROM summ", "fct_events",
                                  extra_ctes=(_sessions_cte(30), _summary_cte()))
+Q["stream_session_numbers"] = Q["session_summary"]  # the batch form's sessions and numbers
 Q["session_summary_gap360"] = with_star("SELECT * FROM summ", "fct_events",
                                         extra_ctes=(_sessions_cte(360), _summary_cte()))
 

@@ -19,7 +19,7 @@ from kestrel.plans import increment, pipeline, reports, sql_queries, warehouse
 from kestrel.session import materialize, shared_path
 from kestrel.sources import csv, marts, schemas, star
 from kestrel.sources.tables import read_table
-from kestrel.streaming import sessions_stream
+from kestrel.streaming import numbered_sessions, sessions_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -492,6 +492,11 @@ def q_stream_sessions(spark, sf):
     return sessions_stream.run_stream_sessions(spark, sf, P.gap_minutes)
 
 
+@query("stream_session_numbers")
+def q_stream_session_numbers(spark, sf):
+    return numbered_sessions.run_numbered_sessions(spark, sf, P.gap_minutes)
+
+
 @query("stream_group_totals")
 def q_stream_group_totals(spark, sf):
     return sessions_stream.run_stream_group_totals(spark, sf)
