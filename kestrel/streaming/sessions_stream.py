@@ -148,7 +148,7 @@ def run_stream_sessions(spark: SparkSession, sf_dir: str, gap_minutes: int = SES
 
     def query():
         events = event_stream(spark, sf_dir, max_files_per_trigger, control)
-        return (stream_sessions(events, gap_minutes, delay).where(F.col("customer_id") != MARKER)
+        return (stream_sessions(events, gap_minutes, delay).where(~F.col("customer_id").eqNullSafe(F.lit(MARKER)))
                 .writeStream.format("parquet").outputMode("append")
                 .option("path", f"{out_dir}/data").option("checkpointLocation", f"{out_dir}/_checkpoint"))
 

@@ -98,3 +98,11 @@ def test_late_rows_count_after_a_restart(spark, tmp_dir):
     sessions_stream.run_stream_sessions(spark, tmp_dir, 30, out_dir=out, max_files_per_trigger=1, close=False, accept_late=True)
     with pytest.raises(sessions_stream.LateRows):  # nothing new to read: the row of the first run still counts
         sessions_stream.run_stream_sessions(spark, tmp_dir, 30, out_dir=out, max_files_per_trigger=1)
+
+
+def test_sessions_of_no_customer_are_kept(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "events.parquet")
+    os.makedirs(folder)
+    _write(os.path.join(folder, "part-0.parquet"), [(1, T0, None, "view", 1.0, '{"k": 1}'), (2, T0, 1, "view", 1.0, '{"k": 2}')])
+    out = sessions_stream.run_stream_sessions(spark, tmp_dir, 30, out_dir=os.path.join(tmp_dir, "out"))
+    assert _sessions(out) == {(c, T0): (T0 + 30 * M, 1, 0) for c in (None, 1)}
