@@ -22,6 +22,8 @@ without a time sorts first and opens or closes no gap.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -36,6 +38,9 @@ from kestrel.operators.common import one_row
 from kestrel.session import materialize, ship_package
 
 US_PER_MINUTE = 60_000_000
+_LINK = pa.struct([("_prev", pa.int64()), ("_seq", pa.int64()), ("_head", pa.bool_()), ("_pid", pa.int32()), ("_pos", pa.int64())])
+
+
 def micros(df: DataFrame, ts_col: str) -> Column:
     """Microseconds since 1970-01-01 without time-zone shifts (NTZ stays wall-clock)."""
     dtype = df.schema[ts_col].dataType
@@ -47,18 +52,17 @@ def micros(df: DataFrame, ts_col: str) -> Column:
                   f"to_timestamp_ntz(`{ts_col}`))")
 
 
-def _link_sorted(customer: str, gap_us: int):
-    """Over the rows of one sorted partition: ``_prev`` (previous time of the customer in it), ``_seq``
+def _link_sorted(gap_us: int):
+    """Over customer and time of the rows of one sorted partition: ``_prev`` (previous time of the customer in it), ``_seq``
     (sessions started by its customer in it, from 1; from 0 for the partition's first
     customer, whose history may begin earlier), ``_head`` (is it that customer), ``_pid``, ``_pos``."""
-    def run(batches):
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         pid, pos, runs, carry = TaskContext.get().partitionId(), 0, 0, None  # carry: customer, time, seq
-        for batch in batches:
-            n = batch.num_rows
+        for who, us in batches:
+            n = len(who)
             if not n:
+                yield pa.array([], _LINK)
                 continue
-            who = batch.column(batch.schema.get_field_index(customer))
-            us = batch.column(batch.schema.get_field_index("_us"))
             timed, time = us.is_valid().to_numpy(zero_copy_only=False), pc.fill_null(us, 0).to_numpy()
             code = pc.dictionary_encode(who, null_encoding="encode").indices.to_numpy()
             new = np.r_[carry is None or who[0].as_py() != carry[0], code[1:] != code[:-1]]
@@ -72,10 +76,9 @@ def _link_sorted(customer: str, gap_us: int):
             group = new.cumsum()
             seq = start + np.r_[carry[2] if carry else 0, base - start[at]][group]
             run_no = runs + group
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(before, mask=~known), pa.array(seq), pa.array(run_no <= 1),
-                 pa.array(np.full(n, pid, np.int32)), pa.array(np.arange(pos, pos + n))],
-                names=[*batch.schema.names, "_prev", "_seq", "_head", "_pid", "_pos"])
+            yield pa.StructArray.from_arrays(
+                [pa.array(before, mask=~known), pa.array(seq), pa.array(run_no <= 1), pa.array(np.full(n, pid, np.int32)),
+                 pa.array(np.arange(pos, pos + n))], fields=list(_LINK))
             runs, pos, carry = int(run_no[-1]), pos + n, (who[n - 1].as_py(), us[n - 1].as_py(), int(seq[-1]))
     return run
 
@@ -89,10 +92,11 @@ def link_events(events: DataFrame, gap_minutes: float | None = SESSION_GAP_MINUT
     n_parts = partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [customer_col, "_us", *([tie_col] if tie_col else [])]
     ordered = events.withColumn("_us", micros(events, ts_col)).repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
-    schema = T.StructType([*ordered.schema.fields, T.StructField("_prev", T.LongType()), T.StructField("_seq", T.LongType()),
-                           T.StructField("_head", T.BooleanType()), T.StructField("_pid", T.IntegerType()), T.StructField("_pos", T.LongType())])
     ship_package(events.sparkSession)
-    linked = materialize(ordered.mapInArrow(_link_sorted(customer_col, gap_us), schema), "linked-events")
+    # the workers see two columns; the other ones wait in the task, row for row
+    link = F.arrow_udf(_link_sorted(gap_us), "_prev bigint, _seq bigint, _head boolean, _pid int, _pos bigint").asNondeterministic()
+    linked = ordered.withColumn("_link", link(customer_col, "_us"))
+    linked = materialize(linked.select(*ordered.columns, "_link.*"), "linked-events")
     row = F.struct(F.col(customer_col).alias("who"), F.col("_us").alias("us"), F.col("_seq").alias("seq"), F.col("_head").alias("head"))
     edges = linked.groupBy("_pid").agg(F.min_by(row, "_pos").alias("first"), F.max_by(row, "_pos").alias("last"))
     # from here on one row per partition

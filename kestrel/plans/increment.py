@@ -117,7 +117,7 @@ def load_increment(spark: SparkSession, raw: dict[str, DataFrame], warehouse_dir
     audit: list = []
     places = {t: dict(p) for t, p in old.places.items()}
     try:
-        fresh = {t: pipeline.clean_dimension(raw[t], t, audit) for t in schemas.LOAD_ORDER if t in raw and t not in warehouse.PERIODS}
+        fresh = pipeline.clean_dimensions(spark, raw, audit)
         merged = {t: merge_dimension(spark, base, t, old, df) for t, df in fresh.items()}
         parents = {t: merged.get(t, warehouse.read_places(spark, base, t, places[t])) for t in schemas.LOAD_ORDER if t not in warehouse.PERIODS}
         none = {t: spark.createDataFrame([], csv.raw_schema(t)) for t in warehouse.PERIODS}

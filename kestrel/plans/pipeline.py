@@ -12,7 +12,7 @@ load's label, the contracts read them there, and one manifest makes all of them
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from kestrel.config import DRIVER, Profile
 from kestrel.operators import quality, sessions
 from kestrel.plans import warehouse
-from kestrel.session import materialize, scratch
+from kestrel.session import at_once, checkpoint_dir, materialize, scratch
 from kestrel.sources import csv, schemas, star
 
 
@@ -50,19 +50,35 @@ def clean_dimension(raw: DataFrame, table: str, audit: list | None) -> DataFrame
     return _observed(d, table, {"rows_in": F.sum("_copies"), "rows_out": F.count_if(complete)}, complete, audit, f"clean-{table}").drop("_copies")
 
 
+def clean_dimensions(spark: SparkSession, raw: dict[str, DataFrame], audit: list | None) -> dict[str, DataFrame]:
+    """The dimensions among the raw tables, cleaned side by side."""
+    found: dict[str, list] = {t: [] for t in schemas.LOAD_ORDER if t in raw and t not in warehouse.PERIODS}
+    checkpoint_dir(spark)  # named before the first steps ask for it at once
+    out = at_once(spark, {t: partial(clean_dimension, raw[t], t, own) for t, own in found.items()})
+    if audit is not None:
+        audit += [row for own in found.values() for row in own]
+    return out
+
+
 def clean_facts(raw: dict[str, DataFrame], customers: DataFrame, profile: Profile, check_domain: bool, audit: list | None) -> tuple[DataFrame, DataFrame]:
     """(transactions, events without sessions), of accepted customers. A broken event-type domain fails the load."""
     marker, ok = customers.select("customer_id", F.lit(True).alias("_valid")), F.col("_valid").isNotNull()
     counts = {"rows_in": F.sum("_copies"), "rows_after_dedupe": F.count("*"), "orphan_rows": F.count_if(~ok), "rows_out": F.count_if(ok)}
     tx = quality.flag_transactions(quality.dedupe_by_key(raw["fct_transactions"], "transaction_id", copies_col="_copies"))
     flags = {c: F.sum(F.when(ok, F.col(c))) for c in ("has_missing_product_or_revenue", "revenue_sign_mismatch")}
-    tx = _observed(tx.join(marker, "customer_id", "left"), "fct_transactions", counts | flags, ok, audit, "clean-transactions")
+    tx = tx.join(marker, "customer_id", "left")
     bad = F.coalesce(~F.col("event_type").isin(list(profile.valid_event_types)), F.lit(True))
     changed = quality.normalize_case("traffic_source", profile.traffic_sources) != F.col("traffic_source")
-    own: list = []
+    tallies = {"domain_violations": F.count_if(bad), "device_type_filled": F.count_if(ok & F.col("device_type").isNull()),
+               "traffic_source_normalized": F.count_if(ok & changed)}
     ev = quality.dedupe_by_key(raw["fct_events"], "event_id", copies_col="_copies").join(marker, "customer_id", "left")
-    ev = _observed(ev, "fct_events", counts | {"domain_violations": F.count_if(bad), "device_type_filled": F.count_if(ok & F.col("device_type").isNull()),
-                                               "traffic_source_normalized": F.count_if(ok & changed)}, ok, own, "clean-events")
+    own_tx: list = []
+    own: list = []
+    done = at_once(tx.sparkSession, {"tx": partial(_observed, tx, "fct_transactions", counts | flags, ok, own_tx, "clean-transactions"),
+                                     "ev": partial(_observed, ev, "fct_events", counts | tallies, ok, own, "clean-events")})
+    tx, ev = done["tx"], done["ev"]
+    if audit is not None:
+        audit += own_tx
     if check_domain and dict((m, v) for _, m, v in own)["domain_violations"]:
         quality.raise_on_violations(domain=quality.domain_violations(quality.dedupe_by_key(raw["fct_events"], "event_id"), profile.valid_event_types))
     if audit is not None:
@@ -76,7 +92,7 @@ def clean_tables(spark: SparkSession, raw: dict[str, DataFrame], profile: Profil
                  check_domain: bool = True, audit: list | None = None) -> dict[str, DataFrame]:
     """Cleaned star tables from raw ones, written once each to the shared folder. ``audit`` receives
     (table, metric, value) of every table."""
-    out = {t: clean_dimension(raw[t], t, audit) for t in schemas.LOAD_ORDER if t not in warehouse.PERIODS}
+    out = clean_dimensions(spark, raw, audit)
     tx, ev = clean_facts(raw, out["dim_customers"], profile, check_domain, audit)
     ev = sessions.build_sessions(ev, profile.gap_minutes).drop("session_seq")
     return {k: schemas.conform(v, k) for k, v in (out | {"fct_transactions": tx, "fct_events": ev}).items()}
@@ -101,8 +117,7 @@ def load_to_warehouse(spark: SparkSession, tables: dict[str, DataFrame], warehou
     base, load = warehouse_dir.rstrip("/"), warehouse.new_load()
     before = warehouse.read_version(spark, base) or warehouse.Version()
     try:
-        for name in schemas.LOAD_ORDER:
-            warehouse.write_table(spark, base, name, tables[name], load)
+        at_once(spark, {name: partial(warehouse.write_table, spark, base, name, tables[name], load) for name in schemas.LOAD_ORDER})
         written = {name: warehouse.read_load(spark, base, name, load) for name in schemas.LOAD_ORDER}
         check_contracts(written, written)
         warehouse.write_table(spark, base, warehouse.STATE, customer_state(written["fct_events"]), load)

@@ -7,7 +7,10 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_CONF = {
@@ -131,6 +134,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def at_once(spark: SparkSession, steps: dict[str, Callable]) -> dict:
+    """The results of independent steps that start jobs of their own, run side by side so that one step's last tasks leave no
+    core idle. All steps have ended when this returns or raises what the first failed one raised."""
+    if not steps:
+        return {}
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = {name: pool.submit(inheritable_thread_target(spark)(step)) for name, step in steps.items()}
+    return {name: r.result() for name, r in running.items()}
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -1,10 +1,12 @@
 """Load pipeline, marts and the driver contract on sf0.001."""
 
 import os
+import threading
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import __spark_entry__ as entry
 from kestrel import config, session
@@ -170,3 +172,41 @@ def test_cli_prints_everything_unless_asked(spark, capsys, tmp_dir):
     assert capsys.readouterr().out.count("\n") == 1002
     run(["query", "fill_unknown", "--sf", SF, "--rows", "3"], spark)
     assert capsys.readouterr().out.count("\n") == 5
+
+
+def test_plain_numbers_equal_checked_ones(spark):
+    """One parse for plain spellings gives what the full check gives; other spellings still meet the check."""
+    texts = ["0", "-7", "+7", " 5 ", "007", "123.0", "1e3", "12.5", "12.50", "-0.1", ".5", "5.", "1.500000", "2E1", None]
+    df = spark.createDataFrame([(t,) for t in texts], "v string").coalesce(1)
+    for target, fits in (("bigint", lambda t: t is None or "." not in t or t in ("123.0", "5.")), ("int", lambda t: t is None or "." not in t or t in ("123.0", "5.")),
+                         ("decimal(10,2)", lambda t: True), ("decimal(6,4)", lambda t: t not in ("1e3", "123.0"))):
+        kind = T._parse_datatype_string(target)
+        rows = df.where(F.col("v").isNull() | F.col("v").isin([t for t in texts if t and fits(t)]))
+        got = rows.select(csv._exact_number(F.col("v"), "v", kind).alias("a"), csv._checked_number(F.col("v"), "v", kind).alias("b"))
+        assert got.count() > 8 and all(r.a == r.b for r in got.collect()) and got.schema["a"].dataType == kind
+    for bad, target in (("1.9", "int"), ("1.234", "decimal(10,2)"), ("x", "bigint"), ("99999999999", "int"), ("1e-3", "decimal(10,2)"), ("0.0000000000000000001", "decimal(10,2)")):
+        with pytest.raises(Exception):
+            spark.createDataFrame([(bad,)], "v string").select(csv._exact_number(F.col("v"), "v", T._parse_datatype_string(target))).collect()
+
+
+def test_number_checks_stay_out_of_the_compiled_loop(spark):
+    text = spark.createDataFrame([("1",)], "v string")
+    plan = text.select(csv._exact_number(F.col("v"), "v", T.LongType()))._jdf.queryExecution().optimizedPlan().toString()
+    assert "try_cast" in plan.lower() and plan.index("transform(") < plan.index("RLIKE")
+
+
+def test_independent_steps_run_at_once(spark):
+    """Both steps must have begun before either ends; a failed step raises after all have ended."""
+    both, ended = threading.Barrier(2, timeout=30), []
+
+    def step(fail):
+        both.wait()
+        if fail:
+            raise ValueError("broken")
+        ended.append(spark.range(3).count())
+        return ended[0]
+
+    with pytest.raises(ValueError, match="broken"):
+        session.at_once(spark, {"a": lambda: step(True), "b": lambda: step(False)})
+    assert ended == [3] and session.at_once(spark, {}) == {}
+    assert session.at_once(spark, {"a": lambda: step(False), "b": lambda: step(False)}) == {"a": 3, "b": 3}

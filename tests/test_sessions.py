@@ -140,3 +140,14 @@ def test_sessions_match_brute_force(spark, raw, bucket):
             exp[eid] = f"{cust}-{seq}"
             prev = ts
     assert got == exp
+
+
+def test_workers_see_customer_and_time_only(spark, toy, monkeypatch):
+    """The other columns of a linked event are not sent to Python."""
+    plans, write = [], sessions.materialize
+    monkeypatch.setattr(sessions, "materialize", lambda df, label: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, label))[1])
+    wide = toy.withColumn("note", F.concat(F.lit("n"), F.col("event_id").cast("string")))
+    got = {r.event_id: (r.note, r.derived_session_id) for r in sessions.build_sessions(wide, 30, partitions=3).collect()}
+    assert got[803] == ("n803", "8-2") and got[502] == ("n502", "5-3") and len(got) == 9
+    calls = [x for x in plans[0].splitlines() if "ArrowEvalPython" in x]
+    assert len(calls) == 1 and "MapInArrow" not in plans[0] and "note" not in calls[0].split("], [")[0]
