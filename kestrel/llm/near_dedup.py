@@ -111,6 +111,12 @@ def _sets(batches):
                                           pa.array([s.tobytes() for s in sets], pa.binary())], names=["digest", "shingles"])
 
 
+def _with_digest(batches):
+    for batch in batches:
+        digests = [_digest(shingle_set(t)) for t in byte_texts(batch, "text")]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary())], names=["row", "digest"])
+
+
 def id_bitmap(ids: DataFrame, column: str) -> np.ndarray:
     """A bitmap of BITMAP_BITS (16 MB) of the hashes of the ids, the same at every size. It decides nothing: rows it lets pass
     still meet an exact join; the more ids there are, the more rows pass (one in eight at 17 million, 63 % at 134 million)."""
@@ -122,18 +128,31 @@ def id_bitmap(ids: DataFrame, column: str) -> np.ndarray:
     return out
 
 
-def split_rows(df: DataFrame, id_col: str, bitmap: np.ndarray, inside: bool) -> DataFrame:
-    """The rows of ``df`` whose id may be (``inside``) or surely is not in the bitmap, without a shuffle."""
-    src = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.xxhash64(id_col).alias("hash"))
+def map_inside(df: DataFrame, id_col: str, bitmap: np.ndarray, columns: list, fn, schema: str, inside: bool = True) -> DataFrame:
+    """``fn`` on the batches of ``columns`` of those rows of ``df`` whose id may be (``inside``) or surely is not in the bitmap,
+    without a shuffle. Rows are chosen and mapped in one Python step: of two in a row, each task holds a worker for either."""
+    src = df.select(*columns, F.xxhash64(id_col).alias("_id_hash"))
     shared = df.sparkSession.sparkContext.broadcast(bitmap)
 
-    def select(batches):
+    def chosen(batches):
         for batch in batches:
-            at = batch.column(1).to_numpy() & (BITMAP_BITS - 1)
+            last = batch.num_columns - 1
+            at = batch.column(last).to_numpy() & (64 * len(shared.value) - 1)
             hit = (shared.value[at >> 6] >> (at & 63)) & 1 == 1
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(hit == inside))], names=["row"])
+            yield batch.select(list(range(last))).filter(pa.array(hit == inside))
+
+    return map_arrow(src, lambda batches: fn(chosen(batches)), schema)
+
 
-    return map_arrow(src, select, f"row {src.schema['row'].dataType.simpleString()}").select("row.*")
+def _whole_row(df: DataFrame):
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
+def split_rows(df: DataFrame, id_col: str, bitmap: np.ndarray, inside: bool) -> DataFrame:
+    """The rows of ``df`` whose id may be (``inside``) or surely is not in the bitmap, without a shuffle."""
+    row = _whole_row(df)
+    kind = df.select(row).schema["row"].dataType.simpleString()
+    return map_inside(df, id_col, bitmap, [row], lambda batches: batches, f"row {kind}", inside).select("row.*")
 
 
 def _incidence(sets: list[np.ndarray], values: np.ndarray) -> np.ndarray:
@@ -220,8 +239,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sizes = (members.groupBy("root").agg(F.count("*").alias("m"), F.sum(8 * F.col("n")).alias("bytes"))
              .select("root", F.ceil(F.greatest(F.col("m") / BLOCK_ROWS, F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks")))
     need = materialize(members.join(sizes, "root").select("node", "root", "digest", "doc", "blocks"), "members")
-    texts = split_rows(src, "doc_id", id_bitmap(need.select("doc").distinct(), "doc"), True)  # the join on the digest below is exact
-    sets = map_arrow(texts.select("text"), _sets, "digest binary, shingles binary")
+    # the bitmap lets others pass; the join on the digest is exact
+    sets = map_inside(src, "doc_id", id_bitmap(need.select("doc").distinct(), "doc"), ["text"], _sets, "digest binary, shingles binary")
     sets = sets.join(need, "digest").dropDuplicates(["digest"])
     dealt = (sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -253,15 +272,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     single = split_rows(docs, "doc_id", bitmap, False).unionByName(single)
     if repeated.isEmpty():
         return single
-    src = doubtful.join(repeated, doubtful["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
-    src = src.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
-
-    def with_digest(batches):
-        for batch in batches:
-            digests = [_digest(shingle_set(t)) for t in byte_texts(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary())], names=["row", "digest"])
-
-    told = map_arrow(src, with_digest, f"row {src.schema['row'].dataType.simpleString()}, digest binary")
+    row = _whole_row(docs)
+    kind = docs.select(row).schema["row"].dataType.simpleString()
+    told = map_inside(docs, "doc_id", id_bitmap(repeated, "_id"), [row, "text"], _with_digest, f"row {kind}, digest binary")
+    told = told.join(repeated, told["row.doc_id"].eqNullSafe(F.col("_id")), "left_semi")
     good = marks.where("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
     told = told.join(good, told["row.doc_id"].eqNullSafe(F.col("_id")) & told["digest"].eqNullSafe(F.col("_digest")), "left_semi")
     once = told.where("digest IS NOT NULL").groupBy("row.doc_id", "digest").agg(F.min("row").alias("row"))

@@ -73,6 +73,22 @@ def test_near_duplicates_of_repeated_and_null_ids(spark):
         assert near_dedup.keep_one(empty).count() == empty.count()
 
 
+def test_near_duplicates_hold_one_worker_a_task(spark, monkeypatch):
+    """No Python step reads from another: a task would hold a worker for each, and executors keep them all for the rest of the run."""
+    inputs, real = [], near_dedup.map_arrow
+
+    def watched(df, fn, schema):
+        inputs.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, fn, schema)
+
+    monkeypatch.setattr(near_dedup, "map_arrow", watched)
+    texts = variants()
+    df = spark.createDataFrame([(i % 50, t) for i, t in enumerate(texts)] + [(None, texts[0]), (7, None), (7, None)], "doc_id int, text string")
+    kept = near_dedup.keep_one(df).collect()
+    assert len(texts) > 50 and len(kept) < len(texts) and sum(r.text is None for r in kept) == 2
+    assert len(inputs) == 5 and not any("Arrow" in plan for plan in inputs)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.sets(st.integers(0, 12), min_size=1), min_size=1, max_size=12), st.integers(0, 11))
 def test_exact_links(sets, cut):
