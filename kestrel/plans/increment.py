@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from kestrel.config import DRIVER, Profile
 from kestrel.operators import sessions
 from kestrel.plans import pipeline, warehouse
-from kestrel.session import materialize, scratch
+from kestrel.session import lookup, materialize, scratch
 from kestrel.sources import csv, schemas
 
 EVENTS = "fct_events"
@@ -31,7 +31,7 @@ def merge_dimension(spark: SparkSession, base: str, table: str, old: warehouse.V
     """The dimension with the new rows in place of those with their keys, written once."""
     key = schemas.PRIMARY_KEYS[table]
     kept = schemas.conform(warehouse.read_places(spark, base, table, old.places[table]), table)
-    return materialize(kept.join(fresh.select(key), key, "left_anti").unionByName(schemas.conform(fresh, table)), f"merged-{table}")
+    return materialize(kept.join(lookup(fresh.select(key), fresh.count()), key, "left_anti").unionByName(schemas.conform(fresh, table)), f"merged-{table}")
 
 
 def _meeting(places: dict[str, list], lo, hi) -> dict[str, list]:
@@ -42,22 +42,23 @@ def _meeting(places: dict[str, list], lo, hi) -> dict[str, list]:
 def replaced_rows(spark: SparkSession, base: str, table: str, places: dict[str, list], fresh: DataFrame) -> DataFrame:
     """Key, customer and period of the warehouse's rows that the new rows replace, written once."""
     key = schemas.PRIMARY_KEYS[table]
-    lo, hi = fresh.agg(F.min(key), F.max(key)).first()
+    lo, hi, n = fresh.agg(F.min(key), F.max(key), F.count("*")).first()
     held = warehouse.read_places(spark, base, table, _meeting(places, lo, hi)).select(key, "customer_id", "period")
-    return materialize(held.join(fresh.select(key), key, "left_semi"), f"replaced-{table}")
+    return materialize(held.join(lookup(fresh.select(key), n), key, "left_semi"), f"replaced-{table}")
 
 
-def carried_sessions(fresh: DataFrame, state: DataFrame, gap_minutes: float) -> DataFrame:
+def carried_sessions(fresh: DataFrame, n_fresh: int, state: DataFrame, n_state: int, gap_minutes: float) -> DataFrame:
     """``derived_session_id`` of new events none of which lies before its customer's last time: the sessions of the new rows
-    by themselves, shifted by the customer's count so far, the first of them being the last old one if the gap allows."""
+    by themselves, shifted by the customer's count so far, the first of them being the last old one if the gap allows. There are
+    at most ``n_fresh`` new rows and ``n_state`` rows of state."""
     linked = sessions.build_sessions(fresh, gap_minutes)
     us = sessions.micros(fresh, "timestamp")
     first = fresh.groupBy("customer_id").agg(F.min(us).alias("_first"))
     last = state.select("customer_id", sessions.micros(state, "last_time").alias("_last"), "last_seq")
     goes_on = F.col("_first") - F.col("_last") <= int(round(gap_minutes * sessions.US_PER_MINUTE))
-    shift = first.join(last, "customer_id").select("customer_id", (F.col("last_seq") - F.when(goes_on, 1).otherwise(0)).alias("_shift"))
+    shift = lookup(first, n_fresh).join(lookup(last, n_state), "customer_id").select("customer_id", (F.col("last_seq") - F.when(goes_on, 1).otherwise(0)).alias("_shift"))
     number = F.col("session_seq") + F.coalesce("_shift", F.lit(0))
-    return (linked.join(shift, "customer_id", "left")
+    return (linked.join(lookup(shift, min(n_fresh, n_state)), "customer_id", "left")
             .withColumn("derived_session_id", F.concat_ws("-", F.col("customer_id").cast("string"), number.cast("string")))
             .drop("session_seq", "_shift"))
 
@@ -66,16 +67,22 @@ def merge_events(spark: SparkSession, base: str, old: warehouse.Version, fresh:
     """(rows of the periods to write, new state, those periods). ``fresh``: cleaned new events, a written table."""
     places = old.places[EVENTS]
     state = warehouse.read_places(spark, base, warehouse.STATE, old.places[warehouse.STATE])
+    n_fresh, n_state = fresh.count(), sum(at[3] for at in old.places[warehouse.STATE].values())
     replaced = replaced_rows(spark, base, EVENTS, places, fresh)
-    early = (fresh.groupBy("customer_id").agg(F.min("timestamp").alias("_first")).join(state, "customer_id")
+    gone = lookup(replaced.select("event_id"), replaced.count())
+    first = fresh.groupBy("customer_id").agg(F.min("timestamp").alias("_first"))
+    early = (lookup(first, n_fresh).join(lookup(state, n_state), "customer_id")
              .where(F.col("_first") < F.col("last_time")).select("customer_id"))
     redone = materialize(early.unionByName(replaced.select("customer_id")).distinct(), "redone-customers")
-    ahead = materialize(schemas.conform(carried_sessions(fresh.join(redone, "customer_id", "left_anti"), state, gap_minutes), EVENTS), "ahead-events")
+    n_redone = redone.count()
+    redone = lookup(redone, n_redone)
+    ahead = fresh.join(redone, "customer_id", "left_anti")
+    ahead = materialize(schemas.conform(carried_sessions(ahead, n_fresh, state, n_state, gap_minutes), EVENTS), "ahead-events")
     everything = warehouse.read_places(spark, base, EVENTS, places)
     touched = {r["p"] for r in fresh.select(warehouse.period_of(EVENTS).alias("p")).distinct().collect()}  # a row per period
     fresh_rows, changed, states = ahead, None, [pipeline.customer_state(ahead)]
-    if not redone.isEmpty():
-        history = (everything.join(redone, "customer_id", "left_semi").join(fresh.select("event_id"), "event_id", "left_anti")
+    if n_redone:
+        history = (everything.join(redone, "customer_id", "left_semi").join(gone, "event_id", "left_anti")
                    .withColumnRenamed("derived_session_id", "_old").drop("load"))
         again = history.unionByName(fresh.join(redone, "customer_id", "left_semi"), allowMissingColumns=True)
         again = materialize(sessions.build_sessions(again, gap_minutes).drop("session_seq"), "redone-events")
@@ -85,9 +92,9 @@ def merge_events(spark: SparkSession, base: str, old: warehouse.Version, fresh:
         fresh_rows = fresh_rows.unionByName(schemas.conform(again.where(F.col("_old").isNull()), EVENTS))
         states.append(pipeline.customer_state(again))
     kept = warehouse.read_places(spark, base, EVENTS, {p: at for p, at in places.items() if p in touched})
-    kept = kept.join(replaced.select("event_id"), "event_id", "left_anti")
+    kept = kept.join(gone, "event_id", "left_anti")
     if changed is not None:
-        kept = (kept.join(changed.select("event_id", "_new"), "event_id", "left")
+        kept = (kept.join(lookup(changed.select("event_id", "_new"), changed.count()), "event_id", "left")
                 .withColumn("derived_session_id", F.coalesce("_new", "derived_session_id")))
     states.append(state.join(redone, "customer_id", "left_anti"))
     merged = states[0]
@@ -103,7 +110,7 @@ def merge_transactions(spark: SparkSession, base: str, old: warehouse.Version, f
     touched = {r["p"] for r in fresh.select(warehouse.period_of(table).alias("p")).distinct().collect()}
     touched |= {r["period"] for r in replaced.select("period").distinct().collect()}
     kept = warehouse.read_places(spark, base, table, {p: at for p, at in places.items() if p in touched})
-    kept = kept.join(replaced.select("transaction_id"), "transaction_id", "left_anti")
+    kept = kept.join(lookup(replaced.select("transaction_id"), replaced.count()), "transaction_id", "left_anti")
     return schemas.conform(kept, table).unionByName(schemas.conform(fresh, table)), touched
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from kestrel.config import DRIVER, Profile
 from kestrel.operators import quality, sessions
 from kestrel.plans import warehouse
-from kestrel.session import at_once, checkpoint_dir, materialize, scratch
+from kestrel.session import at_once, checkpoint_dir, lookup, materialize, scratch
 from kestrel.sources import csv, schemas, star
 
 
@@ -61,8 +61,9 @@ def clean_dimensions(spark: SparkSession, raw: dict[str, DataFrame], audit: list
 
 
 def clean_facts(raw: dict[str, DataFrame], customers: DataFrame, profile: Profile, check_domain: bool, audit: list | None) -> tuple[DataFrame, DataFrame]:
-    """(transactions, events without sessions), of accepted customers. A broken event-type domain fails the load."""
-    marker, ok = customers.select("customer_id", F.lit(True).alias("_valid")), F.col("_valid").isNotNull()
+    """(transactions, events without sessions), of accepted ``customers``, a written table. A broken event-type domain fails the load."""
+    marker = lookup(customers.select("customer_id", F.lit(True).alias("_valid")), customers.count())
+    ok = F.col("_valid").isNotNull()
     counts = {"rows_in": F.sum("_copies"), "rows_after_dedupe": F.count("*"), "orphan_rows": F.count_if(~ok), "rows_out": F.count_if(ok)}
     tx = quality.flag_transactions(quality.dedupe_by_key(raw["fct_transactions"], "transaction_id", copies_col="_copies"))
     flags = {c: F.sum(F.when(ok, F.col(c))) for c in ("has_missing_product_or_revenue", "revenue_sign_mismatch")}

@@ -134,6 +134,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Join sides of up to so many rows are left to Spark, which may broadcast them: ids take up to 70 bytes a row in the driver,
+#: with a text beside them 140.
+LOOKUP_ROWS = 500_000
+
+
+def lookup(side: DataFrame, rows: int) -> DataFrame:
+    """A join side of unique keys and at most ``rows`` rows. Spark decides on a broadcast, which the driver builds, by the size
+    of the files; well packed columns of millions of rows pass as small. So a side of more than ``LOOKUP_ROWS`` is dealt out by key: each
+    task holds its part of it, and the other side is not sorted."""
+    return side if rows <= LOOKUP_ROWS else side.hint("shuffle_hash")
+
+
 def at_once(spark: SparkSession, steps: dict[str, Callable]) -> dict:
     """The results of independent steps that start jobs of their own, run side by side so that one step's last tasks leave no
     core idle. All steps have ended when this returns or raises what the first failed one raised."""

@@ -2,10 +2,12 @@
 
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from kestrel import session
 from kestrel.operators import quality
 from kestrel.plans import increment, pipeline, warehouse
 from kestrel.sources import csv, schemas
@@ -173,6 +175,54 @@ def test_contracts_hold_before_an_increment_is_seen(spark, tmp_dir):
         increment.load_increment(spark, {"fct_events": bad}, os.path.join(tmp_dir, "nothing"))
 
 
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_rows_in_small_files_are_not_broadcast(spark):
+    """Spark sees the size of the files only; the driver would build a table of all their rows."""
+    n = session.LOOKUP_ROWS + 1
+    side = session.materialize(spark.range(n).withColumnRenamed("id", "k"), "many-rows")
+    facts = spark.range(5).select((F.col("id") * (n // 2)).alias("k"))
+    assert "BroadcastHashJoin" in executed(facts.join(side, "k", "left_semi"))
+    found = facts.join(session.lookup(side, side.count()), "k", "left_semi")
+    assert "ShuffledHashJoin" in executed(found) and "BroadcastHashJoin" not in executed(found)
+    assert found.count() == 3
+    assert "BroadcastHashJoin" in executed(facts.join(session.lookup(side.limit(9), 9), "k", "left_semi"))  # few rows: as Spark likes
+
+
+def test_no_table_that_grows_is_broadcast_by_a_load(spark, tmp_dir, monkeypatch):
+    """Every join of a full load and an increment with late, moved and repeated rows, with all tables counting as large."""
+    raw = pipeline.raw_tables(spark, SF)
+    one, two = os.path.join(tmp_dir, "one"), os.path.join(tmp_dir, "two")
+    late = F.col("event_id") % 50 == 3
+    sent = {"fct_events": raw["fct_events"].withColumn("customer_id", F.expr("CASE WHEN event_id % 100 = 3 THEN customer_id + 1 ELSE customer_id END")),
+            "dim_customers": raw["dim_customers"].withColumn("country", F.expr("CASE WHEN customer_id < 5 THEN 'Elsewhere' ELSE country END")),
+            "fct_transactions": raw["fct_transactions"].withColumn("quantity", F.expr("CASE WHEN transaction_id % 50 = 1 THEN 9 ELSE quantity END"))}
+    full(spark, raw | sent, one)
+    monkeypatch.setattr(session, "LOOKUP_ROWS", 0, raising=False)
+    plans = []
+
+    def spy(module, name, frame):
+        real = getattr(module, name)
+
+        def run(*a, **k):
+            plans.append(executed(a[frame]))
+            return real(*a, **k)
+        monkeypatch.setattr(module, name, run)
+
+    for module, name, frame in ((pipeline, "materialize", 0), (increment, "materialize", 0), (warehouse, "write_table", 3), (quality, "raise_on_counts", 0)):
+        spy(module, name, frame)
+    full(spark, raw | {"fct_events": raw["fct_events"].where(~late | (F.col("event_id") % 100 == 3))}, two)
+    increment.load_increment(spark, {"fct_events": sent["fct_events"].where(late), "dim_customers": sent["dim_customers"].where("customer_id < 5"),
+                                     "fct_transactions": sent["fct_transactions"].where("transaction_id % 50 = 1")}, two)
+    found = {kind: set(re.findall(kind + r" \[(\w+)#", "\n".join(plans))) for kind in ("BroadcastHashJoin", "ShuffledHashJoin")}
+    assert found["BroadcastHashJoin"] <= {"_pid", "c_nationkey", "n_regionkey"}  # a row per partition, nations, regions
+    assert {"customer_id", "event_id", "transaction_id", "_k"} <= found["ShuffledHashJoin"]
+    assert tables(spark, two) == tables(spark, one)
+    assert rows(warehouse.read_table(spark, two, warehouse.STATE)) == rows(warehouse.read_table(spark, one, warehouse.STATE))
+
+
 def test_of_two_writers_one_fails(spark, tmp_dir):
     raw, wh = pipeline.raw_tables(spark, SF), os.path.join(tmp_dir, "wh")
     full(spark, raw, wh)
